@@ -37,5 +37,13 @@ def split_networks(csv: str) -> list[str]:
 
 
 def fixed_or_dash(value: Column, decimals: int) -> Column:
-    """A number with fixed decimals, a dash for null."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", value), F.lit(NO_VALUE))
+    """A number with fixed decimals, a dash for null. Exact halves round away from zero.
+
+    ``format_number`` rounds the exact double but sends halves to even; a half with ``d`` decimals is an
+    odd multiple of ``1 / 2**(d + 1)`` and is nudged outwards first.
+    """
+    scaled = value * F.lit(float(2 ** (decimals + 1)))
+    is_half = (scaled == F.floor(scaled)) & (F.abs(scaled) % 2 == 1)
+    nudged = F.when(is_half, value + F.signum(value) * F.lit(1e-6)).otherwise(value)
+    pattern = F.lit("0." + "0" * decimals)
+    return F.coalesce(F.call_function("format_number", nudged, pattern), F.lit(NO_VALUE))

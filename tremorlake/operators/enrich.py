@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.functions.text import clean_lookup_key
+from tremorlake.operators.joins import lookup_join
 from tremorlake.operators.pip import PolygonIndex, resolve_polygon
 
 
@@ -14,8 +15,8 @@ def scan_points(quakes: DataFrame) -> DataFrame:
 
 
 def _attach(points: DataFrame, attributes: DataFrame, key: str) -> DataFrame:
-    """Attribute of the polygon found; no broadcast hint, so the optimizer's size limits decide."""
-    return points.join(attributes, key, "left").drop(key)
+    """Attribute of the polygon found."""
+    return lookup_join(points, attributes, [key]).drop(key)
 
 
 def country_attributes(layer: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import cell_index
+from tremorlake.operators.joins import salted_left_join
 from tremorlake.session import pin
 from tremorlake.sources.polygons import polygon_edges
 
@@ -31,7 +32,6 @@ CELL_SIZES = (10.0, 5.0, 2.0, 1.0, 0.5, 0.25)   # degrees, tried from coarse to
 MAX_INDEX_ENTRIES = 1_500_000         # box cells plus edge entries a chosen cell size may produce
 MAX_CELL_ENTRIES = 20_000            # edges or polygons one cell row may hold
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def _spans(edges: DataFrame, g: float) -> DataFrame:
@@ -100,18 +100,20 @@ class PolygonIndex:
 
 def choose_cell_deg(edges: DataFrame, max_entries: int = MAX_INDEX_ENTRIES) -> float:
     """The coarsest grid with at most one edge per cell on average, within the entry limit."""
-    def spanned(low_x, high_x, low_y, high_y):
-        return [F.sum((cell_index(high_x, g) - cell_index(low_x, g) + 1).cast("long")
+    def spanned(kind, low_x, high_x, low_y, high_y):
+        return [F.lit(kind).alias("kind")] + [F.sum((cell_index(high_x, g) - cell_index(low_x, g) + 1).cast("long")
                       * (cell_index(high_y, g) - cell_index(low_y, g) + 1)).alias(f"g{i}")
                 for i, g in enumerate(CELL_SIZES)]
 
     edge_cells = edges.agg(*spanned(
-        F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")))
-    boxes = polygon_boxes(edges).agg(*spanned(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax")))
-    on_edges, in_boxes = edge_cells.unionAll(boxes).collect()
-    if on_edges[0] is None:
-        return CELL_SIZES[0]
-    fitting = [(g, on_edges[i] <= in_boxes[i]) for i, g in enumerate(CELL_SIZES) if on_edges[i] + in_boxes[i] <= max_entries]
+        "edges", F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")))
+    boxes = polygon_boxes(edges).agg(*spanned("boxes", F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax")))
+    sums = {row["kind"]: row.asDict() for row in edge_cells.unionAll(boxes).collect()}
+    fitting = []
+    for i, g in enumerate(CELL_SIZES):
+        on_edges, in_boxes = sums["edges"][f"g{i}"] or 0, sums["boxes"][f"g{i}"] or 0
+        if on_edges + in_boxes <= max_entries:
+            fitting.append((g, on_edges <= in_boxes))
     sparse = [g for g, few_edges in fitting if few_edges]
     return max(sparse) if sparse else min((g for g, _ in fitting), default=CELL_SIZES[0])
 
@@ -194,22 +196,13 @@ def resolve_polygon(points: DataFrame, index: PolygonIndex, out: str = "poly") -
     if index.broadcast:
         joined = placed.join(F.broadcast(cells), ["_r", "_c"], "left")
     else:
-        joined = _salted_left_join(placed, cells, ["_r", "_c"])
+        joined = salted_left_join(placed, cells, ["_r", "_c"])
     covering = F.filter("_cands", lambda c: _covers(c, F.col("lon"), F.col("lat")))
     tested = F.coalesce(F.array_min(F.transform(covering, lambda c: c["poly"])), F.col("_filler"))
     poly = F.when(F.size("_cands") > 0, tested).otherwise(F.col("_filler"))
     return joined.select(*points.columns, poly.alias(out))
 
 
-def _salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
-    """Shuffle join whose hot keys on the left spread over ``salts`` tasks; the right side is copied."""
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # Rows without coordinates match nothing; a key of their own spreads them like the others.
-    filled = left.withColumns({k: F.coalesce(F.col(k), F.lit(-(2 ** 31))) for k in keys})
-    return filled.withColumn("_salt", salt).hint("shuffle_hash").join(copies, [*keys, "_salt"], "left").drop("_salt")
-
-
 def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
     """Pairs ``(id, lon, lat, poly)`` whose bounding box holds the point: grid equi-join, then the box.
 
@@ -223,7 +216,7 @@ def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
     if index.broadcast:
         pairs = placed.join(F.broadcast(boxes), ["_r", "_c"])
     else:
-        pairs = _salted_left_join(placed, boxes, ["_r", "_c"]).where("poly IS NOT NULL")
+        pairs = salted_left_join(placed, boxes, ["_r", "_c"]).where("poly IS NOT NULL")
     return pairs.where("lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax").select("id", "lon", "lat", "poly")
 
 
@@ -236,7 +229,7 @@ def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
     g = index.cell_deg
     edges = _edge_rows(index.edges, g).select("poly", F.col("cell_r").alias("_r"), "x1", "y1", "x2", "y2")
     pairs = pip_candidates(points, index).withColumn("_r", cell_index(F.col("lat"), g))
-    matched = _salted_left_join(pairs, edges, ["poly", "_r"]).where("x1 IS NOT NULL")
+    matched = salted_left_join(pairs, edges, ["poly", "_r"]).where("x1 IS NOT NULL")
     e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
     lon, lat = F.col("lon"), F.col("lat")
     tested = matched.groupBy("id", "poly").agg(

@@ -81,7 +81,7 @@ def zone_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = F.col("s_suppkey")
     iso = F.when(key % 11 == 0, F.lit(" na ")).when(key % 13 == 0, F.lit("")).otherwise(
-        F.concat(F.lit(" n"), F.lpad((key % 40).cast("string"), 3, "0")))
+        F.concat(F.lit(" n"), F.lpad((key % 40).cast("string"), 2, "0")))
     return table(spark, sf_dir, "supplier").select(
         key.alias("row_id"),
         F.lit(4326).alias("srid"),
@@ -100,3 +100,21 @@ def basin_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("c_mktsegment"), F.lit(" "), ((key * 7) % 90).cast("string")).alias("name"),
         _rings(F.lit(-170) + (key * 41) % 340, F.lit(-80) + (key * 59) % 160, HOLED_SQUARE).alias("rings"),
     )
+
+
+def watched_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place per supplier, ``(place, lon, lat)``."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("place"), (F.lit(-170) + (key * 37) % 340).cast("double").alias("lon"),
+        (F.lit(-80) + (key * 53) % 160).cast("double").alias("lat"))
+
+
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load per event: a source, a start to the second and a length in minutes; some loads failed."""
+    start = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    minutes = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"), start.alias("start_time_utc"),
+        F.timestamp_add("MINUTE", minutes, start).alias("end_time_utc"),
+        F.when(F.col("value") > 100, F.lit("error")).otherwise(F.lit("success")).alias("status"))
