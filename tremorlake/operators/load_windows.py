@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tremorlake.session import stage
+
 CHUNK_SECONDS = 86_400
 
 
@@ -68,7 +70,7 @@ def coverage_gaps(load_log: DataFrame) -> DataFrame:
     done = load_log.where("status = 'success'").select(
         "source", F.date_trunc("second", "start_time_utc").cast("timestamp_ntz").alias("a"),
         F.col("end_time_utc").cast("timestamp_ntz").alias("b"))
-    loads = done.groupBy("source", "a").agg(F.max("b").alias("b"))
+    loads = stage(done.groupBy("source", "a").agg(F.max("b").alias("b")))   # read twice below
     day = F.floor(F.unix_seconds(F.col("a").cast("timestamp")) / CHUNK_SECONDS).alias("day")
     daily = loads.select("source", "a", "b", day)
     earlier = Window.partitionBy("source").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tremorlake.session import pin
+from tremorlake.session import stage
 
 _POSITION_BITS = 33   # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -12,13 +12,14 @@ _POSITION_BITS = 33   # monotonically_increasing_id keeps the row number in the
 def ranged(df: DataFrame, keys: list[Column | str], partitions: int | None = None) -> DataFrame:
     """Sort by ``keys`` across range partitions; adds ``_part`` and the 0-based ``_pos`` inside it.
 
-    The result is pinned: another run could sample other range bounds. Give keys that are unique
-    together, so that no hot value has to stay in one partition.
+    The result is a written table: another run could sample other range bounds. Give keys that are unique
+    together, so that no hot value has to stay in one partition. Without a number of partitions the
+    engine merges small ranges at run time, which keeps their order.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ordered = spread.sortWithinPartitions(*keys)
     numbered = ordered.withColumn("_row", F.monotonically_increasing_id())
-    return pin(numbered.select(
+    return stage(numbered.select(
         *df.columns,
         F.shiftright("_row", _POSITION_BITS).cast("int").alias("_part"),
         F.col("_row").bitwiseAND(F.lit(2 ** _POSITION_BITS - 1)).alias("_pos"),

@@ -4,34 +4,41 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import EARTH_RADIUS_KM, cell_index, haversine_km
 from tremorlake.operators.joins import lookup_join
 
-GRID_DEG = 5.0
+GRID_SIZES = (0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)   # degrees; each divides 360
+KM_PER_DEGREE = 111.195
 MAX_COPIED_CELLS = 500_000        # place cells (about 48 bytes each) that may be copied to every executor
 
 
-def _wrapped_column(col):
+def grid_for(km: float) -> float:
+    """The smallest cell at least as wide as the radius, so a place reaches few cells and few far events."""
+    return next((g for g in GRID_SIZES if g * KM_PER_DEGREE >= km), GRID_SIZES[-1])
+
+
+def _wrapped_column(col: Column, g: float) -> Column:
     """Grid column with 180 east folded onto 180 west."""
-    n = int(360 / GRID_DEG)
+    n = int(360 / g)
     return (F.pmod(col + n // 2, F.lit(n)) - n // 2).cast("int")
 
 
-def place_cells(places: DataFrame, km: float) -> DataFrame:
+def place_cells(places: DataFrame, km: float, g: float) -> DataFrame:
     """Grid cells that a circle of ``km`` around each place can reach, across the antimeridian too."""
     reach = km / EARTH_RADIUS_KM
     dlat = math.degrees(reach) + 1e-9
     polar = (F.abs("lat") + dlat) >= 90
     ratio = F.lit(math.sin(min(reach, math.pi / 2))) / F.greatest(F.cos(F.radians("lat")), F.lit(1e-12))
     dlon = F.when(polar | (ratio >= 1), F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-9)
-    rows = F.sequence(cell_index(F.col("lat") - dlat, GRID_DEG), cell_index(F.col("lat") + dlat, GRID_DEG))
+    rows = F.sequence(cell_index(F.col("lat") - dlat, g), cell_index(F.col("lat") + dlat, g))
     cols = F.array_distinct(F.transform(
-        F.sequence(cell_index(F.col("lon") - dlon, GRID_DEG), cell_index(F.col("lon") + dlon, GRID_DEG)), _wrapped_column))
-    return places.select(
-        "place", F.col("lon").alias("place_lon"), F.col("lat").alias("place_lat"), F.explode(rows).alias("_r"), cols.alias("_cols"),
-    ).withColumn("_c", F.explode("_cols")).drop("_cols")
+        F.sequence(cell_index(F.col("lon") - dlon, g), cell_index(F.col("lon") + dlon, g)),
+        lambda c: _wrapped_column(c, g)))
+    spanned = places.select(
+        "place", F.col("lon").alias("place_lon"), F.col("lat").alias("place_lat"), F.explode(rows).alias("_r"), cols.alias("_cols"))
+    return spanned.withColumn("_c", F.explode("_cols")).drop("_cols")
 
 
 def near_places(quakes: DataFrame, places: DataFrame, km: float,
@@ -41,9 +48,10 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
     A short list of places is copied to the executors; a long one is shuffled by grid cell, hot cells
     of events spread over salts.
     """
-    cells = place_cells(places, km)
+    g = grid_for(km)
+    cells = place_cells(places, km, g)
     placed = quakes.where("lon IS NOT NULL AND lat IS NOT NULL").withColumns({
-        "_r": cell_index(F.col("lat"), GRID_DEG), "_c": _wrapped_column(cell_index(F.col("lon"), GRID_DEG))})
+        "_r": cell_index(F.col("lat"), g), "_c": _wrapped_column(cell_index(F.col("lon"), g), g)})
     pairs = lookup_join(placed, cells, ["_r", "_c"], max_copied).where("place IS NOT NULL")
     distance = haversine_km(F.col("place_lon"), F.col("place_lat"), F.col("lon"), F.col("lat"))
     return pairs.withColumn("km", F.round(distance, 3)).where(F.col("km") <= km).drop(

@@ -11,36 +11,39 @@ from tremorlake.operators.joins import lookup_join
 from tremorlake.operators.ordering import row_ids
 from tremorlake.sources.polygons import COUNTRY_COLUMNS, SEA_COLUMNS, require_columns
 
-NULL_SALTS = 1024
 
+def _earliest(keyed: DataFrame, key: str, arrival: Sequence[Column | str]) -> DataFrame:
+    """First row per key; the rank filter is also applied before the shuffle, so a hot key sends one row per task."""
+    w = Window.partitionBy(key).orderBy(*arrival)
+    return keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
-def first_write_wins(batch: DataFrame, key: str, arrival: Sequence[Column | str]) -> DataFrame:
-    """The earliest row of each key; rows without a key all stay.
 
-    The rank filter is also applied before the shuffle, so a hot key sends one row per task. Each row
-    without a key is a partition of its own.
-    """
-    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    w = Window.partitionBy(key, "_alone").orderBy(*arrival)
-    ranked = batch.withColumn("_alone", alone).withColumn("_rn", F.row_number().over(w))
-    return ranked.where("_rn = 1").drop("_rn", "_alone")
+def _with_and_without(batch: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a key, and rows without one, which never conflict and so need no shuffle."""
+    return batch.where(F.col(key).isNotNull()), batch.where(F.col(key).isNull())
 
 
-def anti_existing(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` whose key is not stored yet. A null key never conflicts.
+def first_write_wins(batch: DataFrame, key: str, arrival: Sequence[Column | str]) -> DataFrame:
+    """The earliest row of each key; rows without a key all stay."""
+    keyed, keyless = _with_and_without(batch, key)
+    return _earliest(keyed, key, arrival).unionByName(keyless)
 
-    Null keys carry a salt no stored key has, which keeps them and spreads them over tasks.
-    """
-    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*batch.columns), F.lit(NULL_SALTS))).otherwise(F.lit(-1).cast("long"))
-    left = batch.withColumns({"_k": F.coalesce(F.col(key), F.lit("")), "_salt": salt})
-    right = existing.select(F.col(key).alias("_k"), F.lit(-1).cast("long").alias("_salt")).where("_k IS NOT NULL")
-    return left.join(right, ["_k", "_salt"], "left_anti").drop("_k", "_salt")
+
+def anti_existing(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """Rows of ``batch`` whose key is not stored yet. A null key never conflicts."""
+    keyed, keyless = _with_and_without(batch, key)
+    return keyed.join(existing.select(key), key, "left_anti").select(*batch.columns).unionByName(keyless)
 
 
 def insert_new(existing: DataFrame, batch: DataFrame, arrival: Sequence[Column | str] = ("id",),
                key: str = "usgs_id") -> DataFrame:
-    """The rows an insert would add: a stored key is never updated, even by a newer revision."""
-    return anti_existing(first_write_wins(batch, key, arrival), existing, key)
+    """The rows an insert would add: a stored key is never updated, even by a newer revision.
+
+    Both steps need the rows with a key by that key, so one shuffle of the batch serves both.
+    """
+    keyed, keyless = _with_and_without(batch, key)
+    new = _earliest(keyed, key, arrival).join(existing.select(key), key, "left_anti")
+    return new.select(*batch.columns).unionByName(keyless)
 
 
 def dense_ids(new_rows: DataFrame, max_id: int | Column, out: str = "id") -> DataFrame:

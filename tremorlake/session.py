@@ -59,6 +59,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Fix the rows of ``df`` in the shared folder, so later jobs neither recompute nor reorder them."""
+    """Fix the rows of a small ``df`` in the shared folder, so later jobs neither recompute nor reorder them."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """As ``pin`` for large data: a Parquet table in the shared folder, which later jobs read by column."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

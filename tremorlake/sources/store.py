@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tremorlake.operators.tables import dense_ids, insert_new, upsert_location
 from tremorlake.schema import LOAD_LOG, LOCATION, QUAKE
-from tremorlake.session import pin
+from tremorlake.session import stage
 
 LOAD, MONTH = "load_id", "event_month"
 LOCATION_BLOCK = 1_000_000      # ids per partition of the location table
@@ -34,24 +34,25 @@ def scan_quake(spark: SparkSession, path: str) -> DataFrame:
 def load_batch(spark: SparkSession, path: str, batch: DataFrame, arrival: list, load_id: str) -> tuple[int, int]:
     """Store the events of ``batch`` that are not stored yet; returns (submitted, inserted).
 
-    A load owns the partitions of its ``load_id``: repeating it replaces its own rows, so a retry after a
-    lost driver leaves the same store. The stored side of the test reads the id column alone, over all
-    months, because ids are unique across months. Rows are sorted by time inside each file so that row
-    groups skip on time.
+    The batch is landed first, so that its source, which may be a service, is read once. A load owns the
+    partitions of its ``load_id``: repeating it replaces its own rows, so a retry after a lost driver
+    leaves the same store. The stored side of the test reads the id column alone, over all months,
+    because ids are unique across months. Rows are sorted by time inside each file so that row groups
+    skip on time.
     """
-    submitted, inserted = Observation("submitted"), Observation("inserted")
+    raw = stage(batch)
     stored = scan_quake(spark, path).where(F.col(LOAD) != load_id)
-    seen = batch.observe(submitted, F.count(F.lit(1)).alias("n"))
-    new = insert_new(stored.select("usgs_id"), seen, arrival).select(
+    new = insert_new(stored.select("usgs_id"), raw, arrival).select(
         *[F.col(f.name).cast(f.dataType) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name)
           for f in QUAKE.fields if f.name != "id"])
     top = stored.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("top")).first()["top"]
     numbered = dense_ids(new, top).withColumns({
         LOAD: F.lit(load_id), MONTH: F.coalesce(F.date_format("time_utc", "yyyy-MM"), F.lit("unknown"))})
     months = numbered.repartitionByRange(MONTH, "time_utc", "id").sortWithinPartitions(MONTH, "time_utc")
+    inserted = Observation("inserted")
     months.observe(inserted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(LOAD, MONTH).parquet(path)
-    return submitted.get["n"], inserted.get["n"]
+    return raw.count(), inserted.get["n"]
 
 
 def append_load_log(spark: SparkSession, path: str, source: str, start: datetime, end: datetime,
@@ -74,11 +75,11 @@ def read_location(spark: SparkSession, path: str) -> DataFrame:
 def write_location(spark: SparkSession, path: str, new: DataFrame) -> None:
     """Upsert location rows, rewriting only the id blocks that ``new`` touches."""
     block = F.floor(F.col("quake_id") / LOCATION_BLOCK).cast("long").alias("id_block")
-    fresh = pin(new.select(*LOCATION.fieldNames()))
+    fresh = stage(new.select(*LOCATION.fieldNames()))
     merged = fresh
     if _exists(spark, path):
         touched = fresh.select(block).distinct()
         stored = spark.read.parquet(path).join(touched, "id_block", "left_semi")
-        merged = pin(upsert_location(stored, fresh))   # the files read here are replaced below
+        merged = stage(upsert_location(stored, fresh))   # the files read here are replaced below
     merged.select("*", block).repartition("id_block", F.pmod(F.xxhash64("quake_id"), F.lit(8))).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("id_block").parquet(path)
