@@ -1,0 +1,185 @@
+"""Statistics, load windows, playback and proximity against small brute-force answers."""
+
+import random
+import statistics
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tremorlake.functions.geo import haversine_km
+from tremorlake.operators import load_windows as lw, playback, proximity, stats
+from test_functions import events
+from test_tables import rows
+
+
+def numbers(spark, data):
+    return spark.createDataFrame([(x,) for x in data], "x DOUBLE")
+
+
+@pytest.mark.parametrize("limit", [1_000, 0])
+@pytest.mark.parametrize("data", [[1.0], [1.0, 2.0], [3.0, 1.0, 2.0, 2.0, 9.5, None], [float(i % 13) for i in range(1_000)]])
+def test_describe(spark, data, limit):
+    row = stats.describe(numbers(spark, data), "x", limit).first()
+    known = sorted(x for x in data if x is not None)
+    quartiles = statistics.quantiles(known, n=4, method="inclusive") if len(known) > 1 else known * 3
+    assert row["count"] == len(known) and (row["min"], row["max"]) == (known[0], known[-1])
+    assert row["mean"] == pytest.approx(statistics.mean(known), abs=1e-6)
+    assert (row["p25"], row["p50"], row["p75"]) == pytest.approx(quartiles, abs=1e-6)
+    if len(known) > 1:
+        assert row["std"] == pytest.approx(statistics.stdev(known), abs=1e-6)
+
+
+def test_histogram_steps(spark):
+    bins = rows(stats.histogram(numbers(spark, [0.0, 0.5, 1.0, 9.9, 10.0, None, -0.1]), "x", 30, log_scale=True))
+    step = 0.5      # 10.1 / 0.5 is within 30 bins, 10.1 / 0.2 is not
+    assert {b[1]: b[3] for b in bins} == {-0.5: 1, 0.0: 1, 0.5: 1, 1.0: 1, 9.5: 1, 10.0: 1}
+    assert all(b[2] - b[1] == pytest.approx(step) and b[4] == 0.0 for b in bins)
+    assert stats.histogram(numbers(spark, [None]), "x", 30).isEmpty()
+    assert rows(stats.histogram(numbers(spark, [4.0, 4.0]), "x", 10).select("count")) == [(2,)]
+
+
+def test_initial_load_is_needed_for_an_empty_store(spark):
+    assert stats.needs_initial_load(events(spark, {}).limit(0))
+    assert not stats.needs_initial_load(events(spark, {}))
+
+
+def test_hourly_counts_fill_gaps(spark):
+    df = events(spark, {"time_utc": datetime(2024, 1, 1, 0, 59)}, {"time_utc": datetime(2024, 1, 1, 3, 0)}, {"time_utc": None})
+    assert [r["n_events"] for r in stats.counts_per_hour(df).orderBy("hour").collect()] == [1, 0, 0, 1]
+
+
+def test_month_windows_with_and_without_a_leap_day(spark):
+    def windows(end):
+        df = spark.createDataFrame([(end,)], "end_ts TIMESTAMP").select(F.col("end_ts").cast("timestamp_ntz").alias("end_ts"))
+        return sorted(tuple(r) for r in lw.month_windows(df).collect())
+    plain = windows(datetime(2024, 1, 17, 5))
+    assert plain[0] == (datetime(2023, 1, 1), datetime(2023, 1, 31, 23, 59, 59)) and len(plain) == 12
+    assert plain[-1] == (datetime(2023, 12, 1), datetime(2023, 12, 31, 23, 59, 59))
+    leap = windows(datetime(2024, 5, 31))
+    assert leap[0] == (datetime(2023, 5, 2), datetime(2023, 5, 31, 23, 59, 59)) and len(leap) == 12
+    for (_, end), (start, _) in zip(leap, leap[1:]):
+        assert start - end == timedelta(seconds=1)
+
+
+@pytest.mark.parametrize("cap, span", [(1, 37), (5, 1_000), (50, 86_400), (10_000, 500), (3, 1)])
+def test_fetch_windows_cover_every_second_once(spark, cap, span):
+    rng = random.Random(cap)
+    seconds = [rng.choice([rng.randrange(span), span // 3]) + 1_000 for _ in range(300)]
+    got = sorted(tuple(r) for r in lw.plan_fetch_windows(
+        spark.createDataFrame([(s,) for s in seconds], "s LONG"), 1_000, 1_000 + span, cap).collect())
+    assert got[0][0] == 1_000 and got[-1][1] == 1_000 + span
+    assert all(left[1] == right[0] for left, right in zip(got, got[1:]))
+    for start, end, n, over in got:
+        assert n == sum(start <= s < end for s in seconds)
+        assert over == (n > cap) and (not over or end - start == 1)
+
+    def halves(a, b):
+        n = sum(a <= s < b for s in seconds)
+        if n <= cap or b - a <= 1:
+            return [(a, b)]
+        return halves(a, a + (b - a) // 2) + halves(a + (b - a) // 2, b)
+    assert [(a, b) for a, b, _, _ in got] == halves(1_000, 1_000 + span)
+
+
+def test_fetch_windows_without_events(spark):
+    none = spark.createDataFrame([], "s LONG")
+    assert rows(lw.plan_fetch_windows(none, 0, 100, 5)) == [(0, 100, 0, False)]
+    with pytest.raises(ValueError):
+        lw.plan_fetch_windows(none, 5, 5, 1)
+
+
+def test_coverage_gaps(spark):
+    day = datetime(2024, 1, 1)
+    at = lambda h: day + timedelta(hours=h)
+    log = [("a", at(0), at(10), "success"), ("a", at(5), at(6), "success"), ("a", at(10), at(20), "success"),
+           ("a", at(20), at(30), "error"), ("a", at(40), at(41), "success"), ("a", at(100), at(101), "success"),
+           ("b", at(0), at(60), "success"), ("b", at(50), at(55), "success"), ("b", at(60), at(61), "success")]
+    df = spark.createDataFrame(log, "source STRING, start_time_utc TIMESTAMP, end_time_utc TIMESTAMP, status STRING")
+    assert rows(lw.coverage_gaps(df)) == sorted([("a", at(20), at(40)), ("a", at(41), at(100))], key=str)
+    assert rows(lw.latest_coverage(df)) == [("a", at(101)), ("b", at(61))]
+
+
+def test_last_days_window_cuts_to_the_second(spark):
+    df = events(spark, {"time_utc": datetime(2024, 1, 31, 1, 2, 3, 999999)})
+    start, end = lw.last_days_window(F.max("time_utc"), 30)
+    assert tuple(df.agg(start, end).first()) == (datetime(2024, 1, 1, 1, 2, 3), datetime(2024, 1, 31, 1, 2, 3))
+
+
+def ms(moment):
+    return int((moment - datetime(1970, 1, 1)).total_seconds() * 1000)
+
+
+@pytest.mark.parametrize("step", [1, 4, 5, 9])
+def test_playback_equals_showing_every_frame(spark, step):
+    rng = random.Random(step)
+    start, end = datetime(2024, 1, 1), datetime(2024, 1, 8, 5)
+    times = [start + timedelta(milliseconds=rng.randrange(-10 ** 7, 6 * 10 ** 8)) for _ in range(150)]
+    times += [start, end, start + timedelta(hours=step), end + timedelta(seconds=1)]
+    quakes = [{"id": i, "time_utc": t, "mag": rng.uniform(0, 8), "lon": rng.uniform(-20, 20), "lat": rng.uniform(-20, 20)}
+              for i, t in enumerate(times)] + [{"id": 999, "time_utc": None}, {"id": 1000, "time_utc": start, "lon": None}]
+    df = events(spark, *quakes)
+    frames = [ms(start) + i * step * 3_600_000 for i in range((ms(end) - ms(start)) // (step * 3_600_000) + 1)]
+    visible = [sum(ms(start) <= (ms(q["time_utc"]) if q["time_utc"] else 0) <= min(f, ms(end)) for q in quakes) for f in frames]
+    got = playback.playback_counts(df, ms(start), ms(end), step).orderBy("frame").collect()
+    assert [r["visible"] for r in got] == visible
+
+    def line(x, stops):
+        x = min(max(x, stops[0][0]), stops[-1][0])
+        for (x0, y0), (x1, y1) in zip(stops, stops[1:]):
+            if x <= x1:
+                return y0 + (x - x0) / (x1 - x0) * (y1 - y0)
+    heat, seen = Counter(), Counter()
+    for i, f in enumerate(frames):
+        for q in quakes:
+            if q["time_utc"] is None or q["lon"] is None or not ms(start) <= ms(q["time_utc"]) <= f:
+                continue
+            age = (f - ms(q["time_utc"])) / 3_600_000
+            if age < 72:
+                cell = (i, int(q["lat"] // 10), int(q["lon"] // 10))
+                heat[cell] += line(q["mag"], [(0, .1), (2, .3), (4, .7), (6, 1)]) * line(age, [(0, 1), (6, .4), (24, .1), (72, 0)])
+                seen[cell] += 1
+    rows_ = playback.playback_heat(df, ms(start), ms(end), step, 10.0).collect()
+    assert {(r["frame"], r["cell_r"], r["cell_c"]): r["n_events"] for r in rows_} == dict(seen)
+    for r in rows_:
+        assert r["heat"] == pytest.approx(heat[(r["frame"], r["cell_r"], r["cell_c"])], abs=2e-6)
+
+
+@pytest.mark.parametrize("km", [20.0, 300.0, 2_500.0, 15_000.0])
+@pytest.mark.parametrize("max_copied", [10 ** 6, 0])
+def test_near_places_across_the_antimeridian_and_at_the_poles(spark, km, max_copied):
+    rng = random.Random(5)
+    spots = [(1, 179.9, 10.0), (2, -179.95, -20.0), (3, 0.0, 89.5), (4, 40.0, -89.9), (5, 16.37, 48.21), (6, 180.0, 0.0)]
+    coordinates = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(400)]
+    coordinates += [(x + rng.uniform(-.3, .3), max(-90.0, min(90.0, y + rng.uniform(-.3, .3)))) for _, x, y in spots for _ in range(10)]
+    coordinates = [((x + 180) % 360 - 180, y) for x, y in coordinates] + [(180.0, 0.05), (-180.0, 0.05)]
+    df = events(spark, *[{"id": i, "lon": x, "lat": y} for i, (x, y) in enumerate(coordinates)])
+    places = spark.createDataFrame(spots, "place INT, lon DOUBLE, lat DOUBLE")
+    got = {(r["place"], r["id"]) for r in proximity.near_places(df, places, km, max_copied).collect()}
+    spark_points = df.select("id", "lon", "lat").join(places.withColumnsRenamed({"lon": "plon", "lat": "plat"}), F.lit(True))
+    distance = F.round(haversine_km(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat")), 3)
+    assert got == {(r["place"], r["id"]) for r in spark_points.where(distance <= km).collect()}
+
+
+def test_last_event_near_a_place(spark):
+    df = events(spark, {"id": 1, "time_utc": datetime(2024, 1, 1)}, {"id": 2, "time_utc": datetime(2024, 1, 2)},
+                {"id": 3, "time_utc": datetime(2024, 1, 2)}, {"id": 4, "time_utc": datetime(2024, 1, 9), "lon": 90.0}, {"id": 5, "time_utc": None})
+    places = spark.createDataFrame([(1, 1.0, 2.0), (2, -100.0, 2.0)], "place INT, lon DOUBLE, lat DOUBLE")
+    assert [(r["place"], r["id"], r["km"]) for r in proximity.last_within_km(df, places, 50).collect()] == [(1, 3, 0.0)]
+
+
+def test_country_report_is_strictly_above(spark):
+    df = events(spark, {"id": 1, "mag": 3.0}, {"id": 2, "mag": 3.1, "time_utc": datetime(2024, 1, 5)}, {"id": 3, "mag": 4.0}).withColumn(
+        "country_iso", F.lit("AUT"))
+    names = spark.createDataFrame([("AUT", "Austria")], "iso STRING, name STRING")
+    got = proximity.quakes_by_country(df, names, "AUT", 3.0, F.lit(datetime(2023, 12, 1)))
+    assert [(r["id"], r["country"]) for r in got.collect()] == [(3, "Austria"), (2, "Austria")]
+
+
+def test_heat_and_frequency_ignore_the_future_and_the_unlocated(spark):
+    now = F.lit(datetime(2024, 1, 2))
+    df = events(spark, {"mag": 6.0, "time_utc": datetime(2024, 1, 2)}, {"time_utc": datetime(2024, 1, 3)}, {"lon": None},
+                {"mag": 0.0, "time_utc": datetime(2024, 1, 1, 18)})
+    assert rows(stats.heat_density(df, now, 10.0)) == [(0, 0, 1.04, 2)]
+    assert rows(stats.frequency_grid(df, now, 24, 10.0)) == [(0, 0, 2)]

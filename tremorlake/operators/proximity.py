@@ -45,12 +45,14 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
                 max_copied: int = MAX_COPIED_CELLS) -> DataFrame:
     """Events within ``km`` of each place ``(place, lon, lat)``, with the distance.
 
+    ``place`` is the id of the place; the event's own place text is left out.
+
     A short list of places is copied to the executors; a long one is shuffled by grid cell, hot cells
     of events spread over salts.
     """
     g = grid_for(km)
     cells = place_cells(places, km, g)
-    placed = quakes.where("lon IS NOT NULL AND lat IS NOT NULL").withColumns({
+    placed = quakes.drop("place").where("lon IS NOT NULL AND lat IS NOT NULL").withColumns({
         "_r": cell_index(F.col("lat"), g), "_c": _wrapped_column(cell_index(F.col("lon"), g), g)})
     pairs = lookup_join(placed, cells, ["_r", "_c"], max_copied).where("place IS NOT NULL")
     distance = haversine_km(F.col("place_lon"), F.col("place_lat"), F.col("lon"), F.col("lat"))

@@ -22,13 +22,17 @@ FETCHED = "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, status STRING,
 MAX_LISTED_WINDOWS = 10_000
 
 
-def _window_rows(fetch: Fetch, start: datetime, end: datetime) -> list[tuple]:
-    """All features of a window and its status row; a failed window gives the status row alone."""
-    try:
-        features = list(fetch(start, end))
-    except Exception as error:  # any failure of the service or the network belongs in the log
-        return [(start, end, "error", str(error), None)]
-    return [(start, end, "feature", None, f) for f in features] + [(start, end, "success", None, None)]
+def _caller(fetch: Fetch) -> Callable[[datetime, datetime], list[tuple]]:
+    """A nested function travels to the tasks by value, so executors need nothing installed but Spark."""
+    def call(start: datetime, end: datetime) -> list[tuple]:
+        """All features of a window and its status row; a failed window gives the status row alone."""
+        try:
+            features = list(fetch(start, end))
+        except Exception as error:  # any failure of the service or the network belongs in the log
+            return [(start, end, "error", str(error), None)]
+        return [(start, end, "feature", None, f) for f in features] + [(start, end, "success", None, None)]
+
+    return call
 
 
 def fetch_windows(windows: DataFrame, fetch: Fetch, tasks: int | None = None) -> DataFrame:
@@ -36,10 +40,12 @@ def fetch_windows(windows: DataFrame, fetch: Fetch, tasks: int | None = None) ->
 
     Windows come from ``plan_fetch_windows``, so one answer is bounded by the cap of the service.
     """
+    call = _caller(fetch)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start, end in zip(batch["window_start"], batch["window_end"]):
-                rows = _window_rows(fetch, start.to_pydatetime(), end.to_pydatetime())
+                rows = call(start.to_pydatetime(), end.to_pydatetime())
                 yield pd.DataFrame(rows, columns=["window_start", "window_end", "status", "message", "feature"])
 
     spread = windows.select("window_start", "window_end")
@@ -47,52 +53,49 @@ def fetch_windows(windows: DataFrame, fetch: Fetch, tasks: int | None = None) ->
     return spread.mapInPandas(run, FETCHED)
 
 
-class _WindowPartition(InputPartition):
-    def __init__(self, start: datetime, end: datetime):
-        self.start, self.end = start, end
-
+def feed_source(source_name: str, fetch_events: Fetch) -> type[DataSource]:
+    """A source for ``spark.dataSource.register``: one partition per window.
 
-class _FeedReader(DataSourceReader):
-    def __init__(self, fetch: Fetch, windows: list[_WindowPartition]):
-        self.fetch, self.windows = fetch, windows
+    Options: ``windows``, a JSON list of ``[start, end]`` ISO texts, or ``start``, ``end`` and ``seconds``
+    for equal windows. The list is plan metadata, so it is limited; use ``fetch_windows`` beyond it.
+    """
+    call, limit, fetched = _caller(fetch_events), MAX_LISTED_WINDOWS, FETCHED
 
-    def partitions(self) -> list[_WindowPartition]:
-        return self.windows
+    class WindowPartition(InputPartition):
+        def __init__(self, start: datetime, end: datetime):
+            self.start, self.end = start, end
 
-    def read(self, partition: _WindowPartition) -> Iterator[tuple]:
-        yield from _window_rows(self.fetch, partition.start, partition.end)
+    class FeedReader(DataSourceReader):
+        def __init__(self, windows: list[tuple[datetime, datetime]]):
+            self.windows = windows
 
+        def partitions(self) -> list[InputPartition]:
+            return [WindowPartition(a, b) for a, b in self.windows]
 
-def feed_source(source_name: str, fetch_events: Fetch) -> type[DataSource]:
-    """A source for ``spark.dataSource.register``.
+        def read(self, partition: InputPartition) -> Iterator[tuple]:
+            yield from call(partition.start, partition.end)
 
-    Options: ``windows``, a JSON list of ``[start, end]`` ISO texts, or ``start``, ``end`` and ``seconds``
-    for equal windows. The list is plan metadata, so it is limited; use ``fetch_windows`` beyond it.
-    """
     class FeedSource(DataSource):
         @classmethod
         def name(cls) -> str:
             return source_name
 
         def schema(self) -> str:
-            return FETCHED
+            return fetched
 
         def reader(self, schema) -> DataSourceReader:
             listed = self.options.get("windows")
             if listed:
-                pairs = [tuple(map(datetime.fromisoformat, w)) for w in json.loads(listed)]
+                windows = [tuple(map(datetime.fromisoformat, w)) for w in json.loads(listed)]
             else:
-                at, end = (datetime.fromisoformat(self.options[k]) for k in ("start", "end"))
+                start, end = (datetime.fromisoformat(self.options[k]) for k in ("start", "end"))
                 width = timedelta(seconds=int(self.options["seconds"]))
-                if (end - at) / width > MAX_LISTED_WINDOWS:
-                    raise ValueError("too many windows for one plan, use fetch_windows")
-                pairs = []
-                while at < end:
-                    pairs.append((at, min(at + width, end)))
-                    at += width
-            if len(pairs) > MAX_LISTED_WINDOWS:
+                windows = range(-(-(end - start) // width))
+                if len(windows) <= limit:
+                    windows = [(start + i * width, min(start + (i + 1) * width, end)) for i in windows]
+            if len(windows) > limit:
                 raise ValueError("too many windows for one plan, use fetch_windows")
-            return _FeedReader(fetch_events, [_WindowPartition(a, b) for a, b in pairs])
+            return FeedReader(windows)
 
     return FeedSource
 
