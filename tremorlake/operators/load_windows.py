@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tremorlake.session import stage
+from tremorlake.session import pin, stage
 
 CHUNK_SECONDS = 86_400
+LEVELS_PER_ROUND = 8
 
 
 def month_windows(ends: DataFrame, end: str = "end_ts") -> DataFrame:
@@ -27,36 +28,53 @@ def last_days_window(now: Column, days: int = 30) -> tuple[Column, Column]:
     return end - F.expr(f"INTERVAL '{days}' DAY"), end
 
 
+def _walk_down(rows: DataFrame, levels: int) -> DataFrame:
+    """The windows each second passes from its window ``(a, b)`` down ``levels`` halvings, as ``path``."""
+    def halve(path: Column, _: Column) -> Column:
+        last = F.element_at(path, -1)
+        mid = F.shiftright(last["a"] + last["b"], 1)
+        half = F.when(F.col("s") < mid, F.struct(last["a"].alias("a"), mid.alias("b"))).otherwise(
+            F.struct(mid.alias("a"), last["b"].alias("b")))
+        return F.when(last["b"] - last["a"] > 1, F.concat(path, F.array(half))).otherwise(path)
+
+    return rows.select("s", "n", F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(F.struct("a", "b")), halve).alias("path"))
+
+
 def plan_fetch_windows(seconds: DataFrame, start_s: int, end_s: int, cap: int) -> DataFrame:
     """Halve ``[start_s, end_s)`` until each window holds at most ``cap`` events or is one second wide.
 
-    ``seconds`` has the epoch second ``s`` of each event. Every window that halving can reach is on the
-    path of some second, so one pass lists the paths, counts them, and keeps the children of windows
-    over the cap; no loop over levels. Events are counted per second first, so a hot second is one row.
-    Returns half-open ``(start_s, end_s, n_events, over_cap)``.
+    ``seconds`` has the epoch second ``s`` of each event; events are counted per second first, so a hot
+    second is one row. A round lists the windows on the way of each second over several halvings and
+    counts them in one aggregation; only the seconds of windows still over the cap enter the next round,
+    so a year takes at most four. Returns half-open ``(start_s, end_s, n_events, over_cap)``.
     """
     if end_s <= start_s:
         raise ValueError("start must be before end")
-    levels = max((end_s - start_s - 1).bit_length(), 1)
-    per_second = seconds.where((F.col("s") >= start_s) & (F.col("s") < end_s)).groupBy("s").agg(
-        F.count(F.lit(1)).alias("n"))
-    root = F.struct(F.lit(start_s).cast("long").alias("a"), F.lit(end_s).cast("long").alias("b"))
-
-    def step(path: Column, _: Column) -> Column:
-        last = F.element_at(path, -1)
-        mid = last["a"] + F.floor((last["b"] - last["a"]) / 2)
-        half = F.when(F.col("s") < mid, F.struct(last["a"].alias("a"), mid.alias("b"))).otherwise(
-            F.struct(mid.alias("a"), last["b"].alias("b")))
-        return F.when(last["b"] - last["a"] > 1, F.concat(path, F.array(half))).otherwise(path)
-
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(root), step)
-    nodes = per_second.select("n", F.inline(path)).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    middle = F.col("a") + F.floor((F.col("b") - F.col("a")) / 2)
-    halves = nodes.where((F.col("n") > cap) & (F.col("b") - F.col("a") > 1)).select(F.inline(F.array(
-        F.struct(F.col("a").alias("a"), middle.alias("b")), F.struct(middle.alias("a"), F.col("b").alias("b")))))
-    reached = halves.unionAll(seconds.sparkSession.range(1).select(F.inline(F.array(root))))
-    counted = reached.join(nodes, ["a", "b"], "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"))
-    return counted.where((F.col("n") <= cap) | (F.col("b") - F.col("a") <= 1)).select(
+    spark = seconds.sparkSession
+    counted = seconds.where((F.col("s") >= start_s) & (F.col("s") < end_s)).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    whole = {"a": F.lit(start_s).cast("long"), "b": F.lit(end_s).cast("long")}
+    rows, roots = stage(counted).withColumns(whole), spark.range(1).select(*[c.alias(k) for k, c in whole.items()])
+    over = (F.col("n") > cap) & (F.col("b") - F.col("a") > 1)
+    mid = F.shiftright(F.col("a") + F.col("b"), 1)
+    halves = F.array(F.struct(F.col("a").alias("a"), mid.alias("b")), F.struct(mid.alias("a"), F.col("b").alias("b")))
+    finished = []
+    while True:
+        walked = _walk_down(rows, LEVELS_PER_ROUND)
+        passed = walked.select("n", F.posexplode("path").alias("level", "w")).select(
+            "n", "w.*", ((F.col("level") == LEVELS_PER_ROUND) & (F.col("w.b") - F.col("w.a") > 1)).alias("unfinished"))
+        nodes = pin(passed.groupBy("a", "b", "unfinished").agg(F.sum("n").alias("n")))
+        children = nodes.where(over & ~F.col("unfinished")).select(F.inline(halves))
+        reached = children.unionAll(roots).join(nodes, ["a", "b"], "left").select(
+            "a", "b", F.coalesce("n", F.lit(0)).alias("n"))
+        finished.append(reached.where(~over))
+        roots = nodes.where(over & F.col("unfinished")).select("a", "b")
+        if roots.isEmpty():
+            break
+        rows = walked.select("s", "n", F.element_at("path", -1).alias("w")).select("s", "n", "w.*").join(roots, ["a", "b"], "left_semi")
+    windows = finished[0]
+    for more in finished[1:]:
+        windows = windows.unionAll(more)
+    return windows.select(
         F.col("a").alias("start_s"), F.col("b").alias("end_s"), F.col("n").cast("long").alias("n_events"),
         (F.col("n") > cap).alias("over_cap"))
 
