@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.text import display_place, fixed_or_dash, numeric_coerce
@@ -10,13 +12,14 @@ from tremorlake.functions.times import NO_VALUE, epoch_ms_to_ts, ms_to_datetime,
 _FULL_JSON = {"ignoreNullFields": "false"}
 
 
-def flatten_feature(features: DataFrame) -> DataFrame:
-    """Rows ``(id, geometry, properties)`` of the feed to event rows.
+def flatten_feature(features: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(id, geometry, properties)`` of the feed to event rows, after the columns to ``keep``.
 
     Short or missing coordinates give nulls and keep the row.
     """
     p, coordinates = F.col("properties"), F.col("geometry.coordinates")
     return features.select(
+        *keep,
         F.col("id").alias("usgs_id"),
         p["mag"].alias("mag"),
         p["place"].alias("place"),

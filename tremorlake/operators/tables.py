@@ -84,6 +84,11 @@ def upsert_sea(stored: DataFrame, new: DataFrame) -> DataFrame:
     return uses.select(F.when(F.col("id") == F.col("other"), F.col("id")).otherwise(clash.cast("int")).alias("id"), "name")
 
 
+def fill_all(countries: DataFrame, seas: DataFrame, country_layer: DataFrame, sea_layer: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both lookup tables after an upsert from their polygon layers."""
+    return upsert_country(countries, country_lookup(country_layer)), upsert_sea(seas, sea_lookup(sea_layer))
+
+
 def upsert_location(stored: DataFrame, new: DataFrame) -> DataFrame:
     """The new row of an event replaces the stored one, nulls included."""
     kept = stored.join(new.select("quake_id"), "quake_id", "left_anti")
