@@ -91,3 +91,14 @@ def test_newest_event_per_place_over_batches(spark, tmp_path):
     newest = jobs.latest_updates(spark.read.parquet(out), ["place"])
     assert sorted((r["place"], r["usgs_id"]) for r in newest.collect()) == [(1, "e7"), (2, "e8")]
     assert newest.where(F.col("km") > 100).isEmpty()
+
+
+def test_state_partitions_are_set_for_the_start_only(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    land(spark, str(tmp_path / "feed"), at(1))
+    counts = jobs.stream_counts(stream(spark, str(tmp_path / "feed")))
+    with jobs.state_partitions(spark, 3):
+        query = jobs.start_updates(counts, str(tmp_path / "out"), str(tmp_path / "progress"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    run(query)
+    assert query.lastProgress is None or query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3

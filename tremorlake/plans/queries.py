@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tremorlake.functions import styling, text, times
 from tremorlake.operators import enrich, features, filters, load_windows, pip, playback, proximity, ranking, stats, tables
 from tremorlake.operators.filters import EventFilter
+from tremorlake.operators.ordering import row_ids
 from tremorlake.plans import fixtures as fx, prepared
 from tremorlake.schema import FEATURE_COLLECTION_IN, FEATURE_OUT
 from tremorlake.session import scratch_path
@@ -70,8 +71,8 @@ def _flat(events: DataFrame) -> DataFrame:
 def read_geojson(spark, sf_dir):
     """All events as FeatureCollection documents of at most 1,000 features, read back."""
     path = scratch_path(spark, "documents")
-    document = F.floor(F.monotonically_increasing_id() / 1000)
-    docs = fx.quakes(spark, sf_dir).withColumn("_doc", document).groupBy("_doc").agg(
+    numbered = row_ids(fx.quakes(spark, sf_dir), ["time_utc", "id"], 0, "_row")
+    docs = numbered.groupBy(F.floor(F.col("_row") / 1000)).agg(
         F.collect_list(features.feed_feature_struct()).alias("features"))
     docs.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.text(path)
     read = spark.read.schema(FEATURE_COLLECTION_IN).json(path).select(F.inline("features"))
@@ -593,13 +594,17 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _appended(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
-    jobs.start_append(stream, path, path + "-progress").awaitTermination()
+    with jobs.state_partitions(spark):
+        run = jobs.start_append(stream, path, path + "-progress")
+    run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
 def _updated(spark: SparkSession, stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
     path = scratch_path(spark, label)
-    jobs.start_updates(stream, path, path + "-progress").awaitTermination()
+    with jobs.state_partitions(spark):
+        run = jobs.start_updates(stream, path, path + "-progress")
+    run.awaitTermination()
     return jobs.latest_updates(spark.read.parquet(path), keys)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,6 +64,22 @@ def stream_last_quake(stream: DataFrame, places: DataFrame, km: float) -> DataFr
     return near.where("time_utc IS NOT NULL").groupBy("place").agg(newest.alias("q")).select("place", "q.*")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Fix the number of state partitions of the streams started inside, by default one per core.
+
+    A stream keeps the number of its first start for life, and it is not merged at run time like that of
+    a batch job; a stream takes its own copy of the settings when it starts.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write finished rows to Parquet files."""
     return (stream.writeStream.outputMode("append").format("parquet").option("path", path)
