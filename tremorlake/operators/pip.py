@@ -31,6 +31,7 @@ from tremorlake.sources.polygons import polygon_edges
 CELL_SIZES = (10.0, 5.0, 2.0, 1.0, 0.5, 0.25)   # degrees, tried from coarse to fine
 MAX_INDEX_ENTRIES = 1_500_000         # box cells plus edge entries a chosen cell size may produce
 MAX_CELL_ENTRIES = 20_000            # edges or polygons one cell row may hold
+ENTRY_BYTES = 64                     # room for one edge, loose end, polygon or cell in memory
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -129,10 +130,11 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
     boxes = polygon_boxes(edges)
     where = ["cell_r", "cell_c"]
     candidates = box_cells(boxes, cell_deg).select("poly", *where)
-    load = near.select(*where).unionAll(candidates.select(*where)).groupBy(*where).count()
-    heaviest = load.agg(F.max("count")).first()[0] or 0
-    if heaviest > max_cell_entries:
-        return PolygonIndex(edges, None, cell_deg, False)
+    # A cell meets an edge or a polygon at most once, so only large layers need the count per cell.
+    if 2 * edges.count() > max_cell_entries:
+        load = near.select(*where).unionAll(candidates.select(*where)).groupBy(*where).count()
+        if (load.agg(F.max("count")).first()[0] or 0) > max_cell_entries:
+            return PolygonIndex(edges, None, cell_deg, False)
 
     edge = F.struct("x1", "y1", "x2", "y2")
     per_poly = (
@@ -151,11 +153,10 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
     cells = per_poly.groupBy(*where).agg(
         F.min(F.when(F.col("whole"), F.col("poly"))).alias("filler"),
         F.collect_list(F.when(~F.col("whole"), entry)).alias("cands"),
+        F.sum(F.lit(1) + F.size("far") + F.size("edges")).alias("entries"),
     ).withColumn("cands", F.filter("cands", lambda c: F.col("filler").isNull() | (c["poly"] < F.col("filler"))))
     cells = pin(cells)
-    size = cells.agg(F.coalesce(F.sum(F.lit(64) + F.aggregate(
-        "cands", F.lit(0).cast("long"),
-        lambda n, c: n + F.lit(48) + F.size(c["edges"]) * 48 + F.size(c["far"]) * 8)), F.lit(0))).first()[0]
+    size = cells.agg(F.coalesce(F.sum(F.col("entries") * ENTRY_BYTES + ENTRY_BYTES), F.lit(0))).first()[0]
     return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes)
 
 
