@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_points  # noqa: E402
 from compare import compare, duck  # noqa: E402
+from tremorlake.plans.oracles import ORACLES  # noqa: E402
+from tremorlake.plans.queries import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,12 +21,12 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(entry_points.queries()[name](spark, SF_DIR), con, entry_points.oracle_sql()[name]) == ""
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == ""
 
 
 def test_entry_has_rows(spark):
