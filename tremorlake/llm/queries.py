@@ -1,4 +1,4 @@
-"""The query of every text operator, and SQL for those that SQL can express on whole tables."""
+"""The query of every text operator."""
 
 from __future__ import annotations
 
@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorlake.llm.minhash import op2_minhash
+from tremorlake.llm.quality import op4_quality_rules
+from tremorlake.llm.toxicity import op1_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
+    "op4_quality_rules": op4_quality_rules,
 }
