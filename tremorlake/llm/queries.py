@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremorlake.llm.bpe import op6_byte_bpe, op7_token_counts
 from tremorlake.llm.minhash import op2_minhash
+from tremorlake.llm.packing import op9_packing
 from tremorlake.llm.quality import op4_quality_rules
+from tremorlake.llm.secrets import op8_secret_scans
 from tremorlake.llm.toxicity import op1_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
     "op4_quality_rules": op4_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_secret_scans": op8_secret_scans,
+    "op9_packing": op9_packing,
 }
