@@ -12,11 +12,13 @@ from tremorlake.llm.packing import op9_packing
 from tremorlake.llm.quality import op4_quality_rules
 from tremorlake.llm.secrets import op8_secret_scans
 from tremorlake.llm.toxicity import op1_toxicity
+from tremorlake.llm.warc import op5_warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_warc": op5_warc,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_secret_scans": op8_secret_scans,
