@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorlake.llm.bpe import op6_byte_bpe, op7_token_counts
+from tremorlake.llm.html import op3_html_extraction
 from tremorlake.llm.minhash import op2_minhash
 from tremorlake.llm.packing import op9_packing
 from tremorlake.llm.quality import op4_quality_rules
@@ -17,6 +18,7 @@ from tremorlake.llm.warc import op5_warc
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash": op2_minhash,
+    "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc": op5_warc,
     "op6_byte_bpe": op6_byte_bpe,
