@@ -11,6 +11,9 @@ collides ``MATCH`` times. Two rules keep the merge short without losing such a p
   thousands of documents repeat are posted by documents that hold nothing rarer.
 
 At a Jaccard similarity of 0.85 a pair has fewer than 30 of 48 collisions with a probability of about 0.00003.
+
+Candidates also compare odd sketches: a bit vector in which every shingle flips one bit. Two vectors differ in at most
+as many bits as the sets differ in shingles, so a larger distance rules a link out for certain.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from tremorlake.llm.common import Scratch, components, map_texts, shingles, size
 
 COORDS = 48
 MATCH = 30
+SKETCH_BITS = 1024
 #: Ids of candidate documents are copied to the executors up to this counted number (8 bytes each).
 COPIED_IDS = 2_000_000
 
@@ -42,8 +46,14 @@ def signature(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def odd_sketch(values: np.ndarray) -> np.ndarray:
+    """One bit per cell of the hash range, set when an odd number of values falls there; as 64-bit words."""
+    odd = np.bincount((values >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coords: int) -> DataFrame:
-    """(id, n, digest of the set, sig): sig is null for an empty set."""
+    """(id, n, digest of the set, sig, odd): the last three are null for an empty set."""
 
     def make():
         import xxhash
@@ -51,18 +61,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, coords:
         a, b = _coefficients(coords)
 
         def work(batch):
-            n, digest, sig = [], [], []
+            n, digest, sig, odd = [], [], [], []
             for text in batch[text_col]:
                 values = shingles(text, words)
                 n.append(len(values))
                 digest.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
                 sig.append(signature(values, a, b) if len(values) else None)
-            return {"id": batch[id_col], "n": n, "digest": digest, "sig": sig}
+                odd.append(odd_sketch(values) if len(values) else None)
+            return {"id": batch[id_col], "n": n, "digest": digest, "sig": sig, "odd": odd}
 
         return work
 
     return map_texts(docs, [id_col, text_col], [
-        ("id", T.LongType()), ("n", T.LongType()), ("digest", T.BinaryType()), ("sig", T.ArrayType(T.IntegerType()))], make)
+        ("id", T.LongType()), ("n", T.LongType()), ("digest", T.BinaryType()), ("sig", T.ArrayType(T.IntegerType())),
+        ("odd", T.ArrayType(T.LongType()))], make)
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -72,48 +84,54 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> Dat
     return map_texts(docs, [id_col, text_col], [("id", T.LongType()), ("shingles", T.ArrayType(T.LongType()))], make)
 
 
-def postings(scratch: Scratch, classes: DataFrame, coords: int, match: int) -> DataFrame:
-    """(token, id, n, short): the prefix tokens of every class that shares enough tokens with others."""
-    tokens = classes.select("id", "n", F.posexplode("sig").alias("c", "v")).select(
+def candidates(classes: DataFrame, coords: int, match: int) -> DataFrame:
+    """(id, n, short, odd, prefix, central) of every class that shares enough tokens with others.
+
+    ``central`` adds up how many classes hold each of its tokens: largest for the document that copies were made of.
+    """
+    tokens = classes.select("id", F.posexplode("sig").alias("c", "v")).select(
         "id", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("v").cast("long") + F.lit(1 << 31)).alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    own = (tokens.join(shared, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-           .where(F.size("t") >= match)
-           .select("id", F.explode(F.slice("t", 1, F.size("t") - (match - 1))).alias("t")).select("id", "t.token"))
-    short = classes.select("id", "n", F.transform("sig", lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("byte")).alias("short"))
-    return scratch.stage(own.join(short, "id"), "postings")
-
-
-def _near(a_n: str, b_n: str, percent: int) -> F.Column:
-    return 100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n)
+    own = tokens.join(shared, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t")).where(
+        F.size("t") >= match)
+    return classes.join(own, "id").select(
+        "id", "n", F.transform("sig", lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("byte")).alias("short"), "odd",
+        F.transform(F.slice("t", 1, F.size("t") - (match - 1)), lambda x: x["token"]).alias("prefix"),
+        F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("central"))
 
 
-def _collide(match: int) -> F.Column:
-    """Collisions counted on one byte per coordinate: never too few."""
-    return F.aggregate(
-        F.zip_with("a_short", "b_short", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) >= match
+def _linkable(match: int, percent: int) -> F.Column:
+    """Size, collisions (one byte per coordinate: never too few) and sketch distance allow a link."""
+    size = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    collisions = F.aggregate(F.zip_with("a_short", "b_short", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    apart = F.aggregate(F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # |A xor B| <= (1 - j) / (1 + j) * (|A| + |B|) for a similarity of j
+    return size & ((100 + percent) * apart <= (100 - percent) * (F.col("a_n") + F.col("b_n"))) & (collisions >= match)
 
 
-def _side(posted: DataFrame, side: str, *more: str) -> DataFrame:
-    return posted.select("token", *more, *(F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "short", "comp")))
+def _side(rows: DataFrame, side: str, *names: str) -> DataFrame:
+    return rows.select(F.explode("prefix").alias("token"), *(F.col(c).alias(f"{side}_{c}") for c in names))
 
 
-def star_pairs(posted: DataFrame, match: int, percent: int, seed: int) -> DataFrame:
-    """Each token's documents against one of them, chosen by ``seed``, where their components differ."""
-    order = F.struct(F.xxhash64("id", F.lit(seed)) if seed else F.lit(0), "id", "n", "short", "comp")
-    centre = posted.groupBy("token").agg(F.min(order).alias("x")).select(
-        "token", *(F.col(f"x.{c}").alias(f"a_{c}") for c in ("id", "n", "short", "comp")))
-    return _candidates(_side(posted, "b").join(centre, "token"), match, percent)
+def _pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
-def cross_pairs(posted: DataFrame, match: int, percent: int) -> DataFrame:
-    """All pairs of one token that lie in different components."""
-    return _candidates(_side(posted, "b").join(_side(posted, "a"), "token").where("a_id < b_id"), match, percent)
+def star_pairs(rows: DataFrame, match: int, percent: int) -> DataFrame:
+    """Each token's documents against its most central one."""
+    best = F.struct((-F.col("a_central")).alias("o"), "a_id", "a_n", "a_short", "a_odd")
+    centre = _side(rows, "a", "central", "id", "n", "short", "odd").groupBy("token").agg(F.min(best).alias("x")).select("token", "x.*")
+    return _pairs(_side(rows, "b", "id", "n", "short", "odd").join(centre, "token").where(F.col("a_id") != F.col("b_id"))
+                  .where(_linkable(match, percent)))
 
 
-def _candidates(pairs: DataFrame, match: int, percent: int) -> DataFrame:
-    return (pairs.where((F.col("a_comp") != F.col("b_comp")) & _near("a_n", "b_n", percent) & _collide(match))
-            .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
+def cross_pairs(rows: DataFrame, match: int, percent: int) -> DataFrame:
+    """All linkable pairs that share a token and lie in different components, each at its first common token."""
+    names = ("id", "n", "short", "odd", "prefix", "comp")
+    both = _side(rows, "a", *names).join(_side(rows, "b", *names), "token")
+    first = F.element_at(F.array_intersect("a_prefix", "b_prefix"), 1) == F.col("token")
+    return _pairs(both.where((F.col("a_id") < F.col("b_id")) & (F.col("a_comp") != F.col("b_comp")))
+                  .where(_linkable(match, percent)).where(first))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,9 +153,9 @@ def near_duplicates(
     component holds all that links reach and is named by its smallest id, whose document is kept.
 
     Equal sets form one class and are represented by the smallest id, so copies never meet pairwise. Inside a token
-    every class is first tested against one centre; tokens whose documents then lie in one component are done. This
-    repeats with other centres while links are found; what is left, pairs of one token in different components, is
-    then tested in full. No link between components is lost, and large groups cost one test per member and token.
+    every class is first tested against the most central one; tokens whose documents then lie in one component are
+    done. Of the others, pairs of one token in different components are tested in full, so no link between components
+    is lost, and a large group of copies of one document costs one test per member and token.
 
     Null, empty or blank texts: n_shingles 0, linked with nothing, kept. Rows with a null id: component_id null, kept,
     linked with nothing. Rows that repeat an id count as one document: a link of one holds for all. An empty table
@@ -150,47 +168,36 @@ def near_duplicates(
     sig = scratch.stage(signatures(named, "id", "text", words, coords), "signatures", keep=True)
     classes = scratch.stage(
         sig.where("n > 0 and id is not null").groupBy("digest").agg(
-            F.min("id").alias("id"), F.max("n").alias("n"), F.min_by("sig", "id").alias("sig")), "classes", keep=True)
-    posted = postings(scratch, classes, coords, match)
-    wanted = posted.select("id").distinct()
-    sets = scratch.stage(shingle_sets(
-        sized_join(named.where("id is not null"), wanted, ["id"], "left_semi", COPIED_IDS), "id", "text", words), "sets")
-
-    links, labels, seed = None, None, 0
-    open_tokens = posted.withColumn("comp", F.col("id"))
-    while True:
-        found = scratch.stage(confirm(star_pairs(open_tokens, match, percent, seed), sets, percent), "links")
-        progress = not found.isEmpty()
-        if progress:
-            links = found if links is None else links.unionByName(found)
-            labels = scratch.stage(components(scratch, links), "labels", keep=True)
-            open_tokens = _unresolved(scratch, posted, labels)
-        if not progress or open_tokens.isEmpty():
-            break
-        seed += 1
-    if not open_tokens.isEmpty():
-        found = scratch.stage(confirm(cross_pairs(open_tokens, match, percent), sets, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = scratch.stage(components(scratch, links), "labels", keep=True)
+            F.min("id").alias("id"), F.max("n").alias("n"), F.min_by(F.struct("sig", "odd"), "id").alias("s")).select(
+            "digest", "id", "n", "s.*"), "classes", keep=True)
+    rows = scratch.stage(candidates(classes, coords, match), "candidates")
+    sets = scratch.stage(shingle_sets(sized_join(
+        named.where("id is not null"), rows.select("id").distinct(), ["id"], "left_semi", COPIED_IDS), "id", "text", words), "sets")
+    links = scratch.stage(confirm(star_pairs(rows, match, percent), sets, percent), "links")
+    labels = scratch.stage(components(scratch, links), "labels", keep=True)
+    rest = scratch.stage(_unresolved(rows, labels), "open")
+    if not rest.isEmpty():
+        more = scratch.stage(confirm(cross_pairs(rest, match, percent), sets, percent), "links")
+        if not more.isEmpty():
+            labels = scratch.stage(components(scratch, links.unionByName(more)), "labels", keep=True)
     scratch.close()
 
     member = sig.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("rep")), "digest", "left")
-    if labels is not None:
-        member = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    else:
-        member = member.withColumn("component_id", F.lit(None).cast("long"))
+    member = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "rep", "id"))
     return member.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _unresolved(scratch: Scratch, posted: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings of the tokens whose documents are still in more than one component."""
-    labelled = posted.join(labels, "id", "left").withColumn("comp", F.coalesce("component_id", "id")).drop("component_id")
-    mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    return scratch.stage(labelled.join(mixed, "token", "left_semi"), "open")
+def _unresolved(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Candidates with those of their prefix tokens whose documents are still in more than one component."""
+    labelled = rows.join(labels, "id", "left").withColumn("comp", F.coalesce("component_id", "id")).drop("component_id")
+    posted = labelled.select("id", "comp", F.explode("prefix").alias("token"))
+    mixed = posted.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    kept = posted.join(mixed, "token", "left_semi").groupBy("id").agg(F.collect_list("token").alias("mixed"))
+    # array_intersect keeps the order of the prefix, which all documents share
+    return labelled.join(kept, "id").withColumn("prefix", F.array_intersect("prefix", "mixed")).drop("mixed")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
