@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorlake.llm.bpe import op6_byte_bpe, op7_token_counts
+from tremorlake.llm.embeddings import op10_embedding_near_dedup
 from tremorlake.llm.html import op3_html_extraction
 from tremorlake.llm.minhash import op2_minhash
 from tremorlake.llm.packing import op9_packing
@@ -25,4 +26,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_secret_scans": op8_secret_scans,
     "op9_packing": op9_packing,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
