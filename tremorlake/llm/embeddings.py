@@ -21,6 +21,10 @@ COSINE = 0.98
 RECALL = 0.99
 #: The rotation is fitted on at most so many vectors, chosen by a hash of their id; all vectors are indexed.
 FIT_ROWS = 10_000
+#: With fewer vectors of one dimension the directions are random instead.
+LEAST_FIT = 100
+#: Tables are added up to this multiple while the measured recall is short of the wanted one.
+MOST_TIMES = 3
 #: Rows of one side of a bucket that are compared at once; larger buckets are cut into pairs of such blocks.
 BLOCK_ROWS = 512
 
@@ -49,18 +53,43 @@ def table_shape(vectors: int, cosine: float, recall: float) -> tuple[int, int]:
 
 
 class Quantiser:
-    """Rotations for one dimension; more bits than dimensions are had from further rotations."""
-
-    def __init__(self, sample: np.ndarray, dim: int, tables: int, key_bits: int):
-        self.tables, self.key_bits = tables, key_bits
-        self.parts = []
-        bits = tables * key_bits
-        if len(sample) < 2 * dim:  # too few to learn from: random directions
-            sample = np.random.default_rng(dim).standard_normal((4 * dim, dim))
-        while bits > 0:
-            mean, projection = learn_rotation(sample, min(dim, bits), len(self.parts) + 1)
-            self.parts.append((mean, projection))
-            bits -= projection.shape[1]
+    """Rotations for one dimension; more bits than dimensions are had from further rotations.
+
+    Bits of real vectors are not independent, so the recall is measured on sampled vectors and copies of them turned
+    to the threshold, and tables are added until it is reached.
+    """
+
+    def __init__(self, sample: np.ndarray, dim: int, tables: int, key_bits: int, cosine: float = COSINE, recall: float = RECALL):
+        self.key_bits = key_bits
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        learned = len(sample) >= max(LEAST_FIT, 2 * dim) and self._reach(sample, sample[:1000], dim, tables, cosine, recall)
+        if not learned:
+            # Too few to learn from, or vectors so close together that their centred directions tell nothing of
+            # the cosine: directions through the origin, where a bit differs with the angle over pi.
+            self.parts.clear()
+            around = np.random.default_rng(dim).standard_normal((max(LEAST_FIT, 4 * dim), dim))
+            around = np.concatenate([around, -around])
+            self._reach(around, _unit(around), dim, tables, cosine, recall)
+
+    def _reach(self, sample: np.ndarray, probes: np.ndarray, dim: int, tables: int, cosine: float, recall: float) -> bool:
+        most = MOST_TIMES * tables
+        self._grow(sample, dim, tables)
+        while dim > 1 and self._recall(probes, cosine) < recall:
+            if self.tables >= most:
+                return False
+            self._grow(sample, dim, self.tables + max(1, tables // 2))
+        return True
+
+    def _grow(self, sample: np.ndarray, dim: int, tables: int) -> None:
+        self.tables = tables
+        while sum(p.shape[1] for _, p in self.parts) < tables * self.key_bits:
+            self.parts.append(learn_rotation(sample, dim, len(self.parts) + 1))
+
+    def _recall(self, probes: np.ndarray, cosine: float) -> float:
+        aside = np.random.default_rng(9).standard_normal(probes.shape)
+        aside -= (aside * probes).sum(axis=1, keepdims=True) * probes
+        turned = cosine * probes + math.sqrt(1 - cosine * cosine) * _unit(aside)
+        return float((self.keys(probes) == self.keys(turned)).any(axis=1).mean())
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         bits = np.concatenate([(x - mean) @ projection >= 0 for mean, projection in self.parts], axis=1)
@@ -83,7 +112,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _index(classes: DataFrame, quantisers: dict[int, Quantiser], shape: tuple[int, int]) -> DataFrame:
+def _index(classes: DataFrame, quantisers: dict[int, Quantiser], shape: tuple[int, int], cosine: float, recall: float) -> DataFrame:
     """(id, label, dim, weight, keys, unit): the keys of every class, its unit vector as bytes."""
 
     def make():
@@ -93,7 +122,7 @@ def _index(classes: DataFrame, quantisers: dict[int, Quantiser], shape: tuple[in
                 row = _unit(np.array([x]))
                 q = quantisers.get(len(x))
                 if q is None:
-                    q = quantisers[len(x)] = Quantiser(np.zeros((0, len(x))), len(x), *shape)
+                    q = quantisers[len(x)] = Quantiser(np.zeros((0, len(x))), len(x), *shape, cosine, recall)
                 keys.append(q.keys(row)[0])
                 unit.append(row.tobytes())
             return {**{c: batch[c] for c in ("id", "label", "dim", "weight")}, "keys": keys, "unit": unit}
@@ -182,9 +211,9 @@ def near_vectors(
     sample: dict[int, list] = {}
     for row in classes.select("x").orderBy(F.xxhash64("id")).limit(FIT_ROWS).collect():
         sample.setdefault(len(row.x), []).append(row.x)
-    quantisers = {dim: Quantiser(_unit(np.array(x)), dim, *shape) for dim, x in sample.items()}
+    quantisers = {dim: Quantiser(_unit(np.array(x)), dim, *shape, cosine, recall) for dim, x in sample.items()}
 
-    indexed = scratch.stage(_index(classes, quantisers, shape), "index")
+    indexed = scratch.stage(_index(classes, quantisers, shape, cosine, recall), "index")
     bucket = ["label", "dim", "nth", "key"]
     posted = indexed.select("id", "label", "dim", F.posexplode("keys").alias("nth", "key"))
     held = posted.groupBy(*bucket).agg(F.count(F.lit(1)).alias("held")).where("held > 1")
