@@ -58,7 +58,7 @@ _NAMES = [
     r"article|content|post\b|post-|entry|main|story|body|text|prose|hentry|page\b",
 ]
 _NAME = [re.compile(x, re.I) for x in _NAMES]
-FEATURES = 9 + OTHER + 1 + len(_NAMES) + 1
+FEATURES = 10 + OTHER + 1 + len(_NAMES) + 1
 
 
 @lru_cache(maxsize=65536)
@@ -220,8 +220,9 @@ class Forest:
         x[:, 6] = np.log1p(prose) / 7
         x[:, 7] = own > 120
         x[:, 8] = prose / np.maximum(below, 1)
-        x[np.arange(len(parent)), 9 + self.group] = 1
-        at = [(n + f, 9 + OTHER + 1 + k) for f, p in zip(self.first, pages) for n, names in enumerate(p.named) for k in names]
+        x[:, 9] = prose / np.maximum(prose[start], 1)
+        x[np.arange(len(parent)), 10 + self.group] = 1
+        at = [(n + f, 10 + OTHER + 1 + k) for f, p in zip(self.first, pages) for n, names in enumerate(p.named) for k in names]
         if at:
             rows, columns = np.array(at).T
             x[rows, columns] = 1
@@ -278,7 +279,7 @@ def train(sources: list[str], steps: int = 200, rate: float = 0.08, ridge: float
     return weights[:FEATURES], weights[FEATURES:].reshape(seen.shape)
 
 
-def labelled_pages(count: int = 300, seed: int = 3) -> list[str]:
+def labelled_pages(count: int = 400, seed: int = 3) -> list[str]:
     """Layouts with labels: content 1, all else 0, on the outermost element of each part."""
     rng = random.Random(seed)
     vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(2000)]
@@ -332,8 +333,8 @@ def labelled_pages(count: int = 300, seed: int = 3) -> list[str]:
                     f"<div>{words(10, 80)}</div>", f"<h3>{words(1, 6)}</h3>", f"<figure><img src=x><figcaption>{words(3, 14)}</figcaption></figure>")
 
     def article() -> str:
-        parts = [f"<h1>{words(2, 12)}</h1>"] if chance(0.85) else []
-        for _ in range(rng.choice([1, 2, 3, 5, 9, 16])):
+        parts = [f"<h1>{words(2, 12)}</h1>"] if chance(0.65) else []
+        for _ in range(rng.choice([1, 1, 2, 3, 5, 9, 14])):
             parts.append(block())
             if chance(0.06):
                 parts.append(pick(advert, side, notice, form)())
@@ -355,7 +356,9 @@ def labelled_pages(count: int = 300, seed: int = 3) -> list[str]:
             extra = pick("", "", side(), comments(), advert())
             main = f'<{wrap}{named("wrapper", "container", "layout", "row", "page", "col")}>{main}{extra}</{wrap}>'
         body = "".join(part() for part in before) + main + "".join(part() for part in after)
-        pages.append(f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title></head><body>{body}{pick('</body></html>', '')}")
+        if chance(0.15):  # nothing but the article
+            body = main
+        pages.append(body if chance(0.15) else f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title></head><body>{body}{pick('</body></html>', '')}")
     return pages
 
 

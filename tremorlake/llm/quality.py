@@ -5,7 +5,8 @@ limit of its host when more distinct documents of that host hold it than ``LINE_
 host's documents. Lines over the limit are removed; a document of which too little is left is rejected.
 
 Copies are not evidence that a line is boilerplate. Documents are therefore counted by their smallest 5-word
-shingle hash: exact copies have it in common, near copies nearly always.
+shingle hash: exact copies have it in common, near copies nearly always. Documents whose smallest hash falls into a
+shared line count once as well, so the count is a lower bound and errs towards keeping.
 """
 
 from __future__ import annotations
