@@ -1,5 +1,6 @@
 """Statistics, load windows, playback and proximity against small brute-force answers."""
 
+import math
 import random
 import statistics
 from collections import Counter
@@ -40,6 +41,14 @@ def test_histogram_steps(spark):
     assert rows(stats.histogram(numbers(spark, [4.0, 4.0]), "x", 10).select("count")) == [(2,)]
 
 
+@pytest.mark.parametrize("scale", [1e-9, 1e-4, 1.0, 999_000.0, 1e9])
+def test_histogram_steps_have_no_end(spark, scale):
+    got = stats.histogram(numbers(spark, [k * scale / 100 for k in range(101)]), "x", 30).collect()
+    step = got[0]["bin_end"] - got[0]["bin_start"]
+    assert 10 <= len(got) <= 31 and sum(r["count"] for r in got) == 101
+    assert step / 10 ** math.floor(math.log10(step) + 1e-6) == pytest.approx(round(step / 10 ** math.floor(math.log10(step) + 1e-6)))
+
+
 def test_initial_load_is_needed_for_an_empty_store(spark):
     assert stats.needs_initial_load(events(spark, {}).limit(0))
     assert not stats.needs_initial_load(events(spark, {}))
@@ -55,12 +64,12 @@ def test_month_windows_with_and_without_a_leap_day(spark):
         df = spark.createDataFrame([(end,)], "end_ts TIMESTAMP").select(F.col("end_ts").cast("timestamp_ntz").alias("end_ts"))
         return sorted(tuple(r) for r in lw.month_windows(df).collect())
     plain = windows(datetime(2024, 1, 17, 5))
-    assert plain[0] == (datetime(2023, 1, 1), datetime(2023, 1, 31, 23, 59, 59)) and len(plain) == 12
-    assert plain[-1] == (datetime(2023, 12, 1), datetime(2023, 12, 31, 23, 59, 59))
+    assert plain[0] == (datetime(2023, 1, 1), datetime(2023, 2, 1)) and len(plain) == 12
+    assert plain[-1] == (datetime(2023, 12, 1), datetime(2024, 1, 1))
     leap = windows(datetime(2024, 5, 31))
-    assert leap[0] == (datetime(2023, 5, 2), datetime(2023, 5, 31, 23, 59, 59)) and len(leap) == 12
+    assert leap[0] == (datetime(2023, 5, 2), datetime(2023, 6, 1)) and len(leap) == 12
     for (_, end), (start, _) in zip(leap, leap[1:]):
-        assert start - end == timedelta(seconds=1)
+        assert start == end
 
 
 @pytest.mark.parametrize("cap, span", [(1, 37), (5, 1_000), (50, 86_400), (10_000, 500), (3, 1)])

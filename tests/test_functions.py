@@ -57,8 +57,8 @@ def test_fixed_decimals_round_exact_values_and_halves_outwards(spark):
 
 
 def test_networks_from_text():
-    assert text.split_networks(" us, AK,,pr ,") == ["us", "ak", "pr"]
-    assert text.split_networks("") == []
+    assert text.search_terms(" us, AK,,pr ,us", separator=",") == ["us", "ak", "pr"]
+    assert text.search_terms("", None, separator=",") == []
 
 
 @pytest.mark.parametrize("mag, radius, weight, color", [
@@ -150,3 +150,14 @@ def test_format_event_row(spark):
     assert tuple(row)[1:] == ("2024-01-01 00:00:00.000 Z", "t", "—", "5.0", "—", 0, "12.346", "2.000", "#")
 
 
+
+
+def test_lookup_keys_lose_all_outer_white_space(spark):
+    df = spark.createDataFrame([("\tDE\n",), ("\u00a0 n/a\r",), ("A B",), (None,)], "k STRING")
+    assert [r[0] for r in df.select(text.clean_lookup_key(F.col("k"))).collect()] == ["DE", None, "A B", None]
+
+
+def test_numbers_have_no_type_suffix(spark):
+    values = ["1d", "2.5f", "1e3", " 7 ", "-.5", "3.", "x", "", None, "inf", "1e"]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v STRING").select(text.numeric_coerce(F.col("v"))).collect()]
+    assert got == [None, None, 1000.0, 7.0, -0.5, 3.0, None, None, None, float("inf"), None]

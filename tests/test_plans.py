@@ -6,11 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from tremorlake.operators import joins
-from tremorlake.operators.filters import EventFilter
+from tremorlake.operators.filters import EventFilter, since, within_ms
 from tremorlake.operators.ranking import query_events
 from tremorlake.plans import fixtures as fx
+from tremorlake.plans.queries import QUERIES
 from tremorlake.session import checkpoint_dir
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -22,9 +22,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_avoid_cross_products_python_and_global_windows(spark, name):
-    text = plan(entry_points.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if name not in PYTHON_BY_NATURE:
         assert not re.search(r"Python|InPandas|InArrow", text)
@@ -40,12 +40,29 @@ def test_the_user_query_is_a_top_k_with_pushed_filters(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,2024-01-03T00:00", text)
 
 
+@pytest.mark.parametrize("name", ["visible_at", "playback_counts", "playback_heat", "heat_density", "frequency_grid_year"])
+def test_time_bounds_reach_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan(OrEqual)?\(ts,", text) and re.search(r"PushedFilters: \[[^\]]*LessThan(OrEqual)?\(ts,", text)
+
+
+def test_month_folders_out_of_range_are_not_read(spark, tmp_path):
+    months = spark.range(12).select(F.timestamp_add("DAY", F.col("id").cast("int") * 31, F.lit(datetime(2024, 1, 1))).cast("timestamp_ntz").alias("time_utc"))
+    months.withColumn("event_month", F.date_format("time_utc", "yyyy-MM")).write.partitionBy("event_month").parquet(str(tmp_path / "s"))
+    stored = spark.read.schema("time_utc TIMESTAMP_NTZ, event_month STRING").parquet(str(tmp_path / "s"))
+    day = lambda m, d: int((datetime(2024, m, d) - datetime(1970, 1, 1)).total_seconds() * 1000)
+    for df in (within_ms(stored, day(3, 1), day(4, 4)), since(stored, F.lit(datetime(2024, 4, 4)).cast("timestamp_ntz"), 24 * 34)):
+        assert re.search(r"PartitionFilters: \[[^\]]*event_month[^\]]*>=[^\]]*2024-0[13]", plan(df))
+        assert sorted(r[0].month for r in df.collect()) == [3, 4]
+    assert within_ms(stored.unionByName(spark.sql("SELECT CAST(null AS TIMESTAMP_NTZ) time_utc, 'unknown' event_month")), -5, 5).count() == 1
+
+
 def test_counting_reads_no_columns(spark):
-    assert "ReadSchema: struct<>" in plan(entry_points.queries()["count_quakes"](spark, SF_DIR))
+    assert "ReadSchema: struct<>" in plan(QUERIES["count_quakes"](spark, SF_DIR))
 
 
 def test_points_read_only_the_columns_they_need(spark):
-    assert re.search(r"ReadSchema: struct<event_id:bigint>", plan(entry_points.queries()["scan_points"](spark, SF_DIR)))
+    assert re.search(r"ReadSchema: struct<event_id:bigint>", plan(QUERIES["scan_points"](spark, SF_DIR)))
 
 
 def test_lookup_join_beyond_the_limit_shuffles_and_agrees(spark):

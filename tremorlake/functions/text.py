@@ -15,14 +15,17 @@ def display_place(place: Column, title: Column) -> Column:
     return F.coalesce(F.nullif(place, F.lit("")), F.nullif(title, F.lit("")), F.lit(NO_VALUE))
 
 
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
+
+
 def numeric_coerce(value: Column) -> Column:
-    """A number, or null when the value does not parse as one."""
-    return value.try_cast("double")
+    """A number, or null when the value does not parse as one; a type suffix as in ``1d`` is no part of a number."""
+    return F.when(value.cast("string").rlike(NUMBER), value.try_cast("double"))
 
 
 def clean_lookup_name(name: Column) -> Column:
-    """Trimmed text, null for the texts that mean "no value"."""
-    trimmed = F.trim(name)
+    """Text without outer white space of any kind, null for the texts that mean "no value"."""
+    trimmed = F.regexp_replace(name, r"(?U)^\s+|\s+$", "")
     return F.when(trimmed.isin(MISSING_TEXTS), F.lit(None)).otherwise(trimmed)
 
 
@@ -31,9 +34,15 @@ def clean_lookup_key(key: Column) -> Column:
     return clean_lookup_name(F.upper(key))
 
 
-def split_networks(csv: str) -> list[str]:
-    """User text ``"us, AK,,pr"`` to ``["us", "ak", "pr"]``."""
-    return [part.strip().lower() for part in (csv or "").split(",") if part.strip()]
+def search_terms(*entries: str | None, separator: str | None = None) -> list[str]:
+    """What a user typed, as different terms in the order typed: outer white space and letter case do not count.
+
+    With a ``separator`` every entry may hold several terms; blank ones are none.
+    """
+    typed = separator.join(e or "" for e in entries).split(separator) if separator else entries
+    terms = dict.fromkeys((e or "").strip().lower() for e in typed)
+    terms.pop("", None)
+    return list(terms)
 
 
 def fixed_or_dash(value: Column, decimals: int) -> Column:

@@ -11,7 +11,7 @@ LEVELS_PER_ROUND = 8
 
 
 def month_windows(ends: DataFrame, end: str = "end_ts") -> DataFrame:
-    """The 365 days before the month of ``end``, cut at months: ``[window_start, window_end]`` to the second."""
+    """The 365 days before the month of ``end``, cut at months: half-open ``[window_start, window_end)``."""
     bounds = ends.select(F.date_trunc("month", F.col(end)).cast("timestamp_ntz").alias("stop")).select(
         "stop", (F.col("stop") - F.expr("INTERVAL '365' DAY")).alias("start"))
     months = bounds.select("stop", "start", F.explode(F.sequence(
@@ -19,7 +19,7 @@ def month_windows(ends: DataFrame, end: str = "end_ts") -> DataFrame:
         F.expr("INTERVAL '1' MONTH"))).alias("month"))
     return months.select(
         F.greatest("month", "start").alias("window_start"),
-        (F.col("month") + F.expr("INTERVAL '1' MONTH") - F.expr("INTERVAL '1' SECOND")).alias("window_end"))
+        (F.col("month") + F.expr("INTERVAL '1' MONTH")).alias("window_end"))
 
 
 def last_days_window(now: Column, days: int = 30) -> tuple[Column, Column]:

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tremorlake.functions.geo import cell_index
 from tremorlake.functions.styling import HEAT_FADE, age_fade, mag_weight
 from tremorlake.functions.times import HOUR_MS, ts_to_epoch_ms
+from tremorlake.operators.filters import within_ms
 
 FADED_HOURS = int(HEAT_FADE[-1][0])
 
 
 def _timed(quakes: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     """Events that show at some frame, with their time; an unknown time counts as 0."""
-    time_ms = F.coalesce(ts_to_epoch_ms(F.col("time_utc")), F.lit(0))
-    return quakes.withColumn("time_ms", time_ms).where(F.col("time_ms").between(start_ms, end_ms))
+    return within_ms(quakes, start_ms, end_ms).withColumn("time_ms", F.coalesce(ts_to_epoch_ms(F.col("time_utc")), F.lit(0)))
 
 
 def playback_counts(quakes: DataFrame, start_ms: int, end_ms: int, step_hours: int = 1) -> DataFrame:

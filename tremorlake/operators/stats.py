@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import cell_index
-from tremorlake.functions.styling import age_fade, mag_weight
+from tremorlake.functions.styling import HEAT_FADE, age_fade, mag_weight
 from tremorlake.functions.times import HOUR_MS, ts_to_epoch_ms
+from tremorlake.operators.filters import since
 from tremorlake.operators.ordering import running_total
 
-# Bin widths to choose from, 1-2-5 per decade.
-BIN_STEPS = [0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0,
-             100.0, 200.0, 500.0, 1000.0, 2000.0, 5000.0, 10000.0]
+SINGLE_VALUE_STEP = 0.001         # bin width where all values are equal
 QUARTILES = (0.25, 0.5, 0.75)
 MAX_COUNTED_VALUES = 200_000      # distinct values one task may hold to find the quartiles
 
@@ -28,21 +27,34 @@ def needs_initial_load(quakes: DataFrame) -> bool:
 def histogram(df: DataFrame, col: str, maxbins: int, log_scale: bool = False) -> DataFrame:
     """Bins ``(bin, bin_start, bin_end, count)`` of the smallest step that needs at most ``maxbins``.
 
-    The step is a scalar subquery over the value range, so one plan serves both passes.
+    Steps are 1, 2 or 5 times a power of ten, found around the decade of range / maxbins, so no range is too small
+    or too large for them. The step is a scalar subquery over the value range: one plan serves both passes.
     """
     known = df.select(F.col(col).alias("x")).where("x IS NOT NULL")
-    steps = F.array(*[F.lit(s) for s in BIN_STEPS])
-    widest = F.lit(BIN_STEPS[-1])
-    step = known.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(F.coalesce(F.get(
-        F.filter(steps, lambda s: (F.col("hi") - F.col("lo")) / s <= F.lit(float(maxbins))), F.lit(0)), widest)).scalar()
+    width = F.col("hi") - F.col("lo")
+    decade = F.floor(F.log10(width / F.lit(float(maxbins)))).cast("int")
+
+    def power(k: Column) -> Column:
+        # quotients of whole numbers are the doubles nearest to 0.001, 0.002, ..
+        ten = F.pow(F.lit(10.0), F.abs(k))
+        return F.array(*[F.when(k < 0, F.lit(m) / ten).otherwise(F.lit(m) * ten) for m in (1.0, 2.0, 5.0)])
+
+    steps = F.flatten(F.transform(F.sequence(decade - 1, decade + 1), power))
+    fitting = F.get(F.filter(steps, lambda s: width / s <= F.lit(float(maxbins))), F.lit(0))
+    step = known.agg(F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi")).select(
+        F.when(width > 0, fitting).otherwise(F.lit(SINGLE_VALUE_STEP))).scalar()
     bins = known.select(step.alias("step"), F.floor(F.col("x") / step).cast("long").alias("bin"))
     counted = bins.groupBy("bin", "step").agg(F.count(F.lit(1)).alias("count"))
     out = counted.select(
-        "bin", F.round(F.col("bin") * F.col("step"), 6).alias("bin_start"),
-        F.round((F.col("bin") + 1) * F.col("step"), 6).alias("bin_end"), "count")
+        "bin", _edge(F.col("bin"), F.col("step")).alias("bin_start"), _edge(F.col("bin") + 1, F.col("step")).alias("bin_end"), "count")
     return out.withColumn("log_count", F.round(F.log10("count"), 6)) if log_scale else out
 
 
+def _edge(bin_: Column, step: Column) -> Column:
+    """Border of a bin, rounded where the step allows."""
+    return F.when(step >= 1e-4, F.round(bin_ * step, 6)).otherwise(bin_ * step)
+
+
 def describe(df: DataFrame, col: str, max_counted: int = MAX_COUNTED_VALUES) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact interpolated quartiles, as one row.
 
@@ -87,8 +99,11 @@ def age_hours(now: Column, time: Column) -> Column:
 
 
 def heat_density(quakes: DataFrame, now: Column, cell_deg: float) -> DataFrame:
-    """Magnitude weight times age fading, summed per grid cell; events after ``now`` do not show."""
-    seen = quakes.where("lon IS NOT NULL AND lat IS NOT NULL").where(F.col("time_utc") <= now)
+    """Magnitude weight times age fading, summed per grid cell.
+
+    Only events that still show take part: not after ``now``, and not yet faded to nothing.
+    """
+    seen = since(quakes.where("lon IS NOT NULL AND lat IS NOT NULL"), now, int(HEAT_FADE[-1][0]))
     heat = mag_weight(F.col("mag")) * age_fade(age_hours(now, F.col("time_utc")))
     return seen.groupBy(
         cell_index(F.col("lat"), cell_deg).alias("cell_r"), cell_index(F.col("lon"), cell_deg).alias("cell_c"),
@@ -97,8 +112,7 @@ def heat_density(quakes: DataFrame, now: Column, cell_deg: float) -> DataFrame:
 
 def frequency_grid(quakes: DataFrame, now: Column, hours: int, cell_deg: float) -> DataFrame:
     """Events per grid cell in the ``hours`` up to ``now``."""
-    recent = quakes.where((F.col("time_utc") <= now) & (F.col("time_utc") > now - F.expr(f"INTERVAL '{hours}' HOUR")))
-    return recent.where("lon IS NOT NULL AND lat IS NOT NULL").groupBy(
+    return since(quakes, now, hours).where("lon IS NOT NULL AND lat IS NOT NULL").groupBy(
         cell_index(F.col("lat"), cell_deg).alias("cell_r"), cell_index(F.col("lon"), cell_deg).alias("cell_c"),
     ).agg(F.count(F.lit(1)).alias("n_events"))
 

@@ -111,8 +111,6 @@ KM = HAVERSINE.format(lon="p.plon", lat="p.plat")
 FEED_COLUMNS = """usgs_id, mag, place, date_trunc('milliseconds', time_utc) AS time_utc, url, tsunami, title, net,
   CASE WHEN lon IS NOT NULL THEN depth_km END AS depth_km, lon, lat"""
 FEED = f"SELECT {FEED_COLUMNS} FROM quake"
-STEPS = """(VALUES (0.001),(0.002),(0.005),(0.01),(0.02),(0.05),(0.1),(0.2),(0.5),(1),(2),(5),(10),(20),(50),(100),(200),
-  (500),(1000),(2000),(5000),(10000)) AS s(step)"""
 
 
 def _q(sql: str, *ctes: str) -> str:
@@ -144,12 +142,16 @@ def _fixed(col: str, decimals: int) -> str:
 
 
 def _histogram(col: str, where: str, maxbins: int, extra: str = "") -> str:
-    return _q(f"""SELECT bin, round(bin * CAST(step AS DOUBLE), 6) AS bin_start, round((bin + 1) * CAST(step AS DOUBLE), 6) AS bin_end,
-  count{extra} FROM (
-    SELECT CAST(floor(x / CAST(step AS DOUBLE)) AS BIGINT) AS bin, step, count(*) AS count FROM known
-    CROSS JOIN (SELECT min(step) AS step FROM {STEPS}, (SELECT max(x) - min(x) AS width FROM known) w
-                WHERE width / CAST(step AS DOUBLE) <= {maxbins}) GROUP BY 1, 2)""",
-              f"known AS (SELECT {col} AS x FROM quake WHERE {where})")
+    edge = lambda k: f"CASE WHEN step >= 1e-4 THEN round({k} * step, 6) ELSE {k} * step END"
+    return _q(f"""SELECT bin, {edge('bin')} AS bin_start, {edge('(bin + 1)')} AS bin_end, count{extra} FROM (
+    SELECT CAST(floor(x / step) AS BIGINT) AS bin, step, count(*) AS count FROM known CROSS JOIN step GROUP BY 1, 2)""",
+              f"known AS (SELECT {col} AS x FROM quake WHERE {where})",
+              "width AS (SELECT CAST(max(x) - min(x) AS DOUBLE) AS width FROM known)",
+              f"""step AS (SELECT coalesce(min(step), CAST(0.001 AS DOUBLE)) AS step FROM (
+    SELECT width, CASE WHEN k < 0 THEN CAST(m AS DOUBLE) / pow(10.0, -k) ELSE CAST(m AS DOUBLE) * pow(10.0, k) END AS step
+    FROM width, (VALUES (1), (2), (5)) AS ms(m), (VALUES (-1), (0), (1)) AS ks(d),
+      LATERAL (SELECT CAST(floor(log10(nullif(width, 0) / {float(maxbins)})) AS INT) + d AS k) WHERE width > 0)
+  WHERE width / step <= {maxbins})""")
 
 
 def _describe(col: str, where: str) -> str:
@@ -180,11 +182,11 @@ w(a, b, n) AS (
 SELECT a AS start_s, b AS end_s, CAST(n AS BIGINT) AS n_events, n > 500 AS over_cap FROM w WHERE n <= 500 OR b - a <= 1""",
     "fetch_source": _q(FEED),
     "month_windows": _q("""SELECT window_start, window_end, count(q.id) AS n_events FROM (
-    SELECT greatest(m, stop - INTERVAL 365 DAY) AS window_start, m + INTERVAL 1 MONTH - INTERVAL 1 SECOND AS window_end
+    SELECT greatest(m, stop - INTERVAL 365 DAY) AS window_start, m + INTERVAL 1 MONTH AS window_end
     FROM (SELECT stop, unnest(generate_series(date_trunc('month', stop - INTERVAL 365 DAY)::TIMESTAMP,
                               stop - INTERVAL 1 SECOND, INTERVAL 1 MONTH)) AS m
           FROM (SELECT date_trunc('month', max(time_utc) + INTERVAL 31 DAY)::TIMESTAMP AS stop FROM quake))) w
-  LEFT JOIN quake q ON date_trunc('month', q.time_utc) = date_trunc('month', w.window_start) GROUP BY 1, 2"""),
+  LEFT JOIN quake q ON q.time_utc >= w.window_start AND q.time_utc < w.window_end GROUP BY 1, 2"""),
     "recent_window": _q("""SELECT date_trunc('second', max(time_utc)) - INTERVAL 30 DAY AS window_start,
   date_trunc('second', max(time_utc)) AS window_end FROM quake"""),
     "country_edges": f"""WITH {LAYERS['country']}, {_edges('country')}, {LAYERS['zone']}, {_edges('zone')}
@@ -251,7 +253,8 @@ SELECT poly, ring, x1, y1, x2, y2 FROM sea_edge UNION ALL SELECT poly + 100, rin
     "sea_lookup": f"WITH {BASIN_LOOKUP} SELECT id, name FROM basin_lookup",
     "heat_density": _q(f"""SELECT {_cell('lat', 10)} AS cell_r, {_cell('lon', 10)} AS cell_c,
   round(sum({WEIGHT} * {_interpolated(AGE, FADE_STOPS)}), 6) AS heat, count(*) AS n_events
-  FROM quake WHERE lon IS NOT NULL AND lat IS NOT NULL AND time_utc <= TIMESTAMP '2024-01-31' GROUP BY 1, 2"""),
+  FROM quake WHERE lon IS NOT NULL AND lat IS NOT NULL AND time_utc <= TIMESTAMP '2024-01-31'
+    AND time_utc > TIMESTAMP '2024-01-31' - INTERVAL 72 HOUR GROUP BY 1, 2"""),
     "dense_id": _q("SELECT time_utc, usgs_id, id, 1000 + row_number() OVER (ORDER BY time_utc, usgs_id, id) AS dense_id FROM quake"),
     "dedup_first": _q("SELECT * FROM firsts", FIRSTS),
     "newest_k": _q("SELECT * FROM quake ORDER BY time_utc DESC, id LIMIT 5000"),

@@ -117,10 +117,11 @@ def month_windows(spark, sf_dir):
     """The last twelve months before the newest event, with the events each window already holds."""
     events = fx.quakes(spark, sf_dir)
     windows = load_windows.month_windows(events.agg(F.date_trunc("month", F.max("time_utc") + F.expr("INTERVAL '31' DAY")).alias("end_ts")))
-    per_month = events.groupBy(F.date_trunc("month", "time_utc").cast("timestamp_ntz").alias("month")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return windows.withColumn("month", F.date_trunc("month", "window_start").cast("timestamp_ntz")).join(
-        per_month, "month", "left").select("window_start", "window_end", F.coalesce("n", F.lit(0)).alias("n_events"))
+    # months are few and known, so every event finds its month by key, and its window by the range
+    held = windows.withColumn("month", F.date_trunc("month", "window_start")).join(
+        events.select("time_utc", F.date_trunc("month", "time_utc").alias("month")), "month", "left")
+    inside = (F.col("time_utc") >= F.col("window_start")) & (F.col("time_utc") < F.col("window_end"))
+    return held.groupBy("window_start", "window_end").agg(F.count_if(inside).alias("n_events"))
 
 
 @query
@@ -266,9 +267,8 @@ QUERIES["filter_bbox"] = _filtered(lambda: filters.bbox_intersects(60.0, 45.0, -
 
 @query
 def visible_at(spark, sf_dir):
-    shown = filters.visible_at(_ms(datetime(2024, 1, 10, 12)), _ms(datetime(2024, 1, 3)), _ms(RANGE_END),
-                               times.ts_to_epoch_ms(F.col("time_utc")))
-    return fx.quakes(spark, sf_dir).where(shown).select("id", "time_utc")
+    now, start, end = datetime(2024, 1, 10, 12), datetime(2024, 1, 3), RANGE_END
+    return filters.within_ms(fx.quakes(spark, sf_dir), _ms(start), min(_ms(now), _ms(end))).select("id", "time_utc")
 
 
 @query
