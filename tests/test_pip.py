@@ -5,6 +5,7 @@ import random
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tremorlake.operators.enrich import location_rows, resolve_location
 from tremorlake.operators.pip import build_index, choose_cell_deg, covering_pairs, resolve_polygon
@@ -108,7 +109,23 @@ def test_the_grid_follows_the_layer(spark):
     big = [(1, [[(-100.0, -50.0), (100.0, -50.0), (100.0, 50.0), (-100.0, 50.0)]])]
     small = [(i, [[(i * 1.0, 0.0), (i + 0.9, 0.0), (i + 0.9, 0.9), (i * 1.0, 0.9)]]) for i in range(100)]
     assert choose_cell_deg(polygon_edges(layer(spark, big))) > choose_cell_deg(polygon_edges(layer(spark, small)))
-    assert choose_cell_deg(polygon_edges(layer(spark, small)), max_entries=10) == 10.0
+
+
+def test_more_vertices_give_a_finer_grid(spark):
+    """Round polygons: the index stays linear in the edges, and the edges one point meets stay bounded."""
+    def ring(points, radius):
+        at = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.struct(
+            (F.col("id") * 12 - 150 + radius * F.cos(k * 2 * math.pi / points)).alias("x"), (radius * F.sin(k * 2 * math.pi / points)).alias("y")))
+        return spark.range(25).select(F.col("id").alias("row_id"), F.lit(4326).alias("srid"), F.array(at).alias("rings"))
+
+    sizes = [choose_cell_deg(polygon_edges(ring(n, 5.0))) for n in (10, 1_000, 20_000, 80_000)]
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] <= 0.1        # 2 M edges
+    assert choose_cell_deg(polygon_edges(ring(20_000, 0.01))) < 0.001       # many vertices on small shapes
+    index = build_index(ring(20_000, 5.0))
+    most = index.cells.select(F.max(F.aggregate("cands", F.lit(0), lambda n, c: n + F.size(c["edges"]) + F.size(c["far"])))).first()[0]
+    assert most < 2_000 and index.cells.agg(F.sum("entries")).first()[0] < 6 * 25 * 20_000
+    pts = points(spark, [(k * 12 - 150 + r, 0.5) for k in range(25) for r in (0.0, 4.9, 5.1)])
+    assert answer(resolve_polygon(pts, index)) == {3 * k + j: (k if j < 2 else None) for k in range(25) for j in range(3)}
 
 
 def test_layers_are_checked(spark):

@@ -1,23 +1,25 @@
-"""Lookup joins: copy a side whose size was measured, otherwise shuffle with hot keys spread out."""
+"""Lookup joins: copy a side whose size was measured, otherwise shuffle and let hot partitions be split at run time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-SALTS = 16
 MAX_COPIED_ROWS = 500_000
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
-    """Left join by shuffle. Each key of ``left`` spreads over ``salts`` tasks, ``right`` is repeated for them.
+def shuffled_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join by shuffle. The engine measures the partitions and splits those that a hot key of ``left`` fills.
 
-    Rows with a null key match nothing and spread over the salts like the others.
+    Only the part of ``right`` that meets a split partition is read again; without skew nothing is copied. Rows with
+    a null key match nothing, and stay out of the shuffle.
     """
-    by_content = F.xxhash64(*left.columns)
-    salt = F.pmod(by_content, F.lit(salts))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    joined = left.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left")
-    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    more = [c for c in right.columns if c not in keys]
+    met = left.where(known).join(right.hint("merge"), keys, "left").select(*left.columns, *more)
+    alone = left.where(~known).select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in more])
+    return met.unionByName(alone)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
@@ -25,4 +27,4 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], max_copied:
     if right.limit(max_copied + 1).count() <= max_copied:
         return left.join(F.broadcast(right), keys, "left").select(
             *left.columns, *[c for c in right.columns if c not in keys])
-    return salted_left_join(left, right, keys)
+    return shuffled_left_join(left, right, keys)

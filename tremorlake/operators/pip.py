@@ -13,8 +13,8 @@ A cell that no edge meets has neither ``edges`` nor ``far``: its ``base`` says i
 polygon that fills the cell is kept as ``filler``, which answers most points without any test. The
 comparisons are those of the plain even-odd test on exact doubles, so both give the same rows.
 
-Layers too large for cell rows of bounded size take ``covering_pairs``, a salted shuffle join with
-the same answer.
+Layers too large for cell rows of bounded size take ``covering_pairs``, a shuffle join with the
+same answer.
 """
 
 from __future__ import annotations
@@ -24,12 +24,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import cell_index
-from tremorlake.operators.joins import salted_left_join
+from tremorlake.operators.joins import shuffled_left_join
 from tremorlake.session import pin
 from tremorlake.sources.polygons import polygon_edges
 
-CELL_SIZES = (10.0, 5.0, 2.0, 1.0, 0.5, 0.25)   # degrees, tried from coarse to fine
-MAX_INDEX_ENTRIES = 1_500_000         # box cells plus edge entries a chosen cell size may produce
+CELL_SIZES = tuple(10.0 / 2 ** k for k in range(18))   # degrees, tried from coarse to fine
 MAX_CELL_ENTRIES = 20_000            # edges or polygons one cell row may hold
 ENTRY_BYTES = 64                     # room for one edge, loose end, polygon or cell in memory
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -90,33 +89,28 @@ class PolygonIndex:
     """A layer prepared for lookups.
 
     ``cells`` holds one row per grid cell, or is None when a cell would hold more than
-    ``MAX_CELL_ENTRIES``; ``broadcast`` tells whether its measured size allows a copy per executor.
+    ``MAX_CELL_ENTRIES``; ``broadcast`` tells whether its measured size allows a copy per executor, and
+    ``broadcast_boxes`` the same of the cells of all bounding boxes.
     """
 
     edges: DataFrame
     cells: DataFrame | None
     cell_deg: float
     broadcast: bool
+    broadcast_boxes: bool
 
 
-def choose_cell_deg(edges: DataFrame, max_entries: int = MAX_INDEX_ENTRIES) -> float:
-    """The coarsest grid with at most one edge per cell on average, within the entry limit."""
-    def spanned(kind, low_x, high_x, low_y, high_y):
-        return [F.lit(kind).alias("kind")] + [F.sum((cell_index(high_x, g) - cell_index(low_x, g) + 1).cast("long")
-                      * (cell_index(high_y, g) - cell_index(low_y, g) + 1)).alias(f"g{i}")
-                for i, g in enumerate(CELL_SIZES)]
+def choose_cell_deg(edges: DataFrame) -> float:
+    """The coarsest grid on which the boxes of the polygons have as many cells as the layer has edges.
 
-    edge_cells = edges.agg(*spanned(
-        "edges", F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")))
-    boxes = polygon_boxes(edges).agg(*spanned("boxes", F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax")))
-    sums = {row["kind"]: row.asDict() for row in edge_cells.unionAll(boxes).collect()}
-    fitting = []
-    for i, g in enumerate(CELL_SIZES):
-        on_edges, in_boxes = sums["edges"][f"g{i}"] or 0, sums["boxes"][f"g{i}"] or 0
-        if on_edges + in_boxes <= max_entries:
-            fitting.append((g, on_edges <= in_boxes))
-    sparse = [g for g, few_edges in fitting if few_edges]
-    return max(sparse) if sparse else min((g for g, _ in fitting), default=CELL_SIZES[0])
+    One step finer has four times the cells, so the cells grow with the edges and never faster; more vertices on the
+    same shapes give a finer grid.
+    """
+    boxes = polygon_boxes(edges).agg(*[
+        F.sum((cell_index(F.col("xmax"), g) - cell_index(F.col("xmin"), g) + 1).cast("double")
+              * (cell_index(F.col("ymax"), g) - cell_index(F.col("ymin"), g) + 1)).alias(f"g{i}") for i, g in enumerate(CELL_SIZES)])
+    held, count = boxes.first(), edges.count()
+    return next((g for i, g in enumerate(CELL_SIZES) if count <= (held[f"g{i}"] or 0)), CELL_SIZES[-1] if count else CELL_SIZES[0])
 
 
 def build_index(layer: DataFrame, cell_deg: float | None = None,
@@ -130,16 +124,20 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
     boxes = polygon_boxes(edges)
     where = ["cell_r", "cell_c"]
     candidates = box_cells(boxes, cell_deg).select("poly", *where)
+    copy_boxes = candidates.count() * ENTRY_BYTES <= max_broadcast_bytes
+    far = _far_parity(candidates, _loose_ends(edge_rows, cell_deg))
     # A cell meets an edge or a polygon at most once, so only large layers need the count per cell.
     if 2 * edges.count() > max_cell_entries:
-        load = near.select(*where).unionAll(candidates.select(*where)).groupBy(*where).count()
-        if (load.agg(F.max("count")).first()[0] or 0) > max_cell_entries:
-            return PolygonIndex(edges, None, cell_deg, False)
+        far = pin(far)
+        held = near.select(*where, F.lit(1).alias("n")).unionAll(candidates.select(*where, F.lit(1).alias("n"))).unionAll(
+            far.select(*where, F.size("far").alias("n"))).groupBy(*where).agg(F.sum("n").alias("n"))
+        if (held.agg(F.max("n")).first()[0] or 0) > max_cell_entries:
+            return PolygonIndex(edges, None, cell_deg, False, copy_boxes)
 
     edge = F.struct("x1", "y1", "x2", "y2")
     per_poly = (
         candidates
-        .join(_far_parity(candidates, _loose_ends(edge_rows, cell_deg)), ["poly", *where], "left")
+        .join(far, ["poly", *where], "left")
         .join(near.groupBy("poly", *where).agg(F.collect_list(edge).alias("edges")), ["poly", *where], "left")
         .select("poly", *where, F.coalesce("base", F.lit(0)).alias("base"),
                 F.coalesce("far", F.expr("CAST(array() AS ARRAY<DOUBLE>)")).alias("far"),
@@ -157,7 +155,7 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
     ).withColumn("cands", F.filter("cands", lambda c: F.col("filler").isNull() | (c["poly"] < F.col("filler"))))
     cells = pin(cells)
     size = cells.agg(F.coalesce(F.sum(F.col("entries") * ENTRY_BYTES + ENTRY_BYTES), F.lit(0))).first()[0]
-    return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes)
+    return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes, copy_boxes)
 
 
 def _crosses(e: Column, lon: Column, lat: Column) -> Column:
@@ -197,7 +195,7 @@ def resolve_polygon(points: DataFrame, index: PolygonIndex, out: str = "poly") -
     if index.broadcast:
         joined = placed.join(F.broadcast(cells), ["_r", "_c"], "left")
     else:
-        joined = salted_left_join(placed, cells, ["_r", "_c"])
+        joined = shuffled_left_join(placed, cells, ["_r", "_c"])
     covering = F.filter("_cands", lambda c: _covers(c, F.col("lon"), F.col("lat")))
     tested = F.coalesce(F.array_min(F.transform(covering, lambda c: c["poly"])), F.col("_filler"))
     poly = F.when(F.size("_cands") > 0, tested).otherwise(F.col("_filler"))
@@ -207,17 +205,17 @@ def resolve_polygon(points: DataFrame, index: PolygonIndex, out: str = "poly") -
 def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
     """Pairs ``(id, lon, lat, poly)`` whose bounding box holds the point: grid equi-join, then the box.
 
-    The number of boxes per cell depends on the layer alone; hot cells on the event side are salted
-    unless the box table is small enough to copy.
+    The number of boxes per cell depends on the layer alone; the box table is copied if it was measured as small
+    enough, else hot cells on the event side are split at run time.
     """
     g = index.cell_deg
     boxes = box_cells(polygon_boxes(index.edges), g).withColumnsRenamed({"cell_r": "_r", "cell_c": "_c"})
     placed = points.select("id", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL").withColumns(
         {"_r": cell_index(F.col("lat"), g), "_c": cell_index(F.col("lon"), g)})
-    if index.broadcast:
+    if index.broadcast_boxes:
         pairs = placed.join(F.broadcast(boxes), ["_r", "_c"])
     else:
-        pairs = salted_left_join(placed, boxes, ["_r", "_c"]).where("poly IS NOT NULL")
+        pairs = shuffled_left_join(placed, boxes, ["_r", "_c"]).where("poly IS NOT NULL")
     return pairs.where("lon BETWEEN xmin AND xmax AND lat BETWEEN ymin AND ymax").select("id", "lon", "lat", "poly")
 
 
@@ -230,7 +228,7 @@ def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
     g = index.cell_deg
     edges = _edge_rows(index.edges, g).select("poly", F.col("cell_r").alias("_r"), "x1", "y1", "x2", "y2")
     pairs = pip_candidates(points, index).withColumn("_r", cell_index(F.col("lat"), g))
-    matched = salted_left_join(pairs, edges, ["poly", "_r"]).where("x1 IS NOT NULL")
+    matched = shuffled_left_join(pairs, edges, ["poly", "_r"]).where("x1 IS NOT NULL")
     e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
     lon, lat = F.col("lon"), F.col("lat")
     tested = matched.groupBy("id", "poly").agg(

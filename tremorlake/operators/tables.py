@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.text import clean_lookup_key, clean_lookup_name
-from tremorlake.operators.joins import lookup_join
+from tremorlake.operators.joins import MAX_COPIED_ROWS, lookup_join
 from tremorlake.operators.ordering import row_ids
 from tremorlake.sources.polygons import COUNTRY_COLUMNS, SEA_COLUMNS, require_columns
 
@@ -32,17 +32,31 @@ def first_write_wins(batch: DataFrame, key: str, arrival: Sequence[Column | str]
 def anti_existing(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet. A null key never conflicts."""
     keyed, keyless = _with_and_without(batch, key)
-    return keyed.join(existing.select(key), key, "left_anti").select(*batch.columns).unionByName(keyless)
+    return keyed.join(_stored_keys(existing, keyed, key), key, "left_anti").select(*batch.columns).unionByName(keyless)
+
+
+def _stored_keys(existing: DataFrame, keyed: DataFrame, key: str, max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
+    """Stored keys that matter to a batch.
+
+    The keys of a batch that was counted and is small go to the stored rows, which are then filtered where they lie;
+    only hits move. For a large batch both sides move by key.
+    """
+    stored = existing.select(key)
+    keys = keyed.select(key).distinct()
+    if keys.limit(max_copied + 1).count() > max_copied:
+        return stored
+    return F.broadcast(stored.join(F.broadcast(keys), key, "left_semi").distinct())
 
 
 def insert_new(existing: DataFrame, batch: DataFrame, arrival: Sequence[Column | str] = ("id",),
                key: str = "usgs_id") -> DataFrame:
     """The rows an insert would add: a stored key is never updated, even by a newer revision.
 
-    Both steps need the rows with a key by that key, so one shuffle of the batch serves both.
+    A small batch is looked up in the stored rows without moving them. For a large one both steps need its rows by
+    key, so one shuffle serves both.
     """
     keyed, keyless = _with_and_without(batch, key)
-    new = _earliest(keyed, key, arrival).join(existing.select(key), key, "left_anti")
+    new = _earliest(keyed, key, arrival).join(_stored_keys(existing, keyed, key), key, "left_anti")
     return new.select(*batch.columns).unionByName(keyless)
 
 
@@ -64,7 +78,7 @@ def country_lookup(layer: DataFrame) -> DataFrame:
 def sea_lookup(layer: DataFrame) -> DataFrame:
     """``(id, name)``: distinct names numbered from 0 in order of first appearance."""
     require_columns(layer, SEA_COLUMNS, "sea")
-    firsts = layer.groupBy("name").agg(F.min("row_id").alias("first_row"))
+    firsts = layer.where("name IS NOT NULL").groupBy("name").agg(F.min("row_id").alias("first_row"))
     return row_ids(firsts, ["first_row"], 0, "id").select(F.col("id").cast("int").alias("id"), "name")
 
 

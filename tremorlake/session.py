@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc._jsc.sc().isLocal():
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="tremorlake-")
     sc.setCheckpointDir(configured)
@@ -64,8 +67,33 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_owners = threading.local()     # a stream runs its batches in a thread of its own
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def owned_stages(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that ``stage`` wrote inside. For jobs that end with their own write."""
+    outer, _owners.paths = getattr(_owners, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _owners.paths:
+            delete_path(spark, path)
+        _owners.paths = outer
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """As ``pin`` for large data: a Parquet table in the shared folder, which later jobs read by column."""
+    """As ``pin`` for large data: a Parquet table in the shared folder, which later jobs read by column.
+
+    Inside ``owned_stages`` the table goes with its owner; outside, the caller still reads it and it stays.
+    """
     path = scratch_path(df.sparkSession, "stage")
+    if getattr(_owners, "paths", None) is not None:
+        _owners.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,28 +9,52 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tremorlake.sources.geojson import parse_features
+from tremorlake.sources.geojson import parse_features, readable_feature
 
 Fetch = Callable[[datetime, datetime], Iterable[str]]
 
 FETCHED = "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, status STRING, message STRING, feature STRING"
 MAX_LISTED_WINDOWS = 10_000
+BLOCK_ROWS = 5_000                # rows a task hands on at once
 
 
-def _caller(fetch: Fetch) -> Callable[[datetime, datetime], list[tuple]]:
+class TooManyEvents(Exception):
+    """What ``fetch`` raises when the service refuses a window as too large."""
+
+
+def _caller(fetch: Fetch) -> Callable[[datetime, datetime], Iterator[tuple]]:
     """A nested function travels to the tasks by value, so executors need nothing installed but Spark."""
-    def call(start: datetime, end: datetime) -> list[tuple]:
-        """All features of a window and its status row; a failed window gives the status row alone."""
-        try:
-            features = list(fetch(start, end))
-        except Exception as error:  # any failure of the service or the network belongs in the log
-            return [(start, end, "error", str(error), None)]
-        return [(start, end, "feature", None, f) for f in features] + [(start, end, "success", None, None)]
+    refusal = TooManyEvents.__name__
+
+    def call(start: datetime, end: datetime) -> Iterator[tuple]:
+        """The features of a window and a status row for every part that was asked for in the end.
+
+        A refused window is halved at a whole second, half-open, the earlier half first. A refused window of one
+        second has the status ``over_cap``, any other failure ``error``, both without features.
+        """
+        waiting = [(start, end)]
+        while waiting:
+            low, high = waiting.pop()
+            held = 0
+            try:
+                for feature in fetch(low, high):
+                    held += 1
+                    yield low, high, "feature", None, feature
+                yield low, high, "success", None, None
+            except Exception as error:  # any failure of the service or the network belongs in the log
+                refused = any(kind.__name__ == refusal for kind in type(error).__mro__)
+                seconds = int((high - low).total_seconds())
+                if refused and not held and seconds > 1:
+                    middle = low + timedelta(seconds=seconds // 2)
+                    waiting += [(middle, high), (low, middle)]
+                else:
+                    yield low, high, "over_cap" if refused and not held else "partial" if held else "error", str(error), None
 
     return call
 
@@ -38,15 +62,17 @@ def _caller(fetch: Fetch) -> Callable[[datetime, datetime], list[tuple]]:
 def fetch_windows(windows: DataFrame, fetch: Fetch, tasks: int | None = None) -> DataFrame:
     """Fetch ``(window_start, window_end)`` rows where they are; any number of windows.
 
-    Windows come from ``plan_fetch_windows``, so one answer is bounded by the cap of the service.
+    A window that the service refuses is split where it is fetched, so no count has to be known before. Rows are
+    handed on in blocks, so an answer of any size passes.
     """
-    call = _caller(fetch)
+    call, block_rows = _caller(fetch), BLOCK_ROWS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start, end in zip(batch["window_start"], batch["window_end"]):
                 rows = call(start.to_pydatetime(), end.to_pydatetime())
-                yield pd.DataFrame(rows, columns=["window_start", "window_end", "status", "message", "feature"])
+                while block := list(islice(rows, block_rows)):
+                    yield pd.DataFrame(block, columns=["window_start", "window_end", "status", "message", "feature"])
 
     spread = windows.select("window_start", "window_end")
     spread = spread.repartition(tasks or int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -106,10 +132,15 @@ def fetched_features(fetched: DataFrame) -> DataFrame:
 
 
 def fetch_log(fetched: DataFrame, source: str) -> DataFrame:
-    """One load-log row per window: what was asked for, how many rows came, success or error."""
+    """One load-log row per window asked for in the end: how many rows came, and how it ended.
+
+    A window with texts that are no features is ``partial``, whatever the service said.
+    """
+    broken = (F.col("status") == "feature") & ~readable_feature("feature")
     per_window = fetched.groupBy("window_start", "window_end").agg(
-        F.count_if(F.col("status") == "feature").alias("rows_submitted"),
-        F.max(F.when(F.col("status") != "feature", F.col("status"))).alias("status"))
+        F.count_if((F.col("status") == "feature") & ~broken).alias("rows_submitted"), F.bool_or(broken).alias("broken"),
+        F.max(F.when(F.col("status") != "feature", F.col("status"))).alias("status")).withColumn(
+        "status", F.when(F.col("broken") & (F.col("status") == "success"), F.lit("partial")).otherwise(F.col("status")))
     return per_window.select(
         F.lit(source).alias("source"), F.col("window_start").alias("start_time_utc"),
         F.col("window_end").alias("end_time_utc"), "rows_submitted", "status")

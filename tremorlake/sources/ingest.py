@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremorlake.operators.enrich import location_rows, resolve_location, scan_points
 from tremorlake.operators.features import flatten_feature
+from tremorlake.operators.load_windows import month_windows
 from tremorlake.operators.pip import PolygonIndex
 from tremorlake.operators.stats import needs_initial_load
 from tremorlake.operators.tables import first_write_wins, unresolved_points
-from tremorlake.schema import FEATURE_IN, LOAD_LOG
-from tremorlake.session import stage
+from tremorlake.schema import FEATURE_IN
+from tremorlake.session import owned_stages, stage
 from tremorlake.sources import store
-from tremorlake.sources.feed import Fetch, fetch_windows
+from tremorlake.sources.feed import Fetch, fetch_log, fetch_windows
+from tremorlake.sources.geojson import readable_feature
 
 INITIAL_DAYS = 30
 
@@ -23,29 +25,34 @@ def load_windows(spark: SparkSession, store_path: str, log_path: str, windows: D
                  load_id: str, created_at: datetime) -> tuple[int, int]:
     """Fetch ``(window_start, window_end)`` rows, store what is new and log every window.
 
-    Answers are landed before they are used, so the service is asked once. The log holds, per window,
-    what came, what was inserted and whether the fetch failed; a failed window stays uncovered.
+    Answers are landed before they are used, so the service is asked once. The log holds, per window asked for in
+    the end, what came, what was inserted and how the fetch ended; only successful windows count as covered.
+    Repeating a ``load_id`` replaces its events and its log.
     """
-    landed = stage(fetch_windows(windows, fetch))
-    features = landed.where("status = 'feature'").select(
-        "window_start", "window_end", F.from_json("feature", FEATURE_IN).alias("f")).select("window_start", "window_end", "f.*")
-    counts = store.load_batch(spark, store_path, flatten_feature(features, keep=["window_start"]), ["window_start", "updated_utc"], load_id)
+    with owned_stages(spark):
+        landed = stage(fetch_windows(windows, fetch))
+        features = landed.where("status = 'feature'").where(readable_feature("feature")).select(
+            "window_start", "window_end", F.from_json("feature", FEATURE_IN).alias("f")).select("window_start", "window_end", "f.*")
+        counts = store.load_batch(spark, store_path, flatten_feature(features, keep=["window_start"]), ["window_start", "updated_utc"], load_id)
 
-    came = landed.groupBy("window_start", "window_end").agg(
-        F.count_if(F.col("status") == "feature").alias("rows_submitted"),
-        F.max(F.when(F.col("status") != "feature", F.col("status"))).alias("status"))
-    stored = store.scan_quake(spark, store_path).where(F.col(store.LOAD) == load_id).select("usgs_id")
-    first_seen = first_write_wins(features.select("window_start", F.col("id").alias("usgs_id")), "usgs_id", ["window_start"])
-    keyed = first_seen.join(stored, "usgs_id", "left_semi").select("window_start")
-    keyless = first_seen.where("usgs_id IS NULL").select("window_start")
-    kept = keyed.unionAll(keyless).groupBy("window_start").agg(F.count(F.lit(1)).alias("rows_inserted"))
-    log = came.join(kept, "window_start", "left").select(
-        F.lit(source).alias("source"), F.col("window_start").cast("timestamp").alias("start_time_utc"),
-        F.col("window_end").cast("timestamp").alias("end_time_utc"), "rows_submitted",
-        F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"), "status",
-        F.lit(created_at).cast("timestamp").alias("created_at"))
-    log.select(*LOAD_LOG.fieldNames()).write.mode("append").parquet(log_path)
-    return counts
+        stored = store.scan_quake(spark, store_path).where(F.col(store.LOAD) == load_id).select("usgs_id")
+        first_seen = first_write_wins(features.select("window_start", F.col("id").alias("usgs_id")), "usgs_id", ["window_start"])
+        keyed = first_seen.join(stored, "usgs_id", "left_semi").select("window_start")
+        keyless = first_seen.where("usgs_id IS NULL").select("window_start")
+        kept = keyed.unionAll(keyless).groupBy(F.col("window_start").alias("start_time_utc")).agg(F.count(F.lit(1)).alias("rows_inserted"))
+        log = fetch_log(landed, source).join(kept, "start_time_utc", "left").select(
+            "source", F.col("start_time_utc").cast("timestamp").alias("start_time_utc"),
+            F.col("end_time_utc").cast("timestamp").alias("end_time_utc"), "rows_submitted",
+            F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"), "status",
+            F.lit(created_at).cast("timestamp").alias("created_at"))
+        store.write_load_log(log, log_path, load_id)
+        return counts
+
+
+def load_year(spark: SparkSession, store_path: str, log_path: str, fetch: Fetch, source: str, now: datetime) -> tuple[int, int]:
+    """The twelve months before the month of ``now``, month by month; a month that the service refuses is split."""
+    ends = spark.range(1).select(F.lit(now).cast("timestamp_ntz").alias("end_ts"))
+    return load_windows(spark, store_path, log_path, month_windows(ends), fetch, source, f"year-{now:%Y%m}", now)
 
 
 def load_recent(spark: SparkSession, store_path: str, log_path: str, fetch: Fetch, source: str, now: datetime,

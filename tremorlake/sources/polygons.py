@@ -27,7 +27,7 @@ def _checked(df: DataFrame, extra: Sequence[str], layer: str) -> DataFrame:
     require_columns(df, ["row_id", "srid", "rings", *extra], layer)
     bad = F.raise_error(F.concat(F.lit(f"{layer} layer needs row_id and SRID {WGS84}, got "), F.to_json(F.struct("row_id", "srid"))))
     ok = F.coalesce((F.col("srid") == WGS84) & F.col("row_id").isNotNull(), F.lit(False))
-    return df.withColumn("srid", F.when(ok, F.col("srid")).otherwise(bad.cast("int"))).where(F.col("srid") == WGS84)
+    return df.withColumn("srid", F.when(ok, F.col("srid")).otherwise(bad.cast("int")))
 
 
 def country_layer(df: DataFrame) -> DataFrame:
@@ -48,9 +48,17 @@ def union_layers(parts: Sequence[DataFrame]) -> DataFrame:
 
 def _read(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     chosen = [paths] if isinstance(paths, str) else list(paths)
-    if all(p.endswith((".json", ".geojson")) for p in chosen):
+    if all(p.endswith((".json", ".geojson", ".geojsonl", ".ndjson")) for p in chosen):
         return read_geojson_polygons(spark, chosen)
-    return spark.read.option("mergeSchema", "true").parquet(*chosen)
+    return _named(spark.read.option("mergeSchema", "true").parquet(*chosen))
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """Columns under the names used here: ``NAME`` in any case, ``__row_id__`` as ``row_id``."""
+    wanted = {c.lower(): c for c in ("row_id", "srid", "rings", *COUNTRY_COLUMNS, *SEA_COLUMNS)} | {"__row_id__": "row_id"}
+    taken = set(df.columns)
+    renames = {c: wanted[c.lower()] for c in df.columns if c.lower() in wanted and wanted[c.lower()] not in taken}
+    return df.withColumnsRenamed(renames)
 
 
 def read_country_polygons(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -62,32 +70,41 @@ def read_sea_polygons(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     return sea_layer(_read(spark, paths))
 
 
-_GEOJSON = (
-    "type STRING, crs STRING, features ARRAY<STRUCT<"
-    "properties: MAP<STRING, STRING>, geometry: STRUCT<type: STRING, coordinates: STRING>>>"
-)
+_FEATURE = "properties MAP<STRING, STRING>, geometry STRUCT<type: STRING, coordinates: STRING>"
+_GEOJSON = f"type STRING, crs STRING, features ARRAY<STRUCT<{_FEATURE.replace('properties MAP', 'properties: MAP').replace('geometry STRUCT', 'geometry: STRUCT')}>>"
 _POINTS = "ARRAY<ARRAY<DOUBLE>>"
 
 
 def read_geojson_polygons(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """FeatureCollections of Polygon and MultiPolygon; ``row_id`` is read from the properties.
 
-    GeoJSON is WGS84 by definition, so another ``crs`` member gives another SRID and fails the check.
+    GeoJSON is WGS84 by definition, so another ``crs`` member gives another SRID and fails the check. Files ending
+    in ``.geojsonl`` or ``.ndjson`` hold one feature per line, which splits. A text that is no JSON, a geometry of
+    another type and coordinates that do not parse fail the read.
     """
-    docs = spark.read.schema(_GEOJSON).option("multiLine", True).json(list(paths))
-    wgs = F.col("crs").isNull() | F.col("crs").contains("CRS84") | F.col("crs").contains(str(WGS84))
-    feats = docs.select(F.when(wgs, F.lit(WGS84)).otherwise(F.lit(0)).alias("srid"), F.inline("features"))
+    lines = [p for p in paths if p.endswith((".geojsonl", ".ndjson"))]
+    whole = [p for p in paths if p not in lines]
+    parts = []
+    if whole:
+        docs = spark.read.schema(_GEOJSON).option("multiLine", True).option("mode", "FAILFAST").json(whole)
+        wgs = F.col("crs").isNull() | F.col("crs").contains("CRS84") | F.col("crs").contains(str(WGS84))
+        parts.append(docs.select(F.when(wgs, F.lit(WGS84)).otherwise(F.lit(0)).alias("srid"), F.inline("features")))
+    if lines:
+        each = spark.read.schema(_FEATURE).option("mode", "FAILFAST").json(lines)
+        parts.append(each.select(F.lit(WGS84).alias("srid"), "properties", "geometry"))
+    feats = union_layers(parts)
     text, kind = F.col("geometry.coordinates"), F.col("geometry.type")
     single = F.from_json(text, f"ARRAY<{_POINTS}>")
     multi = F.flatten(F.from_json(text, f"ARRAY<ARRAY<{_POINTS}>>"))
-    rings = F.when(kind == "Polygon", single).when(kind == "MultiPolygon", multi)
+    broken = F.raise_error(F.concat(F.lit("no polygon: "), F.coalesce(F.substring(F.to_json("geometry"), 1, 200), F.lit("null"))))
+    rings = F.coalesce(F.when(kind == "Polygon", single).when(kind == "MultiPolygon", multi), broken.cast(f"ARRAY<{_POINTS}>"))
     points = F.transform(rings, lambda ring: F.transform(
         ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
-    props = F.col("properties")
+    props = F.transform_keys("properties", lambda k, _: F.lower(k))
     return feats.select(
         F.coalesce(props["row_id"], props["__row_id__"]).cast("long").alias("row_id"),
         "srid", points.alias("rings"),
-        *[props[c].alias(c) for c in (*COUNTRY_COLUMNS, *SEA_COLUMNS)],
+        *[props[c.lower()].alias(c) for c in (*COUNTRY_COLUMNS, *SEA_COLUMNS)],
     )
 
 

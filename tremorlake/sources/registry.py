@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremorlake.operators.features import flatten_feature
 from tremorlake.operators.filters import DEFAULT_LIMIT, EventFilter
 from tremorlake.operators.ranking import query_events
+from tremorlake.operators.tables import first_write_wins
 from tremorlake.sources.geojson import read_feature_lines
 from tremorlake.sources.store import scan_quake
 
@@ -16,7 +17,9 @@ Source = Callable[[SparkSession, str], DataFrame]
 
 
 def _landed(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_feature(read_feature_lines(spark, path)).withColumnRenamed("usgs_id", "id")
+    """Events of landed snapshots: of an event that landed several times its newest revision, numbered by a hash."""
+    events = first_write_wins(flatten_feature(read_feature_lines(spark, path)), "usgs_id", [F.col("updated_utc").desc_nulls_last()])
+    return events.withColumn("id", F.xxhash64(F.coalesce("usgs_id", F.to_json(F.struct(*events.columns)))))
 
 
 SOURCES: dict[str, Source] = {"store": scan_quake, "landed": _landed}

@@ -5,13 +5,14 @@ One writer at a time: plain Parquet has no transactions.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tremorlake.operators.tables import dense_ids, insert_new, upsert_location
 from tremorlake.schema import LOAD_LOG, LOCATION, QUAKE
-from tremorlake.session import stage
+from tremorlake.session import owned_stages, stage
 
 LOAD, MONTH = "load_id", "event_month"
 LOCATION_BLOCK = 1_000_000      # ids per partition of the location table
@@ -35,31 +36,60 @@ def load_batch(spark: SparkSession, path: str, batch: DataFrame, arrival: list,
     """Store the events of ``batch`` that are not stored yet; returns (submitted, inserted).
 
     The batch is landed first, so that its source, which may be a service, is read once. A load owns the
-    partitions of its ``load_id``: repeating it replaces its own rows, so a retry after a lost driver
-    leaves the same store. The stored side of the test reads the id column alone, over all months,
-    because ids are unique across months. Rows are sorted by time inside each file so that row groups
+    partitions of its ``load_id``: repeating it replaces all of its rows, in whatever months they lay, and an event
+    it stored before keeps its id (events without a ``usgs_id`` cannot be told apart and are numbered anew). So a
+    retry after a lost driver leaves the same store. The stored side of the test reads the id column alone, over
+    all months, because ids are unique across months. Rows are sorted by time inside each file so that row groups
     skip on time.
     """
-    raw = stage(batch)
-    stored = scan_quake(spark, path).where(F.col(LOAD) != load_id)
-    new = insert_new(stored.select("usgs_id"), raw, arrival).select(
-        *[F.col(f.name).cast(f.dataType) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name)
-          for f in QUAKE.fields if f.name != "id"])
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("top")).first()["top"]
-    numbered = dense_ids(new, top).withColumns({
-        LOAD: F.lit(load_id), MONTH: F.coalesce(F.date_format("time_utc", "yyyy-MM"), F.lit("unknown"))})
-    months = numbered.repartitionByRange(MONTH, "time_utc", "id").sortWithinPartitions(MONTH, "time_utc")
-    inserted = Observation("inserted")
-    months.observe(inserted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(LOAD, MONTH).parquet(path)
-    return raw.count(), inserted.get["n"]
+    with owned_stages(spark):
+        raw = stage(batch)
+        everything = scan_quake(spark, path)
+        others, own = everything.where(F.col(LOAD) != load_id), everything.where((F.col(LOAD) == load_id) & F.col("usgs_id").isNotNull())
+        new = stage(insert_new(others.select("usgs_id"), raw, arrival).select(
+            *[F.col(f.name).cast(f.dataType) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in QUAKE.fields if f.name != "id"]))
+        top = everything.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("top")).first()["top"]
+        known = stage(own.select("usgs_id", "id"))
+        again = new.join(known, "usgs_id")
+        fresh = dense_ids(new.join(known.select("usgs_id"), "usgs_id", "left_anti").select(*new.columns), top)
+        numbered = again.select(*fresh.columns).unionByName(fresh).withColumns({
+            LOAD: F.lit(load_id), MONTH: F.coalesce(F.date_format("time_utc", "yyyy-MM"), F.lit("unknown"))})
+        months = numbered.repartitionByRange(MONTH, "time_utc", "id").sortWithinPartitions(MONTH, "time_utc")
+        inserted = Observation("inserted")
+        _replace_load(spark, path, load_id, months.observe(inserted, F.count(F.lit(1)).alias("n")))
+        return raw.count(), inserted.get["n"]
+
+
+def _replace_load(spark: SparkSession, path: str, load_id: str, rows: DataFrame) -> None:
+    """Write all rows of a load beside the store, then let them take the place of what the load stored before.
+
+    Readers skip folders whose name begins with an underscore. A job lost between the two renames is repeated with
+    the same ``load_id``.
+    """
+    fresh = f"{path}/_load-{uuid.uuid4().hex}"
+    rows.write.partitionBy(LOAD, MONTH).parquet(fresh)
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    own = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(LOAD, load_id)
+    if files.exists(there(f"{path}/{own}")):
+        files.delete(there(f"{path}/{own}"), True)
+    if files.exists(there(f"{fresh}/{own}")):
+        files.rename(there(f"{fresh}/{own}"), there(f"{path}/{own}"))
+    files.delete(there(fresh), True)
 
 
 def append_load_log(spark: SparkSession, path: str, source: str, start: datetime, end: datetime,
-                    submitted: int, inserted: int, status: str, created_at: datetime) -> None:
-    """One row per load, with what was really inserted and the real status."""
+                    submitted: int, inserted: int, status: str, created_at: datetime, load_id: str | None = None) -> None:
+    """One row per load, with what was really inserted and the real status; a repeated ``load_id`` replaces its row."""
     row = (source, start, end, submitted, inserted, status, created_at)
-    spark.createDataFrame([row], LOAD_LOG).write.mode("append").parquet(path)
+    write_load_log(spark.createDataFrame([row], LOAD_LOG), path, load_id or uuid.uuid4().hex)
+
+
+def write_load_log(rows: DataFrame, path: str, load_id: str) -> None:
+    """All log rows of one load; repeating the load replaces them."""
+    rows.select(*LOAD_LOG.fieldNames(), F.lit(load_id).alias(LOAD)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(LOAD).parquet(path)
 
 
 def read_load_log(spark: SparkSession, path: str) -> DataFrame:
@@ -75,11 +105,12 @@ def read_location(spark: SparkSession, path: str) -> DataFrame:
 def write_location(spark: SparkSession, path: str, new: DataFrame) -> None:
     """Upsert location rows, rewriting only the id blocks that ``new`` touches."""
     block = F.floor(F.col("quake_id") / LOCATION_BLOCK).cast("long").alias("id_block")
-    fresh = stage(new.select(*LOCATION.fieldNames()))
-    merged = fresh
-    if _exists(spark, path):
-        touched = fresh.select(block).distinct()
-        stored = spark.read.parquet(path).join(touched, "id_block", "left_semi")
-        merged = stage(upsert_location(stored, fresh))   # the files read here are replaced below
-    merged.select("*", block).repartition("id_block", F.pmod(F.xxhash64("quake_id"), F.lit(8))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("id_block").parquet(path)
+    with owned_stages(spark):
+        fresh = stage(new.select(*LOCATION.fieldNames()))
+        merged = fresh
+        if _exists(spark, path):
+            touched = fresh.select(block).distinct()
+            stored = spark.read.parquet(path).join(touched, "id_block", "left_semi")
+            merged = stage(upsert_location(stored, fresh))   # the files read here are replaced below
+        merged.select("*", block).repartition("id_block", F.pmod(F.xxhash64("quake_id"), F.lit(8))).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("id_block").parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tremorlake.operators.features import flatten_feature
 from tremorlake.operators.proximity import near_places
-from tremorlake.schema import FEATURE_IN
+from tremorlake.sources.geojson import parse_features, readable_feature
 from tremorlake.sources.store import load_batch
 
 DEDUP_SALTS = 16
@@ -18,25 +18,35 @@ DEDUP_SALTS = 16
 
 def stream_features(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Events of landed snapshots, one feature per line; the same event may land many times."""
-    reader = spark.readStream.schema(FEATURE_IN)
+    return flatten_feature(parse_features(_stream_lines(spark, path, max_files), "value"))
+
+
+def stream_unreadable(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Landed lines that hold something, but no feature: for a sink of their own."""
+    return _stream_lines(spark, path, max_files).where((F.trim("value") != "") & ~readable_feature("value"))
+
+
+def _stream_lines(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return flatten_feature(reader.json(path))
+    return reader.text(path)
 
 
-def _once_per_key(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+def _once_per_key(stream: DataFrame, keys: Sequence[str], time: str, delay: str, salts: int = DEDUP_SALTS) -> DataFrame:
     """Drop repeats of ``keys`` within the watermark.
 
-    Repeats are dropped per salt first, so a hot key reaches the final task as at most one row per salt.
+    Repeats are dropped per salt first, so a hot key reaches the final task as at most one row per salt. The salt is
+    the task that read the row, so that exact repeats of one event spread as well.
     """
-    salted = stream.withWatermark(time, delay).withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(DEDUP_SALTS)))
+    salted = stream.withWatermark(time, delay).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     first = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return first.dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
+def stream_dedup(stream: DataFrame, delay: str = "1 day", salts: int = DEDUP_SALTS) -> DataFrame:
     """Each event id once within the watermark. Events without an id all stay: see ``stream_without_id``."""
-    return _once_per_key(stream.where("usgs_id IS NOT NULL"), ["usgs_id"], "time_utc", delay)
+    return _once_per_key(stream.where("usgs_id IS NOT NULL"), ["usgs_id"], "time_utc", delay, salts)
 
 
 def stream_without_id(stream: DataFrame) -> DataFrame:
