@@ -53,3 +53,21 @@ def test_first_load_and_locations(spark, tmp_path):
     want = [("day0", "ABC", 0), ("day2", None, 0), ("shared", None, None)]
     assert locate() == want
     assert locate() == want         # nothing new: the same table
+
+
+def test_a_year_is_loaded_month_by_month(spark, tmp_path):
+    """Half-open windows: the last second of a month is asked for, and a refused month is split."""
+    def service(start, end):
+        from tremorlake.sources.feed import TooManyEvents
+        if end - start > timedelta(days=20):
+            raise TooManyEvents("month")
+        last = datetime(2023, 1, 31, 23, 59, 59)
+        ms = int((last - datetime(1970, 1, 1)).total_seconds() * 1000)
+        return ['{"id": "e", "properties": {"mag": 1.0, "time": %d}}' % ms] if start <= last < end else []
+
+    quakes, log = str(tmp_path / "quakes"), str(tmp_path / "log")
+    for _ in range(2):
+        assert ingest.load_year(spark, quakes, log, service, "feed", NOW) == (1, 1)
+        entries = store.read_load_log(spark, log)
+        assert entries.count() == 24 and coverage_gaps(entries).isEmpty()
+        assert [r["usgs_id"] for r in store.scan_quake(spark, quakes).collect()] == ["e"]

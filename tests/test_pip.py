@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tremorlake.operators.enrich import location_rows, resolve_location
 from tremorlake.operators.pip import build_index, choose_cell_deg, covering_pairs, resolve_polygon
 from tremorlake.operators.tables import check_references, country_lookup, sea_lookup
-from tremorlake.sources.polygons import country_layer, polygon_edges, read_country_polygons, sea_layer, union_layers
+from tremorlake.sources.polygons import country_layer, polygon_edges, read_country_polygons, read_sea_polygons, sea_layer, union_layers
 
 LAYER = "row_id LONG, srid INT, rings ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>"
 
@@ -169,3 +169,18 @@ def test_location_uses_clean_keys_and_sea_ids(spark):
     assert {tuple(r) for r in found.collect()} == {(0, "ABC", 0), (1, None, 1), (2, None, 0), (3, None, None), (4, None, None)}
     assert check_references(found, "sea_id", lookup, "id").isEmpty()
     assert check_references(found, "country_iso", country_lookup(countries), "iso").isEmpty()
+
+
+def test_layer_files_as_they_come(spark, tmp_path):
+    """Names in any case, the row id under its old name, one feature per line; what is no polygon fails."""
+    square = "[[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]"
+    feature = '{"type": "Feature", "properties": {"__row_id__": %d, "NAME": "%s"}, "geometry": {"type": "%s", "coordinates": %s}}'
+    (tmp_path / "a.geojsonl").write_text("\n".join([feature % (4, "A", "Polygon", square), feature % (5, "B", "MultiPolygon", f"[{square}]")]))
+    read = read_sea_polygons(spark, str(tmp_path / "a.geojsonl"))
+    assert sorted((r["row_id"], r["name"], len(r["rings"])) for r in read.collect()) == [(4, "A", 1), (5, "B", 1)]
+    read.select(F.col("row_id").alias("__row_id__"), "srid", "rings", F.col("name").alias("NAME")).write.parquet(str(tmp_path / "p"))
+    assert sorted((r["row_id"], r["name"]) for r in read_sea_polygons(spark, str(tmp_path / "p")).collect()) == [(4, "A"), (5, "B")]
+    for kind, coordinates in (("LineString", "[[0, 0], [1, 1]]"), ("Polygon", '"x"')):
+        (tmp_path / "bad.geojsonl").write_text(feature % (1, "C", kind, coordinates))
+        with pytest.raises(Exception, match="no polygon"):
+            read_sea_polygons(spark, str(tmp_path / "bad.geojsonl")).collect()

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators import joins
 from tremorlake.operators.filters import EventFilter, since, within_ms
+from tremorlake.operators import tables
 from tremorlake.operators.ranking import query_events
+from tremorlake.operators.tables import insert_new
 from tremorlake.plans import fixtures as fx
 from tremorlake.plans.queries import QUERIES
 from tremorlake.session import checkpoint_dir
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON_BY_NATURE = {"fetch_source"}                    # calls the service from tasks
 ONE_ROW_PER_FRAME = {"playback_counts"}                # running sum over frames, not events
 
 
@@ -26,8 +27,7 @@ def plan(df):
 def test_plans_avoid_cross_products_python_and_global_windows(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    if name not in PYTHON_BY_NATURE:
-        assert not re.search(r"Python|InPandas|InArrow", text)
+    assert not re.search(r"Python|InPandas|InArrow", text)
     if name not in ONE_ROW_PER_FRAME:
         for window in re.findall(r"windowspecdefinition\(([^)]*)", text):
             assert not re.match(r"\S+ (ASC|DESC)", window) or "_part" in window
@@ -74,5 +74,15 @@ def test_lookup_join_beyond_the_limit_shuffles_and_agrees(spark):
     assert few.columns == many.columns == ["id", "k", "v"] and many.count() == 1_000
 
 
+def test_a_small_batch_does_not_move_the_stored_ids(spark):
+    stored = spark.range(10**9).select(F.col("id").cast("string").alias("usgs_id"))
+    batch = spark.createDataFrame([("x", 1)], "usgs_id STRING, id INT")
+    text = plan(insert_new(stored, batch))
+    after = text[text.index("LeftAnti"):]
+    assert re.search(r"BroadcastHashJoin [^\n]*LeftSemi", after) and "SortMergeJoin" not in text
+    many = plan(tables._stored_keys(stored, batch, "usgs_id", max_copied=0))
+    assert "Broadcast" not in many
+
+
 def test_the_shared_folder_is_the_one_configured(spark):
     assert spark.sparkContext.getConf().get("spark.checkpoint.dir") in checkpoint_dir(spark)

@@ -133,3 +133,52 @@ def test_location_table_rewrites_only_touched_blocks(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "location" / "id_block=3").iterdir()) == untouched
     points = spark.createDataFrame([(2,), (5,)], "id LONG")
     assert rows(t.unresolved_points(points, store.read_location(spark, path))) == [(5,)]
+
+
+def test_a_repeated_load_replaces_all_months_and_keeps_ids(spark, tmp_path):
+    path = str(tmp_path / "quakes")
+    ids = lambda: {r["usgs_id"]: (r["id"], r["time_utc"].month) for r in store.scan_quake(spark, path).collect()}
+    load = lambda name, *changes: store.load_batch(spark, path, events(spark, *changes).drop("id"), ["time_utc"], name)
+    january, february = datetime(2024, 1, 31), datetime(2024, 2, 1)
+    load("A", {"usgs_id": "x", "time_utc": january}, {"usgs_id": "y", "time_utc": january})
+    load("B", {"usgs_id": "z", "time_utc": february})
+    before = ids()
+    load("A", {"usgs_id": "x", "time_utc": january}, {"usgs_id": "y", "time_utc": january})
+    assert ids() == before                                                    # A, B, A
+    assert load("A", {"usgs_id": "x", "time_utc": february}, {"usgs_id": "z", "time_utc": january}, {"usgs_id": "n", "time_utc": january}) == (3, 2)
+    after = ids()
+    assert after["x"] == (before["x"][0], 2) and after["z"] == before["z"] and set(after) == {"x", "z", "n"}
+    assert after["n"][0] not in {i for i, _ in before.values()}
+    assert not [p.name for p in (tmp_path / "quakes").iterdir() if p.name.startswith("_load")]
+
+
+def test_a_repeated_load_replaces_its_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for submitted, load_id in ((4, "A"), (5, "B"), (6, "A")):
+        store.append_load_log(spark, path, "s", datetime(2024, 1, 1), datetime(2024, 1, 2), submitted, 0, "success", datetime(2024, 1, 3), load_id)
+    assert rows(store.read_load_log(spark, path).select("rows_submitted")) == [(5,), (6,)]
+
+
+def test_stages_go_with_their_owner(spark, tmp_path):
+    from tremorlake.session import checkpoint_dir, owned_stages, stage
+    files = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    listed = lambda: {str(f.getPath()) for f in files.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(files) if "stage-" in str(f.getPath())}
+    before = listed()
+    store.load_batch(spark, str(tmp_path / "quakes"), events(spark, {"usgs_id": "x"}).drop("id"), ["time_utc"], "A")
+    assert listed() == before
+    with owned_stages(spark):
+        kept = stage(spark.range(3))
+        assert kept.count() == 3 and len(listed()) == len(before) + 1
+    assert listed() == before
+
+
+def test_insert_beside_stored_rows_that_differ(spark):
+    stored = spark.createDataFrame([(f"k{n}", n) for n in range(0, 600, 2)], "usgs_id STRING, id INT")
+    batch = spark.createDataFrame([(f"k{n}", 1000 + n) for n in range(600)] + [(f"k{n}", 5000 + n) for n in range(600)], "usgs_id STRING, id INT")
+    assert rows(t.insert_new(stored, batch)) == sorted([(f"k{n}", 1000 + n) for n in range(1, 600, 2)], key=str)
+
+
+def test_a_sea_without_a_name_is_no_sea(spark):
+    layer = spark.sql("SELECT CAST(id AS LONG) row_id, 4326 srid, CAST(array() AS ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>) rings, name "
+                      "FROM VALUES (1, null), (2, 'B'), (3, 'A') AS v(id, name)")
+    assert rows(t.sea_lookup(layer)) == [(0, "B"), (1, "A")]

@@ -12,7 +12,7 @@ from tremorlake.operators import enrich, features, filters, load_windows, pip, p
 from tremorlake.operators.filters import EventFilter
 from tremorlake.operators.ordering import row_ids
 from tremorlake.plans import fixtures as fx, prepared
-from tremorlake.schema import FEATURE_COLLECTION_IN, FEATURE_OUT
+from tremorlake.schema import FEATURE_OUT
 from tremorlake.session import scratch_path
 from tremorlake.sources import feed, geojson, polygons
 from tremorlake.streaming import jobs
@@ -72,11 +72,11 @@ def read_geojson(spark, sf_dir):
     """All events as FeatureCollection documents of at most 1,000 features, read back."""
     path = scratch_path(spark, "documents")
     numbered = row_ids(fx.quakes(spark, sf_dir), ["time_utc", "id"], 0, "_row")
-    docs = numbered.groupBy(F.floor(F.col("_row") / 1000)).agg(
+    docs = numbered.groupBy(F.floor(F.col("_row") / 1000).alias("doc")).agg(
         F.collect_list(features.feed_feature_struct()).alias("features"))
-    docs.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.text(path)
-    read = spark.read.schema(FEATURE_COLLECTION_IN).json(path).select(F.inline("features"))
-    return _flat(features.flatten_feature(read))
+    # one document per file, as a service would have answered
+    docs.select("doc", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.partitionBy("doc").text(path)
+    return _flat(features.flatten_feature(geojson.read_geojson_features(spark, path)))
 
 
 @query
@@ -85,31 +85,20 @@ def fetch_windows(spark, sf_dir):
     return load_windows.plan_fetch_windows(seconds, _ms(RANGE_START) // 1000, _ms(RANGE_END) // 1000, FETCH_CAP)
 
 
-def _folder_fetch(path: str):
-    """A stand-in for the event service: the features of a window from a Parquet folder sorted by time."""
-    def fetch(start, end):
-        import pyarrow.dataset as ds
-        from pyarrow import fs
-
-        system, folder = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-        data = ds.dataset(folder, filesystem=system, format="parquet", exclude_invalid_files=True)
-        held = (ds.field("time_utc") >= start) & (ds.field("time_utc") < end)
-        return data.to_table(columns=["feature"], filter=held)["feature"].to_pylist()
-
-    return fetch
-
-
 @query
 def fetch_source(spark, sf_dir):
-    """Plan windows, fetch each in parallel, flatten what came."""
-    path = scratch_path(spark, "service")
+    """The features of every planned window, flattened. The asking of a service is tested apart.
+
+    Windows are cut at days, so an event finds its window by day and then by the range.
+    """
+    day = 86_400
+    windows = fetch_windows(spark, sf_dir).select("start_s", "end_s", F.explode(F.sequence(
+        F.floor(F.col("start_s") / day), F.floor((F.col("end_s") - 1) / day))).alias("day"))
     events = fx.quakes(spark, sf_dir)
-    events.repartitionByRange("time_utc", "id").sortWithinPartitions("time_utc").select(
-        "time_utc", F.to_json(features.feed_feature_struct()).alias("feature")).write.parquet(path)
-    windows = fetch_windows(spark, sf_dir).select(
-        _ntz(F.timestamp_seconds("start_s")).alias("window_start"), _ntz(F.timestamp_seconds("end_s")).alias("window_end"))
-    fetched = feed.fetch_windows(windows, _folder_fetch(path))
-    return _flat(features.flatten_feature(feed.fetched_features(fetched)))
+    texts = events.select(F.unix_seconds(F.col("time_utc").cast("timestamp")).alias("s"), F.to_json(features.feed_feature_struct()).alias("feature"))
+    held = (F.col("s") >= F.col("start_s")) & (F.col("s") < F.col("end_s"))
+    answers = texts.withColumn("day", F.floor(F.col("s") / day)).join(windows, "day").where(held).withColumn("status", F.lit("feature"))
+    return _flat(features.flatten_feature(feed.fetched_features(answers)))
 
 
 @query
