@@ -158,11 +158,11 @@ def write_bundles(
     arrow = to_arrow_schema(T.StructType.fromDDL(BUNDLES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         def out(bundle, places):
-            return pa.RecordBatch.from_arrays([pa.array([x], type=arrow.field(i).type) for i, x in enumerate((
-                uuid.uuid4().hex, bundle.close(), [p[0] for p in places], [p[1] for p in places], [p[2] for p in places]))], schema=arrow)
+            data = bundle.close()
+            # named by its content: a task that is run again makes the same bundle
+            row = (hashlib.sha1(data).hexdigest(), data, [p[0] for p in places], [p[1] for p in places], [p[2] for p in places])
+            return pa.RecordBatch.from_arrays([pa.array([x], type=arrow.field(i).type) for i, x in enumerate(row)], schema=arrow)
 
         bundle, places = Bundle(frame_bytes), []
         for batch in batches:
@@ -242,4 +242,4 @@ def export_bundles(bundles: DataFrame, folder: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = Scratch(spark, "warc").stage(write_bundles(table(spark, sf_dir, "pages")), "bundles", keep=True)
-    return read_bundles(bundles)
+    return read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
