@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,7 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def use_text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Whole texts travel in short Arrow batches, which bounds the memory of a Python worker."""
+    """Whole texts travel in short Arrow batches, which bounds the memory of a Python worker.
+
+    Also lets the Python workers find this package where it lies, whatever folder the session was started from. On a
+    cluster it is installed on all machines or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    workers = spark.sparkContext.environment
+    paths = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if os.path.isdir(root) and root not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
