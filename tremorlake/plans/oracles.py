@@ -265,7 +265,8 @@ SELECT poly, ring, x1, y1, x2, y2 FROM sea_edge UNION ALL SELECT poly + 100, rin
     "upsert_country": f"""WITH {COUNTRY}, {ZONE_RAW}, {ZONE_CLEAN}, {ZONE_LOOKUP}
 SELECT coalesce(z.iso, c.iso) AS iso, coalesce(z.name, c.name) AS name FROM country c FULL JOIN zone_lookup z ON c.iso = z.iso""",
     "upsert_sea": f"""WITH {SEA}, {BASIN_LOOKUP}
-SELECT coalesce(b.id, s.id) AS id, coalesce(b.name, s.name) AS name FROM sea s FULL JOIN basin_lookup b ON s.id = b.id""",
+SELECT coalesce(b.id, s.id) AS id, coalesce(b.name, s.name) AS name
+FROM (SELECT id, name FROM sea UNION ALL SELECT 100000, 'Old Sea') s FULL JOIN basin_lookup b ON s.id = b.id""",
     "upsert_location": f"""WITH {LOCATED}, {ZONED}
 SELECT l.quake_id, CASE WHEN z.time_utc >= {MID} THEN z.country_iso ELSE l.country_iso END AS country_iso,
   CASE WHEN z.time_utc >= {MID} THEN z.sea_id ELSE l.sea_id END AS sea_id

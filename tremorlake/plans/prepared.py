@@ -41,7 +41,7 @@ def landed_feed(spark: SparkSession, sf_dir: str) -> str:
     """All events landed as feature lines in the shared folder."""
     def land() -> str:
         path = scratch_path(spark, "feed")
-        land_feed_snapshot(fixtures.quakes(spark, sf_dir), path, files=8)
+        land_feed_snapshot(fixtures.quakes(spark, sf_dir), path)
         return path
 
     return _once(spark, (sf_dir, "feed"), land)

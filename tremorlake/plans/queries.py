@@ -428,7 +428,9 @@ def upsert_country(spark, sf_dir):
 
 @query
 def upsert_sea(spark, sf_dir):
-    return tables.upsert_sea(prepared.seas(spark, sf_dir), tables.sea_lookup(fx.basin_polygons(spark, sf_dir)))
+    """A stored sea whose id the new layer lacks stays."""
+    stored = prepared.seas(spark, sf_dir).unionByName(spark.sql("SELECT 100000 AS id, 'Old Sea' AS name"))
+    return tables.upsert_sea(stored, tables.sea_lookup(fx.basin_polygons(spark, sf_dir)))
 
 
 def _zone_location(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
