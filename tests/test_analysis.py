@@ -178,6 +178,31 @@ def test_last_event_near_a_place(spark):
     assert [(r["place"], r["id"], r["km"]) for r in proximity.last_within_km(df, places, 50).collect()] == [(1, 3, 0.0)]
 
 
+@pytest.mark.parametrize("km", [15.0, 120.0, 900.0, 6_000.0])
+@pytest.mark.parametrize("max_copied", [10 ** 6, 0])
+def test_last_event_near_places_equals_all_pairs(spark, km, max_copied):
+    rng = random.Random(11)
+    spots = [(1, 179.9, 10.0), (2, -179.95, -20.0), (3, 0.0, 89.5), (4, 40.0, -90.0), (5, 16.37, 48.21), (6, 180.0, 0.0), (7, 16.4, 48.2)]
+    near = [(x + rng.gauss(0, km / 80), max(-90.0, min(90.0, y + rng.gauss(0, km / 80)))) for _, x, y in spots for _ in range(60)]
+    near = [((x + 180) % 360 - 180, y) for x, y in near] + [(180.0, 0.0), (-180.0, 0.0), (12.0, 90.0)]
+    df = events(spark, *[{"id": i, "lon": x, "lat": y, "time_utc": datetime(2024, 1, 1, rng.randrange(24))} for i, (x, y) in enumerate(near)])
+    places = spark.createDataFrame(spots, "place INT, lon DOUBLE, lat DOUBLE")
+    pairs = df.select("id", "time_utc", "lon", "lat").join(places.withColumnsRenamed({"lon": "plon", "lat": "plat"}), F.lit(True)).withColumn(
+        "km", F.round(haversine_km(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat")), 3)).where(F.col("km") <= km)
+    want = pairs.groupBy("place").agg(F.max_by(F.struct("id", "km"), F.struct("time_utc", "id")).alias("x")).select("place", "x.*")
+    got = proximity.last_within_km(df, places, km, max_copied).select("place", "id", "km")
+    assert rows(got) == rows(want) and len(rows(got)) > 0
+
+
+def test_hours_without_events_over_months_and_far_years(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 31, 22, 30),), (datetime(2024, 3, 1, 1),), (None,)], "time_utc TIMESTAMP_NTZ")
+    got = [tuple(r) for r in stats.counts_per_hour(df).orderBy("hour").collect()]
+    first = datetime(2024, 1, 31, 22)
+    assert got == [(first + timedelta(hours=h), int(h in (0, 29 * 24 + 3))) for h in range(29 * 24 + 4)]
+    far = spark.createDataFrame([(datetime(2024, 1, 1),), (datetime(2324, 1, 1),)], "time_utc TIMESTAMP_NTZ")
+    assert stats.counts_per_hour(far).count() == (datetime(2324, 1, 1) - datetime(2024, 1, 1)).days * 24 + 1
+
+
 def test_country_report_is_strictly_above(spark):
     df = events(spark, {"id": 1, "mag": 3.0}, {"id": 2, "mag": 3.1, "time_utc": datetime(2024, 1, 5)}, {"id": 3, "mag": 4.0}).withColumn(
         "country_iso", F.lit("AUT"))

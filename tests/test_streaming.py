@@ -41,6 +41,21 @@ def test_counts_over_batches_drop_late_rows(spark, tmp_path):
     assert {(r["window_start"].hour, r["n_events"]) for r in counts.collect()} == {(0, 2), (1, 2), (10, 1), (9, 1)}
 
 
+def test_updates_are_merged_and_a_retried_batch_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    merge = lambda updates: jobs.latest_updates(updates, ["k"])
+    now = lambda: sorted(tuple(r) for r in merge(spark.read.parquet(out)).collect())
+    put = lambda n: jobs._write_update(spark.createDataFrame([(n % 3, n)], "k INT, v INT"), out, n, merge, every=4)
+    for n in range(13):
+        put(n)
+        assert now() == sorted({i % 3: i for i in range(n + 1)}.items())
+        assert len(list((tmp_path / "out").glob("batch=*"))) <= 10
+    put(12)
+    assert now() == [(0, 12), (1, 10), (2, 11)]
+    jobs._write_update(spark.createDataFrame([(2, 11)], "k INT, v INT"), out, 11, merge, every=4)      # a merging batch again
+    assert now() == [(0, 12), (1, 10), (2, 11)]
+
+
 def test_sliding_windows(spark, tmp_path):
     land(spark, str(tmp_path / "feed"), at(5))
     sliding = jobs.stream_counts(stream(spark, str(tmp_path / "feed")), "24 hours", "1 hour")
@@ -87,8 +102,8 @@ def test_newest_event_per_place_over_batches(spark, tmp_path):
     places = spark.createDataFrame([(1, 1.0, 2.0), (2, 90.0, 0.0)], "place INT, lon DOUBLE, lat DOUBLE")
     for batch in ([at(5)], [at(3)], [at(7), at(8, lon=90.0, lat=0.0)]):
         land(spark, feed, *batch)
-        run(jobs.start_updates(jobs.stream_last_quake(stream(spark, feed), places, 100.0), out, progress))
-    newest = jobs.latest_updates(spark.read.parquet(out), ["place"])
+        run(jobs.start_last_quake(stream(spark, feed), places, 100.0, out, progress))
+    newest = jobs.latest_quake(spark.read.parquet(out))
     assert sorted((r["place"], r["usgs_id"]) for r in newest.collect()) == [(1, "e7"), (2, "e8")]
     assert newest.where(F.col("km") > 100).isEmpty()
 

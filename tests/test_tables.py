@@ -135,6 +135,14 @@ def test_location_table_rewrites_only_touched_blocks(spark, tmp_path):
     assert rows(t.unresolved_points(points, store.read_location(spark, path))) == [(5,)]
 
 
+def test_unresolved_points_by_blocks_equal_an_anti_join(spark):
+    points = spark.range(40).where("id NOT IN (7, 33)")
+    located = spark.range(45).where("id NOT IN (12, 13, 21)").select(F.col("id").alias("quake_id"))     # block 2 has as many ids as points
+    for max_copied in (100, 0):
+        for size in (1, 10, 1000):
+            assert rows(t.unresolved_points(points, located, size, max_copied)) == [(12,), (13,), (21,)]
+
+
 def test_a_repeated_load_replaces_all_months_and_keeps_ids(spark, tmp_path):
     path = str(tmp_path / "quakes")
     ids = lambda: {r["usgs_id"]: (r["id"], r["time_utc"].month) for r in store.scan_quake(spark, path).collect()}

@@ -28,3 +28,10 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], max_copied:
         return left.join(F.broadcast(right), keys, "left").select(
             *left.columns, *[c for c in right.columns if c not in keys])
     return shuffled_left_join(left, right, keys)
+
+
+def lookup_semi(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
+    """Rows of ``left`` whose keys stand in ``right``, which is copied only after it was counted."""
+    if right.limit(max_copied + 1).count() <= max_copied:
+        return left.join(F.broadcast(right), keys, "left_semi")
+    return left.join(right, keys, "left_semi")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.geo import EARTH_RADIUS_KM, cell_index, haversine_km
 from tremorlake.operators.joins import lookup_join
+from tremorlake.session import stage
 
+FINE_SIZES = (0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0)   # degrees; each divides 360
 GRID_SIZES = (0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)   # degrees; each divides 360
 KM_PER_DEGREE = 111.195
 MAX_COPIED_CELLS = 500_000        # place cells (about 48 bytes each) that may be copied to every executor
@@ -41,6 +43,16 @@ def place_cells(places: DataFrame, km: float, g: float) -> DataFrame:
     return spanned.withColumn("_c", F.explode("_cols")).drop("_cols")
 
 
+def _km_to(event: str) -> Column:
+    return F.round(haversine_km(F.col("place_lon"), F.col("place_lat"), F.col(f"{event}.lon"), F.col(f"{event}.lat")), 3)
+
+
+def _may_reach(km: float, g: float) -> Column:
+    """Cells whose centre is not farther than the circle and the cell's own half extents together."""
+    centre = haversine_km(F.col("place_lon"), F.col("place_lat"), (F.col("_c") + 0.5) * g, (F.col("_r") + 0.5) * g)
+    return centre <= km + EARTH_RADIUS_KM * math.radians(g) + 0.001
+
+
 def near_places(quakes: DataFrame, places: DataFrame, km: float,
                 max_copied: int = MAX_COPIED_CELLS) -> DataFrame:
     """Events within ``km`` of each place ``(place, lon, lat)``, with the distance.
@@ -60,11 +72,30 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
         "_r", "_c", "place_lon", "place_lat")
 
 
-def last_within_km(quakes: DataFrame, places: DataFrame, km: float) -> DataFrame:
-    """The newest event within ``km`` of each place that has one."""
-    near = near_places(quakes.select("id", "time_utc", "mag", "lon", "lat"), places, km)
-    newest = F.max_by(F.struct("id", "time_utc", "mag", "km"), F.struct("time_utc", "id"))
-    return near.where("time_utc IS NOT NULL").groupBy("place").agg(newest.alias("q")).select("place", "q.*")
+def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_CELLS) -> DataFrame:
+    """The newest event within ``km`` of each place that has one.
+
+    Events are not paired with places. Every fine grid cell answers with its newest event: where that lies within the
+    circle, no other event of the cell matters. Only cells whose newest event lies outside, and is newer than what the
+    place has found elsewhere, have their still newer events tested one by one.
+    """
+    g = next((g for g in reversed(FINE_SIZES) if g * KM_PER_DEGREE * 4 <= km), FINE_SIZES[0])
+    row = F.struct("id", "time_utc", "mag", "lon", "lat")
+    order = F.struct("time_utc", "id")
+    timed = quakes.where("lon IS NOT NULL AND lat IS NOT NULL AND time_utc IS NOT NULL").select(
+        cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c"), order.alias("_o"), row.alias("q"))
+    newest = timed.groupBy("_r", "_c").agg(F.max("_o").alias("_top"), F.max_by("q", "_o").alias("q"))
+    reached = place_cells(places.where("place IS NOT NULL"), km, g).where(_may_reach(km, g)).join(newest, ["_r", "_c"])
+    firsts = stage(reached.withColumn("km", _km_to("q")))
+    best = F.max(F.when(F.col("km") <= km, F.col("_top"))).over(Window.partitionBy("place"))
+    open_cells = firsts.withColumn("_best", best).where(
+        (F.col("km") > km) & (F.col("_best").isNull() | (F.col("_top") > F.col("_best")))).select(
+        "place", "place_lon", "place_lat", "_r", "_c", "_best")
+    tested = lookup_join(timed, open_cells, ["_r", "_c"], max_copied).where(
+        F.col("place").isNotNull() & (F.col("_best").isNull() | (F.col("_o") > F.col("_best")))).withColumn("km", _km_to("q"))
+    found = firsts.select("place", F.col("_top").alias("_o"), "q", "km")
+    answer = found.unionByName(tested.select("place", "_o", "q", "km")).where(F.col("km") <= km)
+    return answer.groupBy("place").agg(F.max_by(F.struct("q.id", "q.time_utc", "q.mag", "km"), "_o").alias("x")).select("place", "x.*")
 
 
 def tsunami_near(quakes: DataFrame, places: DataFrame, km: float, since) -> DataFrame:

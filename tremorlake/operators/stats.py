@@ -120,10 +120,15 @@ def frequency_grid(quakes: DataFrame, now: Column, hours: int, cell_deg: float)
 def counts_per_hour(quakes: DataFrame) -> DataFrame:
     """Events per hour between the first and the last event, empty hours with 0.
 
-    Hours come from a sequence over the time range, so their number does not grow with the events.
+    Hours come from a sequence over the months of the range and one over the hours of each month, so their number does
+    not grow with the events and no array holds more than a month.
     """
     timed = quakes.select(F.window("time_utc", "1 hour").start.alias("hour")).where("hour IS NOT NULL")
     counts = timed.groupBy("hour").agg(F.count(F.lit(1)).alias("found"))
-    hours = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b")).where("a IS NOT NULL").select(
-        F.explode(F.sequence("a", "b", F.expr("INTERVAL '1' HOUR"))).alias("hour"))
+    span = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b")).where("a IS NOT NULL")
+    months = span.select("a", "b", F.explode(F.sequence(
+        F.date_trunc("month", "a"), F.date_trunc("month", "b"), F.expr("INTERVAL '1' MONTH"))).alias("month"))
+    first, last = F.greatest("a", F.col("month").cast(span.schema["a"].dataType)), F.least(
+        "b", (F.add_months("month", 1).cast(span.schema["a"].dataType) - F.expr("INTERVAL '1' HOUR")))
+    hours = months.select(F.explode(F.sequence(first, last, F.expr("INTERVAL '1' HOUR"))).alias("hour"))
     return hours.join(counts, "hour", "left").select("hour", F.coalesce("found", F.lit(0)).alias("n_events"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.text import clean_lookup_key, clean_lookup_name
-from tremorlake.operators.joins import MAX_COPIED_ROWS, lookup_join
+from tremorlake.operators.joins import MAX_COPIED_ROWS, lookup_join, lookup_semi
 from tremorlake.operators.ordering import row_ids
 from tremorlake.sources.polygons import COUNTRY_COLUMNS, SEA_COLUMNS, require_columns
 
@@ -109,9 +109,24 @@ def upsert_location(stored: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select("quake_id", "country_iso", "sea_id").unionByName(new.select("quake_id", "country_iso", "sea_id"))
 
 
-def unresolved_points(points: DataFrame, location: DataFrame) -> DataFrame:
-    """Events with coordinates and no location row yet."""
-    return points.join(location.select(F.col("quake_id").alias("id")), "id", "left_anti")
+def unresolved_points(points: DataFrame, location: DataFrame, block_ids: int = 1_000_000, max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
+    """Events with coordinates and no location row yet.
+
+    Ids are compared by blocks first: a block in which both sides have the same number of ids and the same
+    combined hash is done. Only the other blocks, as a rule those of the last loads, take part in the join by id.
+    """
+    block = F.coalesce(F.floor(F.col("id") / block_ids).cast("long"), F.lit(-1))
+    located = location.select(F.col("quake_id").alias("id"))
+
+    def marks(df: DataFrame) -> DataFrame:
+        return df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+
+    same = marks(located).withColumnsRenamed({"n": "m", "mark": "other"})
+    open_blocks = marks(points).join(same, "_block", "left").where(
+        F.col("m").isNull() | (F.col("n") != F.col("m")) | (F.col("mark") != F.col("other"))).select("_block")
+    todo = lookup_semi(points.withColumn("_block", block), open_blocks, ["_block"], max_copied)
+    rest = lookup_semi(located.withColumn("_block", block), open_blocks, ["_block"], max_copied)
+    return todo.drop("_block").join(rest.select("id"), "id", "left_anti")
 
 
 def check_unique(df: DataFrame, key: str) -> DataFrame:

@@ -594,7 +594,7 @@ def _appended(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 def _updated(spark: SparkSession, stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
     path = scratch_path(spark, label)
     with jobs.state_partitions(spark):
-        run = jobs.start_updates(stream, path, path + "-progress")
+        run = jobs.start_updates(stream, path, path + "-progress", keys)
     run.awaitTermination()
     return jobs.latest_updates(spark.read.parquet(path), keys)
 
@@ -637,5 +637,6 @@ def tsunami_alerts(spark, sf_dir):
 
 @query
 def stream_last_quake(spark, sf_dir):
-    newest = jobs.stream_last_quake(_stream(spark, sf_dir), fx.watched_places(spark, sf_dir), PLACE_KM)
-    return _updated(spark, newest, "last", ["place"]).withColumn("time_utc", _ntz("time_utc"))
+    path = scratch_path(spark, "last")
+    jobs.start_last_quake(_stream(spark, sf_dir), fx.watched_places(spark, sf_dir), PLACE_KM, path, path + "-progress").awaitTermination()
+    return jobs.latest_quake(spark.read.parquet(path)).withColumn("time_utc", _ntz("time_utc"))

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tremorlake.operators.features import flatten_feature
-from tremorlake.operators.proximity import near_places
+from tremorlake.operators.proximity import last_within_km, near_places
+from tremorlake.session import delete_path, owned_stages
 from tremorlake.sources.geojson import parse_features, readable_feature
 from tremorlake.sources.store import load_batch
 
 DEDUP_SALTS = 16
+MERGE_EVERY = 50        # micro-batches whose updates lie in folders of their own before they are merged
 
 
 def stream_features(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -67,11 +69,23 @@ def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str =
     return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay)
 
 
-def stream_last_quake(stream: DataFrame, places: DataFrame, km: float) -> DataFrame:
-    """The newest event per watched place; state is one row per place."""
-    near = near_places(stream.select("usgs_id", "time_utc", "mag", "lon", "lat"), places, km)
+def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str) -> StreamingQuery:
+    """The newest event per watched place. Each micro-batch answers for its own events, without pairing them with the
+    places, and ``latest_quake`` takes the newest answer; what is kept is one row per place and batch not yet merged.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest = last_within_km(batch.select(F.col("usgs_id").alias("id"), "time_utc", "mag", "lon", "lat"), places, km)
+        with owned_stages(batch.sparkSession):
+            _write_update(newest.withColumnRenamed("id", "usgs_id"), path, batch_id, latest_quake)
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def latest_quake(updates: DataFrame) -> DataFrame:
+    """The newest event per place over all that ``start_last_quake`` wrote; a late event never replaces a newer one."""
     newest = F.max_by(F.struct("usgs_id", "time_utc", "mag", "km"), F.struct("time_utc", "usgs_id"))
-    return near.where("time_utc IS NOT NULL").groupBy("place").agg(newest.alias("q")).select("place", "q.*")
+    return updates.groupBy("place").agg(newest.alias("q")).select("place", "q.*")
 
 
 @contextmanager
@@ -96,15 +110,40 @@ def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def start_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write changed rows of each micro-batch to a folder of its own, replaced if the batch is retried."""
+def start_updates(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] | None = None,
+                  merge_every: int = MERGE_EVERY) -> StreamingQuery:
+    """Write changed rows of each micro-batch to a folder of its own, replaced if the batch is retried.
+
+    With the ``keys`` of the rows the folders are merged from time to time, so that their number stays bounded and
+    ``latest_updates`` reads about one version of each row.
+    """
+    merge = (lambda updates: latest_updates(updates, keys)) if keys else None
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _write_update(batch, path, batch_id, merge, merge_every)
 
     return (stream.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _write_update(rows: DataFrame, path: str, batch_id: int, merge: Callable[[DataFrame], DataFrame] | None,
+                  every: int = MERGE_EVERY) -> None:
+    """Batch ``n`` goes to folder ``2n``; every so many batches all folders up to there are merged into ``2n + 1``.
+
+    A merged folder holds what the folders before it say, so readers may see them together. They are deleted one
+    merge later, when those who listed them have finished. A retried batch writes the same folders again.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/batch={2 * batch_id}")
+    if merge is None or (batch_id + 1) % every:
+        return
+    merged, before = 2 * batch_id + 1, 2 * (batch_id - every) + 1
+    written = spark.read.parquet(path).where(F.col("batch") < merged)
+    merge(written).write.mode("overwrite").parquet(f"{path}/batch={merged}")
+    for old in written.where(F.col("batch") < before).select("batch").distinct().collect():     # a few folder numbers
+        delete_path(spark, f"{path}/batch={old['batch']}")
+
+
 def latest_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last version of each row that ``start_updates`` wrote."""
     rest = [c for c in updates.columns if c not in (*keys, "batch")]
