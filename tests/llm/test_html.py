@@ -49,6 +49,17 @@ def test_parts_that_are_not_the_article():
     assert text(page) == f"Title & more {prose} {prose} Link café AB next line"
 
 
+def test_comments_that_are_articles_and_parts_inside_the_article():
+    prose = "Several plain words make a sentence that is long enough to be read as a paragraph of the text."
+    other = "Nobody could say when the first of the bridges was built, but records show that it was standing by then."
+    page = (f"<body><article><header><h1>Head</h1></header><p>{prose}</p><section><h2>Part</h2><p>{other}</p></section><footer><p>Filed under news</p></footer>"
+            f'<div class="notice">This site needs consent</div></article><div class="comments"><article><p>{prose}</p></article><article><p>{other}</p></article></div></body>')
+    assert text(page) == f"Head {prose} Part {other}"
+    page = (f'<body><div id="content"><h2>Flood &amp; fire</h2><p>{prose}</p><div class="advert"><p>Buy now {other}</p></div><p>{other}</p>'
+            f'<form><label>Your mail</label><input><p>Subscribe to our newsletter for more</p></form></div><div id="sidebar"><p>{prose}</p></div></body>')
+    assert text(page) == f"Flood & fire {prose} {other}"
+
+
 def test_broken_markup_keeps_its_text():
     prose = "Several plain words make a sentence that is long enough to be read as a paragraph of the text. " * 3
     assert text(f"<article><p><b>{prose}<p>{prose}</article></div></p>") == " ".join((prose + prose).split())

@@ -58,7 +58,8 @@ _NAMES = [
     r"article|content|post\b|post-|entry|main|story|body|text|prose|hentry|page\b",
 ]
 _NAME = [re.compile(x, re.I) for x in _NAMES]
-FEATURES = 10 + OTHER + 1 + len(_NAMES) + 1
+INHERITED = 10 + OTHER + 1 + len(_NAMES) + 1
+FEATURES = INHERITED + len(_NAMES)
 
 
 @lru_cache(maxsize=65536)
@@ -226,7 +227,11 @@ class Forest:
         if at:
             rows, columns = np.array(at).T
             x[rows, columns] = 1
-            x[np.unique(rows), FEATURES - 1] = 1
+            x[np.unique(rows), INHERITED - 1] = 1
+        named = slice(10 + OTHER + 1, INHERITED - 1)
+        for level in self.levels:  # names of the elements around a node
+            around = self.parent[level]
+            x[level, INHERITED:] = np.maximum(x[around, named], x[around, INHERITED:])
         self.x = x
 
     def messages(self, unary: np.ndarray, pair: np.ndarray):
@@ -316,15 +321,19 @@ def labelled_pages(count: int = 400, seed: int = 3) -> list[str]:
         return f'<div data-label=0 class="{pick("ad", "ads", "advert", "ad-slot", "sponsored", "banner-ad", "promo")}">{pick(words(3, 60), f"<p>{words(4, 40)}</p>")}</div>'
 
     def notice() -> str:
-        return f'<{pick("div", "section", "dialog")} data-label=0 class="{pick("cookie-notice", "consent", "notice", "newsletter", "subscribe", "alert", "popup")}"><p>{words(4, 40)}</p></div>'
+        tag, name = pick("div", "section", "dialog"), pick("cookie-notice", "consent", "notice", "newsletter", "subscribe", "alert", "popup")
+        return f'<{tag} data-label=0 class="{name}"><p>{words(4, 40)}</p></{tag}>'
 
     def form() -> str:
         return f'<form data-label=0{named("search", "login", "signup")}><p>{words(1, 12)}</p><input name="q"> <label>{words(1, 4)}</label></form>'
 
     def comments() -> str:
         each = "".join(pick(f'<div class="comment"><p>{words(3, 70)}</p></div>', f"<li><b>{words(1, 2)}</b><p>{words(3, 60)}</p></li>",
-                            f"<article class='comment'><h4>{words(1, 2)}</h4><p>{words(4, 60)}</p></article>") for _ in range(rng.randint(1, 5)))
-        return f'<{pick("section", "div", "ol")} data-label=0 {pick("class", "id")}="{pick("comments", "comment-list", "responses", "discussion", "reader-comments")}"><h3>{words(1, 3)}</h3>{each}</{pick("section", "div")}>'
+                            f"<article class='comment'><h4>{words(1, 2)}</h4><p>{words(4, 60)}</p></article>",
+                            f"<article><p>{words(4, 60)}</p></article>") for _ in range(rng.randint(1, 5)))
+        tag, title = pick("section", "div", "ol"), pick("", f"<h3>{words(1, 3)}</h3>")
+        name = pick("comments", "comment-list", "responses", "discussion", "reader-comments")
+        return f'<{tag} data-label=0 {pick("class", "id")}="{name}">{title}{each}</{tag}>'
 
     def block() -> str:
         return pick(f"<p>{words(20, 140)}</p>", f"<p>{words(5, 60)}</p>", f"<p>{words(1, 6)}</p>", f"<p>{words(15, 80)} <a href='/x'>{words(1, 3)}</a> {words(3, 30)}",
@@ -333,18 +342,22 @@ def labelled_pages(count: int = 400, seed: int = 3) -> list[str]:
                     f"<div>{words(10, 80)}</div>", f"<h3>{words(1, 6)}</h3>", f"<figure><img src=x><figcaption>{words(3, 14)}</figcaption></figure>")
 
     def article() -> str:
-        parts = [f"<h1>{words(2, 12)}</h1>"] if chance(0.65) else []
+        title = f"<h1>{words(2, 12)}</h1>"
+        parts = [pick(title, title, f"<header>{title}</header>")] if chance(0.65) else []
         for _ in range(rng.choice([1, 1, 2, 3, 5, 9, 14])):
-            parts.append(block())
+            parts.append(block() if chance(0.92) else f"<section><h2>{words(1, 8)}</h2>{block()}{block()}</section>")
             if chance(0.06):
                 parts.append(pick(advert, side, notice, form)())
         if chance(0.08):
             parts.append(comments())
+        if chance(0.06):
+            parts.append(f"<footer data-label=0><p>{words(2, 20)}</p></footer>")
         inside = "".join(parts)
         return pick(f"<article data-label=1>{inside}</article>", f"<article data-label=1{named('post', 'entry', 'hentry')}>{inside}</article>",
                     f"<main data-label=1>{inside}</main>", f'<div data-label=1 {pick("class", "id")}="{pick("content", "post", "entry-content", "article-body", "main", "story")}">{inside}</div>',
                     f'<section data-label=1 class="{pick("content", "text", "story")}">{inside}</section>', f"<div data-label=1>{inside}</div>",
-                    f"<td data-label=1>{inside}</td>")
+                    f"<td data-label=1>{inside}</td>",
+                    f"<table><tr><td data-label=0>{links(2, 7, pick('div', 'span'))}</td><td data-label=1>{inside}</td></tr></table>")
 
     pages = []
     for _ in range(count):
