@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-MAX_COPIED_ROWS = 500_000
+MAX_COPIED_BYTES = 64 << 20      # of a side that may be copied to every executor
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the values of ``df`` take: an aggregation that moves one number per task."""
+    def size(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 8
+        return F.lit(8)
+
+    row = F.lit(8).cast("long")
+    for field in df.schema.fields:
+        row = row + size(field)
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
 def shuffled_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,16 +38,16 @@ def shuffled_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Da
     return met.unionByName(alone)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
-    """Left join of events with a lookup table of narrow rows, of any size."""
-    if right.limit(max_copied + 1).count() <= max_copied:
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
+    """Left join of events with a lookup table of any size, which is copied only after its bytes were measured."""
+    if measured_bytes(right) <= max_copied:
         return left.join(F.broadcast(right), keys, "left").select(
             *left.columns, *[c for c in right.columns if c not in keys])
     return shuffled_left_join(left, right, keys)
 
 
-def lookup_semi(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
-    """Rows of ``left`` whose keys stand in ``right``, which is copied only after it was counted."""
-    if right.limit(max_copied + 1).count() <= max_copied:
+def lookup_semi(left: DataFrame, right: DataFrame, keys: list[str], max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
+    """Rows of ``left`` whose keys stand in ``right``, which is copied only after its bytes were measured."""
+    if measured_bytes(right) <= max_copied:
         return left.join(F.broadcast(right), keys, "left_semi")
     return left.join(right, keys, "left_semi")

@@ -7,13 +7,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.geo import EARTH_RADIUS_KM, cell_index, haversine_km
-from tremorlake.operators.joins import lookup_join
+from tremorlake.operators.joins import MAX_COPIED_BYTES, lookup_join
 from tremorlake.session import stage
 
 FINE_SIZES = (0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0)   # degrees; each divides 360
 GRID_SIZES = (0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)   # degrees; each divides 360
 KM_PER_DEGREE = 111.195
-MAX_COPIED_CELLS = 500_000        # place cells (about 48 bytes each) that may be copied to every executor
 
 
 def grid_for(km: float) -> float:
@@ -54,7 +53,7 @@ def _may_reach(km: float, g: float) -> Column:
 
 
 def near_places(quakes: DataFrame, places: DataFrame, km: float,
-                max_copied: int = MAX_COPIED_CELLS) -> DataFrame:
+                max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """Events within ``km`` of each place ``(place, lon, lat)``, with the distance.
 
     ``place`` is the id of the place; the event's own place text is left out.
@@ -72,7 +71,7 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
         "_r", "_c", "place_lon", "place_lat")
 
 
-def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_CELLS) -> DataFrame:
+def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """The newest event within ``km`` of each place that has one.
 
     Events are not paired with places. Every fine grid cell answers with its newest event: where that lies within the

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.text import clean_lookup_key, clean_lookup_name
-from tremorlake.operators.joins import MAX_COPIED_ROWS, lookup_join, lookup_semi
+from tremorlake.operators.joins import MAX_COPIED_BYTES, lookup_join, lookup_semi, measured_bytes
 from tremorlake.operators.ordering import row_ids
 from tremorlake.sources.polygons import COUNTRY_COLUMNS, SEA_COLUMNS, require_columns
 
@@ -35,15 +35,15 @@ def anti_existing(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return keyed.join(_stored_keys(existing, keyed, key), key, "left_anti").select(*batch.columns).unionByName(keyless)
 
 
-def _stored_keys(existing: DataFrame, keyed: DataFrame, key: str, max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
+def _stored_keys(existing: DataFrame, keyed: DataFrame, key: str, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """Stored keys that matter to a batch.
 
-    The keys of a batch that was counted and is small go to the stored rows, which are then filtered where they lie;
+    The keys of a batch that were measured and are small go to the stored rows, which are then filtered where they lie;
     only hits move. For a large batch both sides move by key.
     """
     stored = existing.select(key)
     keys = keyed.select(key).distinct()
-    if keys.limit(max_copied + 1).count() > max_copied:
+    if measured_bytes(keys) > max_copied:
         return stored
     return F.broadcast(stored.join(F.broadcast(keys), key, "left_semi").distinct())
 
@@ -109,7 +109,7 @@ def upsert_location(stored: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select("quake_id", "country_iso", "sea_id").unionByName(new.select("quake_id", "country_iso", "sea_id"))
 
 
-def unresolved_points(points: DataFrame, location: DataFrame, block_ids: int = 1_000_000, max_copied: int = MAX_COPIED_ROWS) -> DataFrame:
+def unresolved_points(points: DataFrame, location: DataFrame, block_ids: int = 1_000_000, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """Events with coordinates and no location row yet.
 
     Ids are compared by blocks first: a block in which both sides have the same number of ids and the same

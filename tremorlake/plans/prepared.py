@@ -1,4 +1,4 @@
-"""Inputs that several queries share, prepared once per session and table folder."""
+"""Inputs that several queries share, prepared once per session and state of a table folder."""
 
 from __future__ import annotations
 
@@ -22,8 +22,15 @@ LAYERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _prepared: dict[tuple, object] = {}
 
 
+def _last_change(spark: SparkSession, sf_dir: str) -> int:
+    """When a table of the folder was last written, so that changed tables are prepared anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    tables = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return max((t.getModificationTime() for t in tables), default=0)
+
+
 def _once(spark: SparkSession, key: tuple, make: Callable[[], object]):
-    full = (spark.sparkContext.applicationId, *key)
+    full = (spark.sparkContext.applicationId, _last_change(spark, key[0]), *key)
     if full not in _prepared:
         _prepared[full] = make()
     return _prepared[full]

@@ -63,10 +63,10 @@ def stream_counts(stream: DataFrame, width: str = "1 hour", slide: str | None =
     return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events")
 
 
-def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day") -> DataFrame:
+def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day", salts: int = DEDUP_SALTS) -> DataFrame:
     """Each flagged event near a watched place, once per event and place."""
     near = near_places(stream.where("tsunami = 1").select("usgs_id", "time_utc", "lon", "lat"), places, km)
-    return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay)
+    return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay, salts)
 
 
 def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str) -> StreamingQuery:
