@@ -1,3 +1,4 @@
+import random
 import re
 
 from tremorlake.llm.quality import op4_quality_rules, quality_rules, text_counts
@@ -54,6 +55,43 @@ def test_lines_over_the_limit_deplete(spark):
     assert {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(elsewhere, "doc_id long, text string, source string")).collect()}[999]
 
 
+def brute_kept(rows, floor=20, share=0.05):
+    """kept per id from distinct documents (words, A-Z lower-cased) per host and line, all in plain Python."""
+    def key(line):
+        return " ".join(WORD.findall(re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), line))))
+
+    holders, hosts = {}, {}
+    for _, text, host in rows:
+        document = tuple(WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+        hosts.setdefault(host, set()).add(document)
+        for line in {key(x) for x in text.split("\n")} - {""}:
+            holders.setdefault((host, line), set()).add(document)
+    kept = {}
+    for i, text, host in rows:
+        base, left = brute(text), 0
+        for line in text.split("\n"):
+            held = len(holders.get((host, key(line)), ()))
+            left += 0 if held > floor and held > share * len(hosts[host]) else len(WORD.findall(line))
+        failed = base["n_words"] < 20 or 100 * base["n_repeat_words"] > 30 * base["n_words"]
+        kept[i] = not failed and left >= 10 and 100 * left >= 30 * base["n_words"]
+    return kept
+
+
+def test_mostly_boilerplate_equals_brute_force(spark):
+    """Most documents are a long shared line and eight words or numbers of their own; they count each and go."""
+    rng = random.Random(4)
+    shared = " ".join(f"shared{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    rows = [(n, f"{shared}\n" + " ".join(f"own{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(8)), "words") for n in range(100)]
+    rows += [(1000 + n, f"{shared}\n" + " ".join(str(rng.randrange(1000, 10_000)) for _ in range(8)), "numbers") for n in range(100)]
+    rows += [(2000 + n, " ".join(f"full{chr(97 + rng.randrange(26))}{rng.randrange(99)}" for _ in range(50)), "words") for n in range(60)]
+    rows += [(3000 + n, f"{shared}\nthe very same words", "copies") for n in range(100)]
+    rows += [(4000 + n, f"{shared}\nonly few hold this line {n}", "few") for n in range(20)]
+    got = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == brute_kept(rows)
+    assert not any(got[n] for n in [*range(100), *range(1000, 1100)])
+    assert all(got[n] for n in [*range(2000, 2060), *range(3000, 3100), *range(4000, 4020)])
+
+
 def test_awkward_rows(spark):
     got = quality_rules(awkward(spark)).collect()
     assert len(got) == len(awkward_rows())

@@ -4,9 +4,9 @@ Lines are normalised (A-Z lower-cased, digits as 0, white space runs as one spac
 limit of its host when more distinct documents of that host hold it than ``LINE_FLOOR`` and ``LINE_SHARE`` of the
 host's documents. Lines over the limit are removed; a document of which too little is left is rejected.
 
-Copies are not evidence that a line is boilerplate. Documents are therefore counted by their smallest 5-word
-shingle hash: exact copies have it in common, near copies nearly always. Documents whose smallest hash falls into a
-shared line count once as well, so the count is a lower bound and errs towards keeping.
+Exact copies are not evidence that a line is boilerplate. Documents are therefore counted, for line and host alike, by
+a 64-bit digest of all their words in order (A-Z lower-cased, digits as they stand): texts with the same words count
+once, texts that differ in any word count each. Near copies differ in words, so they count each.
 """
 
 from __future__ import annotations
@@ -47,11 +47,11 @@ def repeated_words(hashes: np.ndarray, window: int = REPEAT_WINDOW) -> int:
 
 
 def text_counts(text: str | None) -> dict:
-    """Counts of one text, its lines as (hash, words), and its sketch; all zero for null or blank texts."""
+    """Counts of one text, its lines as (hash, words), and the digest of its words; all zero for null or blank texts."""
     import xxhash
 
     if not text:
-        return {"n_words": 0, "word_chars": 0, "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": 0, "lines": [], "sketch": 0}
+        return {"n_words": 0, "word_chars": 0, "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": 0, "lines": [], "digest": 0}
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     hashes = hash_words(words)
@@ -62,11 +62,11 @@ def text_counts(text: str | None) -> dict:
         if parts:
             key = xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63)
             held[key] = held.get(key, 0) + len(parts)
-    sketch = int(windows(hashes, min(5, len(words))).min()) - (1 << 63) if words else 0
+    digest = xxhash.xxh3_64_intdigest(b" ".join(words).lower()) - (1 << 63) if words else 0
     return {
         "n_words": len(words), "word_chars": len(text) - sum(map(text.count, SPACES)),
         "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": len(lines) - len(set(lines)),
-        "n_repeat_words": repeated_words(hashes), "lines": [{"line": k, "words": n} for k, n in held.items()], "sketch": sketch}
+        "n_repeat_words": repeated_words(hashes), "lines": [{"line": k, "words": n} for k, n in held.items()], "digest": digest}
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -75,12 +75,12 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def counted(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     fields = [(id_col, docs.schema[id_col].dataType), ("host", T.StringType()), *((c, T.LongType()) for c in COUNTS),
               ("lines", T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.LongType())]))),
-              ("sketch", T.LongType())]
+              ("digest", T.LongType())]
 
     def make():
         def work(batch):
             rows = [text_counts(text) for text in batch["text"]]
-            out = {name: [r[name] for r in rows] for name in (*COUNTS, "lines", "sketch")}
+            out = {name: [r[name] for r in rows] for name in (*COUNTS, "lines", "digest")}
             return {**out, id_col: batch["id"], "host": ["" if h is None else str(h) for h in batch["host"]]}
 
         return work
@@ -91,7 +91,7 @@ def counted(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
 
 def lines_over_limit(lines: DataFrame, hosts: DataFrame, floor: int, share: float) -> DataFrame:
     """(host, line) of the lines that more distinct documents of a host hold than its limit."""
-    often = (lines.select("host", "line", "sketch").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("held"))
+    often = (lines.select("host", "line", "digest").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("held"))
              .where(F.col("held") > floor))
     per_host = hosts.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     return often.join(per_host, "host").where(F.col("held") > share * F.col("host_docs")).select("host", "line")
@@ -116,10 +116,10 @@ def quality_rules(
     scratch = Scratch(spark, "quality")
     rows = scratch.stage(
         counted(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()), "counts", keep=True)
-    lines = rows.where("n_words > 0").select("row", "host", "sketch", F.explode("lines").alias("l")).select(
-        "row", "host", "sketch", "l.line", "l.words")
+    lines = rows.where("n_words > 0").select("row", "host", "digest", F.explode("lines").alias("l")).select(
+        "row", "host", "digest", "l.line", "l.words")
     over = scratch.stage(
-        lines_over_limit(lines, rows.where("n_words > 0").select("host", "sketch"), floor, share), "over", keep=True)
+        lines_over_limit(lines, rows.where("n_words > 0").select("host", "digest"), floor, share), "over", keep=True)
     removed = sized_join(lines.select("row", "host", "line", "words"), over, ["host", "line"], "inner", COPIED_LINES).groupBy(
         "row").agg(F.sum("words").alias("removed"))
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
