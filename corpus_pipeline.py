@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.llm.common import Scratch, sized_join, table
 from tremorlake.llm.minhash import near_duplicates
-from tremorlake.llm.packing import pack
+from tremorlake.llm.packing import pack_tokens
 from tremorlake.llm.quality import quality_rules
 from tremorlake.llm.secrets import redact
 from tremorlake.llm.toxicity import toxicity
@@ -52,7 +52,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the texts in length buckets and token-budget batches."""
-    return pack(docs)
+    return pack_tokens(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -5,7 +5,9 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from tremorlake.llm.packing import best_boundaries, op9_packing, pack
+import corpus_pipeline
+from tremorlake.llm.bpe import RANK_FILE, encode, encoding
+from tremorlake.llm.packing import best_boundaries, op9_packing, pack, pack_tokens
 
 from fixtures import SF_DIR, awkward, awkward_rows, documents, texts
 
@@ -66,3 +68,32 @@ def test_awkward_rows(spark):
     columns = ["batch_id", "bucket_length", "doc_id", "n_tokens", "piece", "slot", "start"]
     assert sorted(pack(documents(spark).limit(0)).columns) == columns and pack(documents(spark).limit(0)).count() == 0
     assert sorted(got[0].asDict()) == columns
+
+
+def token_sizes(texts):
+    import public_tokenizers
+
+    enc = encoding(public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    return {i: len(encode(enc, t or "")) for i, t in texts.items()}
+
+
+def test_registered_uses_count_tokens(spark):
+    sizes = token_sizes(texts(spark))
+    assert sum(sizes.values()) > sum(len(t.split()) for t in texts(spark).values())
+    check(op9_packing(spark, SF_DIR).collect(), sizes, 4096, 32768)
+    check(corpus_pipeline.packing_stage(spark, documents(spark), SF_DIR).collect(), sizes, 4096, 32768)
+
+
+def test_long_texts_without_blanks_are_cut_by_tokens(spark):
+    rows = [(1, "日本語" * 20_000), (2, "x" * 200_000), (3, None), (4, ""), (5, "one word more")]
+    sizes = token_sizes(dict(rows))
+    got = pack_tokens(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check(got, {i: n for i, n in sizes.items() if n}, 4096, 32768)
+    assert all(sum(r.doc_id == i for r in got) == -(-sizes[i] // 4096) for i in sizes) and sum(r.doc_id == 2 for r in got) > 1
+
+
+def test_awkward_rows_by_tokens(spark):
+    got = pack_tokens(awkward(spark)).collect()
+    assert sum(r.n_tokens for r in got) == sum(token_sizes(dict(enumerate(t for _, t in awkward_rows()))).values())
+    assert sum(r.doc_id == 6 for r in got) == 2 and sum(r.doc_id is None for r in got) == 1
+    assert pack_tokens(documents(spark).limit(0)).count() == 0

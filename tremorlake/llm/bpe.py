@@ -150,6 +150,20 @@ def token_lengths(docs: DataFrame, text_col: str = "text", rank_path: str | None
     return map_texts(docs.select(F.col(text_col).alias("text")), ["text"], [("length", T.LongType()), ("docs", T.LongType())], make)
 
 
+def document_lengths(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank_path: str | None = None, pattern: str | None = None,
+) -> DataFrame:
+    """(id_col, length): the encoded length of every whole text, 0 for null; only lengths leave the task."""
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    use_text_batches(docs.sparkSession)
+
+    def make():
+        enc = encoding(*_local_ranks(rank_path, pattern))
+        return lambda batch: {id_col: batch["id"], "length": [len(encode(enc, text or "")) for text in batch["text"]]}
+
+    return map_texts(named, ["id", "text"], [(id_col, docs.schema[id_col].dataType), ("length", T.LongType())], make)
+
+
 BLOCK = 1024
 
 

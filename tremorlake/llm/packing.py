@@ -1,6 +1,6 @@
 """Packing into optimal length buckets.
 
-The global histogram of lengths goes to a dynamic program that chooses the bucket boundaries with the least padding.
+Lengths are encoded tokens (``pack_tokens``) or what the caller gives. Their global histogram goes to a dynamic program that chooses the bucket boundaries with the least padding.
 Inside a bucket, documents are numbered and cut into batches that fill a token budget at the bucket's length.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tremorlake.llm.bpe import document_lengths
 from tremorlake.llm.common import WORD_PATTERN, Scratch, table
 
 MAX_LENGTH = 4096
@@ -69,7 +70,7 @@ def pack(
     A document longer than ``max_length`` becomes pieces of that length and a remainder, none is cut short. Documents
     of length 0 (null, empty or blank texts) have no piece. ``batch_id`` is unique over all buckets; a batch holds at
     most max(1, ``budget`` // bucket_length) pieces, only the last batch of a bucket may be short of that.
-    ``length`` defaults to the number of words in ``text``. Null and repeated ids are carried through, each row for
+    ``length`` defaults to the number of words in ``text``; ``pack_tokens`` gives encoded lengths. Null and repeated ids are carried through, each row for
     itself; an empty table gives an empty result.
 
     What reaches the driver: the histogram (at most ``max_length`` rows) and the shard counts, one row per
@@ -118,5 +119,14 @@ def _batches(pieces: DataFrame, id_col: str, per_bucket: dict[int, int], budget:
         (place % capacity).alias("slot"))
 
 
+def pack_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``pack``, with lengths, limit, budget and the places of pieces in byte-level BPE tokens of the whole text.
+
+    Piece ``k`` holds the token ids from ``start`` to ``start + n_tokens``. Texts of white space only have tokens, so
+    they have pieces; null and empty texts have none.
+    """
+    return pack(document_lengths(docs, id_col, text_col), F.col("length"), id_col)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack_tokens(table(spark, sf_dir, "documents"))
