@@ -28,6 +28,29 @@ def test_automaton_equals_brute_force():
         assert (trie.near(probe) is not None) == any(distance(probe, w) <= 1 for w in words)
 
 
+def test_stems_and_short_words_equal_brute_force():
+    rng = random.Random(2)
+    for _ in range(20):
+        words = {"".join(rng.choices("abcdef", k=rng.randint(4, 8))): 1.0 for _ in range(4)}
+        stems = {"".join(rng.choices("abcdef", k=rng.randint(4, 8))): 2.0 for _ in range(4)}
+        trie = Trie(words, stems)
+        for _ in range(400):
+            probe = "".join(rng.choices("abcdef", k=rng.randint(2, 11)))
+            if rng.random() < 0.7:
+                entry = list(rng.choice([*words, *stems]))
+                entry[(at := rng.randrange(len(entry))):at + rng.randint(0, 1)] = rng.choice(["", "a", "f"])
+                probe = "".join(entry) + rng.choice(["", probe])
+            want = any(distance(probe, w) <= 1 for w in words) or any(
+                distance(probe[:n], s) <= 1 for s in stems for n in range(len(probe) + 1))
+            assert (trie.near(probe) is not None) == want
+
+
+def test_misspelled_stems_and_short_words_are_hits():
+    trie = Trie({"scum": 2.5}, {"achlich": 1.5, "réeux": 1.0})
+    assert trie.judge("achhlichau") == (1.5, True) and trie.judge("réeeuxvi") == (1.0, True) and trie.judge("réuxvi") == (1.0, True)
+    assert trie.judge("scumm") == (2.5, True) and trie.judge("scm") == (2.5, True) and trie.judge("achtung") is None
+
+
 def test_stems_words_and_misspellings():
     trie = Trie({"grumbly": 2.0}, {"vorp": 1.5})
     assert trie.judge("grumbly") == (2.0, False) and trie.judge("vorpal") == (1.5, False)
@@ -65,6 +88,17 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
 
 
+def test_misspelled_texts_score_as_toxic(spark):
+    """One edit in every term, stems included; words the clean texts hold are no misspellings."""
+    docs, labels = corpus(spark)
+    model = Model.fit(docs, labels)
+    wrong = [(r.doc_id, r.text.replace("vorp", "vorrp").replace("grumbly", "grummbly").replace("blargh", "blarrgh").replace("snorked", "snoorked"))
+             for r in docs.join(labels.where("toxic = 1"), "doc_id").collect()]
+    got = model.score(spark.createDataFrame(wrong, "doc_id long, text string")).collect()
+    assert sum(r.predicted for r in got) >= 0.95 * len(got)
+    assert Trie({"scum": 1.0}, {}, frozenset(["scup"])).judge("scup") is None
+
+
 def test_held_out_labels_are_never_read(spark):
     docs, labels = corpus(spark, 300)
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))

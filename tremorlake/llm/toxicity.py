@@ -6,8 +6,8 @@ document from looking like evidence. Prefixes that stand in toxic texts far more
 lexicon, strongest first and never one inside another: as a stem when many different words continue it, else as a
 whole word. Each carries the logarithm of its lift as weight.
 
-Scoring reads whole texts. A word is a hit when it starts with a stem, equals a lexicon word, or lies within edit
-distance 1 of one: the automaton of the word walks down the trie and gives up a branch when its whole row of
+Scoring reads whole texts. A word is a hit when it starts with a stem, equals a lexicon word, lies within edit
+distance 1 of one, or has a prefix within edit distance 1 of a stem: the automaton of the word walks down the trie and gives up a branch when its whole row of
 distances is above the bound. Each hit is weighed by its window: quotation marks or words of reporting around it
 speak for a quotation, other hits close by for abuse. A logistic model, fitted on the same sample, turns the
 weights into the score.
@@ -32,9 +32,11 @@ MIN_LIFT = 6.0
 #: A prefix with so many different words is a stem.
 FAMILY_WORDS = 4
 LONGEST_PREFIX = 16
+#: Entries from this length on are also met with one edit.
+SHORTEST_NEAR = 4
 WINDOW = 8
 SEEN_WORDS = 400_000
-FEATURES = 7
+FEATURES = 6
 
 _EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»„“”‚‘’…|*_~`#$%&^+=-–—/\\"
 _QUOTES = frozenset("\"«»„“”")
@@ -43,29 +45,39 @@ _REPORTING = frozenset("said says wrote called quote quoted sagte schrieb zitat
 
 
 class Trie:
-    """Lexicon words as nested dicts, where ``None`` leads to the whole word, and stems; both with their weights."""
+    """Lexicon words and stems as nested dicts, both with their weights.
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
+    ``None`` leads to the whole word and ``""`` to the stem that ends in a node. Entries below ``SHORTEST_NEAR`` letters
+    are only met as they stand. ``known`` holds words that are no misspellings of an entry.
+    """
+
+    def __init__(self, words: dict[str, float], stems: dict[str, float], known: frozenset[str] = frozenset()):
         self.root: dict = {}
-        self.words, self.stems = words, stems
+        self.words, self.stems, self.known = words, stems, known
         self.stem_lengths = sorted({len(s) for s in stems})
-        long = [w for w in words if len(w) >= 5]
-        for word in long:
+        long = [w for w in words if len(w) >= SHORTEST_NEAR]
+        long_stems = [s for s in stems if len(s) >= SHORTEST_NEAR]
+        for entry, end in [*((w, None) for w in long), *((s, "") for s in long_stems)]:
             node = self.root
-            for ch in word:
+            for ch in entry:
                 node = node.setdefault(ch, {})
-            node[None] = word
-        # One edit leaves the first or the second half of a word whole: a cheap test before the walk.
-        self.heads = frozenset(w[:len(w) // 2] for w in long)
+            node[end] = entry
+        # One edit leaves the first or the second half of an entry whole: a cheap test before the walk. The second
+        # half of a stem stands where it belongs or one letter beside it.
+        self.heads = frozenset(w[:len(w) // 2] for w in [*long, *long_stems])
         self.tails = frozenset(w[len(w) // 2:] for w in long)
+        self.stem_tails = frozenset(w[len(w) // 2:] for w in long_stems)
         self.head_lengths = sorted({len(x) for x in self.heads})
         self.tail_lengths = sorted({len(x) for x in self.tails})
+        self.stem_tail_places = sorted({(at, len(s) - len(s) // 2) for s in long_stems for at in range(len(s) // 2 - 1, len(s) // 2 + 2)})
 
     def near(self, word: str) -> str | None:
-        """A lexicon word of five letters or more that the automaton of ``word`` (distance at most 1) accepts."""
-        if len(word) < 4:
+        """An entry that the automaton of ``word`` (distance at most 1) accepts: a lexicon word for the whole word, a
+        stem for any of its prefixes."""
+        if len(word) < SHORTEST_NEAR - 1:
             return None
-        if not (any(word[:n] in self.heads for n in self.head_lengths) or any(word[-n:] in self.tails for n in self.tail_lengths)):
+        if not (any(word[:n] in self.heads for n in self.head_lengths) or any(word[-n:] in self.tails for n in self.tail_lengths)
+                or any(word[at:at + n] in self.stem_tails for at, n in self.stem_tail_places)):
             return None
         stack = [(self.root, tuple(range(len(word) + 1)))]
         while stack:
@@ -75,6 +87,10 @@ class Trie:
                     if row[-1] <= 1:
                         return child
                     continue
+                if ch == "":
+                    if min(row) <= 1:
+                        return child
+                    continue
                 nxt = [row[0] + 1]
                 for j, own in enumerate(word):
                     nxt.append(min(nxt[j] + 1, row[j + 1] + 1, row[j] + (own != ch)))
@@ -89,8 +105,10 @@ class Trie:
         for n in self.stem_lengths:
             if word[:n] in self.stems:
                 return self.stems[word[:n]], False
+        if word in self.known:
+            return None
         found = self.near(word)
-        return (self.words[found], True) if found else None
+        return (self.words.get(found) or self.stems[found], True) if found else None
 
 
 class Scanner:
@@ -119,21 +137,18 @@ class Scanner:
         if not found:
             return [0.0] * FEATURES
         places = [i for i, token in enumerate(tokens) if token in found]
-        plain = quoted = near = 0.0
+        abuse = quoted = 0.0
         crowded = 0
         for n, at in enumerate(places):
-            weight, misspelled = self.hits[tokens[at]]
+            weight, _ = self.hits[tokens[at]]
             if self._quoted(tokens, at):
                 quoted += weight
-            elif misspelled:
-                near += weight
             else:
-                plain += weight
+                abuse += weight  # misspelled or not: the sample need not hold any misspelling to learn from
             if (n and at - places[n - 1] <= WINDOW) or (n + 1 < len(places) and places[n + 1] - at <= WINDOW):
                 crowded += 1
-        abuse = plain + near
-        return [math.log1p(plain), math.log1p(near), math.log1p(quoted), float(len(places) >= 2), float(len(places) >= 3),
-                math.log1p(crowded), math.log1p(100 * abuse / len(tokens))]
+        return [math.log1p(abuse), math.log1p(crowded), math.log1p(quoted), float(len(places) >= 2), float(len(places) >= 3),
+                math.log1p(100 * abuse / len(tokens))]
 
     @staticmethod
     def _quoted(tokens: list[str], at: int) -> bool:
@@ -211,6 +226,33 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     return found_words, found_stems
 
 
+def known_neighbours(sample: DataFrame, words: dict[str, float], stems: dict[str, float]) -> frozenset[str]:
+    """Words one edit away from an entry that stand in at least as large a share of the clean texts as of the toxic."""
+    def make():
+        trie = Trie(words, stems)
+        judged: dict[str, bool] = {}
+
+        def work(batch):
+            out: dict[str, list] = {"word": [], "toxic": []}
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                for word in {token.strip(_EDGES) for token in text.lower().split()}:
+                    if word not in judged:
+                        judged[word] = (trie.judge(word) or (0.0, False))[1]
+                    if judged[word]:
+                        out["word"].append(word)
+                        out["toxic"].append(toxic)
+            return out
+
+        return work
+
+    texts = {x.toxic: x["count"] for x in sample.groupBy("toxic").count().collect()}
+    bad, good = F.sum("toxic"), F.sum(1 - F.col("toxic"))
+    # words of the bounded sample, and of them only the neighbours of entries
+    rows = map_texts(sample, ["text", "toxic"], [("word", T.StringType()), ("toxic", T.IntegerType())], make).groupBy("word").agg(
+        bad.alias("bad"), good.alias("good")).where(F.col("good") * texts.get(1, 0) >= F.col("bad") * texts.get(0, 0)).select("word").collect()
+    return frozenset(x.word for x in rows)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
     """Weights (bias last) of a logistic model by damped Newton steps."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -225,21 +267,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1
     return w
 
 
-def _features(df: DataFrame, words: dict[str, float], stems: dict[str, float], keep: list[tuple[str, T.DataType]]) -> DataFrame:
+def _features(df: DataFrame, words: dict[str, float], stems: dict[str, float], known: frozenset[str], keep: list[tuple[str, T.DataType]]) -> DataFrame:
     names = [n for n, _ in keep]
 
     def make():
-        scanner = Scanner(Trie(words, stems))
+        scanner = Scanner(Trie(words, stems, known))
         return lambda batch: {**{n: batch[n] for n in names}, "f": [scanner.features(t) for t in batch["text"]]}
 
     return map_texts(df, [*names, "text"], [*keep, ("f", T.ArrayType(T.DoubleType()))], make)
 
 
 class Model:
-    """A lexicon and the weights of its features."""
+    """A lexicon, the words known to be none of its misspellings, and the weights of its features."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], weights: list[float]):
-        self.words, self.stems, self.weights = words, stems, weights
+    def __init__(self, words: dict[str, float], stems: dict[str, float], known: frozenset[str], weights: list[float]):
+        self.words, self.stems, self.known, self.weights = words, stems, known, weights
 
     @staticmethod
     def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", fit_rows=FIT_ROWS, folds=True) -> Model:
@@ -247,18 +289,19 @@ class Model:
         use_text_batches(docs.sparkSession)
         sample = labelled_sample(docs, labels, id_col, text_col, label_col, fit_rows, folds)
         words, stems = learn_lexicon(sample)
+        known = known_neighbours(sample, words, stems)
         # at most 2 * fit_rows rows of a few numbers
-        rows = _features(sample, words, stems, [("toxic", T.IntegerType())]).collect()
+        rows = _features(sample, words, stems, known, [("toxic", T.IntegerType())]).collect()
         y = np.array([r.toxic for r in rows], float)
         if len(set(y)) < 2:
-            return Model(words, stems, [0.0] * FEATURES + [-3.0])
-        return Model(words, stems, fit_logistic(np.array([r.f for r in rows], float), y).tolist())
+            return Model(words, stems, known, [0.0] * FEATURES + [-3.0])
+        return Model(words, stems, known, fit_logistic(np.array([r.f for r in rows], float), y).tolist())
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(id_col, score, predicted) for every row."""
         named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         weights = self.weights
-        scored = _features(named, self.words, self.stems, [("id", docs.schema[id_col].dataType)])
+        scored = _features(named, self.words, self.stems, self.known, [("id", docs.schema[id_col].dataType)])
         logit = sum((F.col("f")[i] * w for i, w in enumerate(weights[:-1])), F.lit(weights[-1]))
         p = 1 / (1 + F.exp(-logit))
         return scored.select(F.col("id").alias(id_col), p.alias("score")).withColumn(
