@@ -5,7 +5,7 @@ import corpus_pipeline as pipeline
 
 from fixtures import SF_DIR, awkward, documents
 from test_minhash import brute as components
-from test_packing import check
+from test_packing import check, token_sizes
 from test_quality import brute as counts
 from test_secrets import base
 
@@ -25,7 +25,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
         function(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         if name == "packing":
-            check(docs.collect(), {i: len(t.split()) for i, t in before.items()}, 4096, 32768)
+            check(docs.collect(), token_sizes(before), 4096, 32768)
             break
         assert docs.columns == pipeline.COLUMNS
         after = {r.doc_id: r.text for r in docs.collect()}

@@ -1,12 +1,15 @@
+import math
 import random
 import zlib
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tremorlake.llm.toxicity import Model, Scanner, Trie, fit_logistic, toxicity
+from tremorlake.llm.toxicity import (
+    MIN_LIFT, MIN_RATIO, Model, Scanner, Trie, Variants, _EDGES, edit_of, fit_logistic, fit_signed, learn_lexicon, op1_toxicity, toxicity, weigh_variants)
 
-from fixtures import awkward, awkward_rows
+from fixtures import SF_DIR, awkward, awkward_rows
 
 
 def distance(a, b):
@@ -121,3 +124,91 @@ def test_logistic_fit_separates():
     x = np.array([[0.0], [0.2], [1.8], [2.0]])
     w = fit_logistic(x, np.array([0.0, 0, 1, 1]))
     assert (x[:, 0] * w[0] + w[1] > 0).tolist() == [False, False, True, True]
+
+
+def test_edits_equal_brute_force():
+    rng = random.Random(5)
+    for _ in range(4000):
+        entry = "".join(rng.choices("abc", k=rng.randint(4, 6)))
+        probe = "".join(rng.choices("abc", k=rng.randint(3, 8)))
+        stem = rng.random() < 0.5
+        found = edit_of(entry, probe, stem)
+        prefixes = [probe[:n] for n in range(len(probe) + 1)] if stem else [probe]
+        if (probe.startswith(entry) if stem else probe == entry):
+            continue
+        assert (found is not None) == any(distance(entry, v) == 1 for v in prefixes)
+        if found:
+            kind, at, variant = found
+            assert variant in prefixes and distance(entry, variant) == 1 and variant[:at] == entry[:at]
+            assert len(variant) - len(entry) == {"delete": -1, "replace": 0, "insert": 1}[kind]
+
+
+def test_ordinary_variants_are_no_hits():
+    """A stem's neighbour that clean texts hold is none; one never seen is; the first letter needs evidence of its own."""
+    rows = [("achlich", "", 0, "achlich", f"achlich{i}", 20, 0) for i in range(5)]
+    rows += [("achlich", "delete", 1, "alich", f"alich{i}", 1, 30) for i in range(5)] + [("achlich", "replace", 0, "xchlich", "xchlich", 9, 0)]
+    known, variants = weigh_variants(rows, 200, 2000, {}, {"achlich": 3.0})
+    trie = Trie({}, {"achlich": 3.0}, known, variants)
+    assert trie.judge("alichneu") is None and trie.judge("alich0") is None and trie.judge("ochlichau") is None
+    weight, misspelled = trie.judge("achhlichau")
+    assert misspelled and math.log(MIN_LIFT) <= weight <= 3.0 and trie.judge("xchlichau")[1]
+    assert trie.judge("achlichau") == (3.0, False)
+    assert Trie({"scum": 1.0}, {}, frozenset(), Variants({}, {}, {"scum": 0.0})).judge("scm") is None
+
+
+def test_signs_hold():
+    rng = np.random.default_rng(1)
+    x = np.abs(rng.normal(size=(400, 3)))
+    y = (x[:, 0] - x[:, 1] + 0.1 * x[:, 2] > 0).astype(float)
+    w = fit_signed(x, y, (1, 1, -1))
+    assert w[0] > 0 and w[1] == 0 and w[2] <= 0
+
+
+def test_lexicon_equals_brute_force(spark):
+    """Counts of places, ratios and lifts in plain Python; the strongest entries, none inside another."""
+    docs, labels = corpus(spark)
+    rows = [(r.text, r.toxic) for r in docs.join(labels, "doc_id").collect()]
+    places = set()
+    for text, toxic in rows:
+        t = text.lower().split()
+        for i, w in enumerate(t):
+            places.add((toxic, w.strip(_EDGES), t[i - 1] if i else None, t[i + 1] if i + 1 < len(t) else None))
+    count = defaultdict(lambda: [0, 0])
+    for toxic, w, _, _ in places:
+        if len(w) > 1:
+            count[w][toxic] += 1
+    prefixes = defaultdict(lambda: [0, 0, 0])
+    for w, (good, bad) in count.items():
+        for k in range(2, min(16, len(w)) + 1):
+            for j, v in enumerate((good, bad, 1)):
+                prefixes[w[:k]][j] += v
+    good, bad = (sum(c[j] for c in count.values()) for j in (0, 1))
+    rate = bad / (good + bad)
+
+    def lift(g, b):
+        return (b + 0.5) / (g + 0.5) * (1 - rate) / rate
+
+    def ratio(g, b):
+        return 2 * (b * math.log(b / ((g + b) * rate)) + (g * math.log(g / ((g + b) * (1 - rate))) if g else 0))
+
+    strong = {p: ratio(g, b) for p, (g, b, _) in prefixes.items() if b and lift(g, b) >= MIN_LIFT and ratio(g, b) >= MIN_RATIO}
+    words, stems = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(stems) <= set(strong) and all(any(w.startswith(p) for p in strong) for w in words)
+    entries = [*words, *stems]
+    assert all(not a.startswith(b) for a in entries for b in entries if a != b)
+    assert all(any(p.startswith(e) or e.startswith(p) for e in entries) for p in strong)
+    for s, w in stems.items():
+        g, b, n = prefixes[s]
+        assert n >= 4 and abs(w - min(6.0, math.log(lift(g, b)))) < 1e-9
+    for s, w in words.items():
+        assert abs(w - min(6.0, math.log(lift(*count[s])))) < 1e-9
+    assert {"grumbly", "blargh", "snorked"} <= set(words) and "vorp" in stems
+
+
+def test_clean_documents_stay_clean(spark):
+    """The registered query on a given table: held-out clean documents are left alone."""
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = op1_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
+    seen = {(r.toxic, r.predicted): r["count"] for r in got}
+    assert seen[0, 1] <= 2 and seen[1, 1] >= 91
+    assert op1_toxicity(spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()

@@ -6,23 +6,31 @@ document from looking like evidence. Prefixes that stand in toxic texts far more
 lexicon, strongest first and never one inside another: as a stem when many different words continue it, else as a
 whole word. Each carries the logarithm of its lift as weight.
 
-Scoring reads whole texts. A word is a hit when it starts with a stem, equals a lexicon word, lies within edit
-distance 1 of one, or has a prefix within edit distance 1 of a stem: the automaton of the word walks down the trie and gives up a branch when its whole row of
-distances is above the bound. Each hit is weighed by its window: quotation marks or words of reporting around it
-speak for a quotation, other hits close by for abuse. A logistic model, fitted on the same sample, turns the
-weights into the score.
+Scoring reads whole texts. A word is a hit when it starts with a stem, equals a lexicon word, or is a likely
+misspelling of one: the automaton of the word walks down the trie, gives up a branch when its whole row of distances is
+above the bound, and accepts words, or stems by a prefix, within edit distance 1. A misspelling is judged as a variant
+of its entry: the sample's clean texts tell how ordinary the variant itself is, or, where it was never seen, how often
+edits of this kind at this letter make ordinary words. It weighs what its own lift says, never more than its entry, and
+is no hit below ``MIN_LIFT``. Stems are not met with an edit of their first letter unless the sample holds that variant.
+Each hit is weighed by its window: quotation marks or words of reporting around it speak for a quotation, other hits
+close by for abuse. A logistic model, fitted on the same sample, turns the weights into the score; hits outside of
+quotations only raise it, quoted ones never do.
+
+Two bounds are part of the method: prefixes are learned up to ``LONGEST_PREFIX`` letters (a longer word is an entry by
+that prefix or as a whole word), and no entry weighs more than ``MOST_WEIGHT``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremorlake.llm.common import map_texts, table, use_text_batches
+from tremorlake.llm.common import Scratch, map_texts, table, use_text_batches
 
 #: At most so many labelled texts of either label are learned from.
 FIT_ROWS = 3000
@@ -32,11 +40,16 @@ MIN_LIFT = 6.0
 #: A prefix with so many different words is a stem.
 FAMILY_WORDS = 4
 LONGEST_PREFIX = 16
+MOST_WEIGHT = 6.0
+#: The share of an entry's occurrences taken to be misspelled, spread evenly over its possible edits.
+MISSPELT = 0.2
 #: Entries from this length on are also met with one edit.
 SHORTEST_NEAR = 4
 WINDOW = 8
 SEEN_WORDS = 400_000
 FEATURES = 6
+#: The sign that each feature's weight may have.
+SIGNS = (1, 1, -1, 1, 1, 1)
 
 _EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»„“”‚‘’…|*_~`#$%&^+=-–—/\\"
 _QUOTES = frozenset("\"«»„“”")
@@ -44,16 +57,52 @@ _QUOTES = frozenset("\"«»„“”")
 _REPORTING = frozenset("said says wrote called quote quoted sagte schrieb zitat dit écrit cité dijo escribió cita".split())
 
 
+def edit_of(entry: str, word: str, stem: bool) -> tuple[str, int, str] | None:
+    """(kind, place, variant) of the one edit between ``entry`` and ``word``, or the shortest fitting prefix of it."""
+    for n in ((len(entry) - 1, len(entry), len(entry) + 1) if stem else (len(word),)):
+        variant = word[:n]
+        if len(variant) < n or abs(n - len(entry)) > 1:
+            continue
+        at = 0
+        while at < min(n, len(entry)) and variant[at] == entry[at]:
+            at += 1
+        if n < len(entry) and variant[at:] == entry[at + 1:]:
+            return "delete", at, variant
+        if n == len(entry) and variant[at + 1:] == entry[at + 1:]:
+            return "replace", at, variant
+        if n > len(entry) and variant[at + 1:] == entry[at:]:
+            return "insert", at, variant
+    return None
+
+
+class Variants:
+    """Weights of misspellings: of variants that the sample holds, and of others by entry, kind and place of the edit."""
+
+    def __init__(self, seen: dict[tuple[str, str], float], cells: dict[tuple[str, str, int], float], unseen: dict[str, float]):
+        self.seen, self.cells, self.unseen = seen, cells, unseen
+
+    def weight(self, entry: str, word: str, stem: bool) -> float:
+        kind, at, variant = edit_of(entry, word, stem) or ("", 0, "")
+        if not kind:
+            return 0.0
+        if (entry, variant) in self.seen:
+            return self.seen[entry, variant]
+        if stem and at == 0:
+            return 0.0
+        return self.cells.get((entry, kind, at), self.unseen[entry])
+
+
 class Trie:
     """Lexicon words and stems as nested dicts, both with their weights.
 
     ``None`` leads to the whole word and ``""`` to the stem that ends in a node. Entries below ``SHORTEST_NEAR`` letters
-    are only met as they stand. ``known`` holds words that are no misspellings of an entry.
+    are only met as they stand. ``known`` holds words that are no misspellings of an entry; ``variants`` weighs the
+    others, which without it count as their entry.
     """
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], known: frozenset[str] = frozenset()):
+    def __init__(self, words: dict[str, float], stems: dict[str, float], known: frozenset[str] = frozenset(), variants: Variants | None = None):
         self.root: dict = {}
-        self.words, self.stems, self.known = words, stems, known
+        self.words, self.stems, self.known, self.variants = words, stems, known, variants
         self.stem_lengths = sorted({len(s) for s in stems})
         long = [w for w in words if len(w) >= SHORTEST_NEAR]
         long_stems = [s for s in stems if len(s) >= SHORTEST_NEAR]
@@ -74,41 +123,50 @@ class Trie:
     def near(self, word: str) -> str | None:
         """An entry that the automaton of ``word`` (distance at most 1) accepts: a lexicon word for the whole word, a
         stem for any of its prefixes."""
+        return next((entry for entry, _ in self.accepted(word)), None)
+
+    def accepted(self, word: str) -> Iterator[tuple[str, bool]]:
+        """All (entry, is it a stem) that the automaton of ``word`` accepts."""
         if len(word) < SHORTEST_NEAR - 1:
-            return None
+            return
         if not (any(word[:n] in self.heads for n in self.head_lengths) or any(word[-n:] in self.tails for n in self.tail_lengths)
                 or any(word[at:at + n] in self.stem_tails for at, n in self.stem_tail_places)):
-            return None
+            return
         stack = [(self.root, tuple(range(len(word) + 1)))]
         while stack:
             node, row = stack.pop()
             for ch, child in node.items():
                 if ch is None:
                     if row[-1] <= 1:
-                        return child
+                        yield child, False
                     continue
                 if ch == "":
                     if min(row) <= 1:
-                        return child
+                        yield child, True
                     continue
                 nxt = [row[0] + 1]
                 for j, own in enumerate(word):
                     nxt.append(min(nxt[j] + 1, row[j + 1] + 1, row[j] + (own != ch)))
                 if min(nxt) <= 1:
                     stack.append((child, tuple(nxt)))
-        return None
+
+    def exact(self, word: str) -> str | None:
+        """The entry that ``word`` is or begins with."""
+        if word in self.words:
+            return word
+        return next((word[:n] for n in self.stem_lengths if word[:n] in self.stems), None)
 
     def judge(self, word: str) -> tuple[float, bool] | None:
         """(weight, misspelled) of a hit."""
-        if word in self.words:
-            return self.words[word], False
-        for n in self.stem_lengths:
-            if word[:n] in self.stems:
-                return self.stems[word[:n]], False
+        entry = self.exact(word)
+        if entry is not None:
+            return (self.words[entry] if entry == word and entry in self.words else self.stems[entry]), False
         if word in self.known:
             return None
-        found = self.near(word)
-        return (self.words.get(found) or self.stems[found], True) if found else None
+        best = 0.0
+        for entry, stem in self.accepted(word):
+            best = max(best, self.variants.weight(entry, word, stem) if self.variants else (self.stems if stem else self.words)[entry])
+        return (best, True) if best > 0 else None
 
 
 class Scanner:
@@ -137,17 +195,13 @@ class Scanner:
         if not found:
             return [0.0] * FEATURES
         places = [i for i, token in enumerate(tokens) if token in found]
-        abuse = quoted = 0.0
-        crowded = 0
-        for n, at in enumerate(places):
-            weight, _ = self.hits[tokens[at]]
-            if self._quoted(tokens, at):
-                quoted += weight
-            else:
-                abuse += weight  # misspelled or not: the sample need not hold any misspelling to learn from
-            if (n and at - places[n - 1] <= WINDOW) or (n + 1 < len(places) and places[n + 1] - at <= WINDOW):
-                crowded += 1
-        return [math.log1p(abuse), math.log1p(crowded), math.log1p(quoted), float(len(places) >= 2), float(len(places) >= 3),
+        weights = [self.hits[tokens[at]][0] for at in places]
+        cited = [self._quoted(tokens, at) for at in places]
+        own = [at for at, q in zip(places, cited) if not q]
+        abuse = sum(w for w, q in zip(weights, cited) if not q)
+        quoted = sum(w for w, q in zip(weights, cited) if q)
+        crowded = sum((n > 0 and at - own[n - 1] <= WINDOW) or (n + 1 < len(own) and own[n + 1] - at <= WINDOW) for n, at in enumerate(own))
+        return [math.log1p(abuse), math.log1p(crowded), math.log1p(quoted), float(len(own) >= 2), float(len(own) >= 3),
                 math.log1p(100 * abuse / len(tokens))]
 
     @staticmethod
@@ -218,7 +272,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
         entries = [*found_words, *found_stems]
         if any(e.startswith(r.prefix) or r.prefix.startswith(e) for e in entries):
             continue
-        weight = lambda bad, good: min(6.0, math.log((bad + 0.5) / (good + 0.5) * (1 - rate) / rate))
+        weight = lambda bad, good: min(MOST_WEIGHT, math.log((bad + 0.5) / (good + 0.5) * (1 - rate) / rate))
         if r.words >= FAMILY_WORDS and 2 * r.top_bad < r.bad and len(r.prefix) > 2:
             found_stems[r.prefix] = weight(r.bad, r.good)
         elif 2 * r.top_bad >= r.bad:
@@ -226,31 +280,80 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     return found_words, found_stems
 
 
-def known_neighbours(sample: DataFrame, words: dict[str, float], stems: dict[str, float]) -> frozenset[str]:
-    """Words one edit away from an entry that stand in at least as large a share of the clean texts as of the toxic."""
+def learn_variants(sample: DataFrame, words: dict[str, float], stems: dict[str, float]) -> tuple[frozenset[str], Variants]:
+    """(words that are no misspellings, weights of the misspellings), from words of the sample one edit from an entry.
+
+    A variant that the sample holds has its own lift, drawn toward that of its cell (entry, kind and place of the edit).
+    For variants it lacks, the cell's clean variants that stand there once tell how many more there are, drawn toward
+    the average of the entry's cells.
+    """
     def make():
         trie = Trie(words, stems)
-        judged: dict[str, bool] = {}
+        judged: dict[str, list[tuple[str, str, int, str]]] = {}
+
+        def judge(word):
+            entry = trie.exact(word)
+            if entry is not None:
+                return [(entry, "", 0, entry)]
+            return [(e, *found) for e, stem in trie.accepted(word) if (found := edit_of(e, word, stem))]
 
         def work(batch):
-            out: dict[str, list] = {"word": [], "toxic": []}
+            out: dict[str, list] = {n: [] for n in ("entry", "kind", "at", "variant", "word", "toxic")}
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 for word in {token.strip(_EDGES) for token in text.lower().split()}:
                     if word not in judged:
-                        judged[word] = (trie.judge(word) or (0.0, False))[1]
-                    if judged[word]:
-                        out["word"].append(word)
-                        out["toxic"].append(toxic)
+                        judged[word] = judge(word)
+                    for row in judged[word]:
+                        for name, value in zip(out, (*row, word, toxic)):
+                            out[name].append(value)
             return out
 
         return work
 
     texts = {x.toxic: x["count"] for x in sample.groupBy("toxic").count().collect()}
-    bad, good = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-    # words of the bounded sample, and of them only the neighbours of entries
-    rows = map_texts(sample, ["text", "toxic"], [("word", T.StringType()), ("toxic", T.IntegerType())], make).groupBy("word").agg(
-        bad.alias("bad"), good.alias("good")).where(F.col("good") * texts.get(1, 0) >= F.col("bad") * texts.get(0, 0)).select("word").collect()
-    return frozenset(x.word for x in rows)
+    fields = [("entry", T.StringType()), ("kind", T.StringType()), ("at", T.IntegerType()), ("variant", T.StringType()),
+              ("word", T.StringType()), ("toxic", T.IntegerType())]
+    bad, good = F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
+    # words of the bounded sample, and of them only entries and their neighbours
+    rows = map_texts(sample, ["text", "toxic"], fields, make).groupBy("entry", "kind", "at", "variant", "word").agg(bad, good).collect()
+    return weigh_variants([tuple(r) for r in rows], texts.get(1, 0), texts.get(0, 0), words, stems)
+
+
+def weigh_variants(rows: list[tuple], toxic: int, clean: int, words: dict[str, float], stems: dict[str, float]) -> tuple[frozenset[str], Variants]:
+    """The judgement of ``learn_variants`` from its counts: (entry, kind, place, variant, word, toxic texts, clean texts)."""
+    entry_bad: dict[str, int] = {}
+    counts: dict[tuple[str, str, int], dict[str, list[int]]] = {}
+    spoken: dict[str, tuple[int, int]] = {}
+    for entry, kind, at, variant, word, bad, good in rows:
+        if not kind:
+            entry_bad[entry] = entry_bad.get(entry, 0) + bad
+            continue
+        pair = counts.setdefault((entry, kind, at), {}).setdefault(variant, [0, 0])
+        pair[0] += bad
+        pair[1] += good
+        spoken[word] = (bad, good)
+    known = frozenset(w for w, (bad, good) in spoken.items() if good * toxic >= bad * clean)
+
+    def weight(entry, bad, good):
+        if not toxic or not clean or bad <= 0:
+            return 0.0
+        lift = math.log(bad / toxic * clean / good)
+        full = max(words.get(entry, 0.0), stems.get(entry, 0.0))
+        return 0.0 if lift < math.log(MIN_LIFT) else min(lift, full)
+
+    places = {e: 3 * len(e) + 1 for e in {*words, *stems}}
+    expected = {e: MISSPELT * entry_bad.get(e, 0) / places[e] for e in places}
+    once_in = {key: sum(good == 1 for _, good in found.values()) for key, found in counts.items()}
+    # what an average cell of the entry holds: all that is known of cells without any variant
+    average = {e: (0.5 + sum(n for (own, _, _), n in once_in.items() if own == e)) / places[e] for e in places}
+    seen, cells = {}, {}
+    for (entry, kind, at), found in counts.items():
+        once = once_in[entry, kind, at] + average[entry]
+        prior = 0.0 if entry in stems and at == 0 else expected[entry]
+        cells[entry, kind, at] = weight(entry, prior, once)
+        for variant, (bad, good) in found.items():
+            seen[entry, variant] = weight(entry, bad + prior, good + once)
+    return known, Variants(seen, cells, {e: weight(e, expected[e], average[e]) for e in places})
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
@@ -267,41 +370,59 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1
     return w
 
 
-def _features(df: DataFrame, words: dict[str, float], stems: dict[str, float], known: frozenset[str], keep: list[tuple[str, T.DataType]]) -> DataFrame:
+def fit_signed(x: np.ndarray, y: np.ndarray, signs: tuple[int, ...]) -> np.ndarray:
+    """As ``fit_logistic``; a feature whose weight gets the wrong sign is left out (weight 0), the worst one first."""
+    kept = list(range(x.shape[1]))
+    while True:
+        w = fit_logistic(x[:, kept], y)
+        wrong = [(w[i] * signs[k], k) for i, k in enumerate(kept) if w[i] * signs[k] < 0]
+        if not wrong:
+            break
+        kept.remove(min(wrong)[1])
+    full = np.zeros(x.shape[1] + 1)
+    full[[*kept, x.shape[1]]] = w
+    return full
+
+
+def _features(df: DataFrame, lexicon: tuple, keep: list[tuple[str, T.DataType]]) -> DataFrame:
     names = [n for n, _ in keep]
 
     def make():
-        scanner = Scanner(Trie(words, stems, known))
+        scanner = Scanner(Trie(*lexicon))
         return lambda batch: {**{n: batch[n] for n in names}, "f": [scanner.features(t) for t in batch["text"]]}
 
     return map_texts(df, [*names, "text"], [*keep, ("f", T.ArrayType(T.DoubleType()))], make)
 
 
 class Model:
-    """A lexicon, the words known to be none of its misspellings, and the weights of its features."""
+    """A lexicon (words, stems, words that are no misspellings, weights of misspellings) and the weights of its features."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], known: frozenset[str], weights: list[float]):
-        self.words, self.stems, self.known, self.weights = words, stems, known, weights
+    def __init__(self, lexicon: tuple[dict[str, float], dict[str, float], frozenset[str], Variants], weights: list[float]):
+        self.lexicon, self.weights = lexicon, weights
 
     @staticmethod
     def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", fit_rows=FIT_ROWS, folds=True) -> Model:
-        """Learn from labelled rows; without any, or with one label only, the model scores everything low."""
+        """Learn from labelled rows; without any, or with one label only, the model scores everything low.
+
+        The sample, at most twice ``fit_rows`` texts, is written once and deleted after the fit.
+        """
         use_text_batches(docs.sparkSession)
-        sample = labelled_sample(docs, labels, id_col, text_col, label_col, fit_rows, folds)
-        words, stems = learn_lexicon(sample)
-        known = known_neighbours(sample, words, stems)
-        # at most 2 * fit_rows rows of a few numbers
-        rows = _features(sample, words, stems, known, [("toxic", T.IntegerType())]).collect()
+        with Scratch(docs.sparkSession, "toxicity") as scratch:
+            sample = scratch.stage(labelled_sample(docs, labels, id_col, text_col, label_col, fit_rows, folds), "sample")
+            words, stems = learn_lexicon(sample)
+            lexicon = (words, stems, *learn_variants(sample, words, stems))
+            # at most 2 * fit_rows rows of a few numbers
+            rows = _features(sample, lexicon, [("toxic", T.IntegerType())]).collect()
         y = np.array([r.toxic for r in rows], float)
         if len(set(y)) < 2:
-            return Model(words, stems, known, [0.0] * FEATURES + [-3.0])
-        return Model(words, stems, known, fit_logistic(np.array([r.f for r in rows], float), y).tolist())
+            return Model(lexicon, [0.0] * FEATURES + [-3.0])
+        return Model(lexicon, fit_signed(np.array([r.f for r in rows], float), y, SIGNS).tolist())
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(id_col, score, predicted) for every row."""
         named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         weights = self.weights
-        scored = _features(named, self.words, self.stems, self.known, [("id", docs.schema[id_col].dataType)])
+        scored = _features(named, self.lexicon, [("id", docs.schema[id_col].dataType)])
         logit = sum((F.col("f")[i] * w for i, w in enumerate(weights[:-1])), F.lit(weights[-1]))
         p = 1 / (1 + F.exp(-logit))
         return scored.select(F.col("id").alias(id_col), p.alias("score")).withColumn(
