@@ -1,0 +1,95 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from tremorlake.llm.divergence import _f, _share, divergence, op12_source_divergence, terms_of
+
+from fixtures import SF_DIR, awkward, awkward_rows
+
+TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def brute(rows, min_docs=3, top=200):
+    """Every group against its lang and its neighbours, term by term; rows are (lang, source, text)."""
+    rows = [(a or "", b or "", TERM.findall(lower(t or ""))) for a, b, t in rows]
+    held, groups = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, terms in rows:
+        held[lang].update(set(terms))
+        groups[lang, source].update(terms)
+    out = set()
+    for lang in held:
+        kept = [t for t, n in held[lang].items() if n >= min_docs]
+        v = len(kept)
+        own = {s: c for (a, s), c in groups.items() if a == lang}
+
+        def shares(count):
+            n = sum(count[t] for t in kept)
+            return {t: 1 + 10 ** 9 * (count[t] + 1) // (n + v) for t in kept}
+
+        whole = shares(sum(own.values(), Counter()))
+        share = {s: shares(c) for s, c in own.items()}
+        for s, p in share.items():
+            pairs = [(o, sum((p[t] - q[t]) ** 2 // q[t] for t in kept)) for o, q in share.items() if o != s]
+            terms = [(t, (p[t] - whole[t]) ** 2 // whole[t]) for t in kept if own[s][t] > 0 and p[t] > whole[t]]
+            for part, items, most in (("pair", pairs, None), ("term", terms, top)):
+                order = sorted(items, key=lambda x: (-x[1], x[0].encode()))[:most]
+                out |= {(lang, s, part, item, value, n) for n, (item, value) in enumerate(order, 1)}
+    return out
+
+
+def got(df):
+    rows = df.collect()
+    found = {(r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_terms():
+    text = "Über-Straße x_Y 日本 ÀB\x00c\x7fd 12a[b]C\U0001F600\tÉ"
+    assert [t.decode() for t in terms_of(text)] == TERM.findall(lower(text)) and terms_of(None) == []
+
+
+def test_random_corpora_equal_brute_force(spark):
+    rng = random.Random(1)
+    for top in (1, 3, 200):
+        words = [f"{a}{b}" for a in "abcé" for b in "xyzñ日"]
+        rows = [(rng.choice(["en", "de", None]), rng.choice(["s1", "s2", "s3", "s4"]), " ".join(rng.choices(words, k=rng.randint(0, 12))))
+                for _ in range(60)]
+        rows += [("en", "only numbers", "1 2 3"), ("xx", "a", "one"), ("xx", "b", "two"), ("yy", None, None)]
+        df = spark.createDataFrame(rows, "lang string, source string, text string")
+        assert got(divergence(df, top=top)) == brute(rows, top=top)
+
+
+def test_ties_beyond_the_last_rank(spark):
+    """A thousand terms with one value: only the first in UTF-8 order are listed, and a hot source changes nothing."""
+    words = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(1000))
+    rows = [("en", "hot", words)] * 4 + [("en", "other", "plain words only")] * 3
+    df = spark.createDataFrame(rows, "lang string, source string, text string")
+    assert got(divergence(df)) == brute(rows)
+
+
+def test_shares_are_exact_for_huge_counts(spark):
+    counts = [0, 7, 10 ** 10, 3 * 10 ** 15 + 1, 9 * 10 ** 17]
+    df = spark.createDataFrame([(c, 9 * 10 ** 17 + 5, 1234567) for c in counts], "c long, n long, v long")
+    p = [1 + 10 ** 9 * (c + 1) // (9 * 10 ** 17 + 5 + 1234567) for c in counts]
+    assert [r[0] for r in df.select(F.expr(_share("c", "n", "v"))).collect()] == p
+    pairs = spark.createDataFrame([(a, b) for a in p for b in p], "p long, q long")
+    assert [r[0] for r in pairs.select(F.expr(_f("p", "q"))).collect()] == [(a - b) ** 2 // b for a in p for b in p]
+
+
+def test_documents(spark):
+    rows = [(r.lang, r.source, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    assert got(op12_source_divergence(spark, SF_DIR)) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [(r.lang, r.source, r.text) for r in awkward(spark).select("lang", "source", "text").collect()]
+    assert len(rows) == len(awkward_rows()) and got(divergence(awkward(spark))) == brute(rows)
+    empty = divergence(awkward(spark).limit(0))
+    assert empty.count() == 0 and empty.columns == ["lang", "source", "part", "item", "value", "rank"]
