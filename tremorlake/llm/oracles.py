@@ -74,9 +74,53 @@ link AS (SELECT x.id AS a, y.id AS b FROM usable x JOIN usable y ON x.label = y.
 SELECT v.id AS vec_id, (SELECT count(*) FROM link WHERE a = v.id OR b = v.id) AS n_links, component_id, v.id = component_id AS kept
 FROM vec v JOIN component c ON c.id = v.id"""
 
+_OP12 = r"""WITH doc AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+word AS (SELECT id, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS m FROM word GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+own AS (SELECT lang, source, term, count(*) AS c FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+dense AS (SELECT lang, source, term, coalesce(c, 0) AS c, m FROM grp JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+total AS (SELECT lang, source, sum(c) AS n, count(*) AS v, sum(m) AS nl FROM dense GROUP BY lang, source),
+share AS (SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 1)) // (n + v) AS p, 1 + (1000000000::HUGEINT * (m + 1)) // (nl + v) AS q
+  FROM dense JOIN total USING (lang, source)),
+apart AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM share x JOIN share y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+report AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM share WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM report QUALIFY part = 'pair' OR rank <= 200"""
+
+_OP13 = r"""WITH step AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+doc AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+word AS (SELECT true AS own, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM doc
+  UNION ALL SELECT false, 0, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+run AS (SELECT own, r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+    || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS f FROM word),
+tally AS (SELECT own, r, f, count(*) AS n FROM run GROUP BY ALL),
+named AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(hex(f)) // 2), lambda i: ('0x' || substr(hex(f), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, step.t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT f FROM tally), step),
+per AS (SELECT own, r, bucket, sum(n)::BIGINT AS n FROM tally JOIN named USING (f) GROUP BY ALL),
+side AS (SELECT bucket, coalesce(sum(n) FILTER (own), 0)::BIGINT AS s, coalesce(sum(n) FILTER (NOT own), 0)::BIGINT AS t FROM per GROUP BY bucket),
+whole AS (SELECT sum(s)::BIGINT AS big_s, sum(t)::BIGINT AS big_t FROM side),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (big_s + 10000) / ((s + 1) * (big_t + 10000))))::BIGINT AS g FROM side, whole),
+weighed AS (SELECT r, sum(n) AS n_features, sum(n * g) AS weight FROM per JOIN gain USING (bucket) WHERE own GROUP BY r),
+scored AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM doc JOIN word USING (r) LEFT JOIN weighed USING (r) WHERE own),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM ranked"""
+
 LLM_ORACLES: dict[str, str] = {
     "op2_minhash": _OP2,
     "op5_warc": _OP5,
     "op8_secret_scans": _OP8,
     "op10_embedding_near_dedup": _OP10,
+    "op12_source_divergence": _OP12,
+    "op13_importance_resampling": _OP13,
 }
