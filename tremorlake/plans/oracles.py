@@ -262,6 +262,7 @@ SELECT poly, ring, x1, y1, x2, y2 FROM sea_edge UNION ALL SELECT poly + 100, rin
     "map_table": _q("SELECT id, time_utc, coalesce(nullif(place, ''), nullif(title, ''), '—') AS place_text, mag FROM quake"),
     "union_windows": _q("SELECT * FROM quake"),
     "insert_new": _q("SELECT * FROM firsts", FIRSTS),
+    "insert_filtered": _q("SELECT usgs_id, mag, time_utc, title, net, depth_km, lon, lat FROM firsts", FIRSTS),
     "upsert_country": f"""WITH {COUNTRY}, {ZONE_RAW}, {ZONE_CLEAN}, {ZONE_LOOKUP}
 SELECT coalesce(z.iso, c.iso) AS iso, coalesce(z.name, c.name) AS name FROM country c FULL JOIN zone_lookup z ON c.iso = z.iso""",
     "upsert_sea": f"""WITH {SEA}, {BASIN_LOOKUP}

@@ -14,7 +14,7 @@ from tremorlake.operators.ordering import row_ids
 from tremorlake.plans import fixtures as fx, prepared
 from tremorlake.schema import FEATURE_OUT
 from tremorlake.session import scratch_path
-from tremorlake.sources import feed, geojson, polygons
+from tremorlake.sources import feed, geojson, polygons, store
 from tremorlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,6 +420,16 @@ def insert_new(spark, sf_dir):
     return stored.unionByName(tables.insert_new(stored, events))
 
 
+@query
+def insert_filtered(spark, sf_dir):
+    """The same in the event store, which opens only folders whose key filter may hold an offered id."""
+    path = scratch_path(spark, "filtered")
+    events = fx.quakes(spark, sf_dir)
+    for name, offered in (("first", events.where(F.col("time_utc") < _mid())), ("second", events)):
+        store.load_batch(spark, path, offered, ["id"], name)
+    return store.scan_quake(spark, path).select("usgs_id", "mag", _ntz("time_utc").alias("time_utc"), "title", "net", "depth_km", "lon", "lat")
+
+
 @query
 def upsert_country(spark, sf_dir):
     return tables.upsert_country(tables.country_lookup(fx.country_polygons(spark, sf_dir)),

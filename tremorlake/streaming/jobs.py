@@ -151,10 +151,20 @@ def latest_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(newest.alias("_v")).select(*keys, "_v.*")
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint; written before its first batch."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def start_insert_new(stream: DataFrame, store: str, checkpoint: str, arrival: Sequence[Column | str] = ("updated_utc",)) -> StreamingQuery:
-    """Insert new events batch by batch. A retried batch replaces its own rows and nothing else."""
+    """Insert new events batch by batch. A retried batch replaces its own rows and nothing else.
+
+    Loads carry the stream's own id, so any number of streams may fill one store, one after another. A stream that
+    lost its checkpoint is a new one: what it replays is found in the store, by id, or without one by its content.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch.sparkSession, store, batch, list(arrival), load_id=f"stream-{batch_id}")
+        series = f"stream-{_query_id(batch.sparkSession, checkpoint)}-"
+        load_batch(batch.sparkSession, store, batch, list(arrival), load_id=f"{series}{batch_id}", replayed_from=series)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
