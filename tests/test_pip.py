@@ -184,3 +184,47 @@ def test_layer_files_as_they_come(spark, tmp_path):
         (tmp_path / "bad.geojsonl").write_text(feature % (1, "C", kind, coordinates))
         with pytest.raises(Exception, match="no polygon"):
             read_sea_polygons(spark, str(tmp_path / "bad.geojsonl")).collect()
+
+
+def test_adaptive_cells_equal_the_plain_test(spark):
+    """Random polygons of very different sizes, cut down to a few entries per cell, over both kinds of joins."""
+    for seed, most in ((11, 12), (12, 40)):
+        rng = random.Random(seed)
+        polygons = [(i, [star(rng, rng.uniform(-40, 40), rng.uniform(-40, 40), rng.choice([3, 12, 30]), rng.randint(4, 60))]) for i in range(14)]
+        coordinates = [(round(rng.uniform(-60, 60) * 2) / 2, round(rng.uniform(-60, 60) * 2) / 2) for _ in range(400)]
+        coordinates += [(rng.uniform(-60, 60), rng.uniform(-60, 60)) for _ in range(400)]
+        coordinates += [corner for _, rings in polygons for ring in rings for corner in ring]
+        want, pts = plain(polygons, coordinates), points(spark, coordinates)
+        index = build_index(layer(spark, polygons), split_entries=most)
+        assert index.levels >= 2 and index.split is not None
+        held = index.cells.select(F.max("entries")).first()[0]
+        assert held <= most
+        for chosen in (index, replace(index, broadcast=False, broadcast_split=False)):
+            assert answer(resolve_polygon(pts, chosen)) == want
+
+
+def test_one_huge_and_many_tiny_detailed_shapes(spark):
+    """The huge shape keeps its coarse cells; only the crowded spot is cut, and no cell holds more than its bound."""
+    def circle(x, y, radius, n):
+        return [[(x + radius * math.cos(2 * math.pi * k / n), y + radius * math.sin(2 * math.pi * k / n)) for k in range(n)]]
+
+    polygons = [(1000, [[(-170.0, -80.0), (170.0, -80.0), (170.0, 80.0), (-170.0, 80.0)]])]
+    polygons += [(i, circle(10.0 + i % 15 * 0.01, 20.0 + i // 15 * 0.01, 0.004, 60)) for i in range(225)]
+    index = build_index(layer(spark, polygons))
+    assert index.cells is not None and index.levels >= 2 and index.cells.agg(F.max("entries")).first()[0] <= 256
+    sizes = {r["level"]: r["count"] for r in index.cells.groupBy("level").count().collect()}
+    uniform = (360 / index.level_deg(index.levels - 1)) * (180 / index.level_deg(index.levels - 1))
+    assert sum(sizes.values()) < 100_000 and sum(sizes.values()) < uniform / 50
+    rng = random.Random(8)
+    coordinates = [(rng.uniform(9.99, 10.16), rng.uniform(19.99, 20.16)) for _ in range(500)] + [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(200)]
+    coordinates += [(10.0 + 0.01 * i, 20.0 + 0.01 * i) for i in range(15)]
+    assert answer(resolve_polygon(points(spark, coordinates), index)) == plain(polygons, coordinates)
+
+
+def test_cells_that_stay_crowded_are_answered_by_pairs(spark):
+    """Many polygons through one point: no cell size parts them."""
+    fan = [(i, [[(0.0, 0.0), (1.0 + i, 2.0), (2.0 + i, 1.0)]]) for i in range(40)]
+    index = build_index(layer(spark, fan), split_entries=20)
+    coordinates = [(0.0, 0.0), (1e-6, 1e-6), (0.5, 0.5), (1.5, 1.2), (30.0, 1.0), (-1.0, -1.0)]
+    assert answer(resolve_polygon(points(spark, coordinates), index)) == plain(fan, coordinates)
+    assert index.cells.agg(F.max("entries")).first()[0] <= 20

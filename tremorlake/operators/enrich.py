@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.functions.text import clean_lookup_key
 from tremorlake.operators.joins import lookup_join
-from tremorlake.operators.pip import PolygonIndex, resolve_polygon
+from tremorlake.operators.pip import PolygonIndex, changed_cells, points_in_cells, resolve_polygon
+from tremorlake.session import stage
 
 
 def scan_points(quakes: DataFrame) -> DataFrame:
@@ -59,3 +60,26 @@ def country_stats(resolved: DataFrame) -> DataFrame:
         F.max("mag").alias("max_mag"),
         F.round(F.avg("depth_km"), 6).alias("mean_depth_km"),
     )
+
+
+def points_to_relocate(points: DataFrame, old_country: tuple[PolygonIndex, DataFrame], new_country: tuple[PolygonIndex, DataFrame],
+                       old_sea: tuple[PolygonIndex, DataFrame, DataFrame], new_sea: tuple[PolygonIndex, DataFrame, DataFrame]) -> DataFrame:
+    """The points that a change of the layers may touch: those in cells whose answer differs, in the old or the new index.
+
+    Layers come with their index, seas with their id table as well. A polygon that moved, went, came, or carries another
+    key or sea id changes the cells it meets; row ids alone change nothing.
+    """
+    def countries(side):
+        return side[0], country_attributes(side[1]).select(F.col("_country").alias("poly"), F.col("country_iso").alias("value"))
+
+    def seas(side):
+        return side[0], sea_attributes(side[1], side[2]).select(F.col("_sea").alias("poly"), F.col("sea_id").cast("string").alias("value"))
+
+    flagged, flags = points, []
+    for n, (old, new) in enumerate(((countries(old_country), countries(new_country)), (seas(old_sea), seas(new_sea)))):
+        cells = stage(changed_cells(*old, *new))
+        for m, index in enumerate((old[0], new[0])):
+            flagged = points_in_cells(flagged, index, cells, f"_flag{n}{m}")
+            flags.append(F.col(f"_flag{n}{m}"))
+    touched = flags[0] | flags[1] | flags[2] | flags[3]
+    return flagged.where(touched).select(*points.columns)

@@ -13,8 +13,11 @@ A cell that no edge meets has neither ``edges`` nor ``far``: its ``base`` says i
 polygon that fills the cell is kept as ``filler``, which answers most points without any test. The
 comparisons are those of the plain even-odd test on exact doubles, so both give the same rows.
 
-Layers too large for cell rows of bounded size take ``covering_pairs``, a shuffle join with the
-same answer.
+Cells follow the layer: a cell with more than ``SPLIT_ENTRIES`` entries is cut into ``CUT`` x ``CUT``, again and again,
+so one crowded spot makes its own cells smaller and no others. A cell's parts are handed down row by row, and only cells
+small enough are gathered into arrays. A point walks down the few levels that exist by the list of split
+cells, then reads one cell row. Points in a cell that stays crowded at the finest size take ``covering_pairs``, a
+shuffle join with the same answer.
 """
 
 from __future__ import annotations
@@ -24,12 +27,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import cell_index
-from tremorlake.operators.joins import shuffled_left_join
+from tremorlake.operators.joins import lookup_join, shuffled_left_join
 from tremorlake.session import pin
 from tremorlake.sources.polygons import polygon_edges
 
 CELL_SIZES = tuple(10.0 / 2 ** k for k in range(18))   # degrees, tried from coarse to fine
-MAX_CELL_ENTRIES = 20_000            # edges or polygons one cell row may hold
+MAX_CELL_ENTRIES = 20_000            # edges or polygons one cell row of a fixed grid may hold
+SPLIT_ENTRIES = 256                  # beyond so many, a cell is cut
+CUT = 4                              # cells a side into which it is cut
+SLACK = 1e-9                         # degrees, far above the rounding of a computed crossing
+FEW_EDGES = 10_000                   # layers up to here are gathered at once and cut only if a cell turns out crowded
 ENTRY_BYTES = 64                     # room for one edge, loose end, polygon or cell in memory
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -76,11 +83,15 @@ def _loose_ends(edge_rows: DataFrame, g: float) -> DataFrame:
     return odd.where("odd = 1").drop("odd")
 
 
+def _far_ends(cells: DataFrame, loose: DataFrame) -> DataFrame:
+    """Per polygon and cell, the ends right of the cell that do not cancel; a null ``y`` is above the row."""
+    right = cells.join(loose, ["poly", "cell_r"]).where(F.col("c_low") > F.col("cell_c"))
+    return right.groupBy("poly", "cell_r", "cell_c", "y").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1").drop("odd")
+
+
 def _far_parity(cells: DataFrame, loose: DataFrame) -> DataFrame:
     """Per polygon and cell: parity above the row, and the loose ends inside it, right of the cell."""
-    right = cells.join(loose, ["poly", "cell_r"]).where(F.col("c_low") > F.col("cell_c"))
-    odd = right.groupBy("poly", "cell_r", "cell_c", "y").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1")
-    return odd.groupBy("poly", "cell_r", "cell_c").agg(
+    return _far_ends(cells, loose).groupBy("poly", "cell_r", "cell_c").agg(
         F.count_if(F.col("y").isNull()).cast("int").alias("base"), F.collect_list("y").alias("far"))
 
 
@@ -88,9 +99,11 @@ def _far_parity(cells: DataFrame, loose: DataFrame) -> DataFrame:
 class PolygonIndex:
     """A layer prepared for lookups.
 
-    ``cells`` holds one row per grid cell, or is None when a cell would hold more than
-    ``MAX_CELL_ENTRIES``; ``broadcast`` tells whether its measured size allows a copy per executor, and
-    ``broadcast_boxes`` the same of the cells of all bounding boxes.
+    ``cells`` holds one row per grid cell, with its ``level``: the cells of level 0 measure ``cell_deg``, those of the
+    next a ``CUT``th of it. It is None when a cell of a fixed grid would hold more than ``MAX_CELL_ENTRIES``. ``split`` lists
+    the cells that were cut; those of the last level stay crowded and are answered by pairs. ``broadcast``
+    tells whether the measured size of the cells allows a copy per executor, ``broadcast_split`` and
+    ``broadcast_boxes`` the same of the split cells and of the cells of all bounding boxes.
     """
 
     edges: DataFrame
@@ -98,6 +111,12 @@ class PolygonIndex:
     cell_deg: float
     broadcast: bool
     broadcast_boxes: bool
+    split: DataFrame | None = None
+    levels: int = 1
+    broadcast_split: bool = True
+
+    def level_deg(self, level: int) -> float:
+        return self.cell_deg / CUT ** level
 
 
 def choose_cell_deg(edges: DataFrame) -> float:
@@ -115,9 +134,11 @@ def choose_cell_deg(edges: DataFrame) -> float:
 
 def build_index(layer: DataFrame, cell_deg: float | None = None,
                 max_cell_entries: int = MAX_CELL_ENTRIES,
-                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> PolygonIndex:
-    """Cut a polygon layer into grid cells and measure the result."""
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                split_entries: int = SPLIT_ENTRIES) -> PolygonIndex:
+    """Cut a polygon layer into grid cells and measure the result. ``cell_deg`` fixes one grid for the whole layer."""
     edges = pin(polygon_edges(layer))
+    fixed = cell_deg is not None
     cell_deg = cell_deg or choose_cell_deg(edges)
     edge_rows = _edge_rows(edges, cell_deg)
     near = _near_edges(edge_rows)
@@ -125,9 +146,12 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
     where = ["cell_r", "cell_c"]
     candidates = box_cells(boxes, cell_deg).select("poly", *where)
     copy_boxes = candidates.count() * ENTRY_BYTES <= max_broadcast_bytes
+    count = edges.count()
     far = _far_parity(candidates, _loose_ends(edge_rows, cell_deg))
+    if not fixed and count > FEW_EDGES:
+        return _adaptive_index(edges, edge_rows, near, candidates, cell_deg, copy_boxes, max_broadcast_bytes, split_entries)
     # A cell meets an edge or a polygon at most once, so only large layers need the count per cell.
-    if 2 * edges.count() > max_cell_entries:
+    if fixed and 2 * count > max_cell_entries:
         far = pin(far)
         held = near.select(*where, F.lit(1).alias("n")).unionAll(candidates.select(*where, F.lit(1).alias("n"))).unionAll(
             far.select(*where, F.size("far").alias("n"))).groupBy(*where).agg(F.sum("n").alias("n"))
@@ -139,23 +163,131 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
         candidates
         .join(far, ["poly", *where], "left")
         .join(near.groupBy("poly", *where).agg(F.collect_list(edge).alias("edges")), ["poly", *where], "left")
-        .select("poly", *where, F.coalesce("base", F.lit(0)).alias("base"),
+        .select("poly", F.lit(0).alias("level"), *where, F.coalesce("base", F.lit(0)).alias("base"),
                 F.coalesce("far", F.expr("CAST(array() AS ARRAY<DOUBLE>)")).alias("far"),
                 F.coalesce("edges", F.expr(
                     "CAST(array() AS ARRAY<STRUCT<x1: DOUBLE, y1: DOUBLE, x2: DOUBLE, y2: DOUBLE>>)")).alias("edges"))
-        .withColumn("whole", (F.col("base") == 1) & (F.size("far") == 0) & (F.size("edges") == 0))
-        .where("base = 1 OR size(far) > 0 OR size(edges) > 0")
     )
-    # The smallest polygon id wins, so nothing behind a polygon that fills the cell can matter.
+    cells = pin(_cell_rows(per_poly))
+    size, most = cells.agg(F.coalesce(F.sum(F.col("entries") * ENTRY_BYTES + ENTRY_BYTES), F.lit(0)), F.max("entries")).first()
+    if not fixed and (most or 0) > split_entries:
+        return _adaptive_index(edges, edge_rows, near, candidates, cell_deg, copy_boxes, max_broadcast_bytes, split_entries)
+    return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes, copy_boxes)
+
+
+def _cell_rows(per_poly: DataFrame) -> DataFrame:
+    """One row per cell from ``(poly, level, cell_r, cell_c, base, far, edges)``.
+
+    The smallest polygon id wins, so nothing behind a polygon that fills the cell can matter.
+    """
     entry = F.struct("poly", "base", "far", "edges")
-    cells = per_poly.groupBy(*where).agg(
+    marked = per_poly.withColumn("whole", (F.col("base") == 1) & (F.size("far") == 0) & (F.size("edges") == 0)).where(
+        "base = 1 OR size(far) > 0 OR size(edges) > 0")
+    return marked.groupBy("level", "cell_r", "cell_c").agg(
         F.min(F.when(F.col("whole"), F.col("poly"))).alias("filler"),
         F.collect_list(F.when(~F.col("whole"), entry)).alias("cands"),
         F.sum(F.lit(1) + F.size("far") + F.size("edges")).alias("entries"),
     ).withColumn("cands", F.filter("cands", lambda c: F.col("filler").isNull() | (c["poly"] < F.col("filler"))))
-    cells = pin(cells)
+
+
+# What a cell knows of a polygon, one row each: parity above its row, a loose end to its right, an edge that meets it.
+_BASE, _FAR, _EDGE = 0, 1, 2
+_PART = ["poly", "cell_r", "cell_c", "kind", "y", "x1", "y1", "x2", "y2"]
+
+
+def _ends(rows: DataFrame, kind) -> DataFrame:
+    none = [F.lit(None).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]
+    return rows.select("poly", "cell_r", "cell_c", kind.alias("kind"), F.when(kind == _FAR, F.col("y")).alias("y"), *none)
+
+
+def _without_hidden(parts: DataFrame) -> DataFrame:
+    """Parts of a cell's polygons up to the first that fills the cell."""
+    where = ["cell_r", "cell_c"]
+    whole = parts.groupBy("poly", *where).agg(F.max("kind").alias("most")).where(F.col("most") == _BASE)
+    filler = whole.groupBy(*where).agg(F.min("poly").alias("_filler"))
+    return parts.join(filler, where, "left").where("_filler IS NULL OR poly <= _filler").select(*_PART)
+
+
+def _cut(parts: DataFrame, g: float) -> DataFrame:
+    """The parts of cells handed down to the smaller cells of size ``g`` inside them.
+
+    An edge counts by its run inside the smaller cell's row, a little widened (``SLACK``), so a long slanting edge meets
+    few of them. One that still meets the cell goes on; one wholly to the right leaves its two ends. Ends count above
+    the smaller cell's row, inside it, or not at all, and equal ones cancel as before.
+    """
+    kids = parts.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(CUT * CUT)]))).withColumns({
+        "cell_r": F.col("cell_r") * CUT + F.floor(F.col("_k") / CUT).cast("int"), "cell_c": F.col("cell_c") * CUT + F.col("_k") % CUT}).drop("_k")
+    def x_at(y):
+        along = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))))
+        return F.col("x1") + (F.col("x2") - F.col("x1")) * along
+
+    bottom, top = x_at(F.col("cell_r") * F.lit(g)), x_at((F.col("cell_r") + 1) * F.lit(g))
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    spans = kids.withColumns({
+        "r_low": cell_index(F.least("y1", "y2"), g), "r_high": cell_index(F.greatest("y1", "y2"), g),
+        "c_low": cell_index(F.coalesce(F.greatest(low, F.least(bottom, top) - SLACK), low), g),
+        "c_high": cell_index(F.coalesce(F.least(high, F.greatest(bottom, top) + SLACK), high), g)})
+    in_row = (F.col("kind") == _EDGE) & F.col("cell_r").between(F.col("r_low"), F.col("r_high"))
+    edges = spans.where(in_row & F.col("cell_c").between(F.col("c_low"), F.col("c_high"))).select(*_PART)
+    right = spans.where(in_row & (F.col("c_low") > F.col("cell_c"))).select("poly", "cell_r", "cell_c", F.explode(F.array("y1", "y2")).alias("y"))
+    ends = right.unionByName(kids.where(F.col("kind") == _FAR).select("poly", "cell_r", "cell_c", "y"))
+    row = cell_index(F.col("y"), g)
+    placed = _ends(ends.where(row >= F.col("cell_r")), F.when(row == F.col("cell_r"), F.lit(_FAR)).otherwise(F.lit(_BASE))).unionByName(
+        kids.where(F.col("kind") == _BASE).select(*_PART))
+    odd = placed.groupBy(*_PART).agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1").drop("odd")
+    return edges.unionByName(odd)
+
+
+def _adaptive_index(edges: DataFrame, edge_rows: DataFrame, near: DataFrame, candidates: DataFrame, cell_deg: float, copy_boxes: bool,
+                    max_broadcast_bytes: int, split_entries: int) -> PolygonIndex:
+    """Cells of several sizes, none with more than ``split_entries`` entries but those that ``split`` lists last."""
+    where = ["cell_r", "cell_c"]
+    far = _far_ends(candidates, _loose_ends(edge_rows, cell_deg))
+    parts = near.select("poly", *where, F.lit(_EDGE).alias("kind"), F.lit(None).cast("double").alias("y"), "x1", "y1", "x2", "y2").unionByName(
+        _ends(far, F.when(F.col("y").isNull(), F.lit(_BASE)).otherwise(F.lit(_FAR))))
+    leaves, split, level, crowded = None, None, 0, 0
+    while True:
+        parts = pin(_without_hidden(parts))
+        held = parts.groupBy(*where).agg((F.count(F.lit(1)) + F.count_distinct("poly")).alias("n"))
+        over = pin(held.where(F.col("n") > split_entries).select(*where))
+        found = over.count()
+        leaf = (parts.join(over, where, "left_anti") if found else parts).select(F.lit(level).alias("level"), *_PART)
+        leaves = leaf if leaves is None else leaves.unionByName(leaf)
+        if not found:
+            break
+        crowded += found
+        marked = over.select(F.lit(level).alias("level"), *where)
+        split = marked if split is None else split.unionByName(marked)
+        if cell_deg / CUT ** level <= CELL_SIZES[-1]:
+            break
+        level += 1
+        parts = _cut(parts.join(over, where, "left_semi"), cell_deg / CUT ** level)
+    edge = F.struct("x1", "y1", "x2", "y2")
+    per_poly = leaves.groupBy("poly", "level", *where).agg(
+        F.count_if(F.col("kind") == _BASE).cast("int").alias("base"), F.collect_list("y").alias("far"),
+        F.collect_list(F.when(F.col("kind") == _EDGE, edge)).alias("edges"))
+    cells = pin(_cell_rows(per_poly))
     size = cells.agg(F.coalesce(F.sum(F.col("entries") * ENTRY_BYTES + ENTRY_BYTES), F.lit(0))).first()[0]
-    return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes, copy_boxes)
+    return PolygonIndex(edges, cells, cell_deg, size <= max_broadcast_bytes, copy_boxes, None if split is None else pin(split), level + 1,
+                        crowded * ENTRY_BYTES <= max_broadcast_bytes)
+
+
+def place_points(points: DataFrame, index: PolygonIndex) -> DataFrame:
+    """``points`` with ``_level``, ``_r`` and ``_c`` of their cell; ``index.levels`` for points of cells that stay crowded."""
+    at = lambda level: (cell_index(F.col("lat"), index.level_deg(level)), cell_index(F.col("lon"), index.level_deg(level)))
+    r, c = at(0)
+    placed = points.withColumns({"_level": F.lit(0), "_r": r, "_c": c})
+    if index.split is None:
+        return placed
+    for level in range(index.levels):       # a few sizes
+        cut = index.split.where(F.col("level") == level).select(F.col("level").alias("_level"), F.col("cell_r").alias("_r"), F.col("cell_c").alias("_c"),
+                                                                F.lit(True).alias("_cut"))
+        keys = ["_level", "_r", "_c"]
+        met = placed.join(F.broadcast(cut), keys, "left") if index.broadcast_split else shuffled_left_join(placed, cut, keys)
+        r, c = at(level + 1)
+        placed = met.select(*points.columns, *[F.when(F.col("_cut"), deeper).otherwise(F.col(name)).alias(name) for name, deeper in (
+            ("_level", F.lit(level + 1)), ("_r", r), ("_c", c))])
+    return placed
 
 
 def _crosses(e: Column, lon: Column, lat: Column) -> Column:
@@ -188,18 +320,22 @@ def resolve_polygon(points: DataFrame, index: PolygonIndex, out: str = "poly") -
     """
     if index.cells is None:
         return _resolve_by_pairs(points, index, out)
-    g = index.cell_deg
-    placed = points.withColumns({"_r": cell_index(F.col("lat"), g), "_c": cell_index(F.col("lon"), g)})
-    cells = index.cells.select(F.col("cell_r").alias("_r"), F.col("cell_c").alias("_c"),
+    placed = place_points(points, index)
+    keys = ["_level", "_r", "_c"]
+    cells = index.cells.select(F.col("level").alias("_level"), F.col("cell_r").alias("_r"), F.col("cell_c").alias("_c"),
                                F.col("filler").alias("_filler"), F.col("cands").alias("_cands"))
     if index.broadcast:
-        joined = placed.join(F.broadcast(cells), ["_r", "_c"], "left")
+        joined = placed.join(F.broadcast(cells), keys, "left")
     else:
-        joined = shuffled_left_join(placed, cells, ["_r", "_c"])
+        joined = shuffled_left_join(placed, cells, keys)
     covering = F.filter("_cands", lambda c: _covers(c, F.col("lon"), F.col("lat")))
     tested = F.coalesce(F.array_min(F.transform(covering, lambda c: c["poly"])), F.col("_filler"))
     poly = F.when(F.size("_cands") > 0, tested).otherwise(F.col("_filler"))
-    return joined.select(*points.columns, poly.alias(out))
+    found = joined.select(*points.columns, "_level", poly.alias(out))
+    if index.split is None or index.level_deg(index.levels - 1) > CELL_SIZES[-1]:
+        return found.drop("_level")
+    crowded = F.coalesce(F.col("_level") == index.levels, F.lit(False))
+    return found.where(~crowded).drop("_level").unionByName(_resolve_by_pairs(found.where(crowded).select(*points.columns), index, out))
 
 
 def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
@@ -239,3 +375,54 @@ def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
 def _resolve_by_pairs(points: DataFrame, index: PolygonIndex, out: str) -> DataFrame:
     best = covering_pairs(points, index).groupBy("id").agg(F.min("poly").alias(out))
     return points.join(best, "id", "left").select(*points.columns, out)
+
+
+def _cell_contents(index: PolygonIndex, values: DataFrame) -> DataFrame:
+    """``(deg, r, c, mark)``: a hash of all that a cell can answer, with ``values`` (poly, value) in place of polygon ids.
+
+    Polygons count in the order in which they win, so a layer with new row ids but the same order has the same marks.
+    """
+    cell = ["level", "cell_r", "cell_c"]
+    listed = index.cells.select(*cell, F.posexplode(F.array_sort("cands")).alias("pos", "e")).select(*cell, "pos", "e.*")
+    filled = index.cells.where("filler IS NOT NULL").select(
+        *cell, F.size("cands").alias("pos"), F.col("filler").alias("poly"), F.lit(1).alias("base"), F.expr("CAST(array() AS ARRAY<DOUBLE>)").alias("far"),
+        F.expr("CAST(array() AS ARRAY<STRUCT<x1: DOUBLE, y1: DOUBLE, x2: DOUBLE, y2: DOUBLE>>)").alias("edges"))
+    listed = listed.unionByName(filled)
+    named = lookup_join(listed, values.select("poly", "value"), ["poly"])
+    one = F.xxhash64("pos", "value", "base", F.array_sort("far"), F.array_sort("edges"))
+    deg = F.element_at(F.array(*[F.lit(index.level_deg(n)) for n in range(index.levels)]), F.col("level") + 1)
+    return named.select(deg.alias("deg"), F.col("cell_r").alias("r"), F.col("cell_c").alias("c"), one.alias("h")).groupBy("deg", "r", "c").agg(
+        F.bit_xor("h").alias("mark"), F.count(F.lit(1)).alias("n"))
+
+
+def changed_cells(old: PolygonIndex, old_values: DataFrame, new: PolygonIndex, new_values: DataFrame) -> DataFrame:
+    """``(deg, r, c)`` of cells that answer differently, or that only one of two indexes has, in either of them.
+
+    Cells that stayed crowded have no row of their own and count as changed.
+    """
+    if old.cells is None or new.cells is None:
+        raise ValueError("only indexes with cells can be compared")
+    before, after = _cell_contents(old, old_values), _cell_contents(new, new_values)
+    other = after.withColumnsRenamed({"mark": "mark2", "n": "n2"})
+    differ = before.join(other, ["deg", "r", "c"], "full_outer").where(
+        ~(F.col("mark").eqNullSafe(F.col("mark2")) & F.col("n").eqNullSafe(F.col("n2")))).select("deg", "r", "c")
+    for index in (old, new):
+        if index.split is not None:
+            differ = differ.unionByName(index.split.where(F.col("level") == index.levels - 1).where(
+                F.lit(index.level_deg(index.levels - 1) <= CELL_SIZES[-1])).select(
+                F.lit(index.level_deg(index.levels - 1)).alias("deg"), F.col("cell_r").alias("r"), F.col("cell_c").alias("c")))
+    return differ.distinct()
+
+
+def points_in_cells(points: DataFrame, index: PolygonIndex, cells: DataFrame, out: str) -> DataFrame:
+    """``points`` with a flag: their cell of ``index`` is one of ``cells`` (deg, r, c)."""
+    last = index.levels - 1
+    degs = F.array(*[F.lit(index.level_deg(min(n, last))) for n in range(index.levels + 1)])
+    placed = place_points(points, index)
+    # a crowded cell is left one level too deep; its own place is that of the last level
+    r, c = cell_index(F.col("lat"), index.level_deg(last)), cell_index(F.col("lon"), index.level_deg(last))
+    deeper = F.col("_level") > last
+    keyed = placed.select(*points.columns, F.element_at(degs, F.col("_level") + 1).alias("deg"),
+                          F.when(deeper, r).otherwise(F.col("_r")).alias("r"), F.when(deeper, c).otherwise(F.col("_c")).alias("c"))
+    met = lookup_join(keyed, cells.withColumn("_met", F.lit(True)), ["deg", "r", "c"])
+    return met.select(*points.columns, F.col("_met").isNotNull().alias(out))

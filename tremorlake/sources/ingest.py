@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tremorlake.operators.enrich import location_rows, resolve_location, scan_points
+from tremorlake.operators.enrich import location_rows, points_to_relocate, resolve_location, scan_points
 from tremorlake.operators.features import flatten_feature
 from tremorlake.operators.load_windows import month_windows
 from tremorlake.operators.pip import PolygonIndex
@@ -77,3 +77,24 @@ def locate_new(spark: SparkSession, store_path: str, location_path: str, country
     fresh = unresolved_points(scan_points(store.scan_quake(spark, store_path)), store.read_location(spark, location_path))
     resolved = resolve_location(fresh, country_index, countries, sea_index, sea_polygons, seas)
     store.write_location(spark, location_path, location_rows(resolved))
+
+
+def relocate_changed(spark: SparkSession, store_path: str, location_path: str, old_country: tuple[PolygonIndex, DataFrame],
+                     new_country: tuple[PolygonIndex, DataFrame], old_sea: tuple[PolygonIndex, DataFrame, DataFrame],
+                     new_sea: tuple[PolygonIndex, DataFrame, DataFrame]) -> int:
+    """Resolve again the stored events that a change of the layers may touch; returns how many rows it wrote.
+
+    Rows that became null are rewritten too. Id blocks without such an event keep their files.
+    """
+    with owned_stages(spark):
+        points = scan_points(store.scan_quake(spark, store_path))
+        touched = stage(points_to_relocate(points, old_country, new_country, old_sea, new_sea))
+        rows = stage(location_rows(resolve_location(touched, *new_country, *new_sea)))
+        old = store.read_location(spark, location_path).withColumnsRenamed({"country_iso": "_iso", "sea_id": "_sea"})
+        # ids of the touched events only; an answer that stayed the same is not written again
+        changed = stage(rows.join(old, "quake_id", "left").where(
+            ~F.col("_iso").eqNullSafe(F.col("country_iso")) | ~F.col("_sea").eqNullSafe(F.col("sea_id"))).select(*rows.columns))
+        written = changed.count()
+        if written:
+            store.write_location(spark, location_path, changed)
+        return written
