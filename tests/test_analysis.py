@@ -217,3 +217,25 @@ def test_heat_and_frequency_ignore_the_future_and_the_unlocated(spark):
                 {"mag": 0.0, "time_utc": datetime(2024, 1, 1, 18)})
     assert rows(stats.heat_density(df, now, 10.0)) == [(0, 0, 1.04, 2)]
     assert rows(stats.frequency_grid(df, now, 24, 10.0)) == [(0, 0, 2)]
+
+
+def test_backfill_is_what_no_successful_load_covers(spark):
+    """Minute by minute, with failed loads, loads beyond the wanted interval, and a source without any."""
+    import random
+    from datetime import datetime, timedelta
+
+    from tremorlake.operators.load_windows import backfill_windows
+
+    rng, at = random.Random(3), lambda n: datetime(2024, 1, 1) + timedelta(minutes=n)
+    log = [(rng.choice("ab"), (n := rng.randint(-30, 300)), n + rng.randint(1, 25), rng.choice(["success", "success", "error", "partial"])) for _ in range(24)]
+    rows = spark.createDataFrame([(s, at(a), at(b), status) for s, a, b, status in log],
+                                 "source STRING, start_time_utc TIMESTAMP_NTZ, end_time_utc TIMESTAMP_NTZ, status STRING")
+    wanted = [(s, 0, 240) for s in "abc"] + [("a", 250, 260), ("b", 5, 5)]
+    asked = spark.createDataFrame([(s, at(a), at(b)) for s, a, b in wanted], "source STRING, wanted_start TIMESTAMP_NTZ, wanted_end TIMESTAMP_NTZ")
+    got = [(r["source"], r["window_start"], r["window_end"]) for r in backfill_windows(rows, asked, 1800).collect()]
+    assert all(timedelta(0) < b - a <= timedelta(minutes=30) for _, a, b in got)
+    for s, low, high in wanted:
+        covered = {m for source, a, b, status in log if source == s and status == "success" for m in range(a, b)}
+        pieces = sorted((a, b) for source, a, b in got if source == s and at(low) <= a < at(high))
+        minutes = [m for a, b in pieces for m in range(int((a - at(0)).total_seconds() // 60), int((b - at(0)).total_seconds() // 60))]
+        assert minutes == [m for m in range(low, high) if m not in covered]

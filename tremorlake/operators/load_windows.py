@@ -100,6 +100,31 @@ def coverage_gaps(load_log: DataFrame) -> DataFrame:
     return covered.where("a > upto").select("source", F.col("upto").alias("gap_start"), F.col("a").alias("gap_end"))
 
 
+def backfill_windows(load_log: DataFrame, wanted: DataFrame, max_seconds: int) -> DataFrame:
+    """``(source, window_start, window_end)`` still to fetch: wanted intervals minus what successful loads cover.
+
+    ``wanted`` has ``(source, wanted_start, wanted_end)``, widened to whole seconds; what failed or came in part counts as
+    missing and comes again, before the first load and after the last one as well. Pieces longer than ``max_seconds`` are
+    cut into windows of that length. Wanted intervals of a source are answered each for itself.
+    """
+    whole = F.date_trunc("second", "wanted_end").cast("timestamp_ntz")
+    ask = wanted.select("source", F.date_trunc("second", "wanted_start").cast("timestamp_ntz").alias("w0"), F.when(
+        whole < F.col("wanted_end").cast("timestamp_ntz"), whole + F.expr("INTERVAL '1' SECOND")).otherwise(whole).alias("w1")).where("w0 < w1").distinct()
+    key = F.struct("source", "w0", "w1").alias("source")
+    start, end = F.col("start_time_utc").cast("timestamp_ntz"), F.col("end_time_utc").cast("timestamp_ntz")
+    inside = load_log.where("status = 'success'").join(ask, "source").where((end > F.col("w0")) & (start < F.col("w1"))).select(
+        key, F.greatest(start, "w0").alias("start_time_utc"), F.least(end, "w1").alias("end_time_utc"), "status")
+    # an empty load at both bounds makes what is missing before the first and after the last load a gap like any other
+    bounds = ask.select(key, F.explode(F.array("w0", "w1")).alias("start_time_utc")).select(
+        "source", "start_time_utc", F.col("start_time_utc").alias("end_time_utc"), F.lit("success").alias("status"))
+    gaps = coverage_gaps(inside.unionByName(bounds))
+    seconds = F.unix_seconds(F.col("gap_end").cast("timestamp")) - F.unix_seconds(F.col("gap_start").cast("timestamp"))
+    pieces = gaps.select(F.col("source.source").alias("source"), "gap_start", "gap_end", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((seconds - 1) / max_seconds).cast("long"))).alias("k"))
+    after = lambda k: F.timestamp_add("SECOND", (k * max_seconds).cast("int"), F.col("gap_start"))
+    return pieces.select("source", after(F.col("k")).alias("window_start"), F.least(after(F.col("k") + 1), "gap_end").alias("window_end"))
+
+
 def latest_coverage(load_log: DataFrame) -> DataFrame:
     """How far each source is loaded."""
     return load_log.where("status = 'success'").groupBy("source").agg(F.max("end_time_utc").alias("covered_to"))

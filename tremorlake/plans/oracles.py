@@ -272,6 +272,9 @@ FROM (SELECT id, name FROM sea UNION ALL SELECT 100000, 'Old Sea') s FULL JOIN b
 SELECT l.quake_id, CASE WHEN z.time_utc >= {MID} THEN z.country_iso ELSE l.country_iso END AS country_iso,
   CASE WHEN z.time_utc >= {MID} THEN z.sea_id ELSE l.sea_id END AS sea_id
 FROM location l JOIN zone_location z ON l.quake_id = z.quake_id""",
+    "relocate_changed": f"""WITH {LOCATED}, fewer AS (SELECT id, MIN(poly) AS poly FROM country_pair WHERE poly % 7 <> 3 GROUP BY id)
+SELECT p.id AS quake_id, CASE WHEN c.poly IS NOT NULL THEN {ISO_OF} END AS country_iso, CAST(s.poly AS INT) AS sea_id
+FROM points p LEFT JOIN fewer c ON p.id = c.id LEFT JOIN sea_hit s ON p.id = s.id""",
     "resolve_incremental": f"""WITH {LOCATED}
 SELECT l.* FROM location l JOIN quake q ON l.quake_id = q.id WHERE q.time_utc >= {MID}""",
     "load_log": _q("""SELECT net AS source, day AS start_time_utc, day + INTERVAL 1 DAY AS end_time_utc, count(*) AS rows_submitted,
@@ -326,6 +329,16 @@ loads AS (SELECT source, a, max(b) AS b FROM done GROUP BY 1, 2)
 SELECT source, upto AS gap_start, a AS gap_end FROM (
   SELECT source, a, max(b) OVER (PARTITION BY source ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM loads)
 WHERE a > upto""",
+    "backfill_windows": """WITH done AS (
+  SELECT event_type AS source, date_trunc('second', ts) AS a,
+    date_trunc('second', ts) + CAST(json_extract_string(props, '$.k') AS INT) * INTERVAL 1 MINUTE AS b FROM events WHERE NOT value > 100),
+wanted AS (SELECT DISTINCT event_type AS source, TIMESTAMP '2024-01-01' AS w0, TIMESTAMP '2024-01-31' AS w1 FROM events),
+loads AS (SELECT source, greatest(a, w0) AS a, least(b, w1) AS b FROM done JOIN wanted USING (source) WHERE b > w0 AND a < w1
+  UNION ALL SELECT source, w0, w0 FROM wanted UNION ALL SELECT source, w1, w1 FROM wanted),
+gap AS (SELECT source, upto AS g0, a AS g1 FROM (
+  SELECT source, a, max(b) OVER (PARTITION BY source ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM loads) WHERE a > upto)
+SELECT source, g0 + k * INTERVAL 6 HOUR AS window_start, least(g0 + (k + 1) * INTERVAL 6 HOUR, g1) AS window_end
+FROM gap, range(0, 200) AS r(k) WHERE g0 + k * INTERVAL 6 HOUR < g1""",
     "latest_coverage": """SELECT event_type AS source,
   max(date_trunc('second', ts) + CAST(json_extract_string(props, '$.k') AS INT) * INTERVAL 1 MINUTE) AS covered_to
 FROM events WHERE NOT value > 100 GROUP BY 1""",

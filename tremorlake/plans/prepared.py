@@ -12,8 +12,15 @@ from tremorlake.plans import fixtures
 from tremorlake.session import pin, scratch_path
 from tremorlake.sources.geojson import land_feed_snapshot
 
+
+def fewer_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country layer after every seventh country left it."""
+    return fixtures.country_polygons(spark, sf_dir).where("row_id % 7 <> 3")
+
+
 LAYERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "country": fixtures.country_polygons,
+    "fewer_countries": fewer_countries,
     "sea": fixtures.sea_polygons,
     "zone": fixtures.zone_polygons,
     "basin": fixtures.basin_polygons,

@@ -464,6 +464,18 @@ def resolve_incremental(spark, sf_dir):
     return enrich.location_rows(_located(spark, sf_dir, fresh))
 
 
+@query
+def relocate_changed(spark, sf_dir):
+    """Locations after countries left the layer: only events in changed cells are resolved again."""
+    points, index = _points(spark, sf_dir), lambda name: prepared.polygon_index(spark, sf_dir, name)
+    seas = index("sea"), fx.sea_polygons(spark, sf_dir), prepared.seas(spark, sf_dir)
+    old = index("country"), fx.country_polygons(spark, sf_dir)
+    new = index("fewer_countries"), prepared.fewer_countries(spark, sf_dir)
+    touched = enrich.points_to_relocate(points, old, new, seas, seas)
+    before = enrich.location_rows(enrich.resolve_location(points, *old, *seas))
+    return tables.upsert_location(before, enrich.location_rows(enrich.resolve_location(touched, *new, *seas)))
+
+
 @query
 def load_log(spark, sf_dir):
     """Submitted and really inserted rows per network and day, appended and read back."""
@@ -575,6 +587,15 @@ def coverage_gaps(spark, sf_dir):
     return load_windows.coverage_gaps(fx.load_log(spark, sf_dir))
 
 
+@query
+def backfill_windows(spark, sf_dir):
+    """What each source still lacks of January, in windows of at most six hours."""
+    log = fx.load_log(spark, sf_dir)
+    wanted = log.select("source").distinct().select(
+        "source", F.lit(RANGE_START).cast("timestamp_ntz").alias("wanted_start"), F.lit(RANGE_END).cast("timestamp_ntz").alias("wanted_end"))
+    return load_windows.backfill_windows(log, wanted, 6 * 3600)
+
+
 @query
 def latest_coverage(spark, sf_dir):
     return load_windows.latest_coverage(fx.load_log(spark, sf_dir))
