@@ -239,3 +239,44 @@ def test_backfill_is_what_no_successful_load_covers(spark):
         pieces = sorted((a, b) for source, a, b in got if source == s and at(low) <= a < at(high))
         minutes = [m for a, b in pieces for m in range(int((a - at(0)).total_seconds() // 60), int((b - at(0)).total_seconds() // 60))]
         assert minutes == [m for m in range(low, high) if m not in covered]
+
+
+def test_merged_summaries_describe_any_range(spark):
+    """Ranges that begin and end inside periods, at their bounds, inside one period, or hold nothing."""
+    import random
+    import statistics
+    from datetime import datetime, timedelta
+
+    from tremorlake.operators.summaries import QUARTILES, RANK_ERROR, describe_range, summarize
+
+    rng = random.Random(12)
+    rows = [(datetime(2023, 11, 1) + timedelta(minutes=rng.randrange(150 * 1440)), rng.choice([None, rng.gauss(50, 20), 10.0])) for _ in range(9000)]
+    df = spark.createDataFrame(rows, "t TIMESTAMP_NTZ, x DOUBLE")
+    stored = summarize(df, "t", "x").cache()
+    assert stored.count() == 5
+    for start, end in ((datetime(2023, 11, 12, 3), datetime(2024, 3, 9)), (datetime(2023, 12, 1), datetime(2024, 2, 1)),
+                       (datetime(2024, 1, 5), datetime(2024, 1, 6)), (datetime(2025, 1, 1), datetime(2025, 2, 1))):
+        got = describe_range(stored, df, "t", "x", start, end).first()
+        want = sorted(x for t, x in rows if start <= t < end and x is not None)
+        assert got["count"] == len(want)
+        if not want:
+            assert got["mean"] is None and got["p50"] is None
+            continue
+        assert abs(got["mean"] - statistics.fmean(want)) < 1e-9 and abs(got["std"] - statistics.stdev(want)) < 1e-6
+        assert got["min"] == want[0] and got["max"] == want[-1]
+        for name, q in QUARTILES.items():
+            below, upto = (sum(f(x) for x in want) / len(want) for f in (lambda x: x < got[name], lambda x: x <= got[name]))
+            assert below - RANK_ERROR <= q <= upto + RANK_ERROR
+
+
+def test_whole_periods_are_not_read_again(spark):
+    """Rows of the whole months may be gone: only the broken ones at the ends are asked for."""
+    from datetime import datetime
+
+    from tremorlake.operators.summaries import describe_range, summarize
+
+    df = spark.createDataFrame([(datetime(2024, m, 10), float(m)) for m in range(1, 7)], "t TIMESTAMP_NTZ, x DOUBLE")
+    stored = summarize(df, "t", "x")
+    ends = df.where("month(t) IN (1, 6)")
+    got = describe_range(stored, ends, "t", "x", datetime(2024, 1, 5), datetime(2024, 6, 15)).first()
+    assert (got["count"], got["min"], got["max"], got["mean"]) == (6, 1.0, 6.0, 3.5)

@@ -249,6 +249,9 @@ SELECT poly, ring, x1, y1, x2, y2 FROM sea_edge UNION ALL SELECT poly + 100, rin
     "describe_mag": _describe("mag", "mag IS NOT NULL"),
     "describe_depth": _describe("depth_km", "depth_km >= 0"),
     "describe_depth_ranked": _describe("depth_km", "depth_km >= 0"),
+    "describe_sketched": _q("""SELECT count(*) AS count, round(avg(depth_km), 6) AS mean, round(stddev_samp(depth_km), 6) AS std, min(depth_km) AS min,
+  max(depth_km) AS max, true AS p25_close, true AS p50_close, true AS p75_close FROM quake
+  WHERE depth_km >= 0 AND time_utc >= TIMESTAMP '2024-01-03 06:00:00' AND time_utc < TIMESTAMP '2024-01-24 18:30:00'"""),
     "country_lookup": f"WITH {ZONE_RAW}, {ZONE_CLEAN}, {ZONE_LOOKUP} SELECT iso, name FROM zone_lookup",
     "sea_lookup": f"WITH {BASIN_LOOKUP} SELECT id, name FROM basin_lookup",
     "heat_density": _q(f"""SELECT {_cell('lat', 10)} AS cell_r, {_cell('lon', 10)} AS cell_c,

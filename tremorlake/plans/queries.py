@@ -8,12 +8,12 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tremorlake.functions import styling, text, times
-from tremorlake.operators import enrich, features, filters, load_windows, pip, playback, proximity, ranking, stats, tables
+from tremorlake.operators import enrich, features, filters, load_windows, pip, playback, proximity, ranking, stats, summaries, tables
 from tremorlake.operators.filters import EventFilter
 from tremorlake.operators.ordering import row_ids
 from tremorlake.plans import fixtures as fx, prepared
 from tremorlake.schema import FEATURE_OUT
-from tremorlake.session import scratch_path
+from tremorlake.session import scratch_path, stage
 from tremorlake.sources import feed, geojson, polygons, store
 from tremorlake.streaming import jobs
 
@@ -359,6 +359,26 @@ def describe_depth_ranked(spark, sf_dir):
     return stats.describe(_known_depth(spark, sf_dir), "depth_km", max_counted=0)
 
 
+@query
+def describe_sketched(spark, sf_dir):
+    """Depths of three weeks from stored daily summaries; the quartiles are held against the ranks they have in the rows."""
+    start, end = datetime(2024, 1, 3, 6), datetime(2024, 1, 24, 18, 30)
+    events = _known_depth(spark, sf_dir)
+    stored = stage(summaries.summarize(events, "time_utc", "depth_km", "day"))
+    found = summaries.describe_range(stored, events, "time_utc", "depth_km", start, end, "day").first()
+    inside = events.where(F.col("time_utc").between(F.lit(start), F.lit(end)) & (F.col("time_utc") < F.lit(end)))
+
+    def close(name: str) -> Column:
+        below = F.count_if(F.col("depth_km") < F.lit(found[name])) / F.count(F.lit(1))
+        upto = F.count_if(F.col("depth_km") <= F.lit(found[name])) / F.count(F.lit(1))
+        wanted = F.lit(summaries.QUARTILES[name])
+        return ((below - summaries.RANK_ERROR <= wanted) & (wanted <= upto + summaries.RANK_ERROR)).alias(f"{name}_close")
+
+    return inside.agg(
+        F.lit(found["count"]).alias("count"), *[F.round(F.lit(found[n]), 6).alias(n) for n in ("mean", "std")],
+        F.lit(found["min"]).alias("min"), F.lit(found["max"]).alias("max"), *[close(n) for n in summaries.QUARTILES])
+
+
 @query
 def country_lookup(spark, sf_dir):
     return tables.country_lookup(fx.zone_polygons(spark, sf_dir))
