@@ -280,3 +280,32 @@ def test_whole_periods_are_not_read_again(spark):
     ends = df.where("month(t) IN (1, 6)")
     got = describe_range(stored, ends, "t", "x", datetime(2024, 1, 5), datetime(2024, 6, 15)).first()
     assert (got["count"], got["min"], got["max"], got["mean"]) == (6, 1.0, 6.0, 3.5)
+
+
+def test_nearest_events_per_place(spark):
+    """Poles, the antimeridian, a place far from a dense cluster, ties, and fewer events than asked for."""
+    import math
+    import random
+
+    from tremorlake.operators.proximity import nearest_k_per_place
+
+    def km(a, b):
+        (x1, y1), (x2, y2) = (tuple(map(math.radians, p)) for p in (a, b))
+        h = math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2
+        return round(2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h))), 3)
+
+    rng = random.Random(9)
+    events = [(n, rng.uniform(9, 10), rng.uniform(19, 20)) for n in range(400)] + [(n, rng.uniform(-180, 180), rng.uniform(-90, 90)) for n in range(400, 460)]
+    events += [(460, 179.9, 0.0), (461, -179.9, 0.0), (462, 30.0, 89.9), (463, None, 1.0), (464, 30.0, 89.9)]
+    places = [(1, 9.5, 19.5), (2, -170.0, -60.0), (3, 180.0, 0.1), (4, 0.0, 90.0), (5, -100.0, -89.9), (6, 9.5, 19.5)]
+    e = spark.createDataFrame(events, "id LONG, lon DOUBLE, lat DOUBLE")
+    p = spark.createDataFrame(places, "place LONG, lon DOUBLE, lat DOUBLE")
+    for k, some in ((4, events), (3, events[-5:])):
+        rows = nearest_k_per_place(e if some is events else spark.createDataFrame(some, e.schema), p, k).collect()
+        got = {(r["place"], r["rank"]): (r["id"], r["km"]) for r in rows}
+        want = {}
+        for i, x, y in places:
+            near = sorted((km((x, y), (a, b)), n) for n, a, b in some if a is not None)[:k]
+            want.update({(i, rank): (n, d) for rank, (d, n) in enumerate(near, 1)})
+        assert len(rows) == len(got) and got.keys() == want.keys()
+        assert all(abs(got[key][1] - want[key][1]) <= 0.001 for key in want)

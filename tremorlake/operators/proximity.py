@@ -109,3 +109,42 @@ def quakes_by_country(resolved: DataFrame, countries: DataFrame, iso: str, min_m
     chosen = resolved.where((F.col("mag") > float(min_mag)) & (F.col("time_utc") >= since) & (F.col("country_iso") == iso))
     named = chosen.join(countries.select(F.col("iso").alias("country_iso"), F.col("name").alias("country")), "country_iso")
     return named.select("id", "time_utc", "mag", "country_iso", "country").orderBy("time_utc", "id")
+
+
+HALF_ROUND_KM = 20_020.0      # farther than any two points are apart
+
+
+def nearest_k_per_place(quakes: DataFrame, places: DataFrame, k: int, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
+    """``(place, id, km, rank)``: the ``k`` events nearest to each place, equal distances by id.
+
+    Circles grow until they are sure to hold enough: events are counted per grid cell, and a place stops at the first
+    radius at which the cells wholly inside its circle hold ``k`` events. The k-th nearest event lies within it, so only
+    then, and only for that radius, events are compared one by one. The first radius follows the mean density; a place
+    far from everything goes on until the circle is the whole sphere. Poles and the antimeridian are as in ``place_cells``.
+    """
+    located = quakes.where("lon IS NOT NULL AND lat IS NOT NULL").select("id", "lon", "lat")
+    known = stage(places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").select("place", "lon", "lat"))
+    n = located.count()
+    km = min(max(2 * math.sqrt(max(k, 1) / max(n, 1) * 4) * EARTH_RADIUS_KM, 10.0), HALF_ROUND_KM)
+    found, waiting = None, known
+    while True:
+        chosen, whole = waiting, km >= HALF_ROUND_KM
+        if not whole:
+            g = next((g for g in reversed(FINE_SIZES) if g * KM_PER_DEGREE * 4 <= km), FINE_SIZES[0])
+            counts = located.groupBy(cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c")).agg(
+                F.count(F.lit(1)).alias("n"))
+            centre = haversine_km(F.col("place_lon"), F.col("place_lat"), (F.col("_c") + 0.5) * g, (F.col("_r") + 0.5) * g)
+            inside = centre + EARTH_RADIUS_KM * math.radians(g) + 0.001 <= km
+            sure = place_cells(waiting, km, g).where(inside).join(counts, ["_r", "_c"]).groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= k)
+            done = stage(sure.select("place"))
+            chosen = waiting.join(done, "place", "left_semi")
+        pairs = near_places(located, chosen, km, max_copied)
+        order = Window.partitionBy("place").orderBy("km", "id")
+        best = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("place", "id", "km", "rank")
+        found = best if found is None else found.unionByName(best)
+        if whole:
+            return found
+        waiting = stage(waiting.join(done, "place", "left_anti"))
+        if waiting.isEmpty():
+            return found
+        km = min(km * 2, HALF_ROUND_KM)

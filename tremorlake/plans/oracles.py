@@ -322,6 +322,9 @@ WHERE l.country_iso = 'N07' AND q.mag > 2.0 AND q.time_utc >= TIMESTAMP '2024-01
     "strongest_k": _q("SELECT * FROM quake ORDER BY mag DESC NULLS LAST, id LIMIT 100"),
     "nearest_k": _q(f"""SELECT q.*, round({HAVERSINE.format(lon='16.37', lat='48.21')}, 3) AS km FROM quake q
   WHERE q.lon IS NOT NULL AND q.lat IS NOT NULL ORDER BY km, q.id LIMIT 100"""),
+    "nearest_k_per_place": _q(f"""SELECT place, id, km, rank FROM (
+    SELECT place, id, km, CAST(row_number() OVER (PARTITION BY place ORDER BY km, id) AS INT) AS rank FROM (
+      SELECT p.place, q.id, round({KM}, 3) AS km FROM quake q CROSS JOIN places p WHERE q.lon IS NOT NULL AND q.lat IS NOT NULL)) WHERE rank <= 5""", PLACES),
     "hourly_counts": _q("""SELECT h.hour, count(q.id) AS n_events FROM (
     SELECT unnest(generate_series(date_trunc('hour', min(time_utc))::TIMESTAMP, max(time_utc)::TIMESTAMP, INTERVAL 1 HOUR)) AS hour FROM quake) h
   LEFT JOIN quake q ON date_trunc('hour', q.time_utc) = h.hour GROUP BY 1"""),

@@ -597,6 +597,11 @@ def nearest_k(spark, sf_dir):
     return ranking.nearest_k(fx.quakes(spark, sf_dir), 16.37, 48.21, 100)
 
 
+@query
+def nearest_k_per_place(spark, sf_dir):
+    return proximity.nearest_k_per_place(fx.quakes(spark, sf_dir), fx.watched_places(spark, sf_dir), 5)
+
+
 @query
 def hourly_counts(spark, sf_dir):
     return stats.counts_per_hour(fx.quakes(spark, sf_dir))
