@@ -117,3 +117,26 @@ def test_state_partitions_are_set_for_the_start_only(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     run(query)
     assert query.lastProgress is None or query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+
+
+def test_last_quakes_equal_the_batch_form_and_spread_no_place(spark, tmp_path):
+    rng, feed, out, progress = random.Random(8), str(tmp_path / "feed"), str(tmp_path / "out"), str(tmp_path / "progress")
+    spots = [(i, rng.uniform(-180, 180), rng.uniform(-89, 89)) for i in range(60)] + [(60, 180.0, 0.0), (61, -180.0, 0.2), (62, 0.0, 90.0), (63, None, 1.0)]
+    places = spark.createDataFrame(spots, "place INT, lon DOUBLE, lat DOUBLE")
+    all_rows = []
+    for n in range(3):
+        batch = [at(1 + rng.randrange(20), usgs_id=f"b{n}-{i}", lon=rng.uniform(-180, 180), lat=rng.uniform(-90, 90), mag=1.0) for i in range(80)]
+        all_rows += batch
+        land(spark, feed, *batch, at(3, usgs_id="none", lon=None))
+        run(jobs.start_last_quake(stream(spark, feed), places, 1500.0, out, progress))
+    rows = events(spark, *[{**r, "id": i} for i, r in enumerate(all_rows)])
+    batch_form = last_within_km(rows.withColumn("id", F.col("usgs_id")), places.where("lon IS NOT NULL"), 1500.0)
+    newest = jobs.latest_quake(spark.read.parquet(out))
+    answer = lambda df, name: sorted((r["place"], r[name], r["km"]) for r in df.collect())
+    assert answer(newest, "usgs_id") == answer(batch_form, "id") and newest.count() > 40
+    for max_copied in (1 << 26, 0):
+        met = places_near_events(rows, places, 1500.0, max_copied)
+        assert sorted(map(tuple, met.select("place", "usgs_id").collect())) == sorted(
+            map(tuple, near_places(rows, places.where("lon IS NOT NULL"), 1500.0).select("place", "usgs_id").collect()))
+    join = met._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    assert join.count("Generate") == 2 and "Generate" not in join[join.rindex("Relation"):]

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.geo import EARTH_RADIUS_KM, cell_index, haversine_km
-from tremorlake.operators.joins import MAX_COPIED_BYTES, lookup_join
+from tremorlake.operators.joins import MAX_COPIED_BYTES, lookup_join, measured_bytes
 from tremorlake.session import stage
 
 FINE_SIZES = (0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0)   # degrees; each divides 360
@@ -71,6 +71,23 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
         "_r", "_c", "place_lon", "place_lat")
 
 
+def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
+    """As ``near_places`` for few events and any number of places, as in a stream: the events' circles are spread over
+    the grid, every place stands in its one cell. The placed places are written once, so each micro-batch reads them as
+    they are; a short list is copied, a long one is joined by cell.
+    """
+    g = grid_for(km)
+    wanted = places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
+    placed = stage(wanted.select("place", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
+                                 cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c")))
+    located = quakes.drop("place").where("lon IS NOT NULL AND lat IS NOT NULL")
+    circles = place_cells(located.select(F.struct(*located.columns).alias("place"), "lon", "lat"), km, g).withColumnRenamed("place", "_q")
+    small = measured_bytes(placed) <= max_copied
+    pairs = circles.join(F.broadcast(placed) if small else placed, ["_r", "_c"])
+    distance = haversine_km(F.col("_lon"), F.col("_lat"), F.col("_q.lon"), F.col("_q.lat"))
+    return pairs.select("place", "_q.*", F.round(distance, 3).alias("km")).where(F.col("km") <= km)
+
+
 def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """The newest event within ``km`` of each place that has one.
 

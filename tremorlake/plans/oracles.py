@@ -228,6 +228,8 @@ SELECT poly, ring, x1, y1, x2, y2 FROM sea_edge UNION ALL SELECT poly + 100, rin
     "filter_text": _q("SELECT * FROM quake WHERE contains(lower(place), 'click quake') OR contains(lower(title), 'click quake')"),
     "filter_network": _q("SELECT * FROM quake WHERE lower(net) IN ('us', 'ak')"),
     "filter_bbox": _q("SELECT * FROM quake WHERE lon BETWEEN -60 AND 60 AND lat BETWEEN -30 AND 45"),
+    "search_text": _q("""SELECT s.query, id, place, title FROM quake JOIN (VALUES ('us'), ('click quake'), ('km ne of nation_1'), ('ew quake, nation_24')) s(query)
+  ON contains(lower(place), s.query) OR contains(lower(title), s.query)"""),
     "visible_at": _q("""SELECT id, time_utc FROM quake WHERE (epoch_us(time_utc) // 1000) BETWEEN (epoch_us(TIMESTAMP '2024-01-03') // 1000)
   AND (epoch_us(TIMESTAMP '2024-01-10 12:00:00') // 1000)"""),
     "query_events": _q("""SELECT * FROM quake

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tremorlake.functions import styling, text, times
-from tremorlake.operators import enrich, features, filters, load_windows, pip, playback, proximity, ranking, stats, summaries, tables
+from tremorlake.operators import enrich, features, filters, load_windows, pip, playback, proximity, ranking, stats, summaries, tables, textsearch
 from tremorlake.operators.filters import EventFilter
 from tremorlake.operators.ordering import row_ids
 from tremorlake.plans import fixtures as fx, prepared
@@ -254,6 +255,18 @@ QUERIES["filter_network"] = _filtered(lambda: filters.network_in(["US", " ak", "
 QUERIES["filter_bbox"] = _filtered(lambda: filters.bbox_intersects(60.0, 45.0, -60.0, -30.0))
 
 
+SEARCHES = ["us", " Click QUAKE ", "km ne of nation_1", "ew quake, nation_24"]
+
+
+@query
+def search_text(spark, sf_dir):
+    """Texts of several lengths, looked for through trigram bitmaps."""
+    events = fx.quakes(spark, sf_dir)
+    index = stage(textsearch.text_index(events))
+    found = [textsearch.search_text(events, index, text).select(F.lit(text.strip().lower()).alias("query"), "id", "place", "title") for text in SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def visible_at(spark, sf_dir):
     now, start, end = datetime(2024, 1, 10, 12), datetime(2024, 1, 3), RANGE_END

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tremorlake.operators.features import flatten_feature
-from tremorlake.operators.proximity import last_within_km, near_places
-from tremorlake.session import delete_path, owned_stages
+from tremorlake.operators.proximity import near_places, places_near_events
+from tremorlake.session import delete_path
 from tremorlake.sources.geojson import parse_features, readable_feature
 from tremorlake.sources.store import load_batch
 
@@ -69,17 +69,20 @@ def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str =
     return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay, salts)
 
 
-def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str) -> StreamingQuery:
-    """The newest event per watched place. Each micro-batch answers for its own events, without pairing them with the
-    places, and ``latest_quake`` takes the newest answer; what is kept is one row per place and batch not yet merged.
+def last_quakes(stream: DataFrame, places: DataFrame, km: float) -> DataFrame:
+    """The newest event per watched place so far; the engine's state keeps one row per place that had one.
+
+    An event looks into the grid cells that its own circle meets, where every place stands once. So a micro-batch costs
+    what its events reach and spreads no place over cells; events are reduced to one per place in their task.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        newest = last_within_km(batch.select(F.col("usgs_id").alias("id"), "time_utc", "mag", "lon", "lat"), places, km)
-        with owned_stages(batch.sparkSession):
-            _write_update(newest.withColumnRenamed("id", "usgs_id"), path, batch_id, latest_quake)
+    timed = stream.where("time_utc IS NOT NULL").select("usgs_id", "time_utc", "mag", "lon", "lat")
+    newest = F.max_by(F.struct("usgs_id", "time_utc", "mag", "km"), F.struct("time_utc", "usgs_id"))
+    return places_near_events(timed, places, km).groupBy("place").agg(newest.alias("q")).select("place", "q.*")
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+
+def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the places whose newest event changed, micro-batch by micro-batch; ``latest_quake`` reads them."""
+    return start_updates(last_quakes(stream, places, km), path, checkpoint, ["place"])
 
 
 def latest_quake(updates: DataFrame) -> DataFrame:
