@@ -1,5 +1,6 @@
 """Streams over several landed files: repeats, late data, restarts; equal to the batch answer."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
