@@ -60,6 +60,23 @@ def test_comments_that_are_articles_and_parts_inside_the_article():
     assert text(page) == f"Flood & fire {prose} {other}"
 
 
+def test_text_directly_in_the_body():
+    prose = "Several plain words make a sentence that is long enough to be read as a paragraph of the text."
+    four = " ".join([prose] * 4)
+    assert text(f"<body>{four}<br><br>{four}</body>") == f"{four} {four}" and text(four) == four
+    menu = "<nav><ul><li><a href=/>Home</a></li><li><a href=/b>About us</a></li></ul></nav>"
+    assert text(f"<body>{menu}{four}<p>{four}</p></body>") == f"{four} {four}"
+    assert text(f"<body><a href=#main>Skip to content</a><article><h1>Head</h1><p>{four}</p></article>&copy; us</body>") == f"Head {four}"
+    page = Page("<body>one <b>two</b><p>three</p>four</body>")
+    assert [w for _, w in page.blocks] == ["one two", "three", "four"] and len({n for n, _ in page.blocks}) == 3
+
+
+def test_names_behind_long_classes_count():
+    long = "u-x " * 100
+    assert Page(f'<div class="{long}" id="comments">x</div>').named == Page('<div id="comments">x</div>').named != [(), ()]
+    assert Page("<p data-label='no'>x</p>").label == [None, None]
+
+
 def test_broken_markup_keeps_its_text():
     prose = "Several plain words make a sentence that is long enough to be read as a paragraph of the text. " * 3
     assert text(f"<article><p><b>{prose}<p>{prose}</article></div></p>") == " ".join((prose + prose).split())

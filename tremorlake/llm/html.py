@@ -1,6 +1,7 @@
 """Main text of web pages from a tree-structured graphical model over the DOM.
 
-Every block element is a node with two states, boilerplate and content. Its own evidence (tag, names in class, id
+Every block element is a node with two states, boilerplate and content; so is a run of text directly in the body, which
+no element holds. Its own evidence (tag, names in class, id
 and role, lengths, share of link text) is a unary potential; a pairwise potential ties it to its parent, one table
 per kind of element. Sum-product messages, first from the leaves upward and then from the root downward, give the
 exact content marginal of every node. The weights are fitted by gradient ascent on the likelihood of labelled pages
@@ -35,6 +36,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
     "time tt u var label".split())
+#: What ``labelled_pages`` writes on elements; read in training alone.
+_LABELS = {"0": 0, "1": 1}
+_RUN_LABEL = re.compile(r"data-label=([01])")
 #: An opening tag ends the open element of the same family, up to the family's container.
 _ENDS = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
          "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
@@ -42,9 +46,11 @@ _BARRIER = frozenset("ul ol dl table div section article aside nav header footer
 
 _GROUPS = ["html body", "nav menu", "header", "footer", "aside", "form fieldset input", "article main", "section", "div center", "p",
            "h1 h2", "h3 h4 h5 h6", "ul ol dl", "li dt dd", "table thead tbody tfoot tr", "td th", "figure figcaption", "blockquote pre",
-           "dialog details summary"]
+           "dialog details summary", "#text"]
 _GROUP = {tag: n for n, tags in enumerate(_GROUPS) for tag in tags.split()}
 OTHER = len(_GROUPS)
+#: Text directly in these is a node of its own for each run between block elements; "" is the page itself.
+_OUTSIDE = frozenset(["", "html", "body"])
 
 #: Name parts of classes, ids and roles that tell what an element is for.
 _NAMES = [
@@ -58,15 +64,23 @@ _NAMES = [
     r"article|content|post\b|post-|entry|main|story|body|text|prose|hentry|page\b",
 ]
 _NAME = [re.compile(x, re.I) for x in _NAMES]
-INHERITED = 10 + OTHER + 1 + len(_NAMES) + 1
+MEASURES = 11
+INHERITED = MEASURES + OTHER + 1 + len(_NAMES) + 1
 FEATURES = INHERITED + len(_NAMES)
 
 
-@lru_cache(maxsize=65536)
 def _names(text: str) -> tuple[int, ...]:
+    """The patterns that a whole text of names matches; short texts are remembered."""
+    return _remembered(text) if len(text) <= 200 else _matching(text)
+
+
+def _matching(text: str) -> tuple[int, ...]:
     return tuple(n for n, pattern in enumerate(_NAME) if pattern.search(text))
 
 
+_remembered = lru_cache(maxsize=65536)(_matching)
+
+
 class Page:
     """Block elements of one page in opening order, and its text blocks in page order."""
 
@@ -85,12 +99,12 @@ class Page:
             for m in _ATTRIBUTE.finditer(attributes):
                 value = m[2] or m[3] or m[4] or ""
                 if m[1] == "data-label":
-                    label = int(value)
+                    label = _LABELS.get(value)
                 elif m[1] == "hidden":
                     words.append("popup")
                 else:
                     words.append(value)
-            names = _names(" ".join(words)[:200]) if words else ()
+            names = _names(" ".join(words)) if words else ()
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1)
         self.group.append(_GROUP.get(tag, OTHER))
@@ -103,24 +117,31 @@ class Page:
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
         text: list[str] = []
-        links = 0
-        at = 0
+        links = linked = at = 0
+        label = None
 
         def flush() -> None:
+            nonlocal linked, label
             if text:
                 words = " ".join("".join(text).split())
                 text.clear()
                 if words:
-                    node = stack[-1][1]
+                    tag, node = stack[-1]
+                    if tag in _OUTSIDE:
+                        node = self._node("#text", "", node)
+                        self.label[node] = label
                     self.blocks.append((node, words))
                     self.own[node] += len(words)
+                    self.linked[node] += linked
+            linked, label = 0, None
 
         def hold(chunk: str) -> None:
+            nonlocal linked
             if chunk:
                 chunk = references.unescape(chunk) if "&" in chunk else chunk
                 text.append(chunk)
                 if links:
-                    self.linked[stack[-1][1]] += len(chunk.strip())
+                    linked += len(chunk.strip())
 
         while True:
             m = _TOKEN.search(source, at)
@@ -157,6 +178,9 @@ class Page:
                 text.append(" ")
                 continue
             if tag in _INLINE:
+                run = _RUN_LABEL.search(m[3])
+                if run:
+                    label = int(run[1])
                 continue
             flush()
             links = 0
@@ -206,7 +230,10 @@ class Forest:
         linked = np.fromiter((x for p in pages for x in p.linked), np.float64, len(parent))
         # nodes of one depth are in page order, so those of one parent are consecutive
         self.levels = [np.flatnonzero(self.depth == d) for d in range(1, int(self.depth.max(initial=0)) + 1)]
-        below, below_linked, prose = own.copy(), linked.copy(), np.where(self.group == _GROUP["p"], own - np.minimum(own, linked), 0.0)
+        run = self.group == _GROUP["#text"]
+        plain = own - np.minimum(own, linked)
+        below, below_linked, prose = own.copy(), linked.copy(), np.where(self.group == _GROUP["p"], plain, 0.0)
+        direct = np.bincount(self.parent[run], weights=plain[run], minlength=len(parent))
         for level in reversed(self.levels):
             for sums in (below, below_linked, prose):
                 sums += np.bincount(self.parent[level], weights=sums[level], minlength=len(sums))
@@ -222,13 +249,14 @@ class Forest:
         x[:, 7] = own > 120
         x[:, 8] = prose / np.maximum(below, 1)
         x[:, 9] = prose / np.maximum(prose[start], 1)
-        x[np.arange(len(parent)), 10 + self.group] = 1
-        at = [(n + f, 10 + OTHER + 1 + k) for f, p in zip(self.first, pages) for n, names in enumerate(p.named) for k in names]
+        x[:, 10] = direct / np.maximum(below, 1)
+        x[np.arange(len(parent)), MEASURES + self.group] = 1
+        at = [(n + f, MEASURES + OTHER + 1 + k) for f, p in zip(self.first, pages) for n, names in enumerate(p.named) for k in names]
         if at:
             rows, columns = np.array(at).T
             x[rows, columns] = 1
             x[np.unique(rows), INHERITED - 1] = 1
-        named = slice(10 + OTHER + 1, INHERITED - 1)
+        named = slice(MEASURES + OTHER + 1, INHERITED - 1)
         for level in self.levels:  # names of the elements around a node
             around = self.parent[level]
             x[level, INHERITED:] = np.maximum(x[around, named], x[around, INHERITED:])
@@ -257,10 +285,15 @@ class Forest:
 
 
 def labels_of(page: Page) -> np.ndarray:
-    """Labels as written on the elements; elements without one take their parent's, the root is boilerplate."""
+    """Labels as written on the elements; elements without one take their parent's, the root is boilerplate.
+
+    The body, or the page itself, is content where the article's text stands directly in it.
+    """
+    holds = {page.parent[n] for n, group in enumerate(page.group) if group == _GROUP["#text"] and page.label[n] == 1}
     labels = []
-    for parent, label in zip(page.parent, page.label):
-        labels.append(label if label is not None else (labels[parent] if parent >= 0 else 0))
+    for node, (parent, label) in enumerate(zip(page.parent, page.label)):
+        inherited = labels[parent] if parent >= 0 else 0
+        labels.append(1 if node in holds else label if label is not None else inherited)
     return np.array(labels)
 
 
@@ -359,16 +392,32 @@ def labelled_pages(count: int = 400, seed: int = 3) -> list[str]:
                     f"<td data-label=1>{inside}</td>",
                     f"<table><tr><td data-label=0>{links(2, 7, pick('div', 'span'))}</td><td data-label=1>{inside}</td></tr></table>")
 
+    def bare() -> str:
+        """An article whose text stands directly in the body, alone or between its elements."""
+        run = lambda: f"<span data-label=1>{pick(words(20, 140), words(5, 60), words(40, 300), words(9, 60) + f' <a href=x>{words(1, 3)}</a> ' + words(3, 40))}</span>"
+        part = lambda: pick(run() + pick("<br>", "<br><br>", " "), run() + "<br><br>" + run(), run(), f"<p data-label=1>{words(10, 120)}</p>")
+        title = pick("", f"<h1 data-label=1>{words(2, 10)}</h1>")
+        return title + "".join(part() + (f"<h2 data-label=1>{words(1, 8)}</h2>" if chance(0.1) else "") for _ in range(rng.choice([1, 1, 2, 3, 5])))
+
+    def loose() -> str:
+        """Text of no article directly in the body."""
+        some = pick(words(1, 6), f"&copy; {words(2, 20)}", " | ".join(f"<a href='/{words(1, 1)}'>{words(1, 3)}</a>" for _ in range(rng.randint(2, 8))),
+                    f"<a href='#main'>{words(2, 4)}</a>")
+        return f"<span data-label=0>{some}</span>"
+
     pages = []
     for _ in range(count):
         before = [part for p, part in ((0.5, notice), (0.6, head), (0.8, nav), (0.4, advert), (0.2, side), (0.2, form)) if chance(p)]
         after = [part for p, part in ((0.3, side), (0.3, advert), (0.45, comments), (0.2, form), (0.2, nav), (0.8, foot)) if chance(p)]
-        main = article()
-        for _ in range(rng.randint(0, 2)):
+        unheld = chance(0.08)
+        main = bare() if unheld else article()
+        for _ in range(0 if unheld else rng.randint(0, 2)):
             wrap = pick("div", "div", "section", "main")
             extra = pick("", "", side(), comments(), advert())
             main = f'<{wrap}{named("wrapper", "container", "layout", "row", "page", "col")}>{main}{extra}</{wrap}>'
-        body = "".join(part() for part in before) + main + "".join(part() for part in after)
+        # loose text stays apart from the article's by an element
+        first, last = (loose() if parts and chance(0.2) else "" for parts in (before, after))
+        body = first + "".join(part() for part in before) + main + "".join(part() for part in after) + last
         if chance(0.15):  # nothing but the article
             body = main
         pages.append(body if chance(0.15) else f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title></head><body>{body}{pick('</body></html>', '')}")
