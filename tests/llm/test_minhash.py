@@ -1,6 +1,7 @@
 import random
 
 from tremorlake.llm.common import Scratch, components
+from tremorlake.llm import minhash
 from tremorlake.llm.minhash import COORDS, MATCH, near_duplicates, odd_sketch, op2_minhash, signature, _coefficients
 from tremorlake.llm.common import shingles
 
@@ -57,6 +58,47 @@ def test_copies_drifting_from_one_text(spark):
     assert {r.doc_id: r.component_id for r in got} == component
 
 
+def from_template(count, own, rng, shared=300):
+    """Documents of one template with words of their own in one place."""
+    words = [f"t{k}" for k in range(shared)]
+    return [" ".join(words + [f"o{rng.randrange(10**9)}" for _ in range(own)]) for _ in range(count)]
+
+
+def test_documents_of_a_template_leave_their_postings(spark, monkeypatch):
+    """3,000 documents just below the threshold share nearly all tokens; hardly any is left to meet others."""
+    rng = random.Random(6)
+    rows = list(enumerate(from_template(3000, 30, rng))) + [(5000, " ".join(f"z{k}" for k in range(100)))]
+    seen = []
+
+    def counted(*args):
+        postings = open_postings(*args)
+        seen.append((args[0].count(), args[0].selectExpr("sum(size(prefix))").first()[0], postings.agg({"posted": "sum"}).first()[0] or 0))
+        return postings
+
+    open_postings = minhash.open_postings
+    monkeypatch.setattr(minhash, "open_postings", counted)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id and r.kept for r in got)
+    (documents_, tokens, met), = seen
+    assert documents_ > 2900 and met < 20 * tokens
+
+
+def test_long_postings_meet_in_blocks(spark, monkeypatch):
+    """Templates around the threshold with words that several share; every block pair is met, in whatever sizes."""
+    monkeypatch.setattr(minhash.cross_pairs, "__defaults__", (3,))
+    rng, rows = random.Random(3), []
+    for n, text in enumerate(from_template(90, 0, rng, 200)):
+        words = text.split()
+        for _ in range(rng.choice([2, 3, 4, 5])):
+            at = rng.randrange(200)
+            words[at] = f"v{at}-{rng.randrange(3)}"
+        rows.append((n, " ".join(words + [f"o{rng.randrange(40)}" for _ in range(rng.choice([0, 1, 5, 20, 30]))])))
+    rows += [(n, None) for n in (200, 201)] + [(7, "one more text of the same id"), (8, rows[8][1])]
+    component, _ = brute([r for r in rows if r[1] != "one more text of the same id"])
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == component and len(set(component.values())) > 10
+
+
 def test_awkward_rows(spark):
     got = near_duplicates(awkward(spark)).collect()
     assert len(got) == len(awkward_rows())

@@ -18,6 +18,8 @@ as many bits as the sets differ in shingles, so a larger distance rules a link o
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from tremorlake.llm.common import Scratch, components, map_texts, shingles, size
 COORDS = 48
 MATCH = 30
 SKETCH_BITS = 1024
+#: Documents of one posting that meet in one group at most on each side; longer postings are cut into pairs of such blocks.
+BLOCK_ROWS = 512
 #: Ids of candidate documents are copied to the executors up to this counted number (8 bytes each).
 COPIED_IDS = 2_000_000
 
@@ -125,13 +129,63 @@ def star_pairs(rows: DataFrame, match: int, percent: int) -> DataFrame:
                   .where(_linkable(match, percent)))
 
 
-def cross_pairs(rows: DataFrame, match: int, percent: int) -> DataFrame:
-    """All linkable pairs that share a token and lie in different components, each at its first common token."""
-    names = ("id", "n", "short", "odd", "prefix", "comp")
-    both = _side(rows, "a", *names).join(_side(rows, "b", *names), "token")
+def lone_shingles(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, lone): how many shingles of a document of ``rows`` no other of them holds. Zero for ids that repeat."""
+    own = sets.join(rows.select("id").distinct(), "id", "left_semi")
+    once = own.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+    alone = own.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("id").alias("id")).where("df = 1")
+    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(once.where("times = 1"), "id").select("id", F.col("n").alias("lone"))
+
+
+def open_postings(rows: DataFrame, lone: DataFrame, percent: int) -> DataFrame:
+    """``rows`` once per token and cell in which they may have a partner in another component, with the posting's size.
+
+    A document that alone holds some of its n shingles shares at most the r others, so a link asks of both
+    (100 + percent) * r >= percent * (n + n of the partner): ``reach`` is the largest partner a document can have. A
+    posting holds the documents of a token and one class of sizes, and those of the class below (``below``); linked
+    sizes are never further apart. Documents that the posting's smallest size or largest reach rules out leave it.
+    """
+    r = F.col("n") - F.coalesce("lone", F.lit(0))
+    width = max(0.01, math.log(100 / percent) * 1.000001)
+    sized = rows.join(lone, "id", "left").select(
+        *rows.columns, F.floor(((100 + percent) * r - percent * F.col("n")) / percent).alias("reach"), F.floor(F.log("n") / width).alias("size"))
+    posted = sized.withColumn("token", F.explode("prefix")).withColumn("below", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn(
+        "cell", F.col("size") + F.col("below").cast("long"))
+    range_ = posted.groupBy("token", "cell").agg(
+        F.min("n").alias("least"), F.max("reach").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.bool_or(~F.col("below")).alias("own")).where("own and lo <> hi").drop("own", "lo", "hi")
+    alive = posted.join(range_, ["token", "cell"]).where("least <= reach and n <= most").drop("least", "most", "reach", "size")
+    counted = alive.groupBy("token", "cell").agg(
+        F.count(F.lit(1)).alias("posted"), F.bool_or(~F.col("below")).alias("own")).where("own and posted > 1").drop("own")
+    return alive.join(counted, ["token", "cell"])
+
+
+def cross_pairs(postings: DataFrame, match: int, percent: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """All linkable pairs that share a token and lie in different components, each at its first common token.
+
+    A posting is cut into blocks by a hash, and blocks meet in pairs: no group holds more than about ``block_rows``
+    documents of each side, however many hold the token.
+    """
+    blocks = F.ceil(F.col("posted") / block_rows).cast("int")
+    cut = postings.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    key = ["token", "cell", "same", "i", "j"]
+
+    def side(name: str, rows: DataFrame, met: F.Column) -> DataFrame:
+        return rows.withColumn("m", F.explode(met)).select(
+            "token", "cell", "m.*", *(F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "short", "odd", "prefix", "comp")))
+
+    def struct(same: bool, i: F.Column, j: F.Column) -> F.Column:
+        return F.struct(F.lit(same).alias("same"), i.alias("i"), j.alias("j"))
+
+    block, last = F.col("block"), F.col("blocks") - 1
+    own, below = cut.where(~F.col("below")), cut.where(F.col("below"))
+    left = side("a", own, F.concat(F.transform(F.sequence(block, last), lambda j: struct(True, block, j)),
+                                   F.transform(F.sequence(F.lit(0), last), lambda j: struct(False, block, j))))
+    right = side("b", own, F.transform(F.sequence(F.lit(0), block), lambda i: struct(True, i, block))).unionByName(
+        side("b", below, F.transform(F.sequence(F.lit(0), last), lambda i: struct(False, i, block))))
+    once = ~F.col("same") | (F.col("i") < F.col("j")) | (F.col("a_id") < F.col("b_id"))
     first = F.element_at(F.array_intersect("a_prefix", "b_prefix"), 1) == F.col("token")
-    return _pairs(both.where((F.col("a_id") < F.col("b_id")) & (F.col("a_comp") != F.col("b_comp")))
-                  .where(_linkable(match, percent)).where(first))
+    return _pairs(left.join(right, key).where(once & (F.col("a_comp") != F.col("b_comp"))).where(_linkable(match, percent)).where(first))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -155,7 +209,9 @@ def near_duplicates(
     Equal sets form one class and are represented by the smallest id, so copies never meet pairwise. Inside a token
     every class is first tested against the most central one; tokens whose documents then lie in one component are
     done. Of the others, pairs of one token in different components are tested in full, so no link between components
-    is lost, and a large group of copies of one document costs one test per member and token.
+    is lost, and a large group of copies of one document costs one test per member and token. Documents that hold too
+    many shingles alone for any partner of their posting leave it first, as those made from a template do; what
+    remains of a long posting meets in pairs of blocks, in as many tasks as it needs.
 
     Null, empty or blank texts: n_shingles 0, linked with nothing, kept. Rows with a null id: component_id null, kept,
     linked with nothing. Rows that repeat an id count as one document: a link of one holds for all. An empty table
@@ -177,7 +233,8 @@ def near_duplicates(
     labels = scratch.stage(components(scratch, links), "labels", keep=True)
     rest = scratch.stage(_unresolved(rows, labels), "open")
     if not rest.isEmpty():
-        more = scratch.stage(confirm(cross_pairs(rest, match, percent), sets, percent), "links")
+        postings = scratch.stage(open_postings(rest, lone_shingles(rest, sets), percent), "postings")
+        more = scratch.stage(confirm(cross_pairs(postings, match, percent), sets, percent), "links")
         if not more.isEmpty():
             labels = scratch.stage(components(scratch, links.unionByName(more)), "labels", keep=True)
     scratch.close()
