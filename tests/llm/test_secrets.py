@@ -52,9 +52,21 @@ def test_ownership_tells_examples_from_live(spark):
     assert all(not got[20 + n].marks for n in range(3))
 
 
+def test_many_repositories_of_one_owner_are_a_copy(spark):
+    rows = [(n, "password=hunter22", "one", f"l{n % 4}") for n in range(8)] + [(20 + n, "password=hunter33", "one", f"l{n % 3}") for n in range(9)]
+    rows += [(40, "token: abcdefgh", "one", "l0"), (41, "token: abcdefgh", "two", "l1"), (42, "token: abcdefgh", "two", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: (r.n_live, r.n_example) for r in by_source(df).collect()}
+    assert all(got[n] == (0, 1) for n in range(8)) and all(got[n] == (1, 0) for n in [*range(20, 29), 40, 41, 42])
+    found = scan(df, F.concat_ws("/", "source", "lang"), F.col("source"), example_repos=3).collect()
+    assert {r.doc_id: r.n_example for r in found} == {i: 1 for i, *_ in rows}
+
+
 def test_redaction(spark):
     rows = [(1, "a password=hunter22 b " + "0f" * 12 + " c", "o", "en"), (2, "nothing", "o", "en"), (None, "token: abcdef123", "o", None), (3, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("start", F.lit(1))
+    for name in ("__hash", "__marks", "__id", "hash", "marks", "doc", "id", "text_hash", "marked"):
+        docs = docs.withColumn(name, F.lit("clash"))
     got = {r.doc_id: r for r in redact(docs, F.col("source"), F.col("source")).collect()}
     assert got[1].text == "a [secret] b [secret] c" and got[2].text == "nothing" and got[None].text == "[secret]" and got[3].text is None
     assert redact(docs, F.col("source"), F.col("source")).columns == docs.columns

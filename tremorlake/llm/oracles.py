@@ -38,10 +38,10 @@ FROM page JOIN newest ON h = hex"""
 
 def _found(kind: str, order: int, pattern: str, group: int) -> str:
     """Matches with their places: the lengths of the gaps and matches before them, added up."""
-    return f"""SELECT doc_id, source, '{kind}' AS kind, {order} AS o, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'start':
+    return f"""SELECT doc_id, source, lang, '{kind}' AS kind, {order} AS o, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'start':
       list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
       'size': length(m[i]), 'value': v[i]}})) AS f FROM (
-    SELECT doc_id, source, regexp_split_to_array(text, {pattern}) AS g, regexp_extract_all(text, {pattern}) AS m,
+    SELECT doc_id, source, lang, regexp_split_to_array(text, {pattern}) AS g, regexp_extract_all(text, {pattern}) AS m,
       regexp_extract_all(text, {pattern}, {group}) AS v FROM documents WHERE regexp_matches(text, {pattern}))"""
 
 
@@ -54,11 +54,12 @@ _OP8 = f"""WITH found AS (
   UNION ALL {_found('access', 2, "'AKIA[A-Z0-9]{16,}'", 0)}
   UNION ALL {_found('hex', 3, "'[0-9a-f]{24,}'", 0)}
   UNION ALL {_found('key', 4, "'[A-Za-z0-9+/_-]{20,}'", 0)}),
-span AS (SELECT doc_id, source, kind, o, CAST(f.start AS BIGINT) AS a, CAST(f.start + f.size AS BIGINT) AS b, f.value AS value FROM found
+span AS (SELECT doc_id, source, lang, kind, o, CAST(f.start AS BIGINT) AS a, CAST(f.start + f.size AS BIGINT) AS b, f.value AS value FROM found
   WHERE CASE WHEN kind = 'assign' THEN length(f.value) >= 6
              WHEN kind = 'key' THEN regexp_matches(f.value, '[a-z]') AND regexp_matches(f.value, '[A-Z]') AND regexp_matches(f.value, '[0-9]') ELSE true END),
-owned AS (SELECT value AS v, count(DISTINCT coalesce(source, '')) AS owners FROM span GROUP BY value),
-mark AS (SELECT span.*, owners < 3 AS live, kind || ':' || a || ':' || b AS t FROM span JOIN owned ON v = value WHERE kind <> 'key' OR owners < 3),
+owned AS (SELECT value AS v, count(DISTINCT coalesce(source, '')) < 3
+    AND count(DISTINCT {{'owner': coalesce(source, ''), 'repo': concat_ws('/', source, lang)}}) < 4 AS live FROM span GROUP BY value),
+mark AS (SELECT span.*, live, kind || ':' || a || ':' || b AS t FROM span JOIN owned ON v = value WHERE kind <> 'key' OR live),
 per AS (SELECT doc_id AS id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(t, ',' ORDER BY a, o) FILTER (kind <> 'key') AS base, string_agg(t, ',' ORDER BY a, o) AS spans, count(*) FILTER (live) AS n_live,
   count(*) FILTER (NOT live) AS n_example FROM mark GROUP BY doc_id)

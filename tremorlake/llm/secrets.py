@@ -2,8 +2,8 @@
 
 A regular expression splits a text into gaps and matches; running sums of their lengths give the places, in code
 points, without any per-row code. The value of every candidate is hashed, and the distinct repositories and owners
-that hold it are counted over the whole corpus: a value that many owners hold is a copied example, one that a
-single owner holds is live-looking. Loose candidates (long tokens that mix cases and digits) become spans only when
+that hold it are counted over the whole corpus: a value that many owners hold, or many repositories of whatever owner, is
+a copied example; any other is live-looking. Loose candidates (long tokens that mix cases and digits) become spans only when
 their ownership says live.
 """
 
@@ -19,6 +19,10 @@ from tremorlake.llm.common import Scratch, sized_join, table
 
 #: A value held by this many owners is a copied example.
 EXAMPLE_OWNERS = 3
+#: So is one that stands in this many repositories, be they of one owner.
+EXAMPLE_REPOS = 4
+#: Digests of widely held values are copied to the executors up to this counted number (64 bytes each).
+COPIED_VALUES = 500_000
 #: Ids of documents with spans are copied to the executors up to this counted number.
 COPIED_IDS = 2_000_000
 
@@ -68,11 +72,13 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, repo: Column, owner: Column, id_col: str = "doc_id", text_col: str = "text", example_owners: int = EXAMPLE_OWNERS,
+    example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, text_hash, marks (array of kind, start, end, live, by start then kind), counts.
 
-    Base spans always stay; ``live`` is false where the value is a copied example. Key candidates are marks only when
-    live and outside of the base spans' values. Places are code points, ends exclusive.
+    Base spans always stay; ``live`` is false where the value is a copied example: ``example_owners`` owners hold it, or
+    ``example_repos`` repositories. Key candidates are marks only when live; they may lie inside of a base span. Places
+    are code points, ends exclusive.
 
     Null and empty texts have no marks. Null repositories or owners count as one of their own. Null and repeated ids
     are carried through, each row for itself. Other columns are not read; an empty table gives an empty result.
@@ -86,7 +92,9 @@ def scan(
         *(_found(text, kind, pattern, group).alias(kind) for kind, pattern, group in KINDS)), "matches", keep=True)
     found = scratch.stage(candidates(rows), "candidates", keep=True)
     order = F.array_position(F.array(*(F.lit(k) for k, _, _ in KINDS)), F.col("kind")).cast("long")
-    judged = found.join(ownership(found), "value").withColumn("live", F.col("owners") < example_owners)
+    examples = scratch.stage(ownership(found).where((F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)).select(
+        "value", F.lit(True).alias("example")), "examples", keep=True)
+    judged = sized_join(found, examples, ["value"], "left", COPIED_VALUES).withColumn("live", F.col("example").isNull())
     marks = judged.where((F.col("kind") != "key") | F.col("live")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", order.alias("order"), "end", "kind", "live"))).alias("marks"))
     empty = F.array().cast("array<struct<start:bigint,order:bigint,end:bigint,kind:string,live:boolean>>")
@@ -114,12 +122,13 @@ def redact(
     Overlapping spans are replaced as one, with the mask of the first. Texts without marks stay as they are.
     """
     marks = scan(docs, repo, owner, id_col, text_col).where(F.size("marks") > 0).select(
-        F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), F.col("marks").alias("__marks")).dropDuplicates(["__id", "__hash"])
-    hashed = docs.withColumn("__hash", F.xxhash64(text_col))
-    keys = marks.select("__hash").distinct()
-    touched = sized_join(hashed, keys, ["__hash"], "left_semi", COPIED_IDS)
-    untouched = sized_join(hashed, keys, ["__hash"], "left_anti", COPIED_IDS)
-    text = F.col(text_col)
+        F.col(id_col).alias("id"), F.col("text_hash").alias("hash"), "marks").dropDuplicates(["id", "hash"])
+    # whole rows in one column: no name of theirs can meet one used here
+    whole = docs.select(F.struct("*").alias("doc")).withColumn("hash", F.xxhash64(F.col("doc")[text_col]))
+    keys = marks.select("hash").distinct()
+    touched = sized_join(whole, keys, ["hash"], "left_semi", COPIED_IDS)
+    untouched = sized_join(whole, keys, ["hash"], "left_anti", COPIED_IDS)
+    text = F.col("doc")[text_col]
 
     def step(done, mark):
         gap = F.substring(text, (done["at"] + 1).cast("int"), (mark["start"] - done["at"]).cast("int"))
@@ -128,12 +137,12 @@ def redact(
             F.concat(done["out"], gap, mask).alias("out"), mark["end"].alias("at"))).otherwise(
             F.struct(done["out"].alias("out"), F.greatest(done["at"], mark["end"]).alias("at")))
 
-    built = F.aggregate("__marks", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")), step, lambda done: F.concat(
+    built = F.aggregate("marks", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")), step, lambda done: F.concat(
         done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
-    renamed = marks.withColumnRenamed("__hash", "__h")
-    masked = touched.join(renamed, (touched["__hash"] == renamed["__h"]) & touched[id_col].eqNullSafe(renamed["__id"])).withColumn(
-        text_col, built)
-    return masked.select(*docs.columns).unionByName(untouched.select(*docs.columns))
+    renamed = marks.withColumnsRenamed({"hash": "text_hash", "id": "marked"})
+    masked = touched.join(renamed, (F.col("hash") == F.col("text_hash")) & F.col("doc")[id_col].eqNullSafe(F.col("marked"))).select(
+        F.col("doc").withField(text_col, built).alias("doc"))
+    return masked.unionByName(untouched.select("doc")).select("doc.*")
 
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
