@@ -43,9 +43,19 @@ def test_awkward_rows(spark):
     one_null = spark.createDataFrame([(None, "u", "p"), (9, "u", "q"), (9, "u", "q")], "page_id long, url string, html string")
     got = read_bundles(Scratch(spark, "t").stage(write_bundles(one_null), "bundles", keep=True)).collect()
     assert sorted((str(r.page_id), r.record_type) for r in got) == [("9", "response"), ("9", "response"), ("None", "response")]
+    ids = spark.createDataFrame([(None, "u", "p"), (-1, "u", "p"), (None, "u", "q"), (None, "u", "q"), (-1, "u", "r")], "page_id long, url string, html string")
+    got = read_bundles(Scratch(spark, "t").stage(write_bundles(ids), "bundles", keep=True)).collect()
+    assert sorted((str(r.page_id), r.record_type, r.refers_to) for r in got if r.refers_to is None) == [
+        ("-1", "response", None)] * 2 + [("None", "response", None)] * 2
+    assert [(r.page_id, r.record_type, r.refers_to) for r in got if r.refers_to is not None] == [(None, "revisit", -1)]
     assert read_bundles(write_bundles(df.limit(0))).count() == 0
 
 
+def test_payloads_stay_where_they_are_read(spark):
+    plan = write_bundles(spark.read.parquet(f"{SF_DIR}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_smaller_payloads_are_all_responses(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     got = as_rows(read_bundles(Scratch(spark, "t").stage(write_bundles(df, min_bytes=3), "bundles", keep=True)))

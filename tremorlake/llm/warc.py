@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tremorlake.llm.common import Scratch, table, use_text_batches
+from tremorlake.llm.common import Scratch, sized_join, table, use_text_batches
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 16 << 20
 LEVEL = 3
+#: Digests of repeated payloads are copied to the executors up to this counted number (28 bytes each).
+COPIED_DIGESTS = 1_000_000
 
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -40,9 +42,10 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str, kind: str, digest: str, size: int, refers_to: int | None, payload: bytes) -> bytes:
-    """One WARC/1.1 record; a revisit has no payload and tells the size of the one it stands for."""
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {WARC_DATE}",
+def record(page_id: int | None, url: str, kind: str, digest: str, size: int, refers_to: int | None, payload: bytes) -> bytes:
+    """One WARC/1.1 record; a revisit has no payload and tells the size of the one it stands for. A null id is written empty."""
+    name = "" if page_id is None else page_id
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Date: {WARC_DATE}",
             f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     if refers_to is not None:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>",
@@ -140,17 +143,20 @@ def write_bundles(
 
     Payload: the html in UTF-8, null as empty. Of records with equal payloads of ``min_bytes`` or more the one with the
     largest id is the response, the others are revisits. Rows that repeat an id keep one record each; of equal rows
-    with the largest id all are responses. A null id is written as -1 and refers to others like any other. Null urls
-    are written empty. An empty table gives an empty result; other columns are not read.
+    with the largest id all are responses. A null id is written empty and is a revisit where another row of the payload
+    has an id. Null urls are written empty. An empty table gives an empty result; other columns are not read.
+
+    Payloads stay in the tasks that read them: digests are counted first, and only those that repeat are looked up.
     """
-    use_text_batches(pages.sparkSession)
+    spark = pages.sparkSession
+    use_text_batches(spark)
     rows = pages.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
+        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html")).withColumn("sha", F.unhex(F.sha1(F.col("html").cast("binary"))))
-    newest = rows.where(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.max("id").alias("response"))
-    # the payload moves once, to the maximum of its digest; equal payloads may be split over tasks
-    joined = rows.join(newest, "sha", "left")
-    revisit = F.col("response").isNotNull() & (F.col("id") != F.col("response"))
+    repeated = Scratch(spark, "warc").stage(rows.where(F.octet_length("html") >= min_bytes).groupBy("sha").agg(
+        F.max("id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "response"), "repeated", keep=True)
+    joined = sized_join(rows, repeated, ["sha"], "left", COPIED_DIGESTS)
+    revisit = F.col("response").isNotNull() & ~F.col("id").eqNullSafe(F.col("response"))
     wanted = joined.select(
         "id", "url", "sha", F.octet_length("html").cast("long").alias("size"), F.when(revisit, F.col("response")).alias("refers_to"),
         F.when(~revisit, F.col("html").cast("binary")).alias("payload"))
@@ -204,12 +210,13 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
             raw, at = read_frame(bundle, frame), 0
             while at < len(raw):
                 headers, payload, following = parse_record(raw, at)
-                page_id = int(headers["WARC-Record-ID"][len("<urn:page:"):-1])
+                name = headers["WARC-Record-ID"][len("<urn:page:"):-1]
+                page_id = int(name) if name else None
                 if (page_id, number, at) not in named:
                     raise ValueError(f"record {page_id} is not where the index has it")
                 revisit = headers["WARC-Type"] == "revisit"
                 yield {
-                    "page_id": None if page_id == -1 else page_id,
+                    "page_id": page_id,
                     "payload_bytes": int(headers["X-Payload-Length"]) if revisit else len(payload),
                     "payload_digest": headers["WARC-Payload-Digest"][len("sha1:"):] if revisit else payload_digest(payload),
                     "record_type": headers["WARC-Type"],
