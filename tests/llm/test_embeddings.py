@@ -1,5 +1,6 @@
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tremorlake.llm.embeddings import Quantiser, learn_rotation, near_vectors, op10_embedding_near_dedup, table_shape
@@ -105,3 +106,15 @@ def test_recall_of_vectors_in_a_narrow_cone(spark):
 def test_keys_grow_with_the_table():
     assert table_shape(10**9, 0.98, 0.99)[1] == 30 and table_shape(1, 0.98, 0.99)[1] == 8
 
+
+
+def test_recall_that_is_not_reached_is_an_error(monkeypatch):
+    monkeypatch.setattr(Quantiser, "_recall", lambda self, probes, cosine: 0.5)
+    with pytest.raises(ValueError, match="0.5000"):
+        Quantiser(np.zeros((0, 8)), 8, 2, 10)
+
+
+def test_keys_longer_than_32_bits():
+    x = np.random.default_rng(1).standard_normal((500, 16))
+    keys = Quantiser(x, 16, 4, 52).keys(x)
+    assert keys.dtype == np.int64 and keys.min() >= 0 and keys.max() >= 2**40

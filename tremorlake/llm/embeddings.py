@@ -23,8 +23,10 @@ RECALL = 0.99
 FIT_ROWS = 10_000
 #: With fewer vectors of one dimension the directions are random instead.
 LEAST_FIT = 100
-#: Tables are added up to this multiple while the measured recall is short of the wanted one.
+#: Learned tables are added up to this multiple while the measured recall is short of the wanted one; then directions
+#: through the origin take over, whose tables grow until it is reached. Beyond ``LAST_TIMES`` the search fails, with the figure.
 MOST_TIMES = 3
+LAST_TIMES = 64
 #: Rows of one side of a bucket that are compared at once; larger buckets are cut into pairs of such blocks.
 BLOCK_ROWS = 512
 
@@ -62,23 +64,27 @@ class Quantiser:
     def __init__(self, sample: np.ndarray, dim: int, tables: int, key_bits: int, cosine: float = COSINE, recall: float = RECALL):
         self.key_bits = key_bits
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        learned = len(sample) >= max(LEAST_FIT, 2 * dim) and self._reach(sample, sample[:1000], dim, tables, cosine, recall)
+        learned = len(sample) >= max(LEAST_FIT, 2 * dim) and self._reach(
+            sample, sample[:1000], dim, tables, cosine, recall, MOST_TIMES) >= recall
         if not learned:
             # Too few to learn from, or vectors so close together that their centred directions tell nothing of
             # the cosine: directions through the origin, where a bit differs with the angle over pi.
             self.parts.clear()
             around = np.random.default_rng(dim).standard_normal((max(LEAST_FIT, 4 * dim), dim))
             around = np.concatenate([around, -around])
-            self._reach(around, _unit(around), dim, tables, cosine, recall)
+            probes = np.concatenate([_unit(around)[:1000], sample[:1000]])
+            found = self._reach(around, probes, dim, tables, cosine, recall, LAST_TIMES)
+            if found < recall:
+                raise ValueError(f"{self.tables} tables of {dim} dimensions find {found:.4f} of the neighbours, {recall} is wanted")
 
-    def _reach(self, sample: np.ndarray, probes: np.ndarray, dim: int, tables: int, cosine: float, recall: float) -> bool:
-        most = MOST_TIMES * tables
+    def _reach(self, sample: np.ndarray, probes: np.ndarray, dim: int, tables: int, cosine: float, recall: float, times: int) -> float:
+        """The recall that was measured when it was enough, or when there were ``times`` the tables."""
         self._grow(sample, dim, tables)
-        while dim > 1 and self._recall(probes, cosine) < recall:
-            if self.tables >= most:
-                return False
+        found = 1.0 if dim == 1 else self._recall(probes, cosine)
+        while found < recall and self.tables < times * tables:
             self._grow(sample, dim, self.tables + max(1, tables // 2))
-        return True
+            found = self._recall(probes, cosine)
+        return found
 
     def _grow(self, sample: np.ndarray, dim: int, tables: int) -> None:
         self.tables = tables
@@ -95,7 +101,7 @@ class Quantiser:
         bits = np.concatenate([(x - mean) @ projection >= 0 for mean, projection in self.parts], axis=1)
         # neighbours in one rotation go to different tables
         bits = bits[:, :self.tables * self.key_bits].reshape(len(x), self.key_bits, self.tables)
-        return (bits.astype(np.int64) << np.arange(self.key_bits)[None, :, None]).sum(axis=1).astype(np.int32)
+        return (bits.astype(np.int64) << np.arange(self.key_bits)[None, :, None]).sum(axis=1)
 
 
 def _usable(embeddings: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -117,21 +123,23 @@ def _index(classes: DataFrame, quantisers: dict[int, Quantiser], shape: tuple[in
 
     def make():
         def work(batch):
-            keys, unit = [], []
-            for x in batch["x"]:
-                row = _unit(np.array([x]))
-                q = quantisers.get(len(x))
-                if q is None:
-                    q = quantisers[len(x)] = Quantiser(np.zeros((0, len(x))), len(x), *shape, cosine, recall)
-                keys.append(q.keys(row)[0])
-                unit.append(row.tobytes())
+            keys, unit = [None] * len(batch["x"]), [None] * len(batch["x"])
+            at: dict[int, list[int]] = {}
+            for n, dim in enumerate(batch["dim"]):
+                at.setdefault(dim, []).append(n)
+            for dim, places in at.items():
+                if dim not in quantisers:
+                    quantisers[dim] = Quantiser(np.zeros((0, dim)), dim, *shape, cosine, recall)
+                rows = _unit(np.array([batch["x"][n] for n in places]))
+                for n, key, row in zip(places, quantisers[dim].keys(rows), rows):
+                    keys[n], unit[n] = key, row.tobytes()
             return {**{c: batch[c] for c in ("id", "label", "dim", "weight")}, "keys": keys, "unit": unit}
 
         return work
 
     return map_texts(classes, ["id", "label", "dim", "weight", "x"], [
         ("id", T.LongType()), ("label", T.StringType()), ("dim", T.IntegerType()), ("weight", T.LongType()),
-        ("keys", T.ArrayType(T.IntegerType())), ("unit", T.BinaryType())], make)
+        ("keys", T.ArrayType(T.LongType())), ("unit", T.BinaryType())], make)
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
