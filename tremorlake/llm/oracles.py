@@ -1,7 +1,6 @@
 """DuckDB SQL with the rows of the text queries, where SQL expresses the operator on whole tables.
 
-No SQL for op1 (learned), op3 (learned), op4 (its document sketch is a hash that DuckDB lacks), op6 and op7 (byte-level
-BPE), op9 (dynamic program) and the pipeline: those are tested against brute-force versions.
+No SQL for op1 (learned), op3 (learned), op6 and op7 (byte-level BPE), op9 (dynamic program), op11 (learned) and the pipeline: those are tested against brute-force versions.
 """
 
 from __future__ import annotations
@@ -25,6 +24,26 @@ link AS (SELECT a, b FROM shared JOIN size p ON p.id = a JOIN size q ON q.id = b
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d JOIN component c ON c.id = d.doc_id LEFT JOIN size s ON s.id = d.doc_id"""
 
+_OP4 = r"""WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM doc WHERE len(w) > 8)),
+twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, s) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat FROM twice, range(8) AS eight(k) GROUP BY r),
+held AS (SELECT r, host, translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS said,
+    regexp_extract_all(unnest(string_split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), chr(10))),
+      '[^\x20\x09-\x0D]+') AS p FROM doc),
+line AS (SELECT r, host, said, array_to_string(p, ' ') AS l, sum(len(p)) AS n FROM held WHERE len(p) > 0 GROUP BY ALL),
+host_size AS (SELECT host, count(DISTINCT said) AS docs FROM held WHERE said <> '' GROUP BY host),
+often AS (SELECT host, l, count(DISTINCT said) AS times FROM line GROUP BY host, l HAVING times > 20),
+gone AS (SELECT r, sum(n) AS n FROM line JOIN often USING (host, l) JOIN host_size USING (host) WHERE times > CAST(0.05 AS DOUBLE) * docs GROUP BY r),
+counted AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(w) - coalesce(gone.n, 0) AS BIGINT) AS n_words_left FROM doc LEFT JOIN covered USING (r) LEFT JOIN gone USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND n_words_left >= 10 AND 100 * n_words_left >= 30 * n_words AS kept FROM judged"""
+
 #: Eight groups of five bits are one group of five bytes, that is ten hexadecimal digits.
 _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + CAST((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31 AS INT), 1)), '')"""
@@ -119,6 +138,7 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5
 
 LLM_ORACLES: dict[str, str] = {
     "op2_minhash": _OP2,
+    "op4_quality_rules": _OP4,
     "op5_warc": _OP5,
     "op8_secret_scans": _OP8,
     "op10_embedding_near_dedup": _OP10,
