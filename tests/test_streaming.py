@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from tremorlake.operators.proximity import last_within_km, near_places, places_near_events
 from tremorlake.sources.geojson import land_feed_snapshot
 from tremorlake.sources.store import scan_quake
 from tremorlake.streaming import jobs
