@@ -194,6 +194,16 @@ def test_last_event_near_places_equals_all_pairs(spark, km, max_copied):
     assert rows(got) == rows(want) and len(rows(got)) > 0
 
 
+def test_cells_of_places_are_not_copied_through_the_driver(spark, monkeypatch):
+    """A short list of places is spread over many cells, which the engine's estimate does not see."""
+    df = events(spark, *[{"id": i, "lon": float(i % 360 - 180), "lat": float(i % 80)} for i in range(500)])
+    places = spark.range(1000).selectExpr("id AS place", "CAST(id % 360 - 180 AS DOUBLE) AS lon", "CAST(id % 80 AS DOUBLE) AS lat")
+    plans, keep = [], proximity.stage
+    monkeypatch.setattr(proximity, "stage", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or keep(df))
+    assert proximity.last_within_km(df, places, 500.0, 0).count() > 500
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_hours_without_events_over_months_and_far_years(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 31, 22, 30),), (datetime(2024, 3, 1, 1),), (None,)], "time_utc TIMESTAMP_NTZ")
     got = [tuple(r) for r in stats.counts_per_hour(df).orderBy("hour").collect()]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators import tables as t
 from tremorlake.operators.filters import EventFilter
+from tremorlake.operators.joins import lookup_join
 from tremorlake.operators.ordering import row_ids, running_total
 from tremorlake.sources import store
 from test_functions import events
@@ -190,3 +191,12 @@ def test_a_sea_without_a_name_is_no_sea(spark):
     layer = spark.sql("SELECT CAST(id AS LONG) row_id, 4326 srid, CAST(array() AS ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>) rings, name "
                       "FROM VALUES (1, null), (2, 'B'), (3, 'A') AS v(id, name)")
     assert rows(t.sea_lookup(layer)) == [(0, "B"), (1, "A")]
+
+
+def test_a_side_of_many_megabytes_is_not_copied_through_the_driver(spark):
+    left = spark.range(1000).withColumnRenamed("id", "k")
+    for n, copied in ((1_000, True), (1_000_000, False)):
+        right = spark.range(n).select(F.col("id").alias("k"), F.lit(1).alias("a"), F.lit(2).alias("b"))
+        joined = lookup_join(left, right, ["k"])
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().sparkPlan().toString()) == copied
+        assert joined.where("a = 1").count() == 1000

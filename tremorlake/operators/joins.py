@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-MAX_COPIED_BYTES = 64 << 20      # of a side that may be copied to every executor
+MAX_COPIED_BYTES = 16 << 20      # of a side that may be copied to every executor; the driver holds it several times over
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -100,8 +100,11 @@ def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied:
     order = F.struct("time_utc", "id")
     timed = quakes.where("lon IS NOT NULL AND lat IS NOT NULL AND time_utc IS NOT NULL").select(
         cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c"), order.alias("_o"), row.alias("q"))
-    newest = timed.groupBy("_r", "_c").agg(F.max("_o").alias("_top"), F.max_by("q", "_o").alias("q"))
-    reached = place_cells(places.where("place IS NOT NULL"), km, g).where(_may_reach(km, g)).join(newest, ["_r", "_c"])
+    # the engine's estimate does not see how many cells a place is spread over, so the join is chosen by measured size
+    newest = stage(timed.groupBy("_r", "_c").agg(F.max("_o").alias("_top"), F.max_by("q", "_o").alias("q")))
+    spread = places.where("place IS NOT NULL").repartition(places.sparkSession.sparkContext.defaultParallelism, "place")
+    around = place_cells(spread, km, g).where(_may_reach(km, g))
+    reached = lookup_join(around, newest, ["_r", "_c"], max_copied).where("_top IS NOT NULL")
     firsts = stage(reached.withColumn("km", _km_to("q")))
     best = F.max(F.when(F.col("km") <= km, F.col("_top"))).over(Window.partitionBy("place"))
     open_cells = firsts.withColumn("_best", best).where(
@@ -152,7 +155,7 @@ def nearest_k_per_place(quakes: DataFrame, places: DataFrame, k: int, max_copied
                 F.count(F.lit(1)).alias("n"))
             centre = haversine_km(F.col("place_lon"), F.col("place_lat"), (F.col("_c") + 0.5) * g, (F.col("_r") + 0.5) * g)
             inside = centre + EARTH_RADIUS_KM * math.radians(g) + 0.001 <= km
-            sure = place_cells(waiting, km, g).where(inside).join(counts, ["_r", "_c"]).groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= k)
+            sure = place_cells(waiting, km, g).where(inside).join(counts.hint("merge"), ["_r", "_c"]).groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= k)
             done = stage(sure.select("place"))
             chosen = waiting.join(done, "place", "left_semi")
         pairs = near_places(located, chosen, km, max_copied)
