@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.geo import cell_index
 from tremorlake.operators.joins import lookup_join, shuffled_left_join
@@ -38,7 +38,7 @@ CUT = 4                              # cells a side into which it is cut
 SLACK = 1e-9                         # degrees, far above the rounding of a computed crossing
 FEW_EDGES = 10_000                   # layers up to here are gathered at once and cut only if a cell turns out crowded
 ENTRY_BYTES = 64                     # room for one edge, loose end, polygon or cell in memory
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024     # the driver holds a copied side several times over
 
 
 def _spans(edges: DataFrame, g: float) -> DataFrame:
@@ -85,7 +85,7 @@ def _loose_ends(edge_rows: DataFrame, g: float) -> DataFrame:
 
 def _far_ends(cells: DataFrame, loose: DataFrame) -> DataFrame:
     """Per polygon and cell, the ends right of the cell that do not cancel; a null ``y`` is above the row."""
-    right = cells.join(loose, ["poly", "cell_r"]).where(F.col("c_low") > F.col("cell_c"))
+    right = cells.join(loose.hint("merge"), ["poly", "cell_r"]).where(F.col("c_low") > F.col("cell_c"))
     return right.groupBy("poly", "cell_r", "cell_c", "y").agg((F.count(F.lit(1)) % 2).alias("odd")).where("odd = 1").drop("odd")
 
 
@@ -201,11 +201,20 @@ def _ends(rows: DataFrame, kind) -> DataFrame:
 
 
 def _without_hidden(parts: DataFrame) -> DataFrame:
-    """Parts of a cell's polygons up to the first that fills the cell."""
+    """Parts of a cell's polygons up to the first that fills the cell, and of those that look the same in it the first.
+
+    Polygons look the same in a cell if they have equal parts there, as neighbours on a shared border and copies do: the
+    smallest id answers for all of them, and no smaller cell would ever part them. Parts are compared by their number
+    and two hashes.
+    """
     where = ["cell_r", "cell_c"]
-    whole = parts.groupBy("poly", *where).agg(F.max("kind").alias("most")).where(F.col("most") == _BASE)
-    filler = whole.groupBy(*where).agg(F.min("poly").alias("_filler"))
-    return parts.join(filler, where, "left").where("_filler IS NULL OR poly <= _filler").select(*_PART)
+    said = [F.xxhash64(F.lit(seed), *_PART[3:]) for seed in (1, 2)]
+    looks = parts.groupBy("poly", *where).agg(
+        F.max("kind").alias("_most"), F.count(F.lit(1)).alias("_n"), F.bit_xor(said[0]).alias("_h1"), F.sum(said[1].cast("decimal(20, 0)")).alias("_h2"))
+    firsts = looks.groupBy(*where, "_most", "_n", "_h1", "_h2").agg(F.min("poly").alias("poly"))
+    filler = F.min(F.when(F.col("_most") == _BASE, F.col("poly"))).over(Window.partitionBy(*where))
+    seen = firsts.withColumn("_filler", filler).where("_filler IS NULL OR poly <= _filler").select("poly", *where)
+    return parts.join(seen.hint("merge"), ["poly", *where], "left_semi").select(*_PART)
 
 
 def _cut(parts: DataFrame, g: float) -> DataFrame:
