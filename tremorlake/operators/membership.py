@@ -12,11 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tremorlake.operators.bitmaps import BLOCK_BITS, bitmaps
 from tremorlake.operators.joins import MAX_COPIED_BYTES, measured_bytes
 
 BITS_PER_KEY = 12
 HASHES = 4
-BLOCK_BITS = 32_768          # of the engine's bitmap functions
 
 
 def _places(key: Column) -> list[Column]:
@@ -31,10 +31,11 @@ def key_filters(rows: DataFrame, key: Column, folder: Sequence[str]) -> DataFram
     keyed = rows.select(*folder, key.alias("_key")).where("_key IS NOT NULL")
     wanted = F.ceil(F.log2(F.count(F.lit(1)) * BITS_PER_KEY / BLOCK_BITS))
     sizes = keyed.groupBy(*folder).agg(F.pow(F.lit(2.0), F.greatest(wanted, F.lit(0))).cast("long").alias("blocks"))
-    placed = keyed.select(*folder, *_places(F.col("_key"))).join(sizes, list(folder)).select(
-        *folder, "blocks", F.col("_h").bitwiseAND(F.col("blocks") - 1).alias("block"),
-        F.explode(F.array(*[f"_b{i}" for i in range(HASHES)])).alias("_bit"))
-    return placed.groupBy(*folder, "blocks", "block").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+    # hashes scatter a folder's keys over all its blocks, so keys move to their block before their bits are collected
+    parted = keyed.select(*folder, *_places(F.col("_key"))).join(sizes, list(folder)).withColumn(
+        "block", F.col("_h").bitwiseAND(F.col("blocks") - 1)).drop("_h").repartition(*folder, "blocks", "block")
+    placed = parted.select(*folder, "blocks", "block", F.explode(F.array(*[f"_b{i}" for i in range(HASHES)])).alias("_bit"))
+    return bitmaps(placed, [*folder, "blocks", "block"], "_bit", "bits")
 
 
 def _is_set(bits: str, at: str) -> str:

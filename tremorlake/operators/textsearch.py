@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.text import search_terms
+from tremorlake.operators.bitmaps import bitmaps
 from tremorlake.operators.filters import text_contains
 from tremorlake.operators.joins import MAX_COPIED_BYTES, lookup_join
 
@@ -43,8 +44,7 @@ def text_index(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     said = F.array_distinct(F.concat(_present(_grams(F.col("place"))), _present(_grams(F.col("title")))))
     held = events.where("id IS NOT NULL").select(
         *by, F.bitmap_bucket_number(_bit_number()).alias("block"), F.bitmap_bit_position(_bit_number()).alias("_bit"), F.explode(said).alias("gram"))
-    bitmaps = held.groupBy(*by, "gram", "block").agg(F.bitmap_construct_agg("_bit").alias("ids"))
-    return bitmaps.repartitionByRange("gram", "block").sortWithinPartitions("gram", "block")
+    return bitmaps(held, [*by, "gram", "block"], "_bit", "ids").repartitionByRange("gram", "block").sortWithinPartitions("gram", "block")
 
 
 def _candidates(index: DataFrame, grams: Sequence[str], by: Sequence[str]) -> DataFrame:
