@@ -71,10 +71,12 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
         "_r", "_c", "place_lon", "place_lat")
 
 
-def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
+def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES,
+                       earlier: str | None = None) -> DataFrame:
     """As ``near_places`` for few events and any number of places, as in a stream: the events' circles are spread over
     the grid, every place stands in its one cell. The placed places are written once, so each micro-batch reads them as
-    they are; a short list is copied, a long one is joined by cell.
+    they are; a short list is copied, a long one is joined by cell. ``earlier`` names a column with positions (lon, lat):
+    places that one of them reaches are left out.
     """
     g = grid_for(km)
     wanted = places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
@@ -85,7 +87,10 @@ def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copi
     small = measured_bytes(placed) <= max_copied
     pairs = circles.join(F.broadcast(placed) if small else placed, ["_r", "_c"])
     distance = haversine_km(F.col("_lon"), F.col("_lat"), F.col("_q.lon"), F.col("_q.lat"))
-    return pairs.select("place", "_q.*", F.round(distance, 3).alias("km")).where(F.col("km") <= km)
+    met = pairs.withColumn("km", F.round(distance, 3)).where(F.col("km") <= km)
+    if earlier:
+        met = met.where(~F.exists(F.col("_q")[earlier], lambda e: F.round(haversine_km(F.col("_lon"), F.col("_lat"), e["lon"], e["lat"]), 3) <= km))
+    return met.select("place", "_q.*", "km")
 
 
 def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:

@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tremorlake.operators.features import flatten_feature
-from tremorlake.operators.proximity import near_places, places_near_events
-from tremorlake.session import delete_path
+from tremorlake.operators.proximity import last_within_km, places_near_events
+from tremorlake.session import delete_path, owned_stages, stage
 from tremorlake.sources.geojson import parse_features, readable_feature
 from tremorlake.sources.store import load_batch
 
 DEDUP_SALTS = 16
+FEW_EVENTS = 1_000      # of a micro-batch, up to which its events are paired with places one by one
 MERGE_EVERY = 50        # micro-batches whose updates lie in folders of their own before they are merged
 
 
@@ -63,26 +66,79 @@ def stream_counts(stream: DataFrame, width: str = "1 hour", slide: str | None =
     return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events")
 
 
-def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day", salts: int = DEDUP_SALTS) -> DataFrame:
-    """Each flagged event near a watched place, once per event and place."""
-    near = near_places(stream.where("tsunami = 1").select("usgs_id", "time_utc", "lon", "lat"), places, km)
-    return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay, salts)
+EARLIEST, LATEST = "1700-01-01", "2200-01-01"      # times outside count as these for the watermark
+POSITIONS = "usgs_id STRING, time_utc LONG, lon DOUBLE, lat DOUBLE, earlier ARRAY<STRUCT<lon: DOUBLE, lat: DOUBLE>>"
+SEEN = "lons ARRAY<DOUBLE>, lats ARRAY<DOUBLE>, until ARRAY<LONG>"
+
+
+def _new_positions(delay_ms: int) -> Callable:
+    """For ``applyInPandasWithState``: the positions of an event that it did not report before, each with the earlier ones."""
+    def positions(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
+        held = list(zip(*state.get, strict=True)) if state.exists else []
+        seen = {(x, y): until for x, y, until in held if until > now}
+        if not state.hasTimedOut:
+            new = []
+            for part in parts:
+                for micros, x, y, at in zip(part["micros"], part["lon"], part["lat"], part["at_ms"], strict=True):
+                    if (x, y) not in seen:
+                        new.append((key[0], None if pd.isna(micros) else int(micros), x, y, [{"lon": a, "lat": b} for a, b in seen]))
+                        seen[(x, y)] = int(at) + delay_ms
+            if new:
+                names = ["usgs_id", "time_utc", "lon", "lat", "earlier"]
+                yield pd.DataFrame({n: pd.Series(values, dtype="Int64" if n == "time_utc" else None) for n, values in zip(names, zip(*new, strict=True), strict=True)})
+        if not seen:
+            state.remove()
+            return
+        state.update(([x for x, _ in seen], [y for _, y in seen], list(seen.values())))
+        state.setTimeoutTimestamp(max(now + 1, min(seen.values())))
+
+    return positions
+
+
+def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day") -> DataFrame:
+    """Each flagged event near a watched place, once per event and place.
+
+    The engine's state keeps the positions of an event for as long as the watermark allows, and none of its places: a
+    new position alerts those places which no earlier position of the event reached.
+    """
+    flagged = stream.where("tsunami = 1 AND lon IS NOT NULL AND lat IS NOT NULL").select(
+        "usgs_id", "lon", "lat", F.unix_micros(F.col("time_utc").cast("timestamp")).alias("micros"),
+        F.greatest(F.least("time_utc", F.lit(LATEST).cast("timestamp")), F.lit(EARLIEST).cast("timestamp")).alias("seen_utc"))
+    timed = flagged.withColumn("at_ms", F.coalesce(F.unix_millis("seen_utc"), F.lit(0))).withWatermark("seen_utc", delay)
+    delay_ms = timed.sparkSession.range(1).select(F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {delay})")).first()[0]
+    moved = timed.groupBy("usgs_id").applyInPandasWithState(
+        _new_positions(delay_ms), POSITIONS, SEEN, "append", GroupStateTimeout.EventTimeTimeout)
+    first = moved.withColumn("time_utc", F.timestamp_micros("time_utc").cast(stream.schema["time_utc"].dataType))
+    return places_near_events(first, places, km, earlier="earlier").select("usgs_id", "time_utc", "lon", "lat", "place", "km")
+
+
+def last_quakes(events: DataFrame, places: DataFrame, km: float, few: int = FEW_EVENTS) -> DataFrame:
+    """The newest of ``events`` per watched place that has one, for one micro-batch.
+
+    A few events are paired with the places in their own circles, where every place stands once, so a small batch spreads
+    no place over cells. Of many, every grid cell answers with its newest, so neither pairs nor sorts grow with both sides.
+    """
+    timed = events.where("time_utc IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").select("usgs_id", "time_utc", "mag", "lon", "lat")
+    if timed.limit(few + 1).count() > few:
+        newest = last_within_km(timed.withColumnRenamed("usgs_id", "id"), places.where("lon IS NOT NULL AND lat IS NOT NULL"), km)
+        return newest.withColumnRenamed("id", "usgs_id")
+    return latest_quake(places_near_events(timed, places, km))
 
 
-def last_quakes(stream: DataFrame, places: DataFrame, km: float) -> DataFrame:
-    """The newest event per watched place so far; the engine's state keeps one row per place that had one.
+def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str,
+                     merge_every: int = MERGE_EVERY, few: int = FEW_EVENTS) -> StreamingQuery:
+    """Write the newest event per place of each micro-batch to a folder of its own; ``latest_quake`` reads them.
 
-    An event looks into the grid cells that its own circle meets, where every place stands once. So a micro-batch costs
-    what its events reach and spreads no place over cells; events are reduced to one per place in their task.
+    No state is kept: the folders are merged from time to time by the time of the events, so a late event never
+    replaces a newer one.
     """
-    timed = stream.where("time_utc IS NOT NULL").select("usgs_id", "time_utc", "mag", "lon", "lat")
-    newest = F.max_by(F.struct("usgs_id", "time_utc", "mag", "km"), F.struct("time_utc", "usgs_id"))
-    return places_near_events(timed, places, km).groupBy("place").agg(newest.alias("q")).select("place", "q.*")
-
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with owned_stages(batch.sparkSession):
+            landed = stage(batch.select("usgs_id", "time_utc", "mag", "lon", "lat"))
+            _write_update(last_quakes(landed, places, km, few), path, batch_id, latest_quake, merge_every)
 
-def start_last_quake(stream: DataFrame, places: DataFrame, km: float, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the places whose newest event changed, micro-batch by micro-batch; ``latest_quake`` reads them."""
-    return start_updates(last_quakes(stream, places, km), path, checkpoint, ["place"])
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def latest_quake(updates: DataFrame) -> DataFrame:
