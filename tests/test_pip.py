@@ -221,6 +221,16 @@ def test_one_huge_and_many_tiny_detailed_shapes(spark):
     assert answer(resolve_polygon(points(spark, coordinates), index)) == plain(polygons, coordinates)
 
 
+def test_covering_pairs_are_not_shuffled_and_repeated_ids_count_together(spark):
+    shapes = [(i, [[(0.0, 0.0), (10.0 + i, 0.0), (10.0 + i, 10.0), (0.0, 10.0)]]) for i in range(5)]
+    index = build_index(layer(spark, shapes), 5.0)
+    pts = spark.createDataFrame([(1, 2.0, 2.0), (2, 12.0, 3.0), (3, 2.0, 2.0), (3, 2.0, 2.0), (4, 0.0, 1.0), (4, 0.0, 1.0), (5, None, 1.0)], "id LONG, lon DOUBLE, lat DOUBLE")
+    got = covering_pairs(pts, index)
+    assert sorted(map(tuple, got.collect())) == sorted([(i, p) for i in (1, 4) for p in range(5)] + [(2, 2), (2, 3), (2, 4)])
+    once = covering_pairs(pts.where("id < 3"), index)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in once
+
+
 def test_copies_of_a_shape_do_not_crowd_a_cell(spark):
     """More equal borders than a cell may hold: no cell size parts them, and the first copy answers for all."""
     shape = [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]]

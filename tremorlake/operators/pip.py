@@ -22,13 +22,13 @@ shuffle join with the same answer.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremorlake.functions.geo import cell_index
 from tremorlake.operators.joins import lookup_join, shuffled_left_join
-from tremorlake.session import pin
+from tremorlake.session import pin, stage
 from tremorlake.sources.polygons import polygon_edges
 
 CELL_SIZES = tuple(10.0 / 2 ** k for k in range(18))   # degrees, tried from coarse to fine
@@ -367,12 +367,59 @@ def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
 def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
     """Pairs ``(id, poly)`` where the polygon covers the point, for layers of any size.
 
-    A candidate meets only the edges of its own grid row. Each candidate's crossings are summed before
-    the shuffle by (id, poly), so edges multiply rows inside a task but not on the wire.
+    A polygon has one row per grid cell of its box, with all that decides a point in that cell. A point meets the rows of
+    its cell and is tested where they meet, so only points and rows move, never pairs. Ids that are null or come more
+    than once, whose crossings count together, and polygons with more than ``MAX_CELL_ENTRIES`` edges in one cell take
+    the sums by (id, poly).
+    """
+    g, where = index.cell_deg, ["cell_r", "cell_c"]
+    located = points.select("id", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL")
+    again = stage(located.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").select("id"))
+    edge_rows = _edge_rows(index.edges, g)
+    near, loose = _near_edges(edge_rows), _loose_ends(edge_rows, g)
+    crowded = near.groupBy("poly", *where).agg(F.count(F.lit(1)).alias("n")).unionByName(
+        loose.groupBy("poly", "cell_r").agg(F.count(F.lit(1)).alias("n")).select("poly", "cell_r", F.lit(None).cast("int").alias("cell_c"), "n"))
+    large = stage(crowded.where(F.col("n") > MAX_CELL_ENTRIES).select("poly").distinct())
+    once, few = located, index.edges
+    found = []
+    if not again.isEmpty():
+        marked = again.withColumn("_again", F.lit(True)).withColumnRenamed("id", "_id")
+        told = located.join(marked, F.col("id").eqNullSafe(F.col("_id")), "left")
+        once = told.where("_again IS NULL").select(*located.columns)
+        found.append(_pairs_by_sums(told.where("_again").select(*located.columns), index, index.edges))
+    if not large.isEmpty():
+        few = index.edges.join(large, "poly", "left_anti")
+        found.append(_pairs_by_sums(once, index, index.edges.join(large, "poly", "left_semi")))
+    cells = stage(_polygon_cells(few, g))
+    placed = once.withColumns({"cell_r": cell_index(F.col("lat"), g), "cell_c": cell_index(F.col("lon"), g)})
+    met = lookup_join(placed, cells, where).where("poly IS NOT NULL")
+    tested = met.where(_covers({c: F.col(c) for c in ("base", "far", "edges")}, F.col("lon"), F.col("lat"))).select("id", "poly")
+    for more in found:      # two at most
+        tested = tested.unionByName(more)
+    return tested
+
+
+def _polygon_cells(edges: DataFrame, g: float) -> DataFrame:
+    """``(poly, cell_r, cell_c, base, far, edges)``: what a grid cell knows of each polygon whose box meets it."""
+    where = ["cell_r", "cell_c"]
+    edge_rows = _edge_rows(edges, g)
+    edge = F.struct("x1", "y1", "x2", "y2")
+    near = _near_edges(edge_rows).groupBy("poly", *where).agg(F.collect_list(edge).alias("edges"))
+    far = _far_parity(box_cells(polygon_boxes(edges), g).select("poly", *where), _loose_ends(edge_rows, g))
+    return far.join(near.hint("merge"), ["poly", *where], "full_outer").select(
+        "poly", *where, F.coalesce("base", F.lit(0)).alias("base"), F.coalesce("far", F.expr("CAST(array() AS ARRAY<DOUBLE>)")).alias("far"),
+        F.coalesce("edges", F.expr("CAST(array() AS ARRAY<STRUCT<x1: DOUBLE, y1: DOUBLE, x2: DOUBLE, y2: DOUBLE>>)")).alias("edges"))
+
+
+def _pairs_by_sums(points: DataFrame, index: PolygonIndex, layer: DataFrame) -> DataFrame:
+    """Covering pairs of the polygons in ``layer`` (edges). A candidate meets only the edges of its own grid row.
+
+    Each candidate's crossings are summed before the shuffle by (id, poly), so edges multiply rows inside a task but not
+    on the wire.
     """
     g = index.cell_deg
-    edges = _edge_rows(index.edges, g).select("poly", F.col("cell_r").alias("_r"), "x1", "y1", "x2", "y2")
-    pairs = pip_candidates(points, index).withColumn("_r", cell_index(F.col("lat"), g))
+    edges = _edge_rows(layer, g).select("poly", F.col("cell_r").alias("_r"), "x1", "y1", "x2", "y2")
+    pairs = pip_candidates(points, replace(index, edges=layer)).withColumn("_r", cell_index(F.col("lat"), g))
     matched = shuffled_left_join(pairs, edges, ["poly", "_r"]).where("x1 IS NOT NULL")
     e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
     lon, lat = F.col("lon"), F.col("lat")
