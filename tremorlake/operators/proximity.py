@@ -76,11 +76,14 @@ def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copi
     """As ``near_places`` for few events and any number of places, as in a stream: the events' circles are spread over
     the grid, every place stands in its one cell. The placed places are written once, so each micro-batch reads them as
     they are; a short list is copied, a long one is joined by cell. ``earlier`` names a column with positions (lon, lat):
-    places that one of them reaches are left out.
+    places that one of them reaches are left out, and an event meets a place that is listed more than once only once.
     """
     g = grid_for(km)
     wanted = places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
-    placed = stage(wanted.select("place", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
+    if earlier:
+        spots = F.array_sort(F.collect_set(F.struct("lon", "lat"))).alias("_spots")
+        wanted = wanted.groupBy("place").agg(spots).select("*", F.inline("_spots"))
+    placed = stage(wanted.select(*[c for c in ("place", "_spots") if c in wanted.columns], F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
                                  cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c")))
     located = quakes.drop("place").where("lon IS NOT NULL AND lat IS NOT NULL")
     circles = place_cells(located.select(F.struct(*located.columns).alias("place"), "lon", "lat"), km, g).withColumnRenamed("place", "_q")
@@ -89,7 +92,11 @@ def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copi
     distance = haversine_km(F.col("_lon"), F.col("_lat"), F.col("_q.lon"), F.col("_q.lat"))
     met = pairs.withColumn("km", F.round(distance, 3)).where(F.col("km") <= km)
     if earlier:
-        met = met.where(~F.exists(F.col("_q")[earlier], lambda e: F.round(haversine_km(F.col("_lon"), F.col("_lat"), e["lon"], e["lat"]), 3) <= km))
+        reaches = lambda e, s: F.round(haversine_km(s["lon"], s["lat"], e["lon"], e["lat"]), 3) <= km
+        first = F.get(F.filter("_spots", lambda s: reaches(F.col("_q"), s)), F.lit(0))
+        before = F.exists(F.col("_q")[earlier], lambda e: F.exists(F.col("_spots"), lambda s: reaches(e, s)))
+        met = met.where((F.size("_spots") == 1) | ((first["lon"] == F.col("_lon")) & (first["lat"] == F.col("_lat")))).where(
+            (F.size(F.col("_q")[earlier]) == 0) | ~before)
     return met.select("place", "_q.*", "km")
 
 
