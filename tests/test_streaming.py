@@ -99,6 +99,51 @@ def test_alerts_once_per_event_and_place(spark, tmp_path):
         ("e1", 1), ("e1", 2), ("e4", 1), ("e4", 2)]
 
 
+def test_alerts_remember_positions_and_not_places(spark, tmp_path):
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    places = spark.createDataFrame([(i, 1.0 + i / 1000, 2.0) for i in range(300)], "place INT, lon DOUBLE, lat DOUBLE")
+    land(spark, feed, *[at(i, tsunami=1) for i in range(5)])
+    land(spark, feed, at(1, tsunami=1), at(2, tsunami=1, lon=1.01), at(6, tsunami=1, lon=70.0))
+    query = jobs.start_append(jobs.tsunami_alerts(stream(spark, feed), places, 100.0), out, str(tmp_path / "progress"))
+    run(query)
+    got = [(r["usgs_id"], r["place"]) for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got)) == 5 * 300
+    rows = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
+    assert 0 < max(rows) <= 20
+
+
+def test_alerts_equal_all_pairs_for_moved_and_nameless_events_and_places_listed_twice(spark, tmp_path):
+    rng, feed, out = random.Random(5), str(tmp_path / "feed"), str(tmp_path / "out")
+    spots = [(i % 50, rng.uniform(-30, 30), rng.uniform(-85, 85)) for i in range(80)] + [(50, 180.0, 0.0), (51, -179.9, 0.0), (3, None, 1.0), (None, 0.0, 0.0)]
+    places = spark.createDataFrame(spots + spots[:9], "place INT, lon DOUBLE, lat DOUBLE")
+    told = []
+    for n in range(3):
+        batch = [at(rng.randrange(20), usgs_id=rng.choice([None, *[f"m{k}" for k in range(25)]]), tsunami=rng.choice([0, 1, 1, None]),
+                    lon=rng.uniform(-30, 30), lat=rng.uniform(-89, 89)) for _ in range(60)]
+        batch += batch[:9] + [at(3, usgs_id="edge", tsunami=1, lon=179.9 - n / 10, lat=0.0), at(4, usgs_id="none", tsunami=1, lon=None),
+                              {"usgs_id": f"timeless{n}", "time_utc": None, "tsunami": 1, "lon": spots[0][1], "lat": spots[0][2]}]
+        told += batch
+        land(spark, feed, *batch)
+    run(jobs.start_append(jobs.tsunami_alerts(stream(spark, feed), places, 1200.0), out, str(tmp_path / "progress")))
+    got = spark.read.parquet(out)
+    assert got.columns == ["usgs_id", "time_utc", "lon", "lat", "place", "km"] and got.where("km > 1200").isEmpty()
+    pairs = [(r["usgs_id"] or "", r["place"]) for r in got.collect()]
+    near = near_places(events(spark, *told).where("tsunami = 1"), places.where("lon IS NOT NULL"), 1200.0).select("usgs_id", "place").distinct()
+    assert sorted(pairs) == sorted((r["usgs_id"] or "", r["place"]) for r in near.collect()) and len(pairs) > 150
+
+
+def test_alerts_are_forgotten_with_the_watermark_and_far_events_do_not_move_it(spark, tmp_path):
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    places = spark.createDataFrame([(1, 1.0, 2.0), (2, 2.0, 2.0)], "place INT, lon DOUBLE, lat DOUBLE")
+    moved = lambda hours, **more: at(hours, usgs_id="e", tsunami=1, **more)
+    for batch in ([moved(10, lon=1.0)], [moved(10.2, lon=1.5), at(90, tsunami=1, lon=90.0)], [at(20, tsunami=1)], [at(21, tsunami=1)],
+                  [moved(22, lon=1.0), at(3, tsunami=1)]):
+        land(spark, feed, *batch)
+        run(jobs.start_append(jobs.tsunami_alerts(stream(spark, feed), places, 80.0, "1 hour"), out, str(tmp_path / "progress")))
+    got = sorted((r["usgs_id"], r["place"], r["time_utc"].hour) for r in spark.read.parquet(out).collect())
+    assert got == [("e", 1, 10), ("e", 1, 22), ("e", 2, 10), ("e20", 1, 20), ("e21", 1, 21)]
+
+
 def test_newest_event_per_place_over_batches(spark, tmp_path):
     feed, out, progress = str(tmp_path / "feed"), str(tmp_path / "out"), str(tmp_path / "progress")
     places = spark.createDataFrame([(1, 1.0, 2.0), (2, 90.0, 0.0)], "place INT, lon DOUBLE, lat DOUBLE")

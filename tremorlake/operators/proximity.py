@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,8 +27,8 @@ def _wrapped_column(col: Column, g: float) -> Column:
     return (F.pmod(col + n // 2, F.lit(n)) - n // 2).cast("int")
 
 
-def place_cells(places: DataFrame, km: float, g: float) -> DataFrame:
-    """Grid cells that a circle of ``km`` around each place can reach, across the antimeridian too."""
+def _reached(km: float, g: float) -> tuple[Column, Column]:
+    """Rows and columns of the grid that a circle of ``km`` around (lon, lat) can reach, across the antimeridian too."""
     reach = km / EARTH_RADIUS_KM
     dlat = math.degrees(reach) + 1e-9
     polar = (F.abs("lat") + dlat) >= 90
@@ -37,6 +38,12 @@ def place_cells(places: DataFrame, km: float, g: float) -> DataFrame:
     cols = F.array_distinct(F.transform(
         F.sequence(cell_index(F.col("lon") - dlon, g), cell_index(F.col("lon") + dlon, g)),
         lambda c: _wrapped_column(c, g)))
+    return rows, cols
+
+
+def place_cells(places: DataFrame, km: float, g: float) -> DataFrame:
+    """Grid cells that a circle of ``km`` around each place can reach, across the antimeridian too."""
+    rows, cols = _reached(km, g)
     spanned = places.select(
         "place", F.col("lon").alias("place_lon"), F.col("lat").alias("place_lat"), F.explode(rows).alias("_r"), cols.alias("_cols"))
     return spanned.withColumn("_c", F.explode("_cols")).drop("_cols")
@@ -71,15 +78,19 @@ def near_places(quakes: DataFrame, places: DataFrame, km: float,
         "_r", "_c", "place_lon", "place_lat")
 
 
+def _in_cells(places: DataFrame, g: float) -> DataFrame:
+    return places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").select(
+        *[c for c in places.columns if c not in ("lon", "lat")], F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
+        cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c"))
+
+
 def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """As ``near_places`` for few events and any number of places, as in a stream: the events' circles are spread over
     the grid, every place stands in its one cell. The placed places are written once, so each micro-batch reads them as
     they are; a short list is copied, a long one is joined by cell.
     """
     g = grid_for(km)
-    wanted = places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL")
-    placed = stage(wanted.select("place", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
-                                 cell_index(F.col("lat"), g).alias("_r"), _wrapped_column(cell_index(F.col("lon"), g), g).alias("_c")))
+    placed = stage(_in_cells(places.select("place", "lon", "lat"), g))
     located = quakes.drop("place").where("lon IS NOT NULL AND lat IS NOT NULL")
     circles = place_cells(located.select(F.struct(*located.columns).alias("place"), "lon", "lat"), km, g).withColumnRenamed("place", "_q")
     small = measured_bytes(placed) <= max_copied
@@ -88,6 +99,74 @@ def places_near_events(quakes: DataFrame, places: DataFrame, km: float, max_copi
     return pairs.select("place", "_q.*", F.round(distance, 3).alias("km")).where(F.col("km") <= km)
 
 
+def _km_to_place() -> Column:
+    return haversine_km(F.col("_lon"), F.col("_lat"), F.col("lon"), F.col("lat"))
+
+
+def _in_reach(km: float) -> Column:
+    """Whether the rounded ``_km_to_place`` is at most ``km``. Rounding costs more than the distance, so only pairs at the
+    border are rounded.
+    """
+    near_row = F.abs(F.col("_lat") - F.col("lat")) <= math.degrees(km / EARTH_RADIUS_KM) + 1e-6
+    return near_row & (_km_to_place() <= km + 0.001) & ((_km_to_place() <= km - 0.001) | (F.round(_km_to_place(), 3) <= km))
+
+
+class WatchedPlaces:
+    """Places ``(place, lon, lat)`` written once, for a stream that asks them twice: before its state and after it.
+
+    A place may be listed with several positions; ``several`` tells whether any is, and then each row has all of them.
+    """
+
+    def __init__(self, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> None:
+        self.km, self.g = km, grid_for(km)
+        listed = stage(places.where("place IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL").select("place", "lon", "lat").distinct())
+        more = stage(listed.groupBy("place").agg(F.array_sort(F.collect_list(F.struct("lon", "lat"))).alias("_spots")).where(F.size("_spots") > 1))
+        self.several = not more.isEmpty()
+        if self.several:
+            listed = lookup_join(listed, more, ["place"], max_copied)
+        self.placed = stage(_in_cells(listed, self.g))
+        self.small = measured_bytes(self.placed) <= max_copied
+
+    def _met(self, circles: DataFrame, how: str, more: Sequence[str] = ()) -> DataFrame:
+        """``circles`` (events with the cells ``_r``, ``_c``) with the places they reach."""
+        placed = self.placed.select("place", "_lon", "_lat", F.col("_r").alias("_pr"), F.col("_c").alias("_pc"), *more)
+        same = (F.col("_r") == F.col("_pr")) & (F.col("_c") == F.col("_pc"))
+        return circles.join(F.broadcast(placed) if self.small else placed, same & _in_reach(self.km), how)
+
+    def _circles(self, events: DataFrame) -> DataFrame:
+        """Each event once per grid cell that its circle can reach."""
+        rows, cols = _reached(self.km, self.g)
+        return events.select("*", F.explode(rows).alias("_r"), cols.alias("_cols")).withColumn("_c", F.explode("_cols")).drop("_cols")
+
+    def events_in_reach(self, events: DataFrame, nameless: Column) -> DataFrame:
+        """``events`` that reach a place, once or more. Those that are ``nameless`` come with each place they reach, as
+        JSON in ``_for``; it is null for all others.
+        """
+        near = self._met(self._circles(events), "left_semi")
+        # an event with a name meets no place here, and no two of them need the same task
+        cell = F.when(nameless, F.col("_r")).otherwise(F.lit(1_000_000) + F.pmod(F.xxhash64("lon", "lat"), F.lit(4096)).cast("int"))
+        asked = self._met(near.withColumn("_r", cell), "left")
+        return asked.select(*events.columns, F.when(F.col("place").isNotNull(), F.to_json(F.struct("place"))).alias("_for"))
+
+    def alerts(self, events: DataFrame) -> DataFrame:
+        """Each event with the places it reaches and their distance, but those that one of its earlier positions
+        ``(_lons, _lats)`` reaches. A place with several positions counts once; an event with ``_for`` is for that place.
+        """
+        pairs = self._met(self._circles(events), "inner", ["_spots"] if self.several else [])
+        # the partition number keeps what follows out of the join: functions of arrays would take the join from generated code
+        found = pairs.select(*events.columns, "place", F.round(_km_to_place(), 3).alias("km"), "_lon", "_lat",
+                             *(["_spots"] if self.several else []), F.spark_partition_id().alias("_task"))
+        reaches = lambda x, y, s: F.round(haversine_km(s["lon"], s["lat"], x, y), 3) <= self.km
+        spots = F.array(F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")))
+        if self.several:
+            spots = F.coalesce("_spots", spots)
+            first = F.get(F.filter(spots, lambda s: reaches(F.col("lon"), F.col("lat"), s)), F.lit(0))
+            found = found.where((F.col("_task") >= 0) & (F.col("_spots").isNull() | ((first["lon"] == F.col("_lon")) & (first["lat"] == F.col("_lat")))))
+        before = F.exists(F.arrays_zip("_lons", "_lats"), lambda e: F.exists(spots, lambda s: reaches(e["_lons"], e["_lats"], s)))
+        return found.where((F.col("_task") >= 0) & (F.col("_lons").isNull() | ~before) & (
+            F.col("_for").isNull() | (F.col("_for") == F.to_json(F.struct("place"))))).drop("_task", "_lon", "_lat", "_spots", "_for", "_lons", "_lats")
+
+
 def last_within_km(quakes: DataFrame, places: DataFrame, km: float, max_copied: int = MAX_COPIED_BYTES) -> DataFrame:
     """The newest event within ``km`` of each place that has one.
 

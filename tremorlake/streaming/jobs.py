@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tremorlake.operators.features import flatten_feature
-from tremorlake.operators.proximity import last_within_km, near_places, places_near_events
+from tremorlake.operators.proximity import WatchedPlaces, last_within_km, places_near_events
 from tremorlake.session import delete_path, owned_stages, stage
 from tremorlake.sources.geojson import parse_features, readable_feature
 from tremorlake.sources.store import load_batch
 
 DEDUP_SALTS = 16
+EVENT_BUCKETS = 1_024   # groups of events whose positions are one row of state
 FEW_EVENTS = 1_000      # of a micro-batch, up to which its events are paired with places one by one
 MERGE_EVERY = 50        # micro-batches whose updates lie in folders of their own before they are merged
 
@@ -64,10 +67,69 @@ def stream_counts(stream: DataFrame, width: str = "1 hour", slide: str | None =
     return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events")
 
 
-def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day", salts: int = DEDUP_SALTS) -> DataFrame:
-    """Each flagged event near a watched place, once per event and place."""
-    near = near_places(stream.where("tsunami = 1").select("usgs_id", "time_utc", "lon", "lat"), places, km)
-    return _once_per_key(near, ["usgs_id", "place"], "time_utc", delay, salts)
+EARLIEST, LATEST = "1700-01-01", "2200-01-01"      # times outside count as these for the watermark; Python knows no others
+POSITIONS = "usgs_id STRING, _for STRING, micros LONG, lon DOUBLE, lat DOUBLE, _lons ARRAY<DOUBLE>, _lats ARRAY<DOUBLE>"
+SEEN = "ids ARRAY<STRING>, fors ARRAY<STRING>, lons ARRAY<DOUBLE>, lats ARRAY<DOUBLE>, until ARRAY<LONG>"
+
+
+def _new_positions(delay_us: int) -> Callable:
+    """For ``applyInPandasWithState``: positions that an event of the bucket did not report before, each with the earlier ones.
+
+    An event without an id stands for the place in ``_for``, whatever its position. A position is remembered until the
+    watermark has passed its own time by the delay, like a key of ``dropDuplicatesWithinWatermark``.
+    """
+    def positions(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple, dict[tuple, int]] = {}
+        for name, place, x, y, until in zip(*state.get, strict=True) if state.exists else ():
+            seen.setdefault((name, place), {})[(x, y)] = until
+        new = []
+        for part in parts:
+            for name, place, micros, x, y in zip(*[part[c].tolist() for c in ("usgs_id", "_for", "micros", "lon", "lat")], strict=True):
+                known = seen.setdefault((name, place), {})
+                if (x, y) in known or (known and name is None):
+                    continue
+                micros = None if pd.isna(micros) else int(micros)
+                new.append((name, place, micros, x, y, [a for a, _ in known] or None, [b for _, b in known] or None))
+                known[(x, y)] = (micros or 0) + delay_us
+        if new:
+            yield pd.DataFrame({c: pd.Series(values, dtype="Int64" if c == "micros" else "float64" if c in ("lon", "lat") else "object")
+                                for c, values in zip(("usgs_id", "_for", "micros", "lon", "lat", "_lons", "_lats"), zip(*new, strict=True), strict=True)})
+        passed = state.getCurrentWatermarkMs()
+        held = [(*name, *at, until) for name, known in seen.items() for at, until in known.items() if until > passed * 1000]
+        if not held:
+            state.remove()
+            return
+        state.update(tuple(list(c) for c in zip(*held, strict=True)))
+        state.setTimeoutTimestamp(max(1, passed, -(-min(h[-1] for h in held) // 1000) - 1))
+
+    return positions
+
+
+def tsunami_alerts(stream: DataFrame, places: DataFrame, km: float, delay: str = "1 day", salts: int = DEDUP_SALTS,
+                   buckets: int = EVENT_BUCKETS) -> DataFrame:
+    """Each flagged event near a watched place, once per event and place.
+
+    The state holds the positions of events, never their places: a new position alerts the places that none of the
+    event's remembered positions reaches. Only events without an id, which all count as one, are remembered per place.
+    Repeats of a position are dropped per salt first, as in ``_once_per_key``.
+    """
+    watched = WatchedPlaces(places, km)
+    # the salt also keeps what follows from being asked of the text again: a filter is not moved below a task's number
+    flagged = stream.where("tsunami = 1 AND lon IS NOT NULL AND lat IS NOT NULL").select(
+        "usgs_id", "time_utc", "lon", "lat", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"))
+    at = F.greatest(F.least("time_utc", F.lit(LATEST).cast("timestamp")), F.lit(EARLIEST).cast("timestamp"))
+    near = watched.events_in_reach(flagged, F.col("usgs_id").isNull()).withColumn("_at", F.when(F.col("time_utc").isNotNull(), at))
+    timed = near.withColumn("micros", F.unix_micros(F.col("time_utc").cast("timestamp"))).withWatermark("_at", delay).withColumns({
+        "_x": F.when(F.col("_for").isNull(), F.col("lon")),
+        "_y": F.when(F.col("_for").isNull(), F.col("lat")), "_bucket": F.pmod(F.xxhash64("usgs_id", "_for"), F.lit(buckets))})
+    first = timed.dropDuplicatesWithinWatermark(["usgs_id", "_for", "_x", "_y", "_salt"]).select(
+        "_bucket", "usgs_id", "_for", "micros", "lon", "lat", "_at")
+    delay_us = stream.sparkSession.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {delay})").first()[0]
+    moved = first.groupBy("_bucket").applyInPandasWithState(
+        _new_positions(delay_us), POSITIONS, SEEN, "append", GroupStateTimeout.EventTimeTimeout)
+    timed_again = F.timestamp_micros("micros").cast(stream.schema["time_utc"].dataType).alias("time_utc")
+    return watched.alerts(moved.select("usgs_id", timed_again, "lon", "lat", "_for", "_lons", "_lats")).select(
+        "usgs_id", "time_utc", "lon", "lat", "place", "km")
 
 
 def last_quakes(events: DataFrame, places: DataFrame, km: float, few: int = FEW_EVENTS) -> DataFrame:
