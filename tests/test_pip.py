@@ -7,6 +7,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from tremorlake.operators import pip
 from tremorlake.operators.enrich import location_rows, resolve_location
 from tremorlake.operators.pip import build_index, choose_cell_deg, covering_pairs, resolve_polygon
 from tremorlake.operators.tables import check_references, country_lookup, sea_lookup
@@ -231,6 +232,28 @@ def test_covering_pairs_are_not_shuffled_and_repeated_ids_count_together(spark):
     assert "Aggregate" not in once
 
 
+def test_pairs_of_many_points_are_tested_in_generated_code_on_a_finer_grid(spark):
+    """Level and slanted edges, holes, edges on cell borders, and a shape with many corners in one cell."""
+    rng = random.Random(12)
+    comb = [(4.0 + i * 0.01, 4.0 + 0.02 * (i % 2)) for i in range(60)] + [(4.6, 3.5), (4.0, 3.5)]
+    polygons = [(i, [[(float(x - 4), float(y - 2)), (x + 5.0, y - 2.0), (x + 1.0, float(y)), (x + 5.0, y + 2.0), (x - 4.0, y + 2.0)]])
+                for i, (x, y) in enumerate([(0, 0), (3, 1), (-6, 4), (8, -5), (2, 7)])]
+    polygons += [(7, [[(-8.0, -8.0), (9.0, -8.0), (9.0, 9.0), (-8.0, 9.0)], [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0)]]),
+                 (8, [comb]), (9, [star(rng, 1, 1, 8, 25)])]
+    coordinates = [(rng.uniform(-11, 14), rng.uniform(-9, 10)) for _ in range(4000)] + [(rng.uniform(3.9, 4.7), rng.uniform(3.4, 4.1)) for _ in range(300)]
+    coordinates += [(round(rng.uniform(-11, 14) * 4) / 4, round(rng.uniform(-9, 10) * 4) / 4) for _ in range(1500)]
+    coordinates += [corner for _, rings in polygons for ring in rings for corner in ring]
+    index = build_index(layer(spark, polygons), 10.0)
+    got = covering_pairs(points(spark, coordinates), index)
+    want = sorted((i, p) for i, (x, y) in enumerate(coordinates) for p, rings in polygons if covers(rings, x, y))
+    assert sorted(map(tuple, got.collect())) == want
+    branches = got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1:]
+    assert any("lambda" not in branch.split("\n")[0] for branch in branches)
+    assert sorted(map(tuple, covering_pairs(points(spark, coordinates), replace(index, cell_deg=0.25)).collect())) == want
+    assert pip.pair_cell_deg(index.edges, index.cell_deg, len(coordinates)) < index.cell_deg
+    assert pip.pair_cell_deg(index.edges, index.cell_deg, 1) == index.cell_deg
+
+
 def test_copies_of_a_shape_do_not_crowd_a_cell(spark):
     """More equal borders than a cell may hold: no cell size parts them, and the first copy answers for all."""
     shape = [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]]

@@ -38,6 +38,7 @@ CUT = 4                              # cells a side into which it is cut
 SLACK = 1e-9                         # degrees, far above the rounding of a computed crossing
 FEW_EDGES = 10_000                   # layers up to here are gathered at once and cut only if a cell turns out crowded
 ENTRY_BYTES = 64                     # room for one edge, loose end, polygon or cell in memory
+CELL_TESTS = 64                      # tests of a point against an edge that take as long as making a polygon's row of a cell
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024     # the driver holds a copied side several times over
 
 
@@ -367,16 +368,17 @@ def pip_candidates(points: DataFrame, index: PolygonIndex) -> DataFrame:
 def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
     """Pairs ``(id, poly)`` where the polygon covers the point, for layers of any size.
 
-    A polygon has one row per grid cell of its box, with all that decides a point in that cell. A point meets the rows of
-    its cell and is tested where they meet, so only points and rows move, never pairs. Ids that are null or come more
-    than once, whose crossings count together, and polygons with more than ``MAX_CELL_ENTRIES`` edges in one cell take
-    the sums by (id, poly).
+    A polygon has one row per grid cell, with all that decides a point in that cell: nothing where it fills the cell, most
+    often one edge at its border. A point meets the rows of its cell and is tested where they meet, so only points and
+    rows move, never pairs. The grid is finer where there are more points (``pair_cell_deg``): pairs inside polygons need
+    no test. Ids that are null or come more than once, whose crossings count together, and polygons with more than
+    ``MAX_CELL_ENTRIES`` edges in one cell take the sums by (id, poly).
     """
-    g, where = index.cell_deg, ["cell_r", "cell_c"]
+    where = ["cell_r", "cell_c"]
     located = points.select("id", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL")
     again = stage(located.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").select("id"))
-    edge_rows = _edge_rows(index.edges, g)
-    near, loose = _near_edges(edge_rows), _loose_ends(edge_rows, g)
+    edge_rows = _edge_rows(index.edges, index.cell_deg)
+    near, loose = _near_edges(edge_rows), _loose_ends(edge_rows, index.cell_deg)
     crowded = near.groupBy("poly", *where).agg(F.count(F.lit(1)).alias("n")).unionByName(
         loose.groupBy("poly", "cell_r").agg(F.count(F.lit(1)).alias("n")).select("poly", "cell_r", F.lit(None).cast("int").alias("cell_c"), "n"))
     large = stage(crowded.where(F.col("n") > MAX_CELL_ENTRIES).select("poly").distinct())
@@ -390,25 +392,96 @@ def covering_pairs(points: DataFrame, index: PolygonIndex) -> DataFrame:
     if not large.isEmpty():
         few = index.edges.join(large, "poly", "left_anti")
         found.append(_pairs_by_sums(once, index, index.edges.join(large, "poly", "left_semi")))
+    g = pair_cell_deg(few, index.cell_deg, located.count())
     cells = stage(_polygon_cells(few, g))
     placed = once.withColumns({"cell_r": cell_index(F.col("lat"), g), "cell_c": cell_index(F.col("lon"), g)})
-    met = lookup_join(placed, cells, where).where("poly IS NOT NULL")
-    tested = met.where(_covers({c: F.col(c) for c in ("base", "far", "edges")}, F.col("lon"), F.col("lat"))).select("id", "poly")
-    for more in found:      # two at most
+    # cells told in columns stay in generated code; functions of arrays, for the few others, would take all out of it
+    lon, lat = F.col("lon"), F.col("lat")
+    plain = lookup_join(placed, cells.where("edges IS NULL").drop("far", "edges"), where).where("poly IS NOT NULL")
+    tested = plain.where(_covers_by_columns(lon, lat)).select("id", "poly")
+    rest = lookup_join(placed, cells.where("edges IS NOT NULL").select("poly", *where, "base", "far", "edges"), where).where("poly IS NOT NULL")
+    found.append(rest.where(_covers({c: F.col(c) for c in ("base", "far", "edges")}, lon, lat)).select("id", "poly"))
+    for more in found:      # three at most
         tested = tested.unionByName(more)
     return tested
 
 
+def pair_cell_deg(edges: DataFrame, cell_deg: float, n_points: int) -> float:
+    """The grid, ``cell_deg`` or finer by halves, on which building the polygons' cells and testing points takes least.
+
+    A finer grid has more cells and fewer points in cells that a border meets. Points are taken as spread over the layer.
+    """
+    sizes = [g for g in (cell_deg / 2 ** k for k in range(8)) if g >= CELL_SIZES[-1]] or [cell_deg]
+    def spans(g):
+        return [(cell_index(F.col(high), g) - cell_index(F.col(low), g) + 1).cast("double") for low, high in (("xmin", "xmax"), ("ymin", "ymax"))]
+
+    sums = []
+    for i, g in enumerate(sizes):       # eight at most
+        wide, high = spans(g)
+        sums += [F.sum(wide * high).alias(f"cells{i}"), F.sum(F.least(wide * high, 2 * (wide + high))).alias(f"border{i}")]
+    held = polygon_boxes(edges).agg(*sums, ((F.max("xmax") - F.min("xmin")) * (F.max("ymax") - F.min("ymin"))).alias("extent")).first()
+
+    def work(i: int) -> float:
+        tests = n_points * (held[f"border{i}"] or 0) * sizes[i] ** 2 / max(held["extent"] or 0, sizes[i] ** 2)
+        return CELL_TESTS * (held[f"cells{i}"] or 0) + tests
+
+    return sizes[min(range(len(sizes)), key=work)]
+
+
+def _edge_runs(edges: DataFrame, g: float) -> DataFrame:
+    """As ``_edge_rows``, with the columns that the edge meets inside that row, a little widened (``SLACK``)."""
+    rows = _edge_rows(edges, g)
+
+    def x_at(y):
+        along = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))))
+        return F.col("x1") + (F.col("x2") - F.col("x1")) * along
+
+    bottom, top = x_at(F.col("cell_r") * F.lit(g) - SLACK), x_at((F.col("cell_r") + 1) * F.lit(g) + SLACK)
+    level, low, high = F.col("y1") == F.col("y2"), F.least("x1", "x2"), F.greatest("x1", "x2")
+    return rows.withColumns({
+        "c_low": cell_index(F.when(level, low).otherwise(F.greatest(low, F.least(bottom, top) - SLACK)), g),
+        "c_high": cell_index(F.when(level, high).otherwise(F.least(high, F.greatest(bottom, top) + SLACK)), g)})
+
+
+_CORNERS = ("x1", "y1", "x2", "y2")
+_FEW = ("a", "b")          # a cell told in columns has at most so many edges, and as many loose ends
+
+
 def _polygon_cells(edges: DataFrame, g: float) -> DataFrame:
-    """``(poly, cell_r, cell_c, base, far, edges)``: what a grid cell knows of each polygon whose box meets it."""
+    """What a grid cell knows of each polygon that meets it: ``(poly, cell_r, cell_c, base)`` and its edges and loose ends.
+
+    With at most two edges and two loose ends, as nearly all cells of a fine grid, these stand in columns (``ax1`` to
+    ``by2``, ``ay`` and ``by``) and ``far`` and ``edges`` are null; ``told`` tells whether there are any.
+    """
     where = ["cell_r", "cell_c"]
-    edge_rows = _edge_rows(edges, g)
-    edge = F.struct("x1", "y1", "x2", "y2")
+    # a layer is often read by one task, and its cells are many more than its edges
+    edges = edges.repartition(edges.sparkSession.sparkContext.defaultParallelism, "poly")
+    edge_rows = _edge_runs(edges, g)
+    edge = F.struct(*_CORNERS)
     near = _near_edges(edge_rows).groupBy("poly", *where).agg(F.collect_list(edge).alias("edges"))
     far = _far_parity(box_cells(polygon_boxes(edges), g).select("poly", *where), _loose_ends(edge_rows, g))
-    return far.join(near.hint("merge"), ["poly", *where], "full_outer").select(
+    met = far.join(near.hint("merge"), ["poly", *where], "full_outer").select(
         "poly", *where, F.coalesce("base", F.lit(0)).alias("base"), F.coalesce("far", F.expr("CAST(array() AS ARRAY<DOUBLE>)")).alias("far"),
         F.coalesce("edges", F.expr("CAST(array() AS ARRAY<STRUCT<x1: DOUBLE, y1: DOUBLE, x2: DOUBLE, y2: DOUBLE>>)")).alias("edges"))
+    some = met.where("base = 1 OR size(far) > 0 OR size(edges) > 0").withColumn(
+        "_plain", (F.size("far") <= len(_FEW)) & (F.size("edges") <= len(_FEW)))
+    columns = []
+    for i, side in enumerate(_FEW):
+        columns += [F.when(F.col("_plain"), F.get("edges", F.lit(i))[c]).alias(side + c) for c in _CORNERS]
+        columns.append(F.when(F.col("_plain"), F.get("far", F.lit(i))).alias(side + "y"))
+    return some.select("poly", *where, "base", ((F.size("far") > 0) | (F.size("edges") > 0)).alias("told"), *columns,
+                       *[F.when(~F.col("_plain"), F.col(c)).alias(c) for c in ("far", "edges")])
+
+
+def _covers_by_columns(lon: Column, lat: Column) -> Column:
+    """As ``_covers`` for cells told in columns."""
+    odd, on_edge = F.col("base") == 1, F.lit(False)
+    for side in _FEW:
+        e = {c: F.col(side + c) for c in _CORNERS}
+        odd = odd != F.coalesce(F.col(side + "y") > lat, F.lit(False))
+        odd = odd != F.coalesce(_crosses(e, lon, lat), F.lit(False))
+        on_edge = on_edge | F.coalesce(_touches(e, lon, lat), F.lit(False))
+    return F.when(F.col("told"), odd | on_edge).otherwise(F.col("base") == 1)
 
 
 def _pairs_by_sums(points: DataFrame, index: PolygonIndex, layer: DataFrame) -> DataFrame:
