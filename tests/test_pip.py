@@ -257,7 +257,7 @@ def test_pairs_of_many_points_are_tested_in_generated_code_on_a_finer_grid(spark
 def test_copies_of_a_shape_do_not_crowd_a_cell(spark):
     """More equal borders than a cell may hold: no cell size parts them, and the first copy answers for all."""
     shape = [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]]
-    polygons = [(i, shape) for i in range(5, 65)] + [(70 + i, [[(6.0, i), (30.0, i), (30.0, i + 9.0)]]) for i in range(6)]
+    polygons = [(i, shape) for i in range(5, 65)] + [(70 + i, [[(6.0, float(i)), (30.0, float(i)), (30.0, i + 9.0)]]) for i in range(6)]
     index = build_index(layer(spark, polygons), split_entries=40)
     assert index.cells.agg(F.max("entries")).first()[0] <= 40 and index.cells.count() < 2_000
     coordinates = [(0.0, 0.0), (8.0, 4.0), (4.0, 4.0), (7.0, 0.1), (20.0, 3.0), (8.0, 8.0), (29.0, 13.0), (-1.0, 0.0)]
