@@ -138,7 +138,9 @@ def build_index(layer: DataFrame, cell_deg: float | None = None,
                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                 split_entries: int = SPLIT_ENTRIES) -> PolygonIndex:
     """Cut a polygon layer into grid cells and measure the result. ``cell_deg`` fixes one grid for the whole layer."""
-    edges = pin(polygon_edges(layer))
+    # read back from a table: after a checkpoint the engine still knows what held before it, and would make the rings of a
+    # layer that computes them from the row id again for every row that a join filters
+    edges = stage(polygon_edges(layer))
     fixed = cell_deg is not None
     cell_deg = cell_deg or choose_cell_deg(edges)
     edge_rows = _edge_rows(edges, cell_deg)
